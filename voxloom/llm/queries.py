@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup, quality_rules, secret_scan, sharding, warc
+from . import classifier, exact_dedup, line_dedup, packing, pieces, quality_rules, secret_scan, sharding, warc
 from .common import read_table
 
 
@@ -16,6 +17,13 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.read_model(spark, public_tokenizers.path("piece_bpe_32k.model"))
+    decoded = pieces.decode(pieces.encode(read_table(spark, sf_dir, "documents"), model), model)
+    ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.read_records(warc.write_archives(read_table(spark, sf_dir, "pages")))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -29,6 +37,16 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op7_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return classifier.score(docs, classifier.train(docs, read_table(spark, sf_dir, "labels")))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = packing.read_spec(public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), spec)
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(read_table(spark, sf_dir, "documents")))
 
@@ -37,7 +55,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_line_dedup, op4_warc, op5_sharding, op6_exact_dedup, op9_secret_scan, op10_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_line_dedup, op3_pieces, op4_warc, op5_sharding, op6_exact_dedup, op7_classifier, op8_packing, op9_secret_scan, op10_quality_rules)}
 
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": line_dedup.ORACLE_SQL,
