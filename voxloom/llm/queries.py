@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, exact_dedup, line_dedup, packing, pieces, quality_rules, secret_scan, sharding, warc
+from . import classifier, exact_dedup, line_dedup, packing, pieces, quality_rules, secret_scan, set_join, sharding, warc
 from .common import read_table
 
 
@@ -17,6 +17,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.ngram_jaccard_groups(read_table(spark, sf_dir, "documents"))
+
+
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.read_model(spark, public_tokenizers.path("piece_bpe_32k.model"))
     decoded = pieces.decode(pieces.encode(read_table(spark, sf_dir, "documents"), model), model)
@@ -55,7 +59,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_line_dedup, op3_pieces, op4_warc, op5_sharding, op6_exact_dedup, op7_classifier, op8_packing, op9_secret_scan, op10_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_line_dedup, op2_set_join, op3_pieces, op4_warc, op5_sharding, op6_exact_dedup, op7_classifier, op8_packing, op9_secret_scan, op10_quality_rules)}
 
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": line_dedup.ORACLE_SQL,
