@@ -1,0 +1,334 @@
+"""Each operator on the planted rows and on a small corpus, against plain versions."""
+
+import base64
+import hashlib
+import zlib
+
+import brute
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from voxloom.llm import classifier, components, exact_dedup, line_dedup, packing, pieces, quality_rules, secret_scan, set_join, sharding, warc
+
+MODEL = open(public_tokenizers.path("piece_bpe_32k.model"), "rb").read()
+SPEC = packing.read_spec(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def pairs(df):
+    return [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+
+
+def by_id(df, *columns):
+    out = {r.doc_id: tuple(r[c] for c in columns) for r in df.collect()}
+    return out
+
+
+@pytest.fixture(params=["docs", "corpus"])
+def table(request):
+    return request.getfixturevalue(request.param)
+
+
+@pytest.mark.parametrize("most", [32 << 20, 0])
+def test_line_dedup(table, most):
+    got = by_id(line_dedup.line_dedup(table, max_broadcast_bytes=most), "n_lines", "n_dropped", "text")
+    assert got == brute.lines(pairs(table))
+
+
+def test_line_dedup_first_stays(docs):
+    for most in (32 << 20, 0):
+        got = by_id(line_dedup.line_dedup(docs, keep_first=True, max_broadcast_bytes=most), "n_dropped", "text")
+        assert got[50] == (1, "Common Line\nown 0\n\nlast 0")
+        assert got[51] == (2, "own 1\n\nlast 7")
+
+
+def test_line_dedup_of_a_full_filter_is_exact(docs):
+    """A filter of one block for all keys suspects more, but drops the same."""
+    got = by_id(line_dedup.line_dedup(docs, max_filter_bytes=8), "n_lines", "n_dropped", "text")
+    assert got == brute.lines(pairs(docs))
+
+
+def test_exact_dedup(table):
+    got = by_id(exact_dedup.exact_dedup(table), "keep_id", "group_size", "kept", "text_sha256")
+    assert got == brute.exact(pairs(table))
+
+
+def test_exact_dedup_keeps_one_row(spark, docs):
+    kept = exact_dedup.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, x in brute.exact(pairs(docs)).items() if x[2])
+    odd = spark.createDataFrame([(None, "a"), (None, "a"), (5, "b"), (5, "b"), (-(2**63), "c"), (2**63 - 1, "c"), (2**63 - 1, "dd"), (3, "d d")], "doc_id long, text string")
+    assert sorted((str(r.doc_id), r.text) for r in exact_dedup.keep_one(odd).collect()) == [("-9223372036854775808", "c"), ("3", "d d"), ("5", "b"), ("None", "a")]
+
+
+def test_exact_dedup_is_native(docs, empty):
+    plan = exact_dedup.exact_dedup(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "SortAggregate" not in plan
+
+
+def test_set_join(table):
+    got = by_id(set_join.ngram_jaccard_groups(table), "n_shingles", "component_id")
+    assert got == brute.components(pairs(table))
+
+
+@pytest.mark.parametrize("percent,width", [(50, 2), (75, 3), (90, 1), (30, 1)])
+def test_set_join_of_many_near_sets(spark, percent, width):
+    """Small vocabularies give chains and rings of near sets around leaders, so members' answers must be derived."""
+    rng = np.random.default_rng(percent)
+    base = [list(rng.integers(0, 60, 30)) for _ in range(4)]
+    rows = []
+    for i in range(160):
+        own = list(base[i % 4])
+        for _ in range(int(rng.integers(0, 14))):
+            own[int(rng.integers(0, len(own)))] = int(rng.integers(0, 90))
+        rows.append((i, " ".join(f"t{x}" for x in own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    assert by_id(set_join.ngram_jaccard_groups(df, width, percent), "n_shingles", "component_id") == brute.components(rows, width, percent)
+
+
+def test_set_join_without_relations(spark, docs, monkeypatch):
+    """Clusters are a short cut: without the first step the lists alone give the same groups."""
+    join = set_join.SetJoin(docs)
+    join.relate = lambda: setattr(join, "clusters", spark.createDataFrame([], "digest binary, leader binary"))
+    assert by_id(join.groups(), "n_shingles", "component_id") == brute.components(pairs(docs))
+
+
+def test_components(spark):
+    edges = [(1, 2), (2, 3), (3, 1), (9, 8), (8, 7), (7, 6), (20, 20), *((k, k + 1) for k in range(100, 140))]
+    got = {(r.v, r.m) for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {(2, 1), (3, 1), (9, 6), (8, 6), (7, 6), *((k, 100) for k in range(101, 141))}
+
+
+def test_pieces(table):
+    sp = sentencepiece.SentencePieceProcessor(model_proto=MODEL)
+    got = by_id(pieces.decode(pieces.encode(table, MODEL), MODEL), "ids", "text")
+    assert set(got) == {i for i, _ in pairs(table)}
+    for i, t in pairs(table):
+        ids = sp.encode(t or "", add_eos=True)
+        assert got[i] == (ids, sp.decode(ids)), i
+
+
+def test_piece_table_on_odd_texts():
+    sp, table = sentencepiece.SentencePieceProcessor(model_proto=MODEL), pieces.PieceTable(MODEL)
+    rng = np.random.default_rng(3)
+    parts = [" ", "  ", "\n", "\t", "▁", "a", "the", "é", "日本", "😀", "ing", "    ", "\x00", "</s>", "<0x0A>", "0", "aaaaaaaa", "\x85", "ß"]
+    for _ in range(3000):
+        t = "".join(parts[k] for k in rng.integers(0, len(parts), int(rng.integers(0, 15))))
+        ids = np.frombuffer(table.encode(t), "<i4").tolist()
+        assert ids == sp.encode(t) and table.decode(ids) == sp.decode(ids), repr(t)
+
+
+def test_warc(spark):
+    rows = [(1, "http://a/1", "x"), (2, "http://a/2", "x"), (3, None, None), (4, "http://a/\r\n4", ""), (5, "u", "é" * 70_000), (6, "u", "long " * 50_000), (7, "u", "é" * 70_000), (8, "u", "one")]
+    pages = spark.createDataFrame([(*r, "z", 1) for r in rows], "page_id long, url string, html string, payload string, offset long").repartition(3)
+    index = warc.write_archives(pages)
+    got = {r.page_id: r for r in warc.read_records(index).collect()}
+    by = {}
+    for i, _, h in rows:
+        by.setdefault(h or "", []).append(i)
+    for i, url, h in rows:
+        body, top = (h or "").encode(), max(by[h or ""])
+        r = got[i]
+        assert (r.payload_bytes, r.payload_digest) == (len(body), base64.b32encode(hashlib.sha1(body).digest()).decode())
+        assert (r.record_type, r.refers_to) == (("response", None) if i == top else ("revisit", top))
+        assert (bytes(r.payload) if i == top else r.payload) == (body if i == top else None)
+    chosen = warc.read_records(index.where(F.col("url") == "http://a/2")).collect()
+    assert [r.page_id for r in chosen] == [2]
+    assert warc.read_records(warc.write_archives(pages.where("false"))).count() == 0
+    least = {r.page_id: r.record_type for r in warc.read_records(warc.write_archives(pages, min_payload_bytes=100)).collect()}
+    assert [k for k, v in sorted(least.items()) if v == "revisit"] == [5]
+
+
+def test_warc_ranges_are_joined():
+    rows = [("f", 0, 10), ("f", 10, 5), ("f", 15 + warc.GAP_BYTES + 1, 5), ("g", 0, 5), ("g", 5, warc.READ_BYTES), ("g", 5 + warc.READ_BYTES, 1)]
+    assert [(f, len(r)) for f, r in warc._ranges(iter(rows))] == [("f", 2), ("f", 1), ("g", 1), ("g", 1), ("g", 1)]
+
+
+def test_sharding(spark, corpus, docs):
+    for table, even in ((corpus, 1.12), (docs, None)):
+        got = sharding.shard(table).toPandas()
+        assert sorted(got.doc_id) == sorted(i for i, _ in pairs(table))
+        for i, t in pairs(table):
+            r = got[got.doc_id == i].iloc[0]
+            assert (r["size"], r.text_crc32) == (len((t or "").encode()) + 1, zlib.crc32((t or "").encode()))
+        for _, g in got.groupby("shard"):
+            assert sorted(g.slot) == list(range(len(g)))
+        assert set(got.law) == {"bytes"} and got.grown_shard.isna().all() and got.shard.between(0, 15).all()
+        assert got.groupby(["text_crc32", "size"]).shard.nunique().max() == 1
+        if even:
+            sums = got.groupby("shard")["size"].sum()
+            assert sums.max() <= even * sums.mean()
+
+
+def test_sharding_cuts_only_groups_above_a_share(spark):
+    rows = [(i, "hot text " * 20) for i in range(2000)] + [(2000 + i, f"own {i} " * 20) for i in range(3000)]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).toPandas()
+    sums = got.groupby("shard")["size"].sum()
+    assert sums.max() - sums.min() <= 0.02 * sums.mean()
+    cold = got[got.doc_id >= 2000]
+    assert cold.groupby("text_crc32").shard.nunique().max() == 1
+
+
+def test_quality_rules(table):
+    some = table.where(F.length("text") < 8000).unionByName(table.where(F.col("text").isNull()))
+    columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_covered", "longest_repeat", "base_failed", "kept"]
+    got = by_id(quality_rules.quality_rules(some), *columns)
+    assert got == {i: brute.quality(t) for i, t in pairs(some)}
+    kept = quality_rules.keep_good(some)
+    assert kept.columns == some.columns
+    assert {r.doc_id for r in kept.collect()} == {i for i, x in got.items() if x[-1]}
+
+
+def test_longest_repeats():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        n = int(rng.integers(0, 40))
+        words = rng.integers(0, int(rng.integers(1, 30)), n)
+        assert quality_rules.longest_repeats(words).tolist() == brute.repeats(words.tolist())
+
+
+def test_quality_rules_of_long_texts(docs):
+    got = by_id(quality_rules.quality_rules(docs.where("doc_id = 40")), "n_words", "n_repeat_words", "longest_repeat", "kept")
+    assert got[40] == (30_000, 30_000, 29_999, False)
+
+
+def test_classifier(spark, corpus, docs):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = classifier.train(table, labels)
+    got = classifier.score(table, model).toPandas()
+    assert all(got.held_out[k] == brute.held_out(i) for k, i in enumerate(got.doc_id))
+    assert got.score.between(0, 1).all() and (got.predicted == (got.score >= 0.7)).all()
+    known = got.merge(labels.toPandas(), on="doc_id")
+    test = known[known.held_out]
+    good, bad = test[test.quality == 1].score.to_numpy(), test[test.quality == 0].score.to_numpy()
+    assert (good[:, None] > bad[None]).mean() > 0.95
+    assert (test.predicted == test.quality).mean() > 0.93
+    # held-out labels change nothing, nor does the order of rows
+    other = labels.withColumn("quality", F.when(classifier.held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
+    again = classifier.score(table, classifier.train(table.repartition(3), other)).toPandas()
+    assert np.allclose(got.sort_values("doc_id").score, again.sort_values("doc_id").score)
+    odd = classifier.score(docs, model)
+    assert odd.count() == docs.count() and odd.where("score is null or held_out is null").isEmpty()
+
+
+def test_factorisation_identity():
+    rng = np.random.default_rng(0)
+    n = (1 << classifier.HASH_BITS) + classifier.N_STATS
+    m = classifier.Model(0.3, rng.normal(0, 0.1, n), rng.normal(0, 0.3, (n, 4)), np.zeros(classifier.N_STATS), np.ones(classifier.N_STATS))
+    places, values, stats = classifier.features("Some words, some more words.\nAnd 12 others!")
+    at = np.r_[places, np.arange(classifier.N_STATS) + (1 << classifier.HASH_BITS)]
+    x = np.r_[values, np.clip(stats, -4, 4) / 4]
+    z = 0.3 + m.w[at] @ x + sum(m.v[at[i]] @ m.v[at[j]] * x[i] * x[j] for i in range(len(at)) for j in range(i))
+    assert np.isclose(m.score("Some words, some more words.\nAnd 12 others!"), 1 / (1 + np.exp(-z)))
+
+
+def test_packing(table):
+    tokenizer = Tokenizer.from_str(SPEC)
+    got = packing.pack_documents(table, SPEC).toPandas()
+    total = 0
+    for i, t in pairs(table):
+        ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1]
+        total += len(ids)
+        g = got[got.doc_id == i].sort_values("piece")
+        want = [(k, a, len(ids[a : a + 4096]), zlib.crc32(np.array(ids[a : a + 4096], "<u4").tobytes())) for k, a in enumerate(range(0, len(ids), 4096))]
+        assert [tuple(x) for x in g[["piece", "start", "length", "ids_crc32"]].itertuples(index=False)] == want
+    for _, g in got.sort_values(["sequence_id", "offset"]).groupby("sequence_id"):
+        assert g.offset.tolist() == [0, *g.length.cumsum().tolist()[:-1]] and g.length.sum() <= 4096
+    assert got.sequence_id.nunique() <= -(-total // 4096) + 1
+
+
+@pytest.mark.parametrize("choose", ["norm", "dot"])
+def test_best_fit_holds_every_capacity(choose):
+    rng = np.random.default_rng(1)
+    lengths = np.sort(rng.integers(1, 400, 500))[::-1]
+    c = packing.Capacity(tokens=1000, documents=5, attention=250_000, weights=(1.0, 0.3, 0.3), choose=choose)
+    sequence, offset = packing.best_fit(lengths, c)
+    for s in range(sequence.max() + 1):
+        own = sequence == s
+        assert lengths[own].sum() <= 1000 and own.sum() <= 5 and (lengths[own] ** 2).sum() <= 250_000
+        assert sorted(offset[own]) == sorted(np.r_[0, np.cumsum(lengths[own])[:-1]])
+
+
+def test_best_fit_is_exact_search():
+    """The levels' bound gives the same choice as looking at every open sequence."""
+    rng = np.random.default_rng(4)
+    lengths = np.sort(rng.integers(1, 90, 120))[::-1]
+    c = packing.Capacity(tokens=100, documents=4, attention=6000, weights=(1.0, 0.5, 0.7))
+    sequence, _ = packing.best_fit(np.minimum(lengths, 70), c)
+    left = []
+    norm = lambda s: sum(w * (x / y) ** 2 for w, x, y in zip(c.weights, s, (c.tokens, c.documents, c.attention), strict=True))
+    for n, got in zip(np.minimum(lengths, 70).tolist(), sequence, strict=True):
+        after = {k: (t - n, d - 1, a - n * n) for k, (t, d, a) in enumerate(left) if t >= n and d >= 1 and a >= n * n}
+        if after:
+            assert got < len(left) and np.isclose(norm(after[got]), min(map(norm, after.values())))
+            left[got] = after[got]
+        else:
+            assert got == len(left)
+            left.append((c.tokens - n, c.documents - 1, c.attention - n * n))
+
+
+def test_secret_scan(table):
+    got = by_id(secret_scan.digest(secret_scan.scan(table)), "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+    for i, t in pairs(table):
+        found = brute.spans(t)
+        text = ",".join(f"{kind}:{a}:{b}" for a, _, kind, b in found)
+        assert got[i] == (*(sum(x[2] == k for x in found) for k in ("assign", "access", "hex")), hashlib.sha256(text.encode()).hexdigest(), text), i
+
+
+def test_secret_ledger_scans_only_what_is_new(spark, docs, tmp_path):
+    path = str(tmp_path / "ledger")
+    first = secret_scan.update_ledger(docs.where("doc_id < 43"), path).count()
+    n = lambda: len(list((tmp_path / "ledger").glob("*.parquet")))
+    assert secret_scan.update_ledger(docs.where("doc_id < 43"), path).count() == first
+    whole = secret_scan.update_ledger(docs, path)
+    ids = [r.blob_id for r in whole.collect()]
+    assert len(ids) == len(set(ids)) == docs.select(F.coalesce("text", F.lit(""))).distinct().count()
+    assert secret_scan.update_ledger(docs.limit(3), path, rule_version="other").count() <= 3
+    assert n() > 0
+
+
+def test_redact(docs):
+    got = secret_scan.redact(docs)
+    assert got.columns == docs.columns
+    assert by_id(got, "text") == {i: (t and brute.redacted(t),) if brute.spans(t) else (t,) for i, t in pairs(docs)}
+
+
+def test_empty_tables(spark, empty):
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    for df in (
+        line_dedup.line_dedup(empty),
+        exact_dedup.exact_dedup(empty),
+        exact_dedup.keep_one(empty),
+        set_join.ngram_jaccard_groups(empty),
+        pieces.decode(pieces.encode(empty, MODEL), MODEL),
+        warc.read_records(warc.write_archives(pages)),
+        sharding.shard(empty),
+        quality_rules.quality_rules(empty),
+        classifier.score(empty, classifier.train(empty, labels)),
+        packing.pack_documents(empty, SPEC),
+        secret_scan.scan(empty),
+        secret_scan.redact(empty),
+    ):
+        assert df.count() == 0
+
+
+def test_repeated_rows_and_null_ids(spark):
+    text = "some words " * 30
+    df = spark.createDataFrame([(1, text), (1, text), (None, text), (None, None), (2, "other")], "doc_id long, text string")
+    assert line_dedup.line_dedup(df, min_docs=2).count() == 5
+    assert sorted((str(r.doc_id), r.group_size) for r in exact_dedup.exact_dedup(df).collect()) == [("1", 3), ("1", 3), ("2", 1), ("None", 1), ("None", 3)]
+    assert sorted((str(r.doc_id), str(r.component_id)) for r in set_join.ngram_jaccard_groups(df).collect()) == [("1", "1"), ("1", "1"), ("2", "2"), ("None", "1"), ("None", "None")]
+    assert pieces.encode(df, MODEL).count() == 5
+    shards = sharding.shard(df).collect()
+    assert len({(r.shard, r.slot) for r in shards}) == 5
+    packed = packing.pack_documents(df, SPEC).collect()
+    assert len({(r.sequence_id, r.offset) for r in packed}) == 5
+    assert quality_rules.quality_rules(df).count() == 5
+    assert secret_scan.scan(df).count() == 5
+    pages = df.select(F.col("doc_id").alias("page_id"), F.lit(None).cast("string").alias("url"), F.col("text").alias("html"))
+    assert sorted((str(r.page_id), r.record_type) for r in warc.read_records(warc.write_archives(pages)).collect()) == [("1", "response"), ("1", "response"), ("2", "response"), ("None", "response"), ("None", "revisit")]

@@ -13,7 +13,7 @@ decisions go back to the rows by a join on the digest, which adaptive execution
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WS_CLASS, text_of
@@ -75,10 +75,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 8) -> DataFrame:
-    """The rows of ``docs``, all their columns, that stay."""
+    """One row of each group, with all columns of ``docs``: that which stays.
+
+    Of rows that repeat the id that stays, one stays.
+    """
     won = winners(docs, id_col, text_col, salts).select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep_id"))
     rows = docs.withColumn("__digest", F.sha2(normalised(text_of(text_col)), 256))
-    return rows.join(won, "__digest").where(F.col(id_col).eqNullSafe(F.col("__keep_id"))).select(*docs.columns)
+    stay = rows.join(won, "__digest").where(F.col(id_col).eqNullSafe(F.col("__keep_id")))
+    one = F.row_number().over(Window.partitionBy("__digest").orderBy(F.length(text_of(text_col)).desc()))
+    return stay.withColumn("__nth", one).where(F.col("__nth") == 1).select(*docs.columns)
 
 
 ORACLE_SQL = r"""
