@@ -14,22 +14,43 @@ without spaces is one long word and costs time in proportion to its length.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from sentencepiece import sentencepiece_model_pb2
 
-from .common import rows_of, text_of
+from .common import text_of
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
-#: Words whose results are kept, and the longest of them.
-CACHE, CACHED_CHARS = 400_000, 48
+#: Words whose results are kept in each of two generations, and the longest of them.
+CACHE, CACHED_CHARS = 350_000, 48
+
+
+class Recent(dict):
+    """A cache of two generations: a full one becomes the old one, from which what is asked for again is taken over."""
+
+    def __init__(self, make, size: int = CACHE):
+        super().__init__()
+        self.make, self.size, self.old = make, size, {}
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.old.get(word)
+        if found is None:
+            found = self.make(word)
+        if len(word) <= CACHED_CHARS:
+            if len(self) >= self.size:
+                self.old = dict(self)
+                self.clear()
+            self[word] = found
+        return found
 
 
 class PieceTable:
@@ -62,13 +83,18 @@ class PieceTable:
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.ids.items():
             if self.merged(piece) == [i]:  # others never come out of merging
-                self.automaton.add_word(piece, (len(piece), i, piece))
+                self.automaton.add_word(piece, (len(piece), i))
         self.automaton.make_automaton()
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.cache: dict[str, bytes] = {}
+        self.names = [p.piece for p in proto.pieces]
+        self.pairs: dict[int, bool] = {}
+        self.spaced, self.bare = Recent(lambda w: self.encode_word(SPACE + w)), Recent(self.encode_word)
         self.newline_alone = "\n" not in self.chars
         self.newline = np.array([self.byte[10]], "<i4").tobytes()
         self.word = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        # for decoding: all surfaces in one buffer
+        self.lengths = np.array([len(x) for x in self.surface], np.int64)
+        self.places = np.cumsum(self.lengths) - self.lengths
+        self.letters = np.frombuffer(b"".join(self.surface), np.uint8)
 
     def merged(self, text: str) -> list[int]:
         """The ids of a short text of known characters by plain merging: the best score first, then the leftmost."""
@@ -83,70 +109,81 @@ class PieceTable:
                 return [self.ids.get(p, -1) for p in parts]
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def compatible(self, left: tuple, right: tuple) -> bool:
+    def compatible(self, left: int, right: int) -> bool:
         """Whether merging leaves this pair of pieces as it is."""
-        key = (left[1], right[1])
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) >= 2_000_000:
-                self.pairs.clear()
-            known = self.pairs[key] = self.merged(left[2] + right[2]) == [left[1], right[1]]
-        return known
+        if len(self.pairs) >= 1_000_000:
+            self.pairs.clear()
+        found = self.pairs[left << 20 | right] = self.merged(self.names[left] + self.names[right]) == [left, right]
+        return found
 
     def encode_word(self, word: str) -> bytes:
         """The ids of a word, little-endian; the prefix table."""
         n = len(word)
-        last: list[tuple | None] = [None] * (n + 1)  # for each prefix: length, id and text of its last piece
-        for end, found in self.automaton.iter(word):
+        size, last = [0] * (n + 1), [-1] * (n + 1)  # of each prefix: length and id of its last piece
+        last[0] = -2
+        known = self.pairs.get
+        for end, (length, i) in self.automaton.iter(word):
             end += 1
-            if last[end] is not None:
+            if size[end]:
                 continue
-            start = end - found[0]
-            before = last[start]
-            if start == 0 or (before is not None and self.compatible(before, found)) or (before is None and word[start - 1] not in self.chars):
-                last[end] = found
+            before = last[end - length]
+            if before >= 0:
+                ok = known(before << 20 | i)
+                if ok is None:
+                    ok = self.compatible(before, i)
+            else:
+                ok = before == -2 or word[end - length - 1] not in self.chars
+            if ok:
+                size[end], last[end] = length, i
         out: list[int] = []
         at = n
         while at:
-            x = last[at]
-            if x is None:  # a character that no piece has
+            if size[at]:
+                out.append(last[at])
+                at -= size[at]
+            else:  # a character that no piece has
                 out.extend(reversed([self.byte[b] for b in word[at - 1].encode("utf-8", "surrogatepass")]))
                 at -= 1
-            else:
-                out.append(x[1])
-                at -= x[0]
         out.reverse()
-        return np.array(out, "<i4").tobytes()
+        return struct.pack(f"<{len(out)}i", *out)
 
-    def _miss(self, word: str) -> bytes:
-        ids = self.encode_word(word)
-        if len(word) <= CACHED_CHARS:
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            self.cache[word] = ids
-        return ids
+    def _spaces(self, text: str) -> bytes:
+        """The ids of text in which spaces are marked, whatever runs of them there are."""
+        return b"".join([self.bare[w] for w in self.word.findall(text)])
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text without begin and end ids, little-endian 32-bit integers."""
         if not text:
             return b""
-        text = text.replace(" ", SPACE)
-        if self.dummy:
-            text = SPACE + text
-        get, miss = self.cache.get, self._miss
-        if not self.newline_alone:
-            return b"".join([get(w) or miss(w) for w in self.word.findall(text)])
-        return self.newline.join([b"".join([get(w) or miss(w) for w in self.word.findall(line)]) for line in text.split("\n")])
+        if not self.newline_alone or SPACE in text:
+            return self._spaces((SPACE if self.dummy else "") + text.replace(" ", SPACE))
+        out, spaced = [], self.spaced
+        for k, line in enumerate(text.split("\n")):
+            first = k == 0 and self.dummy
+            if not line or "  " in line or line[0] == " " or line[-1] == " ":
+                out.append(self._spaces((SPACE if first else "") + line.replace(" ", SPACE)))
+                continue
+            words = line.split(" ")
+            out.append((b"" if first else self.bare[words.pop(0)]) + b"".join([spaced[w] for w in words]))
+        return self.newline.join(out)
+
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """The texts of several documents' ids as the library's decode gives them; ``ends``: where each ends in ``ids``."""
+        sizes = self.lengths[ids]
+        stops = np.r_[0, np.cumsum(sizes)]
+        data = self.letters[np.repeat(self.places[ids] - stops[:-1], sizes) + np.arange(stops[-1])].tobytes()
+        out, begin = [], 0
+        for end in ends.tolist():
+            a = int(stops[begin])
+            if self.dummy:
+                first = next((i for i in ids[begin : min(end, begin + 8)].tolist() if i not in self.control), None)
+                a += first is not None and self.plain[first]
+            out.append(data[a : stops[end]].decode("utf-8", "replace"))
+            begin = end
+        return out
 
     def decode(self, ids: list[int]) -> str:
-        """The text of ids as the library's decode gives it."""
-        surface = self.surface
-        out = b"".join([surface[i] for i in ids])
-        if self.dummy:
-            first = next((i for i in ids if i not in self.control), None)
-            if first is not None and self.plain[first]:
-                out = out[1:]
-        return out.decode("utf-8", "replace")
+        return self.decode_all(np.asarray(ids, np.int64), np.array([len(ids)]))[0]
 
 
 _TABLES: dict[int, PieceTable] = {}
@@ -201,7 +238,9 @@ def decode(encoded: DataFrame, model: bytes, id_col: str = "doc_id", ids_col: st
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = pa.array([table.decode(ids) for (ids,) in rows_of(iter([part]), "ids")], pa.string())
+                lists = part.column("ids")
+                ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+                texts = pa.array(table.decode_all(lists.flatten().to_numpy(zero_copy_only=False), ends), pa.string())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids").cast(schema.field("ids").type), texts], schema=schema)
 
     return rows.mapInArrow(run, f"doc_id {id_type.simpleString()}, ids array<int>, text string")
