@@ -21,13 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from . import bloom
 from .common import WS, batched, rows_of, text_of, written
 
 _WS = WS.encode()
-#: 64-bit words of a filter block.
-BLOCK = 8192
-BITS_PER_LINE = 16
-_FLUSH = 400_000
 
 
 def line_keys(text: str, min_chars: int) -> list[bytes | None]:
@@ -36,76 +33,25 @@ def line_keys(text: str, min_chars: int) -> list[bytes | None]:
     return [k if len(k) >= min_chars and (min_chars <= 1 or len(k.decode("utf-8", "surrogatepass")) >= min_chars) and k else None for k in keys]
 
 
-def _places(h: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """The filter word of each hash and the three bits in it."""
-    one = np.uint64(1)
-    mask = (one << (h & np.uint64(63))) | (one << ((h >> np.uint64(6)) & np.uint64(63))) | (one << ((h >> np.uint64(12)) & np.uint64(63)))
-    return ((h >> np.uint64(24)) % np.uint64(words)).astype(np.int64), mask
-
-
-def _marks(hashes: np.ndarray, words: int) -> Iterator[tuple]:
-    """block, word numbers in it, once and twice masks, of the hashes of one task, which are distinct in each document."""
-    h, n = np.unique(hashes, return_counts=True)
-    at, mask = _places(h, words)
-    order = np.argsort(at, kind="stable")
-    at, mask, n = at[order], mask[order], n[order]
-    starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    once = np.bitwise_or.reduceat(mask, starts)
-    twice = np.bitwise_or.reduceat(np.where(n > 1, mask, np.uint64(0)), starts)
-    at = at[starts]
-    cuts = np.flatnonzero(np.r_[True, at[1:] // BLOCK != at[:-1] // BLOCK, True])
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        yield int(at[a] // BLOCK), (at[a:b] % BLOCK).astype(np.uint16).tobytes(), once[a:b].tobytes(), twice[a:b].tobytes()
+def _hashes(keys: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys))
 
 
 def twice_filter(rows: DataFrame, min_chars: int, max_filter_bytes: int) -> np.ndarray:
-    """The merged filter of keys that two documents may share, as 64-bit words."""
+    """The filter of keys that two documents may share."""
     lines = rows.select(F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1)).first()[0] or 0
-    words = max(1, min(max_filter_bytes // 8, lines * BITS_PER_LINE // 64))
-    words = -(-words // BLOCK) * BLOCK
+    words = bloom.words_for(lines, max_filter_bytes)
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found() -> Iterator[tuple]:
-            held: list[int] = []
-            for (text,) in rows_of(batches, "text"):
-                held.extend(map(xxhash.xxh3_64_intdigest, {k for k in line_keys(text, min_chars) if k is not None}))
-                if len(held) >= _FLUSH:
-                    yield from _marks(np.array(held, np.uint64), words)
-                    held = []
-            if held:
-                yield from _marks(np.array(held, np.uint64), words)
-
-        yield from batched(found(), pa.schema([("block", pa.int64()), ("at", pa.binary()), ("once", pa.binary()), ("twice", pa.binary())]), 64)
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def merged() -> Iterator[tuple]:
-            now, once, twice = None, np.zeros(BLOCK, np.uint64), np.zeros(BLOCK, np.uint64)
-            for block, at, o, t in rows_of(batches, "block", "at", "once", "twice"):
-                if block != now:
-                    if now is not None:
-                        yield now, twice.tobytes()
-                    now, once, twice = block, np.zeros(BLOCK, np.uint64), np.zeros(BLOCK, np.uint64)
-                i, o, t = np.frombuffer(at, np.uint16), np.frombuffer(o, np.uint64), np.frombuffer(t, np.uint64)
-                twice[i] |= t | (once[i] & o)
-                once[i] |= o
-            if now is not None:
-                yield now, twice.tobytes()
-
-        yield from batched(merged(), pa.schema([("block", pa.int64()), ("twice", pa.binary())]), 16)
-
-    marks = rows.mapInArrow(mark, "block long, at binary, once binary, twice binary")
-    out = np.zeros(words, np.uint64)
-    for block, t in marks.repartition("block").sortWithinPartitions("block").mapInArrow(merge, "block long, twice binary").toLocalIterator():
-        out[block * BLOCK : (block + 1) * BLOCK] = np.frombuffer(t, np.uint64)
-    return out
+        found = (list({k for k in line_keys(text, min_chars) if k is not None}) for (text,) in rows_of(batches, "text"))
+        yield from bloom.marked(map(_hashes, found), words)
+
+    return bloom.merged(rows.mapInArrow(mark, bloom.MARKS), words)
 
 
 def suspected(keys: list[bytes], words: np.ndarray) -> list[bytes]:
     """Those of the keys that the filter may hold."""
-    if not keys:
-        return keys
-    at, mask = _places(np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys)), len(words))
-    return [keys[i] for i in np.flatnonzero((words[at] & mask) == mask)]
+    return [keys[i] for i in np.flatnonzero(bloom.contains(words, _hashes(keys)))] if keys else keys
 
 
 def _rebuilt(text: str, drop: dict, doc_id: object, min_chars: int) -> tuple[int, int, str]:
@@ -131,7 +77,7 @@ def line_dedup(
     keep_first: bool = False,
     id_col: str = "doc_id",
     text_col: str = "text",
-    max_filter_bytes: int = 64 << 20,
+    max_filter_bytes: int = bloom.MAX_BYTES,
     max_broadcast_bytes: int = 32 << 20,
 ) -> DataFrame:
     """doc_id, n_lines, n_dropped, text (the lines that stay) for every row.
