@@ -89,10 +89,15 @@ def test_set_join_of_many_near_sets(spark, percent, width):
     assert by_id(set_join.ngram_jaccard_groups(df, width, percent), "n_shingles", "component_id") == brute.components(rows, width, percent)
 
 
-def test_set_join_without_relations(spark, docs, monkeypatch):
+def test_set_join_without_relations(spark, docs):
     """Clusters are a short cut: without the first step the lists alone give the same groups."""
     join = set_join.SetJoin(docs)
-    join.relate = lambda: setattr(join, "clusters", spark.createDataFrame([], "digest binary, leader binary"))
+
+    def nothing():
+        join.relations = spark.createDataFrame([], "a binary, b binary, d double")
+        join.cluster()
+
+    join.relate = nothing
     assert by_id(join.groups(), "n_shingles", "component_id") == brute.components(pairs(docs))
 
 

@@ -41,6 +41,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, most: int = 1024) -> None:
+    """Arrow batches of at most ``most`` rows in this session: rows here hold whole texts or sets, and a batch is in memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= most:
+        spark.conf.set(key, str(most))
+
+
 def text_of(col: str) -> Column:
     """A text column; null is empty."""
     return F.coalesce(F.col(col).cast("string"), F.lit(""))

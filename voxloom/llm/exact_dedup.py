@@ -79,11 +79,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
 
     Of rows that repeat the id that stays, one stays.
     """
-    won = winners(docs, id_col, text_col, salts).select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep_id"))
-    rows = docs.withColumn("__digest", F.sha2(normalised(text_of(text_col)), 256))
-    stay = rows.join(won, "__digest").where(F.col(id_col).eqNullSafe(F.col("__keep_id")))
-    one = F.row_number().over(Window.partitionBy("__digest").orderBy(F.length(text_of(text_col)).desc()))
-    return stay.withColumn("__nth", one).where(F.col("__nth") == 1).select(*docs.columns)
+    # joined by digest and id at once: the rows of a large group spread over all tasks, and the same keys serve the window
+    key = lambda x: (F.coalesce(x, F.lit(0)).alias("__id"), x.isNull().alias("__null"))
+    won = winners(docs, id_col, text_col, salts).select(F.col("digest").alias("__digest"), *key(F.col("keep_id")))
+    rows = docs.select("*", F.sha2(normalised(text_of(text_col)), 256).alias("__digest"), *key(F.col(id_col).cast("long")))
+    at = ["__digest", "__id", "__null"]
+    one = F.row_number().over(Window.partitionBy(*at).orderBy(F.length(text_of(text_col)).desc()))
+    return rows.join(won, at).withColumn("__nth", one).where(F.col("__nth") == 1).select(*docs.columns)
 
 
 ORACLE_SQL = r"""

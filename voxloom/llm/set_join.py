@@ -3,7 +3,7 @@ r"""N-gram Jaccard join by set-relation skipping, and the groups of linked docum
 A document's set holds the 64-bit hashes of its distinct ``width``-word shingles.  Equal sets are one *class* from
 the first step on.  The join is exact on the hashes:
 
-1. *Relations.*  Sets that share a min-hash are compared with a few leaders of their key; those within the
+1. *Relations.*  Sets that share a pair of min-hashes are compared with a few leaders of their key; those within the
    threshold of a leader make a *cluster* with it, and their distance to it stays.  (Only a short cut: sets that
    are missed here meet in the next step.)
 2. *Index.*  Tokens are ordered rare first by a count sketch over the whole table; the first
@@ -11,9 +11,12 @@ the first step on.  The join is exact on the hashes:
    set has.  Postings of one cluster fold into one entry of the token's list, map-side first: however large a group
    of near copies is, it is one entry.  Lists are ordered by size in blocks that keep the largest size and the most
    tokens after a position; blocks and entries that can't reach the needed overlap are skipped by position.
-3. *Answers.*  For each pair of clusters from the lists, the leaders' overlap is computed.  If they link, the clusters
-   do.  If not, the answers of the members derive from it: Jaccard distance is a metric, so only members whose
-   distances to their leaders close the gap between the leaders are compared at all.
+3. *Answers.*  For each pair of clusters from the lists, the leaders' overlap is computed (for two
+   single sets only if their token histograms, which bound it, leave room).  If they link, the clusters
+   do.  If not, the answers of the members derive from it.  Jaccard distance is a metric, so clusters whose radii do
+   not close the gap are done.  Of the others, each member is told once from the larger cluster's leader: its overlap
+   with it and its tokens outside it.  Two members share at most the smaller of their overlaps with the leader and what
+   they share outside, which an index of the few outside tokens counts; only pairs with room for a link are compared.
 
 Everything is a table keyed by the 128-bit digest of a set; the driver holds the sketch and the filters, both of a
 bounded size.
@@ -27,62 +30,132 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from . import bloom
-from .common import batched, rows_of, text_of, written
+from .common import batched, rows_of, small_batches, text_of, written
 from .components import components
 
 WIDTH, PERCENT = 5, 75
 #: Cells of the count sketch and of its blocks; leaders kept for each min-hash; entries of a list block.
 CELLS, CELL_BLOCK, LEADERS, LIST_BLOCK = 1 << 22, 1 << 16, 8, 64
-_SALT = np.uint64(0x9E3779B97F4A7C15)
-_CACHE, _CACHED_BYTES = 400_000, 48
-_words: dict[bytes, int] = {}
+#: Buckets of the histogram that bounds overlaps from above.
+BUCKETS = 256
+#: Bytes of text hashed at once, unless one text is longer.
+CHUNK = 1 << 18
+_U = np.uint64
+_SALTS = tuple(_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+_BASE = 0x5851F42D4C957F2D  # odd, so it has an inverse
+_LETTER = np.random.default_rng(20_240_501).integers(0, 1 << 64, 256, np.uint64)
+_LETTER[65:91] = _LETTER[97:123]  # A-Z are a-z
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse up to ``n`` - 1."""
+    if len(_powers[0]) < n:
+        size = max(n, CHUNK)
+        for k, x in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(size, x, np.uint64)
+            steps[0] = 1
+            _powers[k] = np.cumprod(steps)
+    return _powers[0], _powers[1]
 
 
-def _word(w: bytes) -> int:
-    h = xxhash.xxh3_64_intdigest(w)
-    if len(w) <= _CACHED_BYTES:
-        if len(_words) >= _CACHE:
-            _words.clear()
-        _words[w] = h
-    return h
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> _U(30))) * _U(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> _U(27))) * _U(0x94D049BB133111EB)
+    return h ^ (h >> _U(31))
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+def _sets_of(data: np.ndarray, ends: np.ndarray, width: int) -> Iterator[np.ndarray]:
+    """The sorted distinct shingle hashes of each text; ``data``: the UTF-8 of all, ``ends``: where each ends.
+
+    A word's hash comes from running sums of letter values times powers of a base, so a whole batch takes a fixed
+    number of array operations and no loop over words.
+    """
+    none = np.zeros(0, np.uint64)
+    if not len(data):
+        yield from (none for _ in ends)
+        return
+    word = ~_SPACE[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[ends] = True
+    edge[0] = True
+    before = np.r_[False, word[:-1]] & ~edge[:-1]
+    after = np.r_[word[1:], False] & ~edge[1:]
+    starts, stops = np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
+    up, down = _powers_to(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_LETTER[data] * up[: len(data)], out=sums[1:])
+    w = _mixed((sums[stops] - sums[starts]) * down[starts] + (stops - starts).astype(np.uint64))
+    last = np.searchsorted(starts, ends)
+    first = np.r_[0, last[:-1]]
+    n = len(w) - width + 1
+    h = none
+    if n > 0:
+        h = w[:n].copy()
+        for k in range(1, width):
+            h *= _U(0x100000001B3)
+            h += w[k : k + n]
+        h = _mixed(h)
+    for a, b in zip(first.tolist(), last.tolist(), strict=True):
+        if b - a >= width:
+            t = np.sort(h[a : b - width + 1])
+            keep = np.empty(len(t), bool)
+            keep[0] = True
+            np.not_equal(t[1:], t[:-1], out=keep[1:])
+            yield t[keep]
+        elif b > a:
+            x = np.full(1, b - a, np.uint64)
+            for k in range(a, b):
+                x = _mixed(x * _U(0x100000001B3) + w[k])
+            yield x
+        else:
+            yield none
 
 
 def shingles(text: str, width: int = WIDTH) -> np.ndarray:
     """The sorted distinct hashes of a text's shingles; of its whole word sequence if that is shorter than ``width``."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(words) < width:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))], np.uint64)
-    get = _words.get
-    w = np.array([h if (h := get(x)) is not None else _word(x) for x in words], np.uint64)
-    n = len(w) - width + 1
-    h = w[:n].copy()
-    for k in range(1, width):
-        h *= np.uint64(0x100000001B3)
-        h += w[k : k + n]
-    return np.unique(_mixed(h))
+    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    return next(_sets_of(data, np.array([len(data)]), width))
+
+
+def _column_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
+    """The sets of a text column without nulls, from its buffers."""
+    column = column.cast(pa.large_string())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    at = 0
+    while at < len(column):
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK, side="right")) - 1)
+        yield from _sets_of(data[offsets[at] : offsets[end]], offsets[at + 1 : end + 1] - offsets[at], width)
+        at = end
 
 
 def set_digest(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
-def min_hashes(tokens: np.ndarray) -> tuple[int, int]:
-    """Two min-hashes as signed 64-bit numbers."""
-    return int(tokens[:1].view(np.int64)[0]), int((tokens * _SALT).min().view(np.int64))
+def keys_of(tokens: np.ndarray) -> np.ndarray:
+    """Two keys, each of two min-hashes."""
+    least = np.array([tokens[0], *((tokens * s).min() for s in _SALTS)], np.uint64)
+    return _mixed(least[::2] * _U(0x100000001B3) + least[1::2])
+
+
+def histogram(tokens: np.ndarray) -> bytes:
+    """How many tokens each bucket has; 255 means that or more."""
+    return np.minimum(np.bincount((tokens & _U(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS), 255).astype(np.uint8).tobytes()
+
+
+def most_overlap(a: bytes, b: bytes, n: int, m: int) -> int:
+    """No overlap of sets with these histograms and sizes is larger."""
+    both = np.minimum(np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8))
+    return min(n, m) if (both == 255).any() else int(both.sum(dtype=np.int64))
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -105,16 +178,17 @@ def prefix_length(n: int, percent: int) -> int:
 def _sets(batches: Iterator[pa.RecordBatch], width: int, id_col: str | None = None) -> Iterator[tuple]:
     """(id, tokens, digest) of every row; with no id column, every set once for each task (or so), empty ones left out."""
     seen: set[bytes] = set()
-    for row in rows_of(batches, *([id_col] if id_col else []), "text"):
-        tokens = shingles(row[-1], width)
-        digest = set_digest(tokens)
-        if id_col is None:
-            if digest in seen or not len(tokens):
-                continue
-            if len(seen) >= 500_000:
-                seen.clear()
-            seen.add(digest)
-        yield row[0], tokens, digest
+    for batch in batches:
+        ids = batch.column(id_col).to_pylist() if id_col else [None] * batch.num_rows
+        for row_id, tokens in zip(ids, _column_sets(batch.column("text"), width), strict=True):
+            digest = set_digest(tokens)
+            if id_col is None:
+                if digest in seen or not len(tokens):
+                    continue
+                if len(seen) >= 500_000:
+                    seen.clear()
+                seen.add(digest)
+            yield row_id, tokens, digest
 
 
 def _hash64(digest: bytes) -> int:
@@ -138,7 +212,7 @@ def _chunks(rows: Iterator[tuple], size: int) -> Iterator[list[tuple]]:
 
 
 def _lists(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
-    """The entries (leader, least, most, rest) of each token, which come ordered by token and least size."""
+    """The entries (leader, label, least, most, rest) of each token, which come ordered by token and least size."""
     now, entries = None, []
     for token, *entry in rows:
         if token != now:
@@ -158,16 +232,16 @@ def _met(lists: Iterator[list[tuple]], percent: int) -> Iterator[tuple[bytes, by
     """
     seen: set[tuple[bytes, bytes]] = set()
     for entries in lists:
-        most, rest = [e[2] for e in entries], [e[3] for e in entries]
+        most, rest = [e[3] for e in entries], [e[4] for e in entries]
         blocks = [(k, max(most[k : k + LIST_BLOCK]), max(rest[k : k + LIST_BLOCK])) for k in range(0, len(entries), LIST_BLOCK)]
-        for i, (leader, size, _, own) in enumerate(entries):
+        for i, (leader, label, size, _, own) in enumerate(entries):
             for first, block_most, block_rest in blocks:
                 if first >= i:
                     break
-                if 100 * block_most < percent * size or min(own, block_rest) < needed(size, entries[first][1], percent):
+                if 100 * block_most < percent * size or min(own, block_rest) < needed(size, entries[first][2], percent):
                     continue
                 for j in range(first, min(i, first + LIST_BLOCK)):
-                    if 100 * most[j] >= percent * size and min(own, rest[j]) >= needed(size, entries[j][1], percent):
+                    if 100 * most[j] >= percent * size and entries[j][1] != label and min(own, rest[j]) >= needed(size, entries[j][2], percent):
                         other = entries[j][0]
                         pair = (leader, other) if leader < other else (other, leader)
                         if pair not in seen:
@@ -183,6 +257,7 @@ class SetJoin:
     def __init__(self, docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", cells: int = CELLS):
         if not 1 <= percent <= 100:
             raise ValueError("percent must be 1 to 100")
+        small_batches(docs.sparkSession)
         self.rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
         self.texts = self.rows.select("text")
         self.spark, self.width, self.percent, self.cells = docs.sparkSession, width, percent, cells
@@ -196,7 +271,7 @@ class SetJoin:
         """The table of documents, the classes, and the order of tokens."""
         width, cells = self.width, self.cells
         id_type = self.rows.schema["doc_id"].dataType
-        schema = pa.schema([("doc_id", to_arrow_type(id_type)), ("n", pa.int64()), ("digest", pa.binary()), ("key1", pa.int64()), ("key2", pa.int64()), ("block", pa.int32()), ("counts", pa.binary())])
+        schema = pa.schema([("doc_id", to_arrow_type(id_type)), ("n", pa.int64()), ("digest", pa.binary()), ("key1", pa.int64()), ("key2", pa.int64()), ("hist", pa.binary()), ("block", pa.int32()), ("counts", pa.binary())])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def out() -> Iterator[tuple]:
@@ -206,25 +281,25 @@ class SetJoin:
                     if len(tokens):
                         at = (tokens >> shift).astype(np.int64)
                         np.add.at(counts, at, 1)
-                    yield doc_id, len(tokens), digest, *(min_hashes(tokens) if len(tokens) else (None, None)), None, None
+                    yield doc_id, len(tokens), digest, *(keys_of(tokens).view(np.int64).tolist() if len(tokens) else (None, None)), histogram(tokens), None, None
                 for k in range(0, cells, CELL_BLOCK):
                     part = counts[k : k + CELL_BLOCK]
                     if part.any():
-                        yield None, None, None, None, None, k // CELL_BLOCK, zlib.compress(part.tobytes(), 1)
+                        yield None, None, None, None, None, None, k // CELL_BLOCK, zlib.compress(part.tobytes(), 1)
 
             yield from batched(out(), schema, 512)
 
-        both = written(self.rows.mapInArrow(run, f"doc_id {id_type.simpleString()}, n long, digest binary, key1 long, key2 long, block int, counts binary"), "sets")
-        self.documents = both.where(F.col("block").isNull()).select("doc_id", "n", "digest", "key1", "key2")
+        both = written(self.rows.mapInArrow(run, f"doc_id {id_type.simpleString()}, n long, digest binary, key1 long, key2 long, hist binary, block int, counts binary"), "sets")
+        self.documents = both.where(F.col("block").isNull()).select("doc_id", "n", "digest", "key1", "key2", "hist")
         self.order = self._broadcast(self._levels(both.where(F.col("block").isNotNull()).select("block", "counts")))
         # min, not first: the same for every order of rows
         self.classes = written(
-            self.documents.where(F.col("n") > 0).groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("key1").alias("key1"), F.min("key2").alias("key2")), "set-classes"
+            self.documents.where(F.col("n") > 0).groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("key1").alias("key1"), F.min("key2").alias("key2"), F.min("hist").alias("hist")), "set-classes"
         )
         self.n_classes, self.n_tokens = self.classes.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
 
     def _levels(self, blocks: DataFrame) -> np.ndarray:
-        """For each cell, how many times over twice the mean its count is, as a power of two: rare tokens have 0."""
+        """For each cell, how far its count lies above the noise of a hashed count: 0 for rare tokens, then by logarithm."""
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def out() -> Iterator[tuple]:
@@ -246,7 +321,9 @@ class SetJoin:
         for block, part in blocks.repartition("block").sortWithinPartitions("block").mapInArrow(add, "block int, counts binary").toLocalIterator():
             part = np.frombuffer(part, np.uint64)
             counts[block * CELL_BLOCK : block * CELL_BLOCK + len(part)] = part
-        return np.log2(np.maximum(1, counts / max(2.0, 2 * float(counts.mean())))).astype(np.uint8)
+        mean = float(counts.mean())
+        over = (counts.astype(np.float64) - mean) / np.sqrt(mean + 1) / 2
+        return np.minimum(255, np.where(over >= 1, 1 + 8 * np.log2(np.maximum(over, 1)), 0)).astype(np.uint8)
 
     # -- step 1: relations ----------------------------------------------------------------------------------
 
@@ -262,9 +339,8 @@ class SetJoin:
         def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def out() -> Iterator[tuple]:
                 for _, tokens, digest in _sets(batches, width):
-                    keys = min_hashes(tokens)
-                    found = bloom.contains(held.value, np.array(keys, np.int64).view(np.uint64))
-                    for key, ok in zip(keys, found, strict=True):
+                    keys = keys_of(tokens)
+                    for key, ok in zip(keys.view(np.int64).tolist(), bloom.contains(held.value, keys), strict=True):
                         if ok:
                             yield key, digest, tokens.tobytes()
 
@@ -284,18 +360,30 @@ class SetJoin:
                             continue
                         both = overlap(own, theirs)
                         if both >= needed(len(own), len(theirs), percent):
-                            yield digest, other
+                            yield digest, other, 1 - both / (len(own) + len(theirs) - both)
                             break
                     else:
                         if len(leaders) < LEADERS:
                             leaders.append((digest, own))
 
-            yield from batched(out(), pa.schema([("a", pa.binary()), ("b", pa.binary())]))
+            yield from batched(out(), pa.schema([("a", pa.binary()), ("b", pa.binary()), ("d", pa.float64())]))
 
         dealt = self.texts.mapInArrow(shared, "key long, digest binary, tokens binary").join(F.broadcast(hot), "key", "left")
         dealt = dealt.withColumn("salt", F.coalesce(F.pmod(F.xxhash64("digest"), F.col("parts")), F.lit(0))).drop("parts")
-        edges = dealt.repartition("key", "salt").sortWithinPartitions("key", "salt", "digest").mapInArrow(lead, "a binary, b binary")
-        self.clusters = components(edges, "clusters").select(F.col("v").alias("digest"), F.col("m").alias("leader"))
+        self.relations = written(dealt.repartition("key", "salt").sortWithinPartitions("key", "salt", "digest").mapInArrow(lead, "a binary, b binary, d double"), "relations")
+        self.cluster()
+
+    def cluster(self) -> None:
+        """From the relations: the provisional component of a set, and its cluster: the nearest leader it was compared with.
+
+        A leader of others leads its own cluster, so every distance is that of a direct comparison.
+        """
+        stars = components(self.relations, "labels")
+        self.labels = stars.union(stars.select("m", "m").distinct()).toDF("digest", "label")
+        leads = self.relations.select(F.col("b").alias("a")).distinct()
+        follow = self.relations.join(leads, "a", "left_anti")
+        self.clusters = written(follow.groupBy(F.col("a").alias("digest")).agg(F.min_by("b", F.struct("d", "b")).alias("leader"), F.min("d").alias("d")), "clusters")
+        self.radii = written(self.clusters.groupBy("leader").agg(F.max("d").alias("r"), (F.count(F.lit(1)) + 1).alias("k")), "radii")
 
     # -- step 2: the index ----------------------------------------------------------------------------------
 
@@ -312,7 +400,8 @@ class SetJoin:
     def index(self) -> None:
         """The postings that may be shared: (token, digest, n, pos, leader)."""
         width, prefix = self.width, self._prefix()
-        words = bloom.words_for(self.n_tokens * (100 - self.percent) // 100 + self.n_classes)
+        # eight bits for each token: one in twenty single tokens passes, which costs a posting
+        words = bloom.words_for((self.n_tokens * (100 - self.percent) // 100 + self.n_classes) // 2)
 
         def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from bloom.marked((prefix(tokens) for _, tokens, _ in _sets(batches, width)), words)
@@ -332,24 +421,50 @@ class SetJoin:
                 yield pa.RecordBatch.from_arrays([pa.array(flat[ok].view(np.int64)), digests, pa.array(n), pa.array(pos[ok])], names=["token", "digest", "n", "pos"])
 
         posts = self.texts.mapInArrow(post, "token long, digest binary, n long, pos long")
-        self.postings = written(posts.join(self.clusters, "digest", "left").withColumn("leader", F.coalesce("leader", "digest")), "postings")
+        known = self.labels.join(self.clusters.select("digest", "leader"), "digest", "left")
+        found = posts.join(known, "digest", "left").withColumn("leader", F.coalesce("leader", "digest")).withColumn("label", F.coalesce("label", "leader"))
+        self.postings = written(found, "postings")
 
     def candidates(self) -> DataFrame:
         """Pairs (a, b) of leaders whose clusters' lists meet."""
         percent = self.percent
-        entries = self.postings.groupBy("token", "leader").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("rest"))
+        entries = self.postings.groupBy("token", "leader", "label").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("rest"))
         many = entries.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > 1).select("token")
 
         def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            yield from batched(_met(_lists(rows_of(batches, "token", "leader", "least", "most", "rest")), percent), pa.schema([("a", pa.binary()), ("b", pa.binary())]))
+            yield from batched(_met(_lists(rows_of(batches, "token", "leader", "label", "least", "most", "rest")), percent), pa.schema([("a", pa.binary()), ("b", pa.binary())]))
 
         lists = entries.join(many, "token").repartition("token").sortWithinPartitions("token", "least")
         return written(lists.mapInArrow(meet, "a binary, b binary").distinct(), "candidates")
 
+    def bounded(self, pairs: DataFrame, clusters: bool) -> DataFrame:
+        """Those of the pairs (a, b) whose histograms leave room for a link: of the sets, or of sets of their ``clusters``.
+
+        The largest overlap gives the smallest distance, and members are at most a radius from their leader.
+        """
+        percent, near = self.percent, 1 - self.percent / 100 + 1e-9
+        side = lambda x: self.classes.select(F.col("digest").alias(x), F.col("hist").alias(f"h{x}"), F.col("n").alias(f"n{x}"))
+        ring = lambda x: self.radii.select(F.col("leader").alias(x), F.col("r").alias(f"r{x}"))
+
+        def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ok = []
+                for h, g, n, m, r in rows_of(iter([batch]), "ha", "hb", "na", "nb", "r"):
+                    most = most_overlap(h, g, n, m)
+                    ok.append(most >= needed(n, m, percent) or r > 0 and 1 - most / (n + m - most) - r <= near)
+                yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+        rows = pairs.join(side("a"), "a").join(side("b"), "b")
+        if clusters:
+            rows = rows.join(ring("a"), "a", "left").join(ring("b"), "b", "left").withColumn("r", F.coalesce("ra", F.lit(0.0)) + F.coalesce("rb", F.lit(0.0)))
+        else:
+            rows = rows.withColumn("r", F.lit(0.0))
+        return rows.select("a", "b", "ha", "hb", "na", "nb", "r").mapInArrow(check, "a binary, b binary")
+
     # -- step 3: answers ------------------------------------------------------------------------------------
 
-    def overlaps(self, pairs: DataFrame) -> DataFrame:
-        """(a, b, na, nb, both) for pairs of digests."""
+    def overlaps(self, pairs: DataFrame, outside: bool = False) -> DataFrame:
+        """(a, b, na, nb, both) for pairs of digests, and if asked for the tokens of a ``outside`` b."""
         width = self.width
         ids = pairs.select(F.col("a").alias("d")).union(pairs.select("b")).distinct()
         n = ids.count()
@@ -364,57 +479,60 @@ class SetJoin:
             yield from batched(out(), pa.schema([("digest", pa.binary()), ("tokens", pa.binary())]), 256)
 
         sets = self.texts.mapInArrow(asked, "digest binary, tokens binary").join(ids, F.col("digest") == F.col("d"), "left_semi").dropDuplicates(["digest"])
-        left = pairs.join(sets.select(F.col("digest").alias("a"), F.col("tokens").alias("ta")), "a")
-        whole = left.join(sets.select(F.col("digest").alias("b"), F.col("tokens").alias("tb")), "b")
+        # the set that many pairs share is b by custom: its narrow requests meet it first, then go to many tasks by a
+        half = pairs.join(sets.select(F.col("digest").alias("b"), F.col("tokens").alias("tb")), "b")
+        whole = half.join(sets.select(F.col("digest").alias("a"), F.col("tokens").alias("ta")), "a")
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def out() -> Iterator[tuple]:
                 for a, b, ta, tb in rows_of(batches, "a", "b", "ta", "tb"):
                     x, y = np.frombuffer(ta, np.uint64), np.frombuffer(tb, np.uint64)
-                    yield a, b, len(x), len(y), overlap(x, y)
+                    yield a, b, len(x), len(y), overlap(x, y), np.setdiff1d(x, y, assume_unique=True).view(np.int64).tolist() if outside else None
 
-            yield from batched(out(), pa.schema([("a", pa.binary()), ("b", pa.binary()), ("na", pa.int64()), ("nb", pa.int64()), ("both", pa.int64())]))
+            yield from batched(out(), pa.schema([("a", pa.binary()), ("b", pa.binary()), ("na", pa.int64()), ("nb", pa.int64()), ("both", pa.int64()), ("outside", pa.list_(pa.int64()))]), 512)
 
-        return written(whole.select("a", "b", "ta", "tb").mapInArrow(count, "a binary, b binary, na long, nb long, both long"), "overlaps")
+        found = whole.select("a", "b", "ta", "tb").mapInArrow(count, "a binary, b binary, na long, nb long, both long, outside array<long>")
+        return written(found if outside else found.drop("outside"), "overlaps")
 
     def answers(self) -> DataFrame:
         """Edges (a, b) that connect what the join links: clusters, linked leaders, and links derived for members."""
         percent = self.percent
-        pairs = self.candidates()
-        known = self.overlaps(pairs)
+        known = self.overlaps(written(self.bounded(self.candidates(), True), "leader-pairs"))
         # integers throughout: 100 * both >= percent * union
         linked = F.col("both") * (100 + percent) >= F.lit(percent) * (F.col("na") + F.col("nb"))
         gap = 1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
-        edges = known.where(linked).select("a", "b").union(self.clusters.select(F.col("digest").alias("a"), F.col("leader").alias("b")))
-        groups = self.clusters.select("leader").distinct()
-        apart = known.where(~linked).select("a", "b", gap.alias("gap"))
-        apart = apart.join(groups.select(F.col("leader").alias("a"), F.lit(1).alias("ga")), "a", "left").join(groups.select(F.col("leader").alias("b"), F.lit(1).alias("gb")), "b", "left")
-        open_pairs = written(apart.where(F.col("ga").isNotNull() | F.col("gb").isNotNull()).select("a", "b", "gap"), "open-pairs")
-        if open_pairs.isEmpty():
-            return edges
-        # distances of members to their leaders, of the clusters of open pairs only
-        asked = open_pairs.select(F.col("a").alias("leader")).union(open_pairs.select("b")).distinct()
-        members = self.clusters.join(asked, "leader", "left_semi")
-        far = self.overlaps(members.select(F.col("digest").alias("a"), F.col("leader").alias("b"))).select(F.col("a").alias("digest"), F.col("b").alias("leader"), gap.alias("d"))
-        far = written(far.union(asked.select(F.col("leader").alias("digest"), "leader", F.lit(0.0).alias("d"))), "distances")
-        radius = far.groupBy("leader").agg(F.max("d").alias("r"))
+        edges = known.where(linked).select("a", "b").union(self.relations.select("a", "b"))
+        ring = lambda x: self.radii.select(F.col("leader").alias(x), F.col("r").alias(f"r{x}"), F.col("k").alias(f"k{x}"))
+        none = {"ra": 0.0, "rb": 0.0, "ka": 1, "kb": 1}
+        close = known.where(~linked).select("a", "b", gap.alias("gap")).join(ring("a"), "a", "left").join(ring("b"), "b", "left").fillna(none)
         near = F.lit(1 - percent / 100 + 1e-9)
-        close = (
-            open_pairs.join(radius.select(F.col("leader").alias("a"), F.col("r").alias("ra")), "a")
-            .join(radius.select(F.col("leader").alias("b"), F.col("r").alias("rb")), "b")
-            .where(F.col("gap") - F.col("ra") - F.col("rb") <= near)
-        )
-        posts = self.postings.join(far, ["digest", "leader"])
-        x = posts.select(F.col("leader").alias("a"), F.col("token").alias("t"), F.col("digest").alias("x"), F.col("n").alias("nx"), (F.col("n") - F.col("pos")).alias("rx"), F.col("d").alias("dx"))
-        y = posts.select(F.col("leader").alias("b"), F.col("token").alias("t"), F.col("digest").alias("y"), F.col("n").alias("ny"), (F.col("n") - F.col("pos")).alias("ry"), F.col("d").alias("dy"))
-        left = close.join(x, "a").where(F.col("gap") - F.col("dx") - F.col("rb") <= near)
-        meet = left.join(y, ["b", "t"]).where(
-            (F.col("gap") - F.col("dx") - F.col("dy") <= near)
-            & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
-            & (F.least("rx", "ry") * (100 + percent) >= percent * (F.col("nx") + F.col("ny")))
-        )
-        found = self.overlaps(written(meet.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "member-pairs"))
-        return edges.union(found.where(linked).select("a", "b"))
+        close = close.where((F.col("ka") + F.col("kb") > 2) & (F.col("gap") - F.col("ra") - F.col("rb") <= near))
+        # the larger cluster's leader is the reference, from which the answers of both clusters' members derive
+        larger = F.col("ka") >= F.col("kb")
+        close = written(close.select(F.when(larger, F.col("a")).otherwise(F.col("b")).alias("ref"), F.when(larger, F.col("b")).otherwise(F.col("a")).alias("other")), "close-pairs")
+        if close.isEmpty():
+            return edges
+        sets = self.clusters.select("digest", "leader").union(close.select(F.col("other").alias("digest"), "other").distinct())
+        own = close.select("ref").distinct().join(sets.withColumnRenamed("leader", "ref"), "ref").select(F.col("digest").alias("a"), F.col("ref").alias("b"), F.lit(True).alias("own"))
+        others = close.join(sets.withColumnRenamed("leader", "other"), "other").select(F.col("digest").alias("a"), F.col("ref").alias("b"), F.lit(False).alias("own"))
+        wanted = written(own.where(F.col("a") != F.col("b")).union(others), "derivations")
+        told = self.overlaps(wanted.select("a", "b"), outside=True).join(wanted, ["a", "b"])
+        x = told.where("own").select("b", F.col("a").alias("x"), F.col("na").alias("nx"), F.col("both").alias("ox"), gap.alias("dx"), "outside")
+        y = told.where(~F.col("own") & ~linked).select("b", F.col("a").alias("y"), F.col("na").alias("ny"), F.col("both").alias("oy"), gap.alias("dy"), "outside")
+        # |x & y| is at most min(|x & ref|, |y & ref|) and what x and y share outside the reference
+        room = F.least("ox", "oy") * (100 + percent)
+        need = F.lit(percent) * (F.col("nx") + F.col("ny"))
+        triangle = F.col("dy") - F.col("dx") <= near
+        inside = x.drop("outside").join(y.drop("outside"), "b").where(triangle & (room >= need)).select("x", "y")
+        most = room + F.least(F.col("nx") - F.col("ox"), F.col("ny") - F.col("oy")) * (100 + percent)
+        shared = x.withColumn("t", F.explode("outside")).drop("outside").join(y.withColumn("t", F.explode("outside")).drop("outside"), ["b", "t"]).where(triangle & (room < need) & (most >= need))
+        counted = shared.groupBy("x", "y", "nx", "ny", "ox", "oy").agg(F.count(F.lit(1)).alias("s"))
+        apart = counted.where(room + F.col("s") * (100 + percent) >= need).select("x", "y")
+        derived = written(self.bounded(inside.union(apart).distinct().select(F.col("x").alias("a"), F.col("y").alias("b")), False), "member-pairs")
+        edges = edges.union(told.where(linked).select("a", "b"))
+        if derived.isEmpty():
+            return edges
+        return edges.union(self.overlaps(derived).where(linked).select("a", "b"))
 
     def groups(self) -> DataFrame:
         """doc_id, n_shingles, component_id of every row."""
