@@ -63,9 +63,9 @@ def effect_places(planned: DataFrame, key: str, seed: int = 42) -> DataFrame:
 
     ``planned``: turns with start_ms, duration_ms, reaction, breath.
     """
-    following = F.lead("start_ms").over(Window.partitionBy(key).orderBy("turn"))
+    planned = planned.withColumn("__next", F.lead("start_ms").over(Window.partitionBy(key).orderBy("turn")))
     at = F.col("start_ms") + F.floor(F.col("duration_ms") * (300 + uniform_bits(seed, F.col(key), F.col("turn"), "filler_at") % 401) / 1000).cast("long")
-    breath = F.greatest(F.lit(0), F.coalesce(following - 500, F.col("start_ms") + F.col("duration_ms"))).cast("long")
+    breath = F.greatest(F.lit(0), F.coalesce(F.col("__next") - 500, F.col("start_ms") + F.col("duration_ms"))).cast("long")
     both = planned.select(key, "turn", F.explode(F.array(F.struct(F.col("reaction").alias("effect"), at.alias("at_ms")), F.struct(F.col("breath").alias("effect"), breath.alias("at_ms")))).alias("e"))
     return both.where(F.col("e.effect").isNotNull()).select(key, "turn", "e.effect", "e.at_ms")
 

@@ -151,7 +151,7 @@ def _placed(spark: SparkSession, d: str) -> DataFrame:
     return M.placement_timeline(B.lines(spark, d).withColumn("duration", F.col("duration_ms") / 1000), "conv_id").select("conv_id", "index", "pos", "speaker", "duration_ms")
 
 
-BITS_R = B.bits_sql("'42'", "k.conv_id::VARCHAR", "i::VARCHAR", "'reactor'")
+BITS_R = B.bits_sql("'42'", "k.conv_id::VARCHAR", "k.i::VARCHAR", "'reactor'")
 
 
 @query(f"""WITH RECURSIVE {B.LINES}, placed AS (SELECT conv_id, idx, speaker, duration_ms, coalesce(sum(trunc(duration_ms / 1000 * 24000)::BIGINT + 3600) OVER (PARTITION BY conv_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos FROM lines),
