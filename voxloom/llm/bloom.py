@@ -90,7 +90,7 @@ def merged(marks: DataFrame, words: int) -> np.ndarray:
         yield from batched(out(), pa.schema([("block", pa.int64()), ("twice", pa.binary())]), 16)
 
     whole = np.zeros(words, np.uint64)
-    for block, t in marks.repartition("block").sortWithinPartitions("block").mapInArrow(merge, "block long, twice binary").toLocalIterator():
+    for block, t in marks.repartition("block").sortWithinPartitions("block").mapInArrow(merge, "block long, twice binary").collect():
         whole[block * BLOCK : (block + 1) * BLOCK] = np.frombuffer(t, np.uint64)
     return whole
 

@@ -14,9 +14,10 @@ the first step on.  The join is exact on the hashes:
 3. *Answers.*  For each pair of clusters from the lists, the leaders' overlap is computed (for two
    single sets only if their token histograms, which bound it, leave room).  If they link, the clusters
    do.  If not, the answers of the members derive from it.  Jaccard distance is a metric, so clusters whose radii do
-   not close the gap are done.  Of the others, each member is told once from the larger cluster's leader: its overlap
-   with it and its tokens outside it.  Two members share at most the smaller of their overlaps with the leader and what
-   they share outside, which an index of the few outside tokens counts; only pairs with room for a link are compared.
+   not close the gap are done.  Of the others, each member is told once from the larger cluster's leader R: its overlap
+   with it and its differences from it.  Two members' overlap is the sum of their overlaps with R, less the size of R,
+   plus the differences they share, so a link needs a number of shared differences that splits into a term for each set;
+   a prefix filter on differences, rare ones first, finds the few pairs that can have it.
 
 Everything is a table keyed by the 128-bit digest of a set; the driver holds the sketch and the filters, both of a
 bounded size.
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -305,21 +306,21 @@ class SetJoin:
             def out() -> Iterator[tuple]:
                 now, total = None, None
                 for block, counts in rows_of(batches, "block", "counts"):
-                    part = np.frombuffer(zlib.decompress(counts), np.uint32).astype(np.uint64)
+                    part = np.frombuffer(zlib.decompress(counts), np.uint32).astype(np.uint64)  # summed wide, told as 32 bits: only the order matters
                     if block != now:
                         if now is not None:
-                            yield now, total.tobytes()
+                            yield now, np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()
                         now, total = block, part
                     else:
                         total = total + part
                 if now is not None:
-                    yield now, total.tobytes()
+                    yield now, np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()
 
             yield from batched(out(), pa.schema([("block", pa.int32()), ("counts", pa.binary())]), 4)
 
         counts = np.zeros(self.cells, np.uint64)
-        for block, part in blocks.repartition("block").sortWithinPartitions("block").mapInArrow(add, "block int, counts binary").toLocalIterator():
-            part = np.frombuffer(part, np.uint64)
+        for block, part in blocks.repartition("block").sortWithinPartitions("block").mapInArrow(add, "block int, counts binary").collect():
+            part = np.frombuffer(part, np.uint32)
             counts[block * CELL_BLOCK : block * CELL_BLOCK + len(part)] = part
         mean = float(counts.mean())
         over = (counts.astype(np.float64) - mean) / np.sqrt(mean + 1) / 2
@@ -463,8 +464,8 @@ class SetJoin:
 
     # -- step 3: answers ------------------------------------------------------------------------------------
 
-    def overlaps(self, pairs: DataFrame, outside: bool = False) -> DataFrame:
-        """(a, b, na, nb, both) for pairs of digests, and if asked for the tokens of a ``outside`` b."""
+    def overlaps(self, pairs: DataFrame, apart: bool = False) -> DataFrame:
+        """(a, b, na, nb, both) for pairs of digests, and if asked for the tokens that only one of them has (``apart``)."""
         width = self.width
         ids = pairs.select(F.col("a").alias("d")).union(pairs.select("b")).distinct()
         n = ids.count()
@@ -487,12 +488,12 @@ class SetJoin:
             def out() -> Iterator[tuple]:
                 for a, b, ta, tb in rows_of(batches, "a", "b", "ta", "tb"):
                     x, y = np.frombuffer(ta, np.uint64), np.frombuffer(tb, np.uint64)
-                    yield a, b, len(x), len(y), overlap(x, y), np.setdiff1d(x, y, assume_unique=True).view(np.int64).tolist() if outside else None
+                    yield a, b, len(x), len(y), overlap(x, y), np.setxor1d(x, y, assume_unique=True).view(np.int64).tolist() if apart else None
 
-            yield from batched(out(), pa.schema([("a", pa.binary()), ("b", pa.binary()), ("na", pa.int64()), ("nb", pa.int64()), ("both", pa.int64()), ("outside", pa.list_(pa.int64()))]), 512)
+            yield from batched(out(), pa.schema([("a", pa.binary()), ("b", pa.binary()), ("na", pa.int64()), ("nb", pa.int64()), ("both", pa.int64()), ("apart", pa.list_(pa.int64()))]), 512)
 
-        found = whole.select("a", "b", "ta", "tb").mapInArrow(count, "a binary, b binary, na long, nb long, both long, outside array<long>")
-        return written(found if outside else found.drop("outside"), "overlaps")
+        found = whole.select("a", "b", "ta", "tb").mapInArrow(count, "a binary, b binary, na long, nb long, both long, apart array<long>")
+        return written(found if apart else found.drop("apart"), "overlaps")
 
     def answers(self) -> DataFrame:
         """Edges (a, b) that connect what the join links: clusters, linked leaders, and links derived for members."""
@@ -516,20 +517,27 @@ class SetJoin:
         own = close.select("ref").distinct().join(sets.withColumnRenamed("leader", "ref"), "ref").select(F.col("digest").alias("a"), F.col("ref").alias("b"), F.lit(True).alias("own"))
         others = close.join(sets.withColumnRenamed("leader", "other"), "other").select(F.col("digest").alias("a"), F.col("ref").alias("b"), F.lit(False).alias("own"))
         wanted = written(own.where(F.col("a") != F.col("b")).union(others), "derivations")
-        told = self.overlaps(wanted.select("a", "b"), outside=True).join(wanted, ["a", "b"])
-        x = told.where("own").select("b", F.col("a").alias("x"), F.col("na").alias("nx"), F.col("both").alias("ox"), gap.alias("dx"), "outside")
-        y = told.where(~F.col("own") & ~linked).select("b", F.col("a").alias("y"), F.col("na").alias("ny"), F.col("both").alias("oy"), gap.alias("dy"), "outside")
-        # |x & y| is at most min(|x & ref|, |y & ref|) and what x and y share outside the reference
-        room = F.least("ox", "oy") * (100 + percent)
-        need = F.lit(percent) * (F.col("nx") + F.col("ny"))
-        triangle = F.col("dy") - F.col("dx") <= near
-        inside = x.drop("outside").join(y.drop("outside"), "b").where(triangle & (room >= need)).select("x", "y")
-        most = room + F.least(F.col("nx") - F.col("ox"), F.col("ny") - F.col("oy")) * (100 + percent)
-        shared = x.withColumn("t", F.explode("outside")).drop("outside").join(y.withColumn("t", F.explode("outside")).drop("outside"), ["b", "t"]).where(triangle & (room < need) & (most >= need))
-        counted = shared.groupBy("x", "y", "nx", "ny", "ox", "oy").agg(F.count(F.lit(1)).alias("s"))
-        apart = counted.where(room + F.col("s") * (100 + percent) >= need).select("x", "y")
-        derived = written(self.bounded(inside.union(apart).distinct().select(F.col("x").alias("a"), F.col("y").alias("b")), False), "member-pairs")
+        told = self.overlaps(wanted.select("a", "b"), apart=True).join(wanted, ["a", "b"])
         edges = edges.union(told.where(linked).select("a", "b"))
+        told = told.where(F.col("own") | ~linked)
+        # with R = ref, |x & y| = |x & R| + |y & R| - |R| + (differences from R that x and y share), so a link needs
+        # A(x) + B(y) + |R| shared differences (in units of 1 / (100 + percent)), which splits by set
+        part = F.lit(percent) * F.col("na") - F.lit(100 + percent) * F.col("both")
+        rows = written(told.select("b", F.col("a").alias("z"), "own", F.col("nb").alias("nr"), part.alias("part"), "apart"), "differences")
+        least = rows.groupBy("b").agg(F.min(F.when(F.col("own"), F.col("part"))).alias("least_x"), F.min(F.when(~F.col("own"), F.col("part"))).alias("least_y"))
+        # a member of the reference's cluster may be missing: then nothing is left to derive
+        asked = rows.join(least.where("least_x is not null and least_y is not null"), "b")
+        short = F.col("part") + F.when(F.col("own"), F.col("least_y")).otherwise(F.col("least_x")) + F.lit(100 + percent) * F.col("nr")
+        asked = asked.withColumn("short", F.ceil(short / F.lit(100 + percent)))
+        sure = asked.where(~F.col("own") & (F.col("short") <= 0)).select(F.col("z").alias("a"), "b")
+        # prefix filter: of d differences, d - needed + 1 rare ones must meet; of two sets' own edits none do
+        each = asked.where(F.col("own") | (F.col("short") > 0)).select("b", "z", "own", "short", F.size("apart").alias("d"), F.explode("apart").alias("t"))
+        rare = each.groupBy("b", "t").agg(F.count(F.lit(1)).alias("f"))
+        nth = F.row_number().over(Window.partitionBy("b", "z").orderBy("f", "t"))
+        prefix = written(each.join(rare.where("f > 1"), ["b", "t"], "left").withColumn("f", F.coalesce("f", F.lit(1))).withColumn("nth", nth).where((F.col("nth") <= F.col("d") - F.greatest("short", F.lit(1)) + 1) & (F.col("f") > 1)), "difference-prefixes")
+        meet = prefix.where("own").select("b", "t", F.col("z").alias("x")).join(prefix.where(~F.col("own")).select("b", "t", F.col("z").alias("y")), ["b", "t"])
+        derived = written(self.bounded(meet.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), False), "member-pairs")
+        edges = edges.union(sure)
         if derived.isEmpty():
             return edges
         return edges.union(self.overlaps(derived).where(linked).select("a", "b"))
