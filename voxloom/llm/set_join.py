@@ -531,11 +531,15 @@ class SetJoin:
         asked = asked.withColumn("short", F.ceil(short / F.lit(100 + percent)))
         sure = asked.where(~F.col("own") & (F.col("short") <= 0)).select(F.col("z").alias("a"), "b")
         # prefix filter: of d differences, d - needed + 1 rare ones must meet; of two sets' own edits none do
-        each = asked.where(F.col("own") | (F.col("short") > 0)).select("b", "z", "own", "short", F.size("apart").alias("d"), F.explode("apart").alias("t"))
+        each = asked.where(F.col("own") | (F.col("short") > 0)).select("b", "z", "own", "short", "part", "nr", F.size("apart").alias("d"), F.explode("apart").alias("t"))
         rare = each.groupBy("b", "t").agg(F.count(F.lit(1)).alias("f"))
         nth = F.row_number().over(Window.partitionBy("b", "z").orderBy("f", "t"))
         prefix = written(each.join(rare.where("f > 1"), ["b", "t"], "left").withColumn("f", F.coalesce("f", F.lit(1))).withColumn("nth", nth).where((F.col("nth") <= F.col("d") - F.greatest("short", F.lit(1)) + 1) & (F.col("f") > 1)), "difference-prefixes")
-        meet = prefix.where("own").select("b", "t", F.col("z").alias("x")).join(prefix.where(~F.col("own")).select("b", "t", F.col("z").alias("y")), ["b", "t"])
+        # at the first difference that two sets share, what is left of both must still hold what they need
+        left = F.col("d") - F.col("nth") + 1
+        x = prefix.where("own").select("b", "t", "nr", F.col("z").alias("x"), F.col("part").alias("px"), left.alias("lx"))
+        y = prefix.where(~F.col("own")).select("b", "t", F.col("z").alias("y"), F.col("part").alias("py"), left.alias("ly"))
+        meet = x.join(y, ["b", "t"]).where(F.col("px") + F.col("py") + F.lit(100 + percent) * F.col("nr") <= F.lit(100 + percent) * F.least("lx", "ly"))
         derived = written(self.bounded(meet.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), False), "member-pairs")
         edges = edges.union(sure)
         if derived.isEmpty():
