@@ -246,6 +246,17 @@ def test_packing(table):
     assert got.sequence_id.nunique() <= -(-total // 4096) + 1
 
 
+def test_packing_of_added_tokens(spark):
+    """The contents of added tokens in a text are matched as the tokenizer does by default."""
+    tokenizer = Tokenizer.from_str(SPEC)
+    texts = ["end <|endoftext|> more", "<|startoftext|>Glued<|endoftext|>to<|endoftext|>words", "no <|ENDOFTEXT|> <|endoftext| >", "日本 <|endoftext|>\x1cé", "w " * 5000 + "<|endoftext|>", "<|endoftext|>", "end more"]
+    got = packing.pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), SPEC).orderBy("doc_id", "piece").collect()
+    for i, t in enumerate(texts):
+        ids = np.frombuffer(b"".join(r.ids for r in got if r.doc_id == i), "<u4").tolist()
+        assert ids == [*tokenizer.encode(t, add_special_tokens=False).ids, 1], t
+    assert np.frombuffer(got[0].ids, "<u4").tolist() == [806, 49407, 750, 1]
+
+
 @pytest.mark.parametrize("choose", ["norm", "dot"])
 def test_best_fit_holds_every_capacity(choose):
     rng = np.random.default_rng(1)

@@ -63,17 +63,18 @@ class WordIds:
 
     A word of Latin letters and signs (all below U+0300, where every normal form is the same) that isn't in the
     cache is cut and looked up by the model alone; other words, and tokenizers of another make, go through the
-    whole tokenizer.
+    whole tokenizer, and so do texts that hold an added token such as ``<|endoftext|>``.
     """
 
     def __init__(self, spec: str):
         self.whole = Tokenizer.from_str(spec)
-        self.whole.encode_special_tokens = True
         made = json.loads(spec)
+        added = made.get("added_tokens") or []
         split, level = ((made.get("pre_tokenizer") or {}).get("pretokenizers") or [{}, {}])[:2]
         norm = (made.get("normalizer") or {}).get("normalizers") or []
         self.by_word = (
             made["model"]["type"] == "BPE"
+            and not any(t["normalized"] for t in added)
             and [n["type"] for n in norm] == ["NFC", "Replace", "Lowercase"]
             and norm[1]["pattern"] == {"Regex": r"\s+"}
             and norm[1]["content"] == " "
@@ -81,6 +82,9 @@ class WordIds:
             and (split.get("behavior"), split.get("invert")) == ("Removed", True)
             and (level.get("type"), level.get("add_prefix_space"), level.get("use_regex")) == ("ByteLevel", False, False)
         )
+        # texts that hold one of these go through the whole tokenizer: added tokens are matched before any word is cut,
+        # and Python's split also takes the four separators for white space
+        self.uncut = ("\x1c", "\x1d", "\x1e", "\x1f", *(t["content"] for t in added))
         self.model = self.whole.model
         self.words = regex.compile(WORD_PATTERN)
         self.letters = _byte_letters()
@@ -109,8 +113,7 @@ class WordIds:
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text, little-endian unsigned 32-bit integers."""
-        # Python's split also takes these four separators for white space
-        if not self.by_word or any(c in text for c in "\x1c\x1d\x1e\x1f"):
+        if not self.by_word or any(x in text for x in self.uncut):
             return self._ids(text)
         get, miss = self.cache.get, self._miss
         return b"".join([x if (x := get(w)) is not None else miss(w) for w in text.split()])
