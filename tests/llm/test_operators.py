@@ -200,6 +200,19 @@ def test_quality_rules_of_long_texts(docs):
     assert got[40] == (30_000, 30_000, 29_999, False)
 
 
+def test_longest_repeat_counts_in_long_documents(spark):
+    """A passage pasted twice is too long by its own length, though it is a small part of its document."""
+    def pasted(n, passage):
+        own = [f"w{k}" for k in range(n - passage)]
+        return " ".join([*own, *own[:passage]])
+
+    cases = [(1000, 140, False), (2000, 290, False), (20_000, 2900, False), (20_000, 51, False), (20_000, 50, True), (1000, 50, True)]
+    df = spark.createDataFrame([(i, pasted(n, k)) for i, (n, k, _) in enumerate(cases)], "doc_id long, text string")
+    got = by_id(quality_rules.quality_rules(df), "n_words", "longest_repeat", "n_covered", "kept")
+    assert got == {i: (n, k, 2 * k, kept) for i, (n, k, kept) in enumerate(cases)}
+    assert {r.doc_id for r in quality_rules.keep_good(df).collect()} == {4, 5}
+
+
 def test_classifier(spark, corpus, docs):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")

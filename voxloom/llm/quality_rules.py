@@ -8,8 +8,8 @@ positions.  The larger of a suffix's two neighbouring prefixes is the longest re
 maximal repeated substrings.  The union of their spans gives the covered words.
 
 Rules: the base ones (``MIN_WORDS``, ``MAX_REPEAT_PERCENT`` of words in repeated three-word windows), then at most
-``MAX_COVERED`` of the words in repeats of ``SPAN_WORDS`` words or more, and no repeat longer than ``MAX_LONGEST`` words
-that also covers more than ``LONGEST_SHARE`` of the document.
+``max_covered`` of the words in repeats of ``span_words`` words or more, and no repeat longer than ``max_longest`` words,
+however long the document is.
 """
 
 from __future__ import annotations
@@ -37,7 +37,6 @@ class Limits:
     span_words: int = 8
     max_covered: float = 0.30
     max_longest: int = 50
-    longest_share: float = 0.15
 
 
 #: Words in one suffix array, unless a single document has more.
@@ -122,7 +121,7 @@ def measure(texts: list[str], limits: Limits) -> list[tuple]:
         longest = int(lengths[begin:end].max()) if n else 0
         full = [x for x in t.split("\n") if x.strip(WS)]
         failed = n < MIN_WORDS or 100 * n3 > MAX_REPEAT_PERCENT * n
-        kept = not failed and cov <= limits.max_covered * n and (longest <= limits.max_longest or longest <= limits.longest_share * n)
+        kept = not failed and cov <= limits.max_covered * n and longest <= limits.max_longest
         out.append((n, len(t) - sum(map(t.count, WS)), sum(map(t.count, SYMBOLS)), len(full) - len(set(full)), n3, cov, longest, failed, kept))
         begin = end
     return out
