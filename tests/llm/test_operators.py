@@ -300,6 +300,27 @@ def test_best_fit_is_exact_search():
             left.append((c.tokens - n, c.documents - 1, c.attention - n * n))
 
 
+def test_best_fit_compares_the_tightest_level():
+    """With the production capacities, tokens come first and the other two choose among equals."""
+    rng = np.random.default_rng(1)
+    lengths = np.sort(rng.integers(1, 65, 600) * 64)[::-1]
+    c = packing.Capacity()
+    sequence, _ = packing.best_fit(lengths, c)
+    rest = lambda s: c.weights[1] * (s[1] / c.documents) ** 2 + c.weights[2] * (s[2] / c.attention) ** 2
+    left, ties = [], 0
+    for n, got in zip(lengths.tolist(), sequence.tolist(), strict=True):
+        after = {k: (t - n, d - 1, a - n * n) for k, (t, d, a) in enumerate(left) if t >= n}
+        if after:
+            tight = {k: x for k, x in after.items() if x[0] == min(after.values())[0]}
+            ties += len(set(tight.values())) > 1
+            assert got in tight and np.isclose(rest(tight[got]), min(map(rest, tight.values())), rtol=1e-6, atol=0)
+            left[got] = after[got]
+        else:
+            assert got == len(left)
+            left.append((c.tokens - n, c.documents - 1, c.attention - n * n))
+    assert ties > 20
+
+
 def test_secret_scan(table):
     got = by_id(secret_scan.digest(secret_scan.scan(table)), "n_assign", "n_access", "n_hex", "base_sha256", "spans")
     for i, t in pairs(table):

@@ -7,9 +7,14 @@ sequence that fits it best.  A sequence has three capacities, tokens, documents
 lengths); all must hold.  Of the sequences that can take a piece, ``norm`` picks that with the smallest weighted norm
 of what is left after it, ``dot`` that with the largest weighted product of the piece's demand and what is left.
 
-Sequences are kept by the tokens left in them.  Under ``norm`` the levels are searched from the tightest up, until the
-token part of the norm alone is larger than the best norm found; so the choice is exact, and with the usual weights the
-search ends at the first level that has room.
+Sequences are kept by the tokens left in them, and in each of these levels by what is left of the other two; of
+sequences with the same left in all three, the one that came there last is taken.  Under ``norm`` the levels are searched
+from the tightest up, until the token part of the norm alone is larger than the best norm found; so the choice is exact.
+With the usual weights tokens come first, the other two choose among the sequences of the tightest level, and the search
+ends there.
+
+The usual documents and attention capacities follow from that of tokens (a piece has a token at least, and a sum of
+squares is at most the square of the sum), so only tokens can close a sequence unless a smaller one is given.
 """
 
 from __future__ import annotations
@@ -43,7 +48,8 @@ class Capacity:
     tokens: int = MAX_TOKENS
     documents: int = MAX_TOKENS
     attention: int = MAX_TOKENS * MAX_TOKENS
-    weights: tuple[float, float, float] = (1.0, 1e-9, 1e-9)
+    # the last two together below one token's part, 1 / MAX_TOKENS ** 2, so they only break ties
+    weights: tuple[float, float, float] = (1.0, 2e-8, 2e-8)
     choose: str = "norm"
 
 
@@ -163,7 +169,8 @@ def pieces(docs: DataFrame, spec: str, max_tokens: int = MAX_TOKENS, end_id: int
 def best_fit(lengths: np.ndarray, capacity: Capacity) -> tuple[np.ndarray, np.ndarray]:
     """The sequence and the place in it of each length, which fall from first to last."""
     c, (w1, w2, w3) = capacity, capacity.weights
-    levels: list[list[int]] = [[] for _ in range(c.tokens + 1)]  # open sequences by the tokens left
+    # open sequences by the tokens left, then by the documents and attention left
+    levels: list[dict[tuple[int, int], list[int]]] = [{} for _ in range(c.tokens + 1)]
     filled = np.zeros(c.tokens + 2, bool)
     left: list[tuple[int, int]] = []  # documents and attention left in each sequence
     room: list[int] = []
@@ -181,8 +188,7 @@ def best_fit(lengths: np.ndarray, capacity: Capacity) -> tuple[np.ndarray, np.nd
             r = (level - n) / c.tokens
             if c.choose == "norm" and best is not None and w1 * r * r > best:
                 break
-            for s in levels[level]:
-                docs, cost = left[s]
+            for (docs, cost), open_ in levels[level].items():
                 if docs < 1 or cost < n * n:
                     continue
                 if c.choose == "norm":
@@ -190,9 +196,7 @@ def best_fit(lengths: np.ndarray, capacity: Capacity) -> tuple[np.ndarray, np.nd
                 else:
                     value = -(w1 * n / c.tokens * level / c.tokens + w2 / c.documents * docs / c.documents + w3 * n * n / c.attention * cost / c.attention)
                 if best is None or value < best:
-                    best, best_at = value, s
-                if w2 < 1e-6 and w3 < 1e-6 and c.choose == "norm":
-                    break  # the others of the level differ by less than the tie weights
+                    best, best_at = value, open_[-1]
             level += 1
             if level > c.tokens:
                 break
@@ -201,14 +205,17 @@ def best_fit(lengths: np.ndarray, capacity: Capacity) -> tuple[np.ndarray, np.nd
             room.append(c.tokens)
             left.append((c.documents, c.attention))
         else:
-            levels[room[best_at]].remove(best_at)
+            alike = levels[room[best_at]][left[best_at]]
+            alike.pop()
+            if not alike:
+                del levels[room[best_at]][left[best_at]]
             filled[room[best_at]] = bool(levels[room[best_at]])
         sequence[i], offset[i] = best_at, c.tokens - room[best_at]
         room[best_at] -= n
         docs, cost = left[best_at]
         left[best_at] = (docs - 1, cost - n * n)
         if room[best_at] and docs > 1:
-            levels[room[best_at]].append(best_at)
+            levels[room[best_at]].setdefault(left[best_at], []).append(best_at)
             filled[room[best_at]] = True
     return sequence, offset
 
