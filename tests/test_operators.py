@@ -46,6 +46,12 @@ def script(spark):
     return spark.createDataFrame([("e", SCRIPT)], "episode_id string, content string")
 
 
+def test_voice_sample_estimates(spark):
+    assert one(spark, T.sample_minutes(T.word_count(F.col("t"))), t=" some words here " * 75) == 1.5
+    assert one(spark, T.sample_seconds(F.lit(1_000_000))) == 62.5
+    assert one(spark, T.sample_seconds(F.lit(None).cast("long"))) is None
+
+
 def test_text_functions(spark):
     assert one(spark, T.normalize_text(F.col("t")), t="It's a beautiful day, isn't it?") == "its a beautiful day isnt it"
     assert one(spark, T.normalize_text(F.col("t")), t="  hello   world  ") == "hello world"

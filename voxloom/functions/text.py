@@ -19,6 +19,7 @@ DEFAULT_SECONDS_PER_WORD = 0.35
 MAX_SECONDS_PER_WORD = 0.8
 CALIBRATED_MARGIN = 2.5
 WORDS_PER_MINUTE = 150
+SAMPLE_BYTES_PER_SECOND = 16_000
 
 #: Emotions after which a listener reacts, and the words of each reaction.
 SURPRISE_EMOTIONS = ("surprised", "excited", "passionate", "emphatic", "fascinated")
@@ -153,6 +154,16 @@ def word_target(minutes: Column) -> Column:
     return minutes * WORDS_PER_MINUTE
 
 
+def sample_minutes(words: Column) -> Column:
+    """how long a voice sample's text takes to say."""
+    return words / WORDS_PER_MINUTE
+
+
+def sample_seconds(size: Column) -> Column:
+    """how long a recorded sample is, by its bytes at 128 kbit/s."""
+    return size / SAMPLE_BYTES_PER_SECOND
+
+
 def language_name(code: Column) -> Column:
     """the code itself where it is unknown."""
     known = F.create_map(*(F.lit(x) for kv in LANGUAGES.items() for x in kv))
