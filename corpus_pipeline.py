@@ -26,10 +26,14 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of near copies; rows without an id stay."""
-    groups = set_join.ngram_jaccard_groups(docs)
-    dropped = written(groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id"), "near-copies")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each component of near copies: that with the smallest id; a null id comes last, equal ids go by text."""
+    # ids may repeat or be null, so rows go by numbers of their own, which are the same in every read once they are written
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "near-rows")
+    first = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", F.xxhash64("text").alias("hash"), "__row")
+    groups = set_join.ngram_jaccard_groups(rows, id_col="__row").withColumnRenamed("doc_id", "__row")
+    kept = groups.join(rows.select("__row", first.alias("first")), "__row").groupBy("component_id").agg(F.min("first").alias("first")).select("first.__row")
+    dropped = written(rows.select("__row").join(kept, "__row", "left_anti"), "near-copies")
+    return rows.join(dropped, "__row", "left_anti").select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

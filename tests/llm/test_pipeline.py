@@ -50,3 +50,22 @@ def test_odd_rows_pass(spark, docs):
         rows = stage(spark, rows, SF)
     assert rows.where("doc_id = 42").first().text.count("[SECRET]") >= 2
     assert {r.doc_id for r in rows.collect()} >= {5, 7, 40, 41, 44, 70, 71, 72}
+
+
+def test_near_keeps_one_of_each_component(spark):
+    """Ids that repeat or are null: a clean text stays whatever its id, and one row of each component stays."""
+    text = lambda name, k=None: " ".join([*(f"{name}{i}" for i in range(100)), *([] if k is None else [f"own{k}"])])
+    rows = [
+        (1, text("a", 0)), (5, text("a", 1)), (None, text("a", 2)), (5, text("b")),
+        (7, text("c", 0)), (7, text("c", 1)), (8, text("c", 2)),
+        (None, text("d", 0)), (None, text("d", 1)), (None, text("e")), (None, None), (9, ""),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    want = [{(1, rows[0][1])}, {(5, rows[3][1])}, {(7, rows[4][1]), (7, rows[5][1])}, {(None, rows[7][1]), (None, rows[8][1])}, {(None, rows[9][1])}, {(None, None)}, {(9, "")}]
+    kept = []
+    for parts in (1, 5):
+        got = corpus_pipeline.near(spark, docs.repartition(parts), SF)
+        assert got.columns == docs.columns
+        kept.append({(r.doc_id, r.text) for r in got.collect()})
+        assert got.count() == len(want) and all(len(kept[-1] & one) == 1 for one in want)
+    assert kept[0] == kept[1]
