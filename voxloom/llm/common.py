@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,11 +42,39 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, most: int = 1024) -> None:
-    """Arrow batches of at most ``most`` rows in this session: rows here hold whole texts or sets, and a batch is in memory."""
+class Scratch:
+    """Written tables of one job, which go once what was made of them is written itself."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        """As ``written``."""
+        path = fresh_path(self.spark, name)
+        self.paths.append((name, path))
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self, *keep: str) -> None:
+        """Deletes all tables but those of the names ``keep``."""
+        for name, path in self.paths:
+            if name not in keep:
+                at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        self.paths = [x for x in self.paths if x[0] in keep]
+
+
+@contextmanager
+def small_batches(spark: SparkSession, most: int = 1024) -> Iterator[None]:
+    """Arrow batches of at most ``most`` rows while jobs run here: rows there hold whole texts or sets, and a batch is in memory."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= most:
+    before = spark.conf.get(key)
+    if not 0 < int(before) <= most:
         spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def text_of(col: str) -> Column:

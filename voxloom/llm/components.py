@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import Scratch
 
 
 def _signature(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "m").cast("decimal(38,0)"))).first())
 
 
-def components(edges: DataFrame, name: str = "stars") -> DataFrame:
+def components(edges: DataFrame, name: str = "stars", scratch: Scratch | None = None) -> DataFrame:
     """(v, m) for every node v of ``edges`` (a, b) that isn't the smallest of its component; m is the smallest.
 
     Minima by partial aggregation and joins that adaptive execution may split: no group of neighbours is
-    collected.  Each round is a written table, so a lost executor costs one round.
+    collected.  Each round is a written table (of ``scratch``, if given), so a lost executor costs one round.
     """
+    written = (scratch or Scratch(edges.sparkSession)).written
     now = written(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m")).distinct(), name)
     before = _signature(now)
     while before[0]:

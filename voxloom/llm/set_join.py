@@ -5,22 +5,26 @@ the first step on.  The join is exact on the hashes:
 
 1. *Relations.*  Sets that share a pair of min-hashes are compared with a few leaders of their key; those within the
    threshold of a leader make a *cluster* with it, and their distance to it stays.  (Only a short cut: sets that
-   are missed here meet in the next step.)
+   are missed here, also because a frequent key is dealt to several tasks, meet in the next step.)
 2. *Index.*  Tokens are ordered rare first by a count sketch over the whole table; the first
-   ``n - ceil(t n) + 1`` tokens of a set are its postings, of which a two-level Bloom filter drops those that no other
-   set has.  Postings of one cluster fold into one entry of the token's list, map-side first: however large a group
-   of near copies is, it is one entry.  Lists are ordered by size in blocks that keep the largest size and the most
-   tokens after a position; blocks and entries that can't reach the needed overlap are skipped by position.
+   ``n - ceil(t n) + 1`` tokens of a set are its postings.  They meet by token once; those that no other set has end
+   there.  The others fold, those of one cluster into one entry of the token's list, map-side first: however large a
+   group of near copies is, it is one entry.  Lists are ordered by size in blocks that keep the largest size and the most
+   tokens after a position; blocks and entries that can't reach the needed overlap are skipped by position.  A list of
+   very many entries is dealt in parts, each pair of which meets in one task.
 3. *Answers.*  For each pair of clusters from the lists, the leaders' overlap is computed (for two
    single sets only if their token histograms, which bound it, leave room).  If they link, the clusters
-   do.  If not, the answers of the members derive from it.  Jaccard distance is a metric, so clusters whose radii do
-   not close the gap are done.  Of the others, each member is told once from the larger cluster's leader R: its overlap
-   with it and its differences from it.  Two members' overlap is the sum of their overlaps with R, less the size of R,
-   plus the differences they share, so a link needs a number of shared differences that splits into a term for each set;
-   a prefix filter on differences, rare ones first, finds the few pairs that can have it.
-
-Everything is a table keyed by the 128-bit digest of a set; the driver holds the sketch and the filters, both of a
-bounded size.
+   do.  If not, the answers of the members derive from it, in rounds: a pair of clusters that links or edges have
+   connected by then is answered, as only connection is asked, and leaves.  Jaccard distance is a metric, so clusters whose
+   radii do not close the gap are done.  Of the others, each member is told once from the larger cluster's leader R: its
+   overlap with it and its differences from it.  Two members' overlap is the sum of their overlaps with R, less the size
+   of R, plus the differences they share, so a link needs a number of shared differences that splits into a term for each
+   set; a prefix filter on differences, rare ones first, finds the few pairs that can have it.
+
+Everything is a table keyed by a 128-bit digest of a row that stands for its class.  Sets are made anew from the
+texts of such rows where two of them meet, as a text is smaller than its hashes.  The driver holds the sketch and a filter of
+the rows asked for, both of a bounded size: a fuller filter lets more texts travel, at most all of them once a round,
+and changes no answer.
 """
 
 from __future__ import annotations
@@ -30,18 +34,21 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from . import bloom
-from .common import batched, rows_of, small_batches, text_of, written
+from .common import Scratch, batched, rows_of, small_batches, text_of
 from .components import components
 
 WIDTH, PERCENT = 5, 75
-#: Cells of the count sketch and of its blocks; leaders kept for each min-hash; entries of a list block.
-CELLS, CELL_BLOCK, LEADERS, LIST_BLOCK = 1 << 22, 1 << 16, 8, 64
+#: Cells of the count sketch and of its blocks; leaders kept for each key, and sets of a key in one task.
+CELLS, CELL_BLOCK, LEADERS, KEY_SETS = 1 << 21, 1 << 16, 8, 300
+#: Entries of a list that are in one task (twice as many at most, as two parts meet) and of a block; tokens of the sets that a task keeps.
+LIST_ENTRIES, LIST_BLOCK, CACHE_TOKENS = 1024, 64, 2_000_000
 #: Buckets of the histogram that bounds overlaps from above.
 BUCKETS = 256
 #: Bytes of text hashed at once, unless one text is longer.
@@ -176,31 +183,24 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def _sets(batches: Iterator[pa.RecordBatch], width: int, id_col: str | None = None) -> Iterator[tuple]:
-    """(id, tokens, digest) of every row; with no id column, every set once for each task (or so), empty ones left out."""
+def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, bytes]]:
+    """(tokens, digest) of every set once for each task (or so); empty ones are left out."""
     seen: set[bytes] = set()
     for batch in batches:
-        ids = batch.column(id_col).to_pylist() if id_col else [None] * batch.num_rows
-        for row_id, tokens in zip(ids, _column_sets(batch.column("text"), width), strict=True):
+        for tokens in _column_sets(batch.column("text"), width):
             digest = set_digest(tokens)
-            if id_col is None:
-                if digest in seen or not len(tokens):
-                    continue
-                if len(seen) >= 500_000:
-                    seen.clear()
-                seen.add(digest)
-            yield row_id, tokens, digest
+            if digest in seen or not len(tokens):
+                continue
+            if len(seen) >= 500_000:
+                seen.clear()
+            seen.add(digest)
+            yield tokens, digest
 
 
 def _hash64(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
-def _low(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array([_hash64(d) for (d,) in rows_of(iter([batch]), "d")], pa.int64())], names=["h"])
-
-
 def _chunks(rows: Iterator[tuple], size: int) -> Iterator[list[tuple]]:
     some: list[tuple] = []
     for row in rows:
@@ -212,30 +212,76 @@ def _chunks(rows: Iterator[tuple], size: int) -> Iterator[list[tuple]]:
         yield some
 
 
-def _lists(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
-    """The entries (leader, label, least, most, rest) of each token, which come ordered by token and least size."""
+class _Held:
+    """The sets of the texts met last, by class; at most ``CACHE_TOKENS`` tokens of them, unless one set has more."""
+
+    def __init__(self, width: int):
+        self.width, self.sets, self.tokens = width, {}, 0
+
+    def all(self, ids: list[bytes], texts: list[str]) -> dict[bytes, np.ndarray]:
+        """The sets of ``ids``, whose texts are given."""
+        out = {c: self.sets[c] for c in ids if c in self.sets}
+        new = {c: t for c, t in zip(ids, texts, strict=True) if c not in out}
+        if new:
+            made = dict(zip(new, _column_sets(pa.array(new.values(), pa.large_string()), self.width), strict=True))
+            n = sum(map(len, made.values()))
+            if self.tokens + n > CACHE_TOKENS:
+                self.sets, self.tokens = {}, 0
+            self.sets |= made
+            self.tokens += n
+            out |= made
+        return out
+
+
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Postings (token, ref, pos), which come ordered, of tokens that two sets have or that are frequent (``pos`` below 0)."""
+    carry, carried = None, False
+    for batch in batches:
+        t, r, p = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "ref", "pos"))
+        if carry is not None:
+            t, r, p = (np.r_[x, y] for x, y in zip(carry, (t, r, p), strict=True))
+        if not len(t):
+            continue
+        new = np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (r[1:] != r[:-1])])
+        t, r, p = t[new], r[new], p[new]
+        same = t[1:] == t[:-1]
+        keep = np.r_[carried, same] | np.r_[same, False] | (p < 0)
+        carry, carried = (t[-1:], r[-1:], p[-1:]), bool(keep[-1])
+        keep[-1] = False
+        if keep.any():
+            yield _postings(t[keep], r[keep], p[keep])
+    if carried:
+        yield _postings(*carry)
+
+
+def _postings(t: np.ndarray, r: np.ndarray, p: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(t, pa.int64()), pa.array(r, pa.int64()), pa.array(np.where(p < 0, -1 - p, p), pa.int32())], names=["token", "ref", "pos"])
+
+
+def _lists(rows: Iterator[tuple]) -> Iterator[tuple[bool, list[tuple]]]:
+    """Whether a list holds two parts of its token, and its entries (leader, label, least, most, rest, part), which come ordered by size."""
     now, entries = None, []
-    for token, *entry in rows:
-        if token != now:
+    for token, low, high, *entry in rows:
+        if (token, low, high) != now:
             if len(entries) > 1:
-                yield entries
-            now, entries = token, []
+                yield now[1] != now[2], entries
+            now, entries = (token, low, high), []
         entries.append(tuple(entry))
     if len(entries) > 1:
-        yield entries
+        yield now[1] != now[2], entries
 
 
-def _met(lists: Iterator[list[tuple]], percent: int) -> Iterator[tuple[bytes, bytes]]:
+def _met(lists: Iterator[tuple[bool, list[tuple]]], percent: int) -> Iterator[tuple[int, int]]:
     """Pairs of a list's clusters that may hold linked sets.
 
     ``least`` and ``most`` are the sizes in a cluster, ``rest`` the most tokens that one of its sets has from this
     token on.  A block of earlier entries is skipped if its largest size or rest is too small.
     """
-    seen: set[tuple[bytes, bytes]] = set()
-    for entries in lists:
+    seen: set[tuple[int, int]] = set()
+    for apart, entries in lists:
         most, rest = [e[3] for e in entries], [e[4] for e in entries]
         blocks = [(k, max(most[k : k + LIST_BLOCK]), max(rest[k : k + LIST_BLOCK])) for k in range(0, len(entries), LIST_BLOCK)]
-        for i, (leader, label, size, _, own) in enumerate(entries):
+        for i, (leader, label, size, _, own, part) in enumerate(entries):
             for first, block_most, block_rest in blocks:
                 if first >= i:
                     break
@@ -243,6 +289,8 @@ def _met(lists: Iterator[list[tuple]], percent: int) -> Iterator[tuple[bytes, by
                     continue
                 for j in range(first, min(i, first + LIST_BLOCK)):
                     if 100 * most[j] >= percent * size and entries[j][1] != label and min(own, rest[j]) >= needed(size, entries[j][2], percent):
+                        if apart and entries[j][5] == part:
+                            continue
                         other = entries[j][0]
                         pair = (leader, other) if leader < other else (other, leader)
                         if pair not in seen:
@@ -255,13 +303,16 @@ def _met(lists: Iterator[list[tuple]], percent: int) -> Iterator[tuple[bytes, by
 class SetJoin:
     """The steps of the join over ``docs``; every step is a method, so that tests can take them one by one."""
 
-    def __init__(self, docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", cells: int = CELLS):
+    def __init__(self, docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", cells: int = CELLS, max_filter_bytes: int = bloom.MAX_BYTES):
         if not 1 <= percent <= 100:
             raise ValueError("percent must be 1 to 100")
-        small_batches(docs.sparkSession)
-        self.rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+        text = text_of(text_col)
+        row = F.unhex(F.md5(F.concat(F.md5(text), F.coalesce(F.col(id_col).cast("string"), F.lit("")))))
+        self.rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), row.alias("c"))
         self.texts = self.rows.select("text")
-        self.spark, self.width, self.percent, self.cells = docs.sparkSession, width, percent, cells
+        self.spark, self.width, self.percent, self.cells, self.max_filter_bytes = docs.sparkSession, width, percent, cells, max_filter_bytes
+        self.scratch = Scratch(self.spark)
+        self.written = self.scratch.written
 
     def _broadcast(self, x: object):
         return self.spark.sparkContext.broadcast(x)
@@ -272,106 +323,122 @@ class SetJoin:
         """The table of documents, the classes, and the order of tokens."""
         width, cells = self.width, self.cells
         id_type = self.rows.schema["doc_id"].dataType
-        schema = pa.schema([("doc_id", to_arrow_type(id_type)), ("n", pa.int64()), ("digest", pa.binary()), ("key1", pa.int64()), ("key2", pa.int64()), ("hist", pa.binary()), ("block", pa.int32()), ("counts", pa.binary())])
+        names = ["doc_id", "n", "digest", "ref", "c", "key1", "key2", "hist", "block", "counts"]
+        types = [to_arrow_type(id_type), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
+        schema = pa.schema(list(zip(names, types, strict=True)))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def out() -> Iterator[tuple]:
                 counts = np.zeros(cells, np.uint32)
                 shift = np.uint64(64 - cells.bit_length() + 1)
-                for doc_id, tokens, digest in _sets(batches, width, "doc_id"):
-                    if len(tokens):
-                        at = (tokens >> shift).astype(np.int64)
-                        np.add.at(counts, at, 1)
-                    yield doc_id, len(tokens), digest, *(keys_of(tokens).view(np.int64).tolist() if len(tokens) else (None, None)), histogram(tokens), None, None
+                for batch in batches:
+                    for doc_id, c, tokens in zip(batch.column("doc_id").to_pylist(), batch.column("c").to_pylist(), _column_sets(batch.column("text"), width), strict=True):
+                        if len(tokens):
+                            np.add.at(counts, (tokens >> shift).astype(np.int64), 1)
+                            digest = set_digest(tokens)
+                            yield doc_id, len(tokens), digest, _hash64(digest), c, *keys_of(tokens).view(np.int64).tolist(), histogram(tokens), None, None
+                        else:
+                            yield doc_id, 0, None, None, c, None, None, None, None, None
                 for k in range(0, cells, CELL_BLOCK):
                     part = counts[k : k + CELL_BLOCK]
-                    if part.any():
-                        yield None, None, None, None, None, None, k // CELL_BLOCK, zlib.compress(part.tobytes(), 1)
+                    if most := int(part.max()):
+                        small = part.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32)
+                        yield *[None] * 8, k // CELL_BLOCK, zlib.compress(small.tobytes(), 1)
 
             yield from batched(out(), schema, 512)
 
-        both = written(self.rows.mapInArrow(run, f"doc_id {id_type.simpleString()}, n long, digest binary, key1 long, key2 long, hist binary, block int, counts binary"), "sets")
-        self.documents = both.where(F.col("block").isNull()).select("doc_id", "n", "digest", "key1", "key2", "hist")
+        ddl = f"doc_id {id_type.simpleString()}, n long, digest binary, ref long, c binary, key1 long, key2 long, hist binary, block int, counts binary"
+        both = self.written(self.rows.mapInArrow(run, ddl), "sets")
+        self.documents = both.where(F.col("block").isNull()).select("doc_id", "n", "digest")
         self.order = self._broadcast(self._levels(both.where(F.col("block").isNotNull()).select("block", "counts")))
         # min, not first: the same for every order of rows
-        self.classes = written(
-            self.documents.where(F.col("n") > 0).groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("key1").alias("key1"), F.min("key2").alias("key2"), F.min("hist").alias("hist")), "set-classes"
-        )
+        least = [F.min(x).alias(x) for x in ("doc_id", "n", "ref", "c", "key1", "key2", "hist")]
+        self.classes = self.written(both.where(F.col("n") > 0).groupBy("digest").agg(*least), "set-classes").withColumn("k", F.xxhash64("c"))
         self.n_classes, self.n_tokens = self.classes.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
 
     def _levels(self, blocks: DataFrame) -> np.ndarray:
         """For each cell, how far its count lies above the noise of a hashed count: 0 for rare tokens, then by logarithm."""
+        cells = self.cells
+        width = min(CELL_BLOCK, cells)
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def out() -> Iterator[tuple]:
-                now, total = None, None
+                now, total = None, np.zeros(width, np.uint64)
                 for block, counts in rows_of(batches, "block", "counts"):
-                    part = np.frombuffer(zlib.decompress(counts), np.uint32).astype(np.uint64)  # summed wide, told as 32 bits: only the order matters
                     if block != now:
                         if now is not None:
-                            yield now, np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()
-                        now, total = block, part
-                    else:
-                        total = total + part
+                            yield now, total.astype("<u8").tobytes()
+                        now, total = block, np.zeros(width, np.uint64)
+                    raw = zlib.decompress(counts)
+                    total += np.frombuffer(raw, f"<u{len(raw) // width}")
                 if now is not None:
-                    yield now, np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()
+                    yield now, total.astype("<u8").tobytes()
 
             yield from batched(out(), pa.schema([("block", pa.int32()), ("counts", pa.binary())]), 4)
 
-        counts = np.zeros(self.cells, np.uint64)
-        for block, part in blocks.repartition("block").sortWithinPartitions("block").mapInArrow(add, "block int, counts binary").collect():
-            part = np.frombuffer(part, np.uint32)
-            counts[block * CELL_BLOCK : block * CELL_BLOCK + len(part)] = part
+        counts = np.zeros(cells, np.uint64)
+        for block, part in blocks.repartition("block").sortWithinPartitions("block").mapInArrow(add, "block int, counts binary").toLocalIterator():
+            counts[block * width : (block + 1) * width] = np.frombuffer(part, "<u8")
         mean = float(counts.mean())
         over = (counts.astype(np.float64) - mean) / np.sqrt(mean + 1) / 2
         return np.minimum(255, np.where(over >= 1, 1 + 8 * np.log2(np.maximum(over, 1)), 0)).astype(np.uint8)
 
+    def fetch(self, ids: DataFrame) -> DataFrame:
+        """(c, text) of the classes ``ids`` (c) and of few others; a row that repeats may come once from each task."""
+        ids = self.written(ids.distinct(), "asked")
+        held = self._broadcast(bloom.filter_of(ids.select(F.xxhash64("c").alias("h")), ids.count(), True, self.max_filter_bytes))
+
+        @F.pandas_udf("boolean")
+        def asked(rows: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+            seen: set[bytes] = set()
+            for c, h in rows:
+                ok = bloom.contains(held.value, h.to_numpy(np.int64).view(np.uint64))
+                for i in np.flatnonzero(ok):
+                    ok[i] = c[i] not in seen
+                    if len(seen) >= 500_000:
+                        seen.clear()
+                    seen.add(c[i])
+                yield pd.Series(ok)
+
+        # what it says of a row depends on the rows before, so it must not be copied to other tables
+        return self.rows.select("c", "text").where(asked.asNondeterministic()("c", F.xxhash64("c")))
+
     # -- step 1: relations ----------------------------------------------------------------------------------
 
     def relate(self) -> None:
-        """Clusters of sets within the threshold of a leader: (digest, leader, overlap)."""
+        """Clusters of sets within the threshold of a leader: (a, b, d), b the leader, d the distance."""
         width, percent = self.width, self.percent
-        keys = self.classes.select(F.col("key1").alias("h")).union(self.classes.select("key2"))
-        held = self._broadcast(bloom.filter_of(keys, 2 * self.n_classes, False))
-        # keys with very many sets are dealt to several tasks; at most 2 * 10,000 of them, whatever the table
-        most = max(2_000, self.n_classes // 10_000)
-        hot = keys.groupBy("h").count().where(F.col("count") > most).select(F.col("h").alias("key"), F.ceil(F.col("count") / most).cast("int").alias("parts"))
-
-        def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            def out() -> Iterator[tuple]:
-                for _, tokens, digest in _sets(batches, width):
-                    keys = keys_of(tokens)
-                    for key, ok in zip(keys.view(np.int64).tolist(), bloom.contains(held.value, keys), strict=True):
-                        if ok:
-                            yield key, digest, tokens.tobytes()
-
-            yield from batched(out(), pa.schema([("key", pa.int64()), ("digest", pa.binary()), ("tokens", pa.binary())]), 256)
+        keyed = self.classes.select("c", F.explode(F.array_distinct(F.array("key1", "key2"))).alias("key"))
+        # a key that very many sets have is dealt to several tasks
+        shared = keyed.groupBy("key").count().where("count > 1").select("key", F.ceil(F.col("count") / KEY_SETS).cast("int").alias("parts"))
+        keyed = self.written(keyed.join(shared, "key").select("c", "key", F.pmod(F.xxhash64("c"), F.col("parts")).cast("int").alias("salt")), "keys")
 
         def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def out() -> Iterator[tuple]:
                 now, leaders, last = None, [], None
-                for key, salt, digest, tokens in rows_of(batches, "key", "salt", "digest", "tokens"):
-                    if (key, salt) != now:
-                        now, leaders, last = (key, salt), [], None
-                    if digest == last:
-                        continue
-                    last, own = digest, np.frombuffer(tokens, np.uint64)
-                    for other, theirs in leaders:
-                        if 100 * min(len(own), len(theirs)) < percent * max(len(own), len(theirs)):
+                for batch in batches:
+                    ids = zip(*(batch.column(x).to_pylist() for x in ("key", "salt", "c")), strict=True)
+                    for (key, salt, c), own in zip(ids, _column_sets(batch.column("text"), width), strict=True):
+                        if (key, salt) != now:
+                            now, leaders, last = (key, salt), [], None
+                        if c == last:
                             continue
-                        both = overlap(own, theirs)
-                        if both >= needed(len(own), len(theirs), percent):
-                            yield digest, other, 1 - both / (len(own) + len(theirs) - both)
-                            break
-                    else:
-                        if len(leaders) < LEADERS:
-                            leaders.append((digest, own))
+                        last = c
+                        for other, theirs in leaders:
+                            if 100 * min(len(own), len(theirs)) < percent * max(len(own), len(theirs)):
+                                continue
+                            both = overlap(own, theirs)
+                            if both >= needed(len(own), len(theirs), percent):
+                                yield c, other, 1 - both / (len(own) + len(theirs) - both)
+                                break
+                        else:
+                            if len(leaders) < LEADERS:
+                                leaders.append((c, own))
 
             yield from batched(out(), pa.schema([("a", pa.binary()), ("b", pa.binary()), ("d", pa.float64())]))
 
-        dealt = self.texts.mapInArrow(shared, "key long, digest binary, tokens binary").join(F.broadcast(hot), "key", "left")
-        dealt = dealt.withColumn("salt", F.coalesce(F.pmod(F.xxhash64("digest"), F.col("parts")), F.lit(0))).drop("parts")
-        self.relations = written(dealt.repartition("key", "salt").sortWithinPartitions("key", "salt", "digest").mapInArrow(lead, "a binary, b binary, d double"), "relations")
+        dealt = self.fetch(keyed.select("c")).join(keyed, "c").select("key", "salt", "c", "text")
+        self.relations = self.written(dealt.repartition("key", "salt").sortWithinPartitions("key", "salt", "c").mapInArrow(lead, "a binary, b binary, d double"), "relations")
         self.cluster()
 
     def cluster(self) -> None:
@@ -379,64 +446,76 @@ class SetJoin:
 
         A leader of others leads its own cluster, so every distance is that of a direct comparison.
         """
-        stars = components(self.relations, "labels")
-        self.labels = stars.union(stars.select("m", "m").distinct()).toDF("digest", "label")
+        self.labels = self.roots(self.relations)
         leads = self.relations.select(F.col("b").alias("a")).distinct()
         follow = self.relations.join(leads, "a", "left_anti")
-        self.clusters = written(follow.groupBy(F.col("a").alias("digest")).agg(F.min_by("b", F.struct("d", "b")).alias("leader"), F.min("d").alias("d")), "clusters")
-        self.radii = written(self.clusters.groupBy("leader").agg(F.max("d").alias("r"), (F.count(F.lit(1)) + 1).alias("k")), "radii")
+        self.clusters = self.written(follow.groupBy(F.col("a").alias("c")).agg(F.min_by("b", F.struct("d", "b")).alias("leader"), F.min("d").alias("d")), "clusters")
+        self.radii = self.written(self.clusters.groupBy("leader").agg(F.max("d").alias("r"), (F.count(F.lit(1)) + 1).alias("k")), "radii")
+
+    def roots(self, edges: DataFrame) -> DataFrame:
+        """(c, label) of every node of the edges (a, b)."""
+        stars = components(edges.select("a", "b"), "labels", self.scratch)
+        return self.written(stars.union(stars.select("m", "m").distinct()).toDF("c", "label"), "roots")
+
+    def unconnected(self, pairs: DataFrame, roots: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+        """Those of the pairs whose two sides are not in one component."""
+        of = lambda x: roots.select(F.col("c").alias(x), F.col("label").alias(f"of_{x}"))
+        both = pairs.join(of(a), a, "left").join(of(b), b, "left")
+        return both.where(F.coalesce(f"of_{a}", a) != F.coalesce(f"of_{b}", b)).select(*pairs.columns)
 
     # -- step 2: the index ----------------------------------------------------------------------------------
 
     def _prefix(self):
         order, percent, cells = self.order, self.percent, self.cells
 
-        def prefix(tokens: np.ndarray) -> np.ndarray:
+        def prefix(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """The first tokens in the order, and whether they are frequent."""
             level = order.value[(tokens >> np.uint64(64 - cells.bit_length() + 1)).astype(np.int64)]
             n = prefix_length(len(tokens), percent)
-            return tokens[np.argsort(level, kind="stable")[:n]] if level.any() else tokens[:n]
+            if not level.any():
+                return tokens[:n], np.zeros(n, bool)
+            at = np.argsort(level, kind="stable")[:n]
+            return tokens[at], level[at] > 0
 
         return prefix
 
     def index(self) -> None:
-        """The postings that may be shared: (token, digest, n, pos, leader)."""
+        """The postings that may be shared: (token, ref, pos); ``ref`` stands for a digest."""
         width, prefix = self.width, self._prefix()
-        # eight bits for each token: one in twenty single tokens passes, which costs a posting
-        words = bloom.words_for((self.n_tokens * (100 - self.percent) // 100 + self.n_classes) // 2)
-
-        def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            yield from bloom.marked((prefix(tokens) for _, tokens, _ in _sets(batches, width)), words)
-
-        held = self._broadcast(bloom.merged(self.texts.mapInArrow(mark, bloom.MARKS), words))
 
         def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in _chunks(_sets(batches, width), 256):
-                tokens = [prefix(t) for _, t, _ in part]
+                tokens, often = zip(*(prefix(t) for t, _ in part), strict=True)
                 sizes = [len(t) for t in tokens]
-                flat = np.concatenate(tokens)
-                pos = np.concatenate([np.arange(n) for n in sizes])
-                owner = np.repeat(np.arange(len(part)), sizes)
-                ok = bloom.contains(held.value, flat)
-                n = np.array([len(t) for _, t, _ in part])[owner[ok]]
-                digests = pa.array([d for _, _, d in part], pa.binary()).take(pa.array(owner[ok]))
-                yield pa.RecordBatch.from_arrays([pa.array(flat[ok].view(np.int64)), digests, pa.array(n), pa.array(pos[ok])], names=["token", "digest", "n", "pos"])
-
-        posts = self.texts.mapInArrow(post, "token long, digest binary, n long, pos long")
-        known = self.labels.join(self.clusters.select("digest", "leader"), "digest", "left")
-        found = posts.join(known, "digest", "left").withColumn("leader", F.coalesce("leader", "digest")).withColumn("label", F.coalesce("label", "leader"))
-        self.postings = written(found, "postings")
+                pos = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
+                ref = np.repeat(np.array([_hash64(d) for _, d in part], np.int64), sizes)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(ref), pa.array(np.where(np.concatenate(often), -1 - pos, pos))], names=["token", "ref", "pos"])
+
+        posts = self.texts.mapInArrow(post, "token long, ref long, pos int")
+        # a frequent token is shared for certain, so its postings need not meet and are dealt by set
+        salt = F.when(F.col("pos") < 0, F.pmod("ref", F.lit(1024))).otherwise(-1)
+        self.postings = posts.repartition(F.col("token"), salt).sortWithinPartitions("token", "ref").mapInArrow(_repeated, "token long, ref long, pos int")
 
     def candidates(self) -> DataFrame:
         """Pairs (a, b) of leaders whose clusters' lists meet."""
         percent = self.percent
-        entries = self.postings.groupBy("token", "leader", "label").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("rest"))
-        many = entries.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > 1).select("token")
+        known = self.classes.select("c", "ref", "n").join(self.labels, "c", "left").join(self.clusters.select("c", "leader"), "c", "left")
+        leader = F.coalesce("leader", "c")
+        known = known.select("ref", "n", F.xxhash64(leader).alias("leader"), F.xxhash64(F.coalesce("label", leader)).alias("label"))
+        entries = self.postings.join(known, "ref").groupBy("token", "leader", "label").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("rest"))
+        entries = self.written(entries, "entries")
+        many = entries.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / LIST_ENTRIES).cast("int").alias("parts"), F.count_distinct("label").alias("k")).where("k > 1").drop("k")
 
         def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            yield from batched(_met(_lists(rows_of(batches, "token", "leader", "label", "least", "most", "rest")), percent), pa.schema([("a", pa.binary()), ("b", pa.binary())]))
+            rows = rows_of(batches, "token", "low", "high", "leader", "label", "least", "most", "rest", "part")
+            yield from batched(_met(_lists(rows), percent), pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
-        lists = entries.join(many, "token").repartition("token").sortWithinPartitions("token", "least")
-        return written(lists.mapInArrow(meet, "a binary, b binary").distinct(), "candidates")
+        part = F.pmod("leader", F.col("parts")).cast("int")
+        dealt = entries.join(many, "token").withColumn("part", part).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        dealt = dealt.withColumn("low", F.least("part", "with")).withColumn("high", F.greatest("part", "with")).drop("with", "parts")
+        met = dealt.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high", "least").mapInArrow(meet, "a long, b long").distinct()
+        side = lambda x: self.classes.select(F.col("k").alias(x), F.col("c").alias(f"c{x}"))
+        return self.written(met.join(side("a"), "a").join(side("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")), "candidates")
 
     def bounded(self, pairs: DataFrame, clusters: bool) -> DataFrame:
         """Those of the pairs (a, b) whose histograms leave room for a link: of the sets, or of sets of their ``clusters``.
@@ -444,7 +523,7 @@ class SetJoin:
         The largest overlap gives the smallest distance, and members are at most a radius from their leader.
         """
         percent, near = self.percent, 1 - self.percent / 100 + 1e-9
-        side = lambda x: self.classes.select(F.col("digest").alias(x), F.col("hist").alias(f"h{x}"), F.col("n").alias(f"n{x}"))
+        side = lambda x: self.classes.select(F.col("c").alias(x), F.col("hist").alias(f"h{x}"), F.col("n").alias(f"n{x}"))
         ring = lambda x: self.radii.select(F.col("leader").alias(x), F.col("r").alias(f"r{x}"))
 
         def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -465,40 +544,33 @@ class SetJoin:
     # -- step 3: answers ------------------------------------------------------------------------------------
 
     def overlaps(self, pairs: DataFrame, apart: bool = False) -> DataFrame:
-        """(a, b, na, nb, both) for pairs of digests, and if asked for the tokens that only one of them has (``apart``)."""
+        """(a, b, na, nb, both) for pairs of classes, and if asked for the tokens that only one of them has (``apart``)."""
         width = self.width
-        ids = pairs.select(F.col("a").alias("d")).union(pairs.select("b")).distinct()
-        n = ids.count()
-        held = self._broadcast(bloom.filter_of(ids.mapInArrow(_low, "h long"), n, True))
-
-        def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            def out() -> Iterator[tuple]:
-                for _, tokens, digest in _sets(batches, width):
-                    if bloom.contains(held.value, np.array([_hash64(digest)], np.int64).view(np.uint64))[0]:
-                        yield digest, tokens.tobytes()
-
-            yield from batched(out(), pa.schema([("digest", pa.binary()), ("tokens", pa.binary())]), 256)
-
-        sets = self.texts.mapInArrow(asked, "digest binary, tokens binary").join(ids, F.col("digest") == F.col("d"), "left_semi").dropDuplicates(["digest"])
+        texts = self.fetch(pairs.select(F.col("a").alias("c")).union(pairs.select("b"))).dropDuplicates(["c"])
         # the set that many pairs share is b by custom: its narrow requests meet it first, then go to many tasks by a
-        half = pairs.join(sets.select(F.col("digest").alias("b"), F.col("tokens").alias("tb")), "b")
-        whole = half.join(sets.select(F.col("digest").alias("a"), F.col("tokens").alias("ta")), "a")
+        half = pairs.join(texts.select(F.col("c").alias("b"), F.col("text").alias("tb")), "b")
+        whole = half.join(texts.select(F.col("c").alias("a"), F.col("text").alias("ta")), "a")
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def out() -> Iterator[tuple]:
-                for a, b, ta, tb in rows_of(batches, "a", "b", "ta", "tb"):
-                    x, y = np.frombuffer(ta, np.uint64), np.frombuffer(tb, np.uint64)
-                    yield a, b, len(x), len(y), overlap(x, y), np.setxor1d(x, y, assume_unique=True).view(np.int64).tolist() if apart else None
+                held = _Held(width)
+                for batch in batches:
+                    for at in range(0, batch.num_rows, 64):
+                        a, b, ta, tb = (batch.slice(at, 64).column(x).to_pylist() for x in ("a", "b", "ta", "tb"))
+                        sets = held.all(a + b, ta + tb)
+                        for x, y in zip(a, b, strict=True):
+                            p, q = sets[x], sets[y]
+                            yield x, y, len(p), len(q), overlap(p, q), np.setxor1d(p, q, assume_unique=True).view(np.int64).tolist() if apart else None
 
             yield from batched(out(), pa.schema([("a", pa.binary()), ("b", pa.binary()), ("na", pa.int64()), ("nb", pa.int64()), ("both", pa.int64()), ("apart", pa.list_(pa.int64()))]), 512)
 
         found = whole.select("a", "b", "ta", "tb").mapInArrow(count, "a binary, b binary, na long, nb long, both long, apart array<long>")
-        return written(found if apart else found.drop("apart"), "overlaps")
+        return self.written(found if apart else found.drop("apart"), "overlaps")
 
     def answers(self) -> DataFrame:
         """Edges (a, b) that connect what the join links: clusters, linked leaders, and links derived for members."""
         percent = self.percent
-        known = self.overlaps(written(self.bounded(self.candidates(), True), "leader-pairs"))
+        known = self.overlaps(self.written(self.bounded(self.candidates(), True), "leader-pairs"))
         # integers throughout: 100 * both >= percent * union
         linked = F.col("both") * (100 + percent) >= F.lit(percent) * (F.col("na") + F.col("nb"))
         gap = 1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
@@ -510,51 +582,72 @@ class SetJoin:
         close = close.where((F.col("ka") + F.col("kb") > 2) & (F.col("gap") - F.col("ra") - F.col("rb") <= near))
         # the larger cluster's leader is the reference, from which the answers of both clusters' members derive
         larger = F.col("ka") >= F.col("kb")
-        close = written(close.select(F.when(larger, F.col("a")).otherwise(F.col("b")).alias("ref"), F.when(larger, F.col("b")).otherwise(F.col("a")).alias("other")), "close-pairs")
+        close = self.written(close.select(F.when(larger, F.col("a")).otherwise(F.col("b")).alias("ref"), F.when(larger, F.col("b")).otherwise(F.col("a")).alias("other")), "close-pairs")
+        if close.isEmpty():
+            return edges
+        close = self.written(self.unconnected(close, self.roots(edges), "ref", "other"), "close-pairs")
         if close.isEmpty():
             return edges
-        sets = self.clusters.select("digest", "leader").union(close.select(F.col("other").alias("digest"), "other").distinct())
-        own = close.select("ref").distinct().join(sets.withColumnRenamed("leader", "ref"), "ref").select(F.col("digest").alias("a"), F.col("ref").alias("b"), F.lit(True).alias("own"))
-        others = close.join(sets.withColumnRenamed("leader", "other"), "other").select(F.col("digest").alias("a"), F.col("ref").alias("b"), F.lit(False).alias("own"))
-        wanted = written(own.where(F.col("a") != F.col("b")).union(others), "derivations")
-        told = self.overlaps(wanted.select("a", "b"), apart=True).join(wanted, ["a", "b"])
+        members = self.clusters.select("c", "leader").union(close.select(F.col("other").alias("c"), "other").distinct())
+        # the other cluster's members first: one that links with the reference answers for its cluster
+        others = close.join(members.withColumnRenamed("leader", "other"), "other").select(F.col("c").alias("a"), F.col("ref").alias("b"), "other")
+        others = self.written(others, "derivations")
+        told = self.overlaps(others.select("a", "b").distinct(), apart=True)
         edges = edges.union(told.where(linked).select("a", "b"))
-        told = told.where(F.col("own") | ~linked)
+        close = self.written(self.unconnected(close, self.roots(edges), "ref", "other"), "close-pairs")
+        if close.isEmpty():
+            return edges
+        others = others.join(close.withColumnRenamed("ref", "b"), ["b", "other"], "left_semi").distinct()
+        own = close.select("ref").distinct().join(self.clusters.withColumnRenamed("leader", "ref"), "ref").select(F.col("c").alias("a"), F.col("ref").alias("b"))
+        told = told.join(others.select("a", "b"), ["a", "b"], "left_semi").withColumn("own", F.lit(False)).union(self.overlaps(own, apart=True).withColumn("own", F.lit(True)))
         # with R = ref, |x & y| = |x & R| + |y & R| - |R| + (differences from R that x and y share), so a link needs
         # A(x) + B(y) + |R| shared differences (in units of 1 / (100 + percent)), which splits by set
         part = F.lit(percent) * F.col("na") - F.lit(100 + percent) * F.col("both")
-        rows = written(told.select("b", F.col("a").alias("z"), "own", F.col("nb").alias("nr"), part.alias("part"), "apart"), "differences")
+        rows = self.written(told.select("b", F.col("a").alias("z"), "own", F.col("nb").alias("nr"), part.alias("part"), "apart"), "differences")
         least = rows.groupBy("b").agg(F.min(F.when(F.col("own"), F.col("part"))).alias("least_x"), F.min(F.when(~F.col("own"), F.col("part"))).alias("least_y"))
-        # a member of the reference's cluster may be missing: then nothing is left to derive
+        # with no member but the reference nothing is left to derive
         asked = rows.join(least.where("least_x is not null and least_y is not null"), "b")
         short = F.col("part") + F.when(F.col("own"), F.col("least_y")).otherwise(F.col("least_x")) + F.lit(100 + percent) * F.col("nr")
-        asked = asked.withColumn("short", F.ceil(short / F.lit(100 + percent)))
+        asked = asked.withColumn("short", F.greatest(F.ceil(short / F.lit(100 + percent)), F.lit(0)))
         sure = asked.where(~F.col("own") & (F.col("short") <= 0)).select(F.col("z").alias("a"), "b")
+        edges = edges.union(sure)
         # prefix filter: of d differences, d - needed + 1 rare ones must meet; of two sets' own edits none do
-        each = asked.where(F.col("own") | (F.col("short") > 0)).select("b", "z", "own", "short", "part", "nr", F.size("apart").alias("d"), F.explode("apart").alias("t"))
-        rare = each.groupBy("b", "t").agg(F.count(F.lit(1)).alias("f"))
+        whose = others.select("b", F.col("a").alias("z"), "other")
+        each = asked.where(F.col("own") | (F.col("short") > 0)).join(whose, ["b", "z"], "left")
+        each = each.select("b", "z", "other", "own", "short", "part", "nr", F.size("apart").alias("d"), F.explode("apart").alias("t"))
+        rare = each.groupBy("b", "t").agg(F.count(F.lit(1)).alias("f"), (F.bool_or("own") & F.bool_or(~F.col("own"))).alias("met"))
         nth = F.row_number().over(Window.partitionBy("b", "z").orderBy("f", "t"))
-        prefix = written(each.join(rare.where("f > 1"), ["b", "t"], "left").withColumn("f", F.coalesce("f", F.lit(1))).withColumn("nth", nth).where((F.col("nth") <= F.col("d") - F.greatest("short", F.lit(1)) + 1) & (F.col("f") > 1)), "difference-prefixes")
+        prefix = each.join(rare, ["b", "t"]).withColumn("nth", nth).where((F.col("nth") <= F.col("d") - F.greatest("short", F.lit(1)) + 1) & F.col("met"))
         # at the first difference that two sets share, what is left of both must still hold what they need
-        left = F.col("d") - F.col("nth") + 1
-        x = prefix.where("own").select("b", "t", "nr", F.col("z").alias("x"), F.col("part").alias("px"), left.alias("lx"))
-        y = prefix.where(~F.col("own")).select("b", "t", F.col("z").alias("y"), F.col("part").alias("py"), left.alias("ly"))
-        meet = x.join(y, ["b", "t"]).where(F.col("px") + F.col("py") + F.lit(100 + percent) * F.col("nr") <= F.lit(100 + percent) * F.least("lx", "ly"))
-        derived = written(self.bounded(meet.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), False), "member-pairs")
-        edges = edges.union(sure)
+        prefix = self.written(prefix.select("b", "t", "z", "other", "own", "part", "nr", (F.col("d") - F.col("nth") + 1).alias("left")), "difference-prefixes")
+        x = prefix.where("own").select("b", "t", "nr", F.col("z").alias("x"), F.col("part").alias("px"), F.col("left").alias("lx"))
+        y = prefix.where(~F.col("own")).select("b", "t", "other", F.col("z").alias("y"), F.col("part").alias("py"), F.col("left").alias("ly"))
+        room = F.col("px") + F.col("py") + F.lit(100 + percent) * F.col("nr") <= F.lit(100 + percent) * F.least("lx", "ly")
+        # one pair of members for each pair of clusters, the likeliest; then all that may link of the clusters that stay apart
+        best = x.groupBy("b", "t").agg(F.min("nr").alias("nr"), *(F.min_by(c, F.struct("px", "x")).alias(c) for c in ("x", "px", "lx")))
+        best = best.join(y.groupBy("b", "t", "other").agg(*(F.min_by(c, F.struct("py", "y")).alias(c) for c in ("y", "py", "ly"))), ["b", "t"]).where(room)
+        first = best.groupBy("b", "other").agg(*(F.min_by(c, F.struct(F.col("px") + F.col("py"), "t")).alias(k) for c, k in (("x", "a"), ("y", "b2")))).select("a", F.col("b2").alias("b")).distinct()
+        edges = edges.union(self.overlaps(self.written(first, "member-pairs")).where(linked).select("a", "b"))
+        stay = self.unconnected(close, self.roots(edges), "ref", "other").withColumnRenamed("ref", "b")
+        y = self.written(y.join(stay, ["b", "other"], "left_semi"), "members-apart")
+        meet = x.join(y, ["b", "t"]).where(room)
+        derived = self.written(self.bounded(meet.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), False), "member-pairs")
         if derived.isEmpty():
             return edges
         return edges.union(self.overlaps(derived).where(linked).select("a", "b"))
 
     def groups(self) -> DataFrame:
         """doc_id, n_shingles, component_id of every row."""
-        self.measure()
-        self.relate()
-        self.index()
-        roots = components(self.answers(), "components")
-        rooted = self.classes.select("digest", "doc_id").join(roots.select(F.col("v").alias("digest"), F.col("m").alias("root")), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
-        ids = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-        of = rooted.select("digest", "root").join(ids, "root").select("digest", "component_id")
+        with small_batches(self.spark):
+            self.measure()
+            self.relate()
+            self.index()
+            roots = components(self.answers(), "components", self.scratch)
+            rooted = self.classes.select("c", "digest", "doc_id").join(roots.select(F.col("v").alias("c"), F.col("m").alias("root")), "c", "left").withColumn("root", F.coalesce("root", "c"))
+            ids = self.written(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k"), "component-ids")
+            # a class of its own has its own id; of the others, few in most tables, a component's id is told by its root
+            of = self.written(rooted.join(ids, "root", "left").select("digest", F.coalesce("component_id", "doc_id").alias("component_id")), "class-components")
+        self.scratch.clear("sets", "class-components")
         return self.documents.join(of, "digest", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
