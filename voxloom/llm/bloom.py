@@ -33,6 +33,11 @@ def places(h: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     return ((h >> np.uint64(24)) % np.uint64(words)).astype(np.int64), mask
 
 
+def add(words: np.ndarray, h: np.ndarray) -> None:
+    at, mask = places(h, len(words))
+    np.bitwise_or.at(words, at, mask)
+
+
 def contains(words: np.ndarray, h: np.ndarray) -> np.ndarray:
     at, mask = places(h, len(words))
     return (words[at] & mask) == mask

@@ -1,9 +1,11 @@
 """Line deduplication behind two Bloom filters.
 
-Pass 1 hashes the distinct line keys of every document.  Each task marks a hash in its *once* filter and, if it has
-met it before, in its *twice* filter; filters merge block by block (``twice = twice | twice' | once & once'``),
-so the merged twice filter holds every key of two or more documents.  Its size follows the number of lines up to
-``max_filter_bytes``, which bounds what is broadcast; a fuller filter only suspects more lines.
+Pass 1 hashes the distinct line keys of every document.  Hashes, counted per task first, go by range to tasks of their own (eight
+bytes and a count each); every such task keeps two filters of its range, *once* for hashes met and *twice* for hashes met again, and
+tells each hash that enters the second.  A range has at most ``RANGE_HASHES`` hashes or so, whatever the table, so no filter
+grows with the data.  The told hashes, one for each line that may repeat, make the filter of suspected lines; it takes 16 bits
+each up to ``max_filter_bytes``, which bounds what is broadcast; beyond that (33 million different repeated lines by default) a
+fuller filter suspects more lines and the result is the same.
 
 Pass 2 sends only suspected repeats to the shuffle, folded per task, where whole keys are counted exactly and the
 first document is chosen.  Pass 3 drops lines: with the confirmed keys broadcast if their bytes, which are summed
@@ -25,6 +27,8 @@ from . import bloom
 from .common import WS, batched, rows_of, text_of, written
 
 _WS = WS.encode()
+#: Hashes of a range, in expectation: filters of 16 MB in its task.
+RANGE_HASHES = 4_000_000
 
 
 def line_keys(text: str, min_chars: int) -> list[bytes | None]:
@@ -37,16 +41,42 @@ def _hashes(keys: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys))
 
 
-def twice_filter(rows: DataFrame, min_chars: int, max_filter_bytes: int) -> np.ndarray:
-    """The filter of keys that two documents may share."""
+def repeated_hashes(rows: DataFrame, min_chars: int, range_hashes: int = RANGE_HASHES) -> DataFrame:
+    """(h) of the hashes that two documents may share; few come twice or by a false positive of a filter."""
+    spark = rows.sparkSession
     lines = rows.select(F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1)).first()[0] or 0
-    words = bloom.words_for(lines, max_filter_bytes)
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = (list({k for k in line_keys(text, min_chars) if k is not None}) for (text,) in rows_of(batches, "text"))
-        yield from bloom.marked(map(_hashes, found), words)
-
-    return bloom.merged(rows.mapInArrow(mark, bloom.MARKS), words)
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-lines // range_hashes))
+    words = bloom.words_for(-(-lines // ranges) * 2)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for (text,) in rows_of(batches, "text"):
+            h = _hashes(list({k for k in line_keys(text, min_chars) if k is not None}))
+            held.append(h)
+            n += len(h)
+            if n >= bloom.FLUSH:
+                yield _counted(held)
+                held, n = [], 0
+        if n:
+            yield _counted(held)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once, twice = np.zeros(words, np.uint64), np.zeros(words, np.uint64)
+        for batch in batches:
+            h, of = np.unique(batch.column("h").to_numpy(zero_copy_only=False).view(np.uint64), return_inverse=True)
+            again = np.bincount(of, batch.column("n").to_numpy(zero_copy_only=False), len(h)) > 1
+            again = (again | bloom.contains(once, h)) & ~bloom.contains(twice, h)
+            bloom.add(once, h)
+            bloom.add(twice, h[again])
+            if again.any():
+                yield pa.RecordBatch.from_arrays([pa.array(h[again].view(np.int64))], names=["h"])
+
+    return rows.mapInArrow(send, "h long, n int").repartition(ranges, "h").mapInArrow(meet, "h long")
+
+
+def _counted(hashes: list[np.ndarray]) -> pa.RecordBatch:
+    h, n = np.unique(np.concatenate(hashes), return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int32))], names=["h", "n"])
 
 
 def suspected(keys: list[bytes], words: np.ndarray) -> list[bytes]:
@@ -79,21 +109,23 @@ def line_dedup(
     text_col: str = "text",
     max_filter_bytes: int = bloom.MAX_BYTES,
     max_broadcast_bytes: int = 32 << 20,
+    range_hashes: int = RANGE_HASHES,
 ) -> DataFrame:
     """doc_id, n_lines, n_dropped, text (the lines that stay) for every row.
 
     A line whose key is in ``min_docs`` (2 at least) rows or more goes from every document; with ``keep_first`` its
     first occurrence, in the document with the smallest id, stays.  A null or empty text is one empty line, which is
-    never dropped.  Each row is a document of its own, repeated rows too; where ids repeat, only the join of very
-    large key sets and ``keep_first`` treat them as one.  Ids may be null; a null id is no first occurrence.  An
-    empty table gives an empty result; further columns are not read.
+    never dropped.  Each row is a document of its own, repeated rows too, whichever way the lines are dropped; where ids
+    repeat, ``keep_first`` keeps a line in every row that has the smallest id.  Ids may be null; a null id is no first
+    occurrence.  An empty table gives an empty result; further columns are not read.
     """
     if min_docs < 2:
         raise ValueError("min_docs must be 2 or more")
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    words = spark.sparkContext.broadcast(twice_filter(rows, min_chars, max_filter_bytes))
+    told = written(repeated_hashes(rows, min_chars, range_hashes), "repeated-hashes")
+    words = spark.sparkContext.broadcast(bloom.filter_of(told, told.count(), True, max_filter_bytes))
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found() -> Iterator[tuple]:
@@ -126,12 +158,15 @@ def line_dedup(
 
         return rows.mapInArrow(rebuild, out)
 
+    # rows of one id and text have the same hits, so their digest stands for them, whatever the id
+    keyed = rows.withColumn("row", F.md5(F.concat(F.md5("text"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
+
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = ((doc_id, key) for doc_id, text in rows_of(batches, "doc_id", "text") for key in suspected(list({k for k in line_keys(text, min_chars) if k is not None}), words.value))
-        yield from batched(found, pa.schema([("doc_id", id_arrow), ("key", pa.binary())]))
+        found = ((row, key) for row, text in rows_of(batches, "row", "text") for key in suspected(list({k for k in line_keys(text, min_chars) if k is not None}), words.value))
+        yield from batched(found, pa.schema([("row", pa.string()), ("key", pa.binary())]))
 
-    hits = rows.mapInArrow(lines, f"doc_id {id_type}, key binary").join(repeated, "key").groupBy("doc_id").agg(F.collect_list(F.struct("key", "first")).alias("hits"))
-    with_hits = rows.alias("a").join(hits.alias("b"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")), "left").select("a.doc_id", "a.text", "b.hits")
+    hits = keyed.mapInArrow(lines, "row string, key binary").join(repeated, "key").groupBy("row").agg(F.collect_set(F.struct("key", "first")).alias("hits"))
+    with_hits = keyed.join(hits, "row", "left").select("doc_id", "text", "hits")
 
     def rebuild_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = ((doc_id, *_rebuilt(text, {x["key"]: x["first"] for x in hits or ()}, doc_id, min_chars)) for doc_id, text, hits in rows_of(batches, "doc_id", "text", "hits"))
@@ -141,15 +176,15 @@ def line_dedup(
 
 
 ORACLE_SQL = r"""
-WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+WITH d AS (SELECT doc_id, row_number() OVER () AS row, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 l AS (
-  SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d
+  SELECT doc_id, row, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d
 ),
 k AS (
   SELECT *, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key FROM l
 ),
-r AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+r AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT row) >= 10)
 SELECT doc_id, count(*) AS n_lines, count(r.key) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (r.key IS NULL), '')) AS kept_sha256
-FROM k LEFT JOIN r USING (key) GROUP BY doc_id
+FROM k LEFT JOIN r USING (key) GROUP BY doc_id, row
 """
