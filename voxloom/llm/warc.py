@@ -30,6 +30,8 @@ RECORD_SCHEMA = "page_id long, url string, record_type string, payload_bytes lon
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: A new file after so many bytes; neighbouring ranges are read at once over gaps and up to lengths of so many bytes.
 FILE_BYTES, GAP_BYTES, READ_BYTES = 256 << 20, 64 << 10, 8 << 20
+#: Tasks in which the rows of one content meet its answer; bytes of archives that a reading task gets in the mean.
+SALTS, TASK_BYTES = 8, 32 << 20
 
 
 def base32_sha1(payload: bytes) -> str:
@@ -84,8 +86,12 @@ def write_archives(pages: DataFrame, to: str | None = None, min_payload_bytes: i
     to = to or fresh_path(spark, "warc")
     html = text_of(html_col)
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.encode(html, "UTF-8").alias("payload"), F.sha2(html, 256).alias("content"))
-    stays = rows.groupBy("content").agg(F.max("page_id").alias("stays"))
-    asked = rows.join(stays, "content").withColumn("revisit", (F.octet_length("payload") >= min_payload_bytes) & ~F.col("page_id").eqNullSafe(F.col("stays")))
+    # only contents that repeat are told to the rows, each to SALTS places, so that one content of very many rows meets in as many tasks
+    many = rows.groupBy("content").agg(F.max("page_id").alias("stays"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    many = many.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+    copy = F.col("stays").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("stays")) & (F.octet_length("payload") >= min_payload_bytes)
+    asked = rows.join(many, ["content", "salt"], "left").withColumn("revisit", copy)
     run = uuid.uuid4().hex[:8]
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +132,14 @@ def _ranges(rows: Iterator[tuple]) -> Iterator[tuple[str, list[tuple[int, int]]]
 
 
 def read_records(index: DataFrame) -> DataFrame:
-    """The records that ``index`` (all or selected rows of it) names, as RECORD_SCHEMA."""
+    """The records that ``index`` (all or selected rows of it) names, as RECORD_SCHEMA.
+
+    The bytes to read, not those of the index, decide the number of tasks.  An index row that repeats gives its record as
+    often; an empty index gives an empty result; further columns are not read.
+    """
+    spark = index.sparkSession
+    total = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
 
     def get(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def records() -> Iterator[tuple]:
@@ -148,4 +161,4 @@ def read_records(index: DataFrame) -> DataFrame:
         yield from batched(records(), pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())]), 256)
 
     stretch = F.expr(f"offset div {READ_BYTES}").alias("stretch")
-    return index.select("file", "offset", "length", stretch).repartition("file", "stretch").sortWithinPartitions("file", "offset").mapInArrow(get, RECORD_SCHEMA)
+    return index.select("file", "offset", "length", stretch).repartition(tasks, "file", "stretch").sortWithinPartitions("file", "offset").mapInArrow(get, RECORD_SCHEMA)
