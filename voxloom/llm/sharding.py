@@ -25,7 +25,7 @@ from .common import text_of, written
 LAW = "bytes"
 #: Ranges for each shard at least, rows for each range at most (as long as max_ranges allows), samples for each range.
 RANGES_PER_SHARD, ROWS_PER_RANGE, SAMPLES_PER_RANGE = 64, 50_000, 8
-#: A group larger than an even share is cut into pieces of this part of a share.
+#: A heavy group is cut into pieces of this part of a share at most.
 PIECES = 32
 
 
@@ -81,7 +81,9 @@ def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: s
     overfull = F.broadcast(spark.createDataFrame(over, "range int"))
     # the heavy keys of overfull ranges: at most 2 * ranges of them, as each has more than half a target
     heavy = [(k, b) for k, b in ranged.join(overfull, "range", "left_semi").groupBy("key").agg(F.sum("size").alias("b")).where(F.col("b") > target / 2).toLocalIterator()]
-    alone = [(k, 1 if b <= share else int(np.ceil(b / (share / PIECES)))) for k, b in heavy]
+    # a heavy group is numbered in pieces, by as many tasks; they go to one shard unless the group is larger than a share
+    alone = [(k, int(np.ceil(b / (share / PIECES)))) for k, b in heavy]
+    whole = {k for k, b in heavy if b <= share}
     in_heavy: dict[int, int] = {}
     for k, b in heavy:
         r = int(np.searchsorted(bounds, k, side="left"))
@@ -99,12 +101,16 @@ def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: s
         F.when(F.col("parts").isNotNull(), F.col("key")).alias("own"),
         F.when(F.col("parts").isNotNull(), F.pmod("sub", F.col("parts"))).otherwise(F.coalesce(F.pmod(F.xxhash64("key"), F.col("parts_of_range")), F.lit(0))).cast("int").alias("part"),
     )
-    measured = sorted(((b, r, own is not None, own or 0, part, c) for r, own, part, b, c in atoms.groupBy("range", "own", "part").agg(F.sum("size"), F.count(F.lit(1))).toLocalIterator()), key=lambda x: (-x[0], *x[1:]))
+    pieces_of: dict[tuple, list] = {}
+    for r, own, part, b, c in atoms.groupBy("range", "own", "part").agg(F.sum("size"), F.count(F.lit(1))).toLocalIterator():
+        pieces_of.setdefault((r, own) if own in whole else (r, own, part), []).append((part, b, c))
+    measured = sorted(((sum(b for _, b, _ in ps), key[0], key[1], sorted(ps)) for key, ps in pieces_of.items()), key=lambda x: (-x[0], x[1], x[2] is not None, x[2] or 0, x[3]))
     load, slots, placed = [(0, s) for s in range(shards)], [0] * shards, []
-    for b, r, has, own, part, c in measured:
+    for b, r, own, ps in measured:
         at, s = heapq.heappop(load)
-        placed.append((r, own if has else None, part, s, slots[s]))
-        slots[s] += c
+        for part, _, c in ps:
+            placed.append((r, own, part, s, slots[s]))
+            slots[s] += c
         heapq.heappush(load, (at + b, s))
     places = F.broadcast(spark.createDataFrame(placed, "range int, own long, part int, shard int, first long"))
     a, p = atoms.alias("a"), places.alias("p")
