@@ -19,16 +19,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WS, rows_of, text_of
+from .common import WS, rows_of, text_of, written
 
 HASH_BITS = 16
 FACTORS = 8
 #: Passes over the rows, and steps at least (few rows take more passes).
 EPOCHS, STEPS = 12, 400
 MAX_ROWS = 8_000
+#: Bytes of features that the driver takes at most; later rows of the sample are left out.
+MAX_FEATURE_BYTES = 256 << 20
 THRESHOLD = 0.7
 SEED = 7
 N_STATS = 16
@@ -154,11 +156,15 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows: int = MAX_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Fits the model on at most ``max_rows`` labelled rows that aren't held out; a null label or text is not learnt from."""
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows: int = MAX_ROWS, max_bytes: int = MAX_FEATURE_BYTES, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Fits the model on at most ``max_rows`` labelled ids that aren't held out, and ``max_bytes`` of their features.
+
+    A null id, label or text is not learnt from.  Of repeated labels of an id the larger counts, of repeated documents one;
+    texts are read whole.  Without a labelled row (an empty table) the model scores every text 0.5.
+    """
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
     # at most max_rows rows of two numbers: a proven size for the broadcast
-    drawn = F.broadcast(known.orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id", "label").limit(max_rows))
+    drawn = F.broadcast(known.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(max_rows))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull()).join(drawn, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,11 +176,17 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_ro
                     names=["doc_id", "label", "places", "values", "stats"],
                 )
 
-    got = rows.mapInArrow(run, "doc_id string, label int, places binary, values binary, stats binary").toLocalIterator()
+    found = rows.mapInArrow(run, "doc_id string, label int, places binary, values binary, stats binary")
+    # one row of each id, whatever the partitions, written once: at most max_rows rows, of which a prefix by hash fits the bytes
+    one = written(found.groupBy("doc_id").agg(F.min(F.struct("places", "values", "stats", "label")).alias("x")).select("doc_id", "x.*"), "labelled-features")
+    size = F.octet_length("places") + F.octet_length("values") + F.octet_length("stats")
+    order = [F.xxhash64("doc_id", F.lit(SEED)), F.col("doc_id")]
+    sizes = one.select("doc_id", F.sum(size).over(Window.orderBy(*order)).alias("so_far"))
+    got = one.join(sizes.where(F.col("so_far") <= max_bytes).select("doc_id"), "doc_id").toLocalIterator()
     read = [(r.doc_id, r.label, np.frombuffer(r.places, "<i4"), np.frombuffer(r["values"], "<f4"), np.frombuffer(r.stats, "<f8")) for r in got]
     # the order of rows decides the batches, so it must not depend on the partitions
-    read.sort(key=lambda r: (r[0], r[1], len(r[2]), r[2].tobytes()))
-    return fit([(p, v, s, 1 if label >= 1 else 0) for _, label, p, v, s in read[: 2 * max_rows]])
+    read.sort(key=lambda r: r[0])
+    return fit([(p, v, s, 1 if label >= 1 else 0) for _, label, p, v, s in read])
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
