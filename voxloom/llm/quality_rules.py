@@ -42,8 +42,9 @@ class Limits:
 #: Words in one suffix array, unless a single document has more.
 BATCH_WORDS = 150_000
 
-COLUMNS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_covered long, longest_repeat long, base_failed boolean, kept boolean"
-_ARROW = pa.schema([*((c, pa.int64()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_covered", "longest_repeat")), ("base_failed", pa.bool_()), ("kept", pa.bool_())])
+COLUMNS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, n_covered long, longest_repeat long"
+KEPT = 6
+_ARROW = pa.schema([*((c, pa.int64()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), ("base_failed", pa.bool_()), ("kept", pa.bool_()), ("n_covered", pa.int64()), ("longest_repeat", pa.int64())])
 
 
 def longest_repeats(ranks: np.ndarray) -> np.ndarray:
@@ -54,7 +55,9 @@ def longest_repeats(ranks: np.ndarray) -> np.ndarray:
     counts = np.bincount(dense)
     # a rank is the place of its first member in suffix order, so a group splits without moving the others
     rank = (np.cumsum(counts) - counts)[dense]
-    rounds = [rank]
+    # a rank fits 32 bits up to two thousand million words; one document of n words that repeats throughout keeps log2(n) rounds of them
+    small = np.int32 if n < 1 << 31 else np.int64
+    rounds = [rank.astype(small)]
     active = repeated = np.flatnonzero(counts[dense] > 1)
     k = 1
     while len(active):
@@ -69,7 +72,7 @@ def longest_repeats(ranks: np.ndarray) -> np.ndarray:
         sizes = np.diff(np.r_[head, len(at)])
         rank = rank.copy()
         rank[at] = group + np.repeat(in_group[head], sizes)
-        rounds.append(rank)
+        rounds.append(rank.astype(small))
         active = np.sort(at[np.repeat(sizes, sizes) > 1])
         k *= 2
     if not len(repeated):
@@ -122,7 +125,7 @@ def measure(texts: list[str], limits: Limits) -> list[tuple]:
         full = [x for x in t.split("\n") if x.strip(WS)]
         failed = n < MIN_WORDS or 100 * n3 > MAX_REPEAT_PERCENT * n
         kept = not failed and cov <= limits.max_covered * n and longest <= limits.max_longest
-        out.append((n, len(t) - sum(map(t.count, WS)), sum(map(t.count, SYMBOLS)), len(full) - len(set(full)), n3, cov, longest, failed, kept))
+        out.append((n, len(t) - sum(map(t.count, WS)), sum(map(t.count, SYMBOLS)), len(full) - len(set(full)), n3, failed, kept, cov, longest))
         begin = end
     return out
 
@@ -160,11 +163,14 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", limits: Limits = Limits()) -> DataFrame:
-    """The rows of ``docs``, all their columns, that the rules keep; no shuffle."""
+    """The rows of ``docs``, all their columns, that the rules keep; no shuffle.
+
+    Null and empty texts have no words and go; repeated rows stay or go together; an empty table gives an empty result.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = list(measured((t or "" for (t,) in rows_of(iter([batch]), text_col)), limits))
-            yield batch.filter(pa.array([x[-1] for x in found], pa.bool_()))
+            yield batch.filter(pa.array([x[KEPT] for x in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
