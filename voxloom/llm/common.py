@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -17,12 +18,12 @@ WS_CLASS = r"[\x20\x09-\x0D]"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one where it is unset (tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``; where it is unset and all runs in one process (tests), a temporary one."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
         at = spark.sparkContext.getCheckpointDir()
     if not at:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         at = tempfile.mkdtemp(prefix="voxloom-")
         spark.sparkContext.setCheckpointDir(at)
@@ -77,6 +78,14 @@ def small_batches(spark: SparkSession, most: int = 1024) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer by underscores until no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_of(col: str) -> Column:
     """A text column; null is empty."""
     return F.coalesce(F.col(col).cast("string"), F.lit(""))

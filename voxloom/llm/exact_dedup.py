@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WS_CLASS, text_of
+from .common import WS_CLASS, free_name, text_of
 
 #: More than any tie value below.
 _BASE = str(2**65)
@@ -77,15 +77,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 8) -> DataFrame:
     """One row of each group, with all columns of ``docs``: that which stays.
 
-    Of rows that repeat the id that stays, one stays.
+    Null texts form one group with empty ones and those of white space only.  Of rows that repeat the id that stays, one
+    with the longest text stays.  An empty table gives an empty result; no name of a column is taken.
     """
+    digest, number, null, nth = (free_name(docs, x) for x in ("digest", "number", "null", "nth"))
     # joined by digest and id at once: the rows of a large group spread over all tasks, and the same keys serve the window
-    key = lambda x: (F.coalesce(x, F.lit(0)).alias("__id"), x.isNull().alias("__null"))
-    won = winners(docs, id_col, text_col, salts).select(F.col("digest").alias("__digest"), *key(F.col("keep_id")))
-    rows = docs.select("*", F.sha2(normalised(text_of(text_col)), 256).alias("__digest"), *key(F.col(id_col).cast("long")))
-    at = ["__digest", "__id", "__null"]
-    one = F.row_number().over(Window.partitionBy(*at).orderBy(F.length(text_of(text_col)).desc()))
-    return rows.join(won, at).withColumn("__nth", one).where(F.col("__nth") == 1).select(*docs.columns)
+    key = lambda x: (F.coalesce(x, F.lit(0)).alias(number), x.isNull().alias(null))
+    won = winners(docs, id_col, text_col, salts).select(F.col("digest").alias(digest), *key(F.col("keep_id")))
+    rows = docs.select("*", F.sha2(normalised(text_of(text_col)), 256).alias(digest), *key(F.col(id_col).cast("long")))
+    at = [digest, number, null]
+    one = F.row_number().over(Window.partitionBy(*at).orderBy(F.length(text_of(text_col)).desc(), text_of(text_col)))
+    return rows.join(won, at).withColumn(nth, one).where(F.col(nth) == 1).select(*docs.columns)
 
 
 ORACLE_SQL = r"""

@@ -3,7 +3,7 @@ r"""Secret scan with an incremental blob ledger, in DataFrame operations only.
 Every historical version of every path is addressed by the SHA-256 of its content.  The ledger is a table of
 (blob_id, rule_version, spans) for every blob that a rule version has scanned, blobs without findings included;
 a run scans only the (blob, rule version) pairs that the ledger lacks, appends them, and joins the ledger back
-to all paths that hold the blob.  Copies are scanned once and an unchanged corpus is not scanned again.
+to all paths that hold the blob.  A rule version is a digest of the rules themselves.  Copies are scanned once and an unchanged corpus is not scanned again.
 
 Spans are found without a UDF: ``split`` gives the gaps between the matches of a pattern and
 ``regexp_extract_all`` the matches, so a running sum of their lengths gives every match's place.
@@ -11,12 +11,13 @@ Spans are found without a UDF: ``split`` gives the gaps between the matches of a
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_path, text_of
+from .common import free_name, fresh_path, text_of
 
 
 @dataclass(frozen=True)
@@ -35,7 +36,6 @@ RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 16),
     Rule("hex", r"[0-9a-f]{32,}", 0, 32),
 )
-RULE_VERSION = "base-1"
 LEDGER_SCHEMA = "blob_id string, rule_version string, spans array<struct<start:long,rank:int,kind:string,end:long>>"
 MASK = "[SECRET]"
 
@@ -63,56 +63,81 @@ def find_spans(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return ends.groupBy("blob_id").agg(F.array_sort(F.collect_list(F.when(F.col("ok"), span))).alias("spans"))
 
 
-def addressed(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``__text`` (null: empty) and ``__blob_id``."""
-    return docs.withColumn("__text", text_of(text_col)).withColumn("__blob_id", F.sha2("__text", 256))
+def version_of(rules: tuple[Rule, ...]) -> str:
+    """The version of a set of rules: a digest of all that decides their spans, so changed rules never meet old findings."""
+    return hashlib.sha256(repr([(r.kind, r.pattern, r.counted, r.least) for r in rules]).encode()).hexdigest()[:16]
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+def blob_id(text: Column) -> Column:
+    """The address of a content; null is empty."""
+    return F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256)
 
 
-def update_ledger(versions: DataFrame, path: str, rules: tuple[Rule, ...] = RULES, rule_version: str = RULE_VERSION, text_col: str = "text") -> DataFrame:
-    """Scans the blobs of ``versions`` that the ledger at ``path`` lacks for ``rule_version``; returns the ledger.
+def read_ledger(spark: SparkSession, path: str, rule_version: str) -> DataFrame:
+    """(blob_id, spans) of a rule version, each blob once, also where two runs that met wrote it twice."""
+    return spark.read.schema(LEDGER_SCHEMA).parquet(path).where(F.col("rule_version") == rule_version).groupBy("blob_id").agg(F.max("spans").alias("spans"))
 
-    The anti join goes before the scan; equal blobs merge map-side first, so a blob that a third of all paths
-    hold costs a row of each task.
+
+def update_ledger(versions: DataFrame, path: str, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
+    """Scans the blobs of ``versions`` that the ledger at ``path`` lacks for these rules; returns (blob_id, spans) of the ledger.
+
+    Digests are compared before any text moves: where the ledger knows some blobs, only rows of unknown ones go on.  Equal
+    blobs merge map-side first, so a blob that a third of all paths hold costs a row of each task.  The ledger is made
+    where it is missing, also for an empty table.
     """
-    spark = versions.sparkSession
-    blobs = addressed(versions, text_col).select(F.col("__blob_id").alias("blob_id"), F.col("__text").alias("text")).distinct()
+    spark, version = versions.sparkSession, version_of(rules)
+    text = text_of(text_col)
+    blobs = versions.select(blob_id(text).alias("blob_id"), text.alias("text"))
     spark.createDataFrame([], LEDGER_SCHEMA).write.mode("append").parquet(path)
-    seen = read_ledger(spark, path).where(F.col("rule_version") == rule_version).select("blob_id")
-    new = find_spans(blobs.join(seen, "blob_id", "left_anti"), rules)
-    new.select("blob_id", F.lit(rule_version).alias("rule_version"), "spans").write.mode("append").parquet(path)
-    return read_ledger(spark, path).where(F.col("rule_version") == rule_version)
+    seen = spark.read.schema(LEDGER_SCHEMA).parquet(path).where(F.col("rule_version") == version).select("blob_id")
+    if not seen.isEmpty():
+        unseen = blobs.select("blob_id").distinct().join(seen, "blob_id", "left_anti")
+        blobs = blobs.join(unseen, "blob_id", "left_semi")
+    new = find_spans(blobs.distinct(), rules)
+    new.select("blob_id", F.lit(version).alias("rule_version"), "spans").write.mode("append").parquet(path)
+    return read_ledger(spark, path, version)
+
+
+def scan(docs: DataFrame, ledger_path: str | None = None, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text", also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns ``also`` (a path and a version, say), blob_id, spans for every row of ``docs``.
+
+    Every row is a version of its path.  With ``ledger_path`` only blobs that no run with these rules has seen are scanned;
+    without, a new ledger is begun in the shared folder.  Null texts are empty and have no spans; repeated rows each get
+    their row; ids may repeat or be null; an empty table gives an empty result; columns not named are not read.
+    """
+    ledger = update_ledger(docs, ledger_path or fresh_path(docs.sparkSession, "ledger"), rules, text_col)
+    rows = docs.select(F.col(id_col).alias("doc_id"), *also, blob_id(F.col(text_col)).alias("blob_id"))
+    return rows.join(ledger, "blob_id").select("doc_id", *also, "blob_id", "spans")
+
+
+def masked(text: Column, spans: Column, mask: str = MASK) -> Column:
+    """``text`` with a mask for every span of ``spans`` (ordered by start); overlapping spans make one."""
+    # runs of spans that overlap: small structs only, the text is cut once for each run
+    empty = F.expr("cast(array() as array<struct<start:long,end:long>>)")
+
+    def step(runs: Column, s: Column) -> Column:
+        last = F.get(runs, F.size(runs) - 1)
+        inside = F.coalesce(s["start"] < last["end"], F.lit(False))
+        longer = F.concat(F.slice(runs, F.lit(1), F.size(runs) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))))
+        return F.when(inside, longer).otherwise(F.concat(runs, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end")))))
+
+    runs = F.aggregate(spans, empty, step)
+    ends = F.concat(F.array(F.lit(0).cast("long")), F.transform(runs, lambda r: r["end"]))
+    gap = lambda r, i: F.substring(text, (F.get(ends, i) + 1).cast("int"), (r["start"] - F.get(ends, i)).cast("int"))
+    return F.concat(F.concat_ws("", F.transform(runs, lambda r, i: F.concat(gap(r, i), F.lit(mask)))), F.substring(text, (F.get(ends, F.size(runs)) + 1).cast("int"), F.length(text)))
 
 
-def scan(docs: DataFrame, ledger_path: str | None = None, rules: tuple[Rule, ...] = RULES, rule_version: str = RULE_VERSION, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, blob_id, spans for every row of ``docs``.
+def redact(docs: DataFrame, ledger_path: str | None = None, rules: tuple[Rule, ...] = RULES, text_col: str = "text", mask: str = MASK) -> DataFrame:
+    """``docs``, all columns and rows, with every span of ``text_col`` replaced by ``mask``; overlapping spans make one mask.
 
-    Without ``ledger_path`` a new ledger is begun in the shared folder.  Null texts are empty and have no spans;
-    repeated rows each get their row; an empty table gives an empty result; further columns are not read.
+    A text without spans stays as it is, null and empty ones too; repeated rows stay repeated; ids play no part; an
+    empty table gives an empty result; no name of a column is taken.
     """
-    path = ledger_path or fresh_path(docs.sparkSession, "ledger")
-    ledger = update_ledger(docs, path, rules, rule_version, text_col)
-    rows = addressed(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).select("doc_id", F.col("__blob_id").alias("blob_id"))
-    return rows.join(ledger.select("blob_id", "spans"), "blob_id")
-
-
-def redact(docs: DataFrame, ledger_path: str | None = None, rules: tuple[Rule, ...] = RULES, rule_version: str = RULE_VERSION, text_col: str = "text", mask: str = MASK) -> DataFrame:
-    """``docs``, all columns, with every span of ``text_col`` replaced by ``mask``; overlapping spans make one mask."""
-    path = ledger_path or fresh_path(docs.sparkSession, "ledger")
-    ledger = update_ledger(docs, path, rules, rule_version, text_col).where(F.size("spans") > 0)
-    found = ledger.select(F.col("blob_id").alias("__blob_id"), F.col("spans").alias("__spans"))
-    rows = addressed(docs, text_col).join(found, "__blob_id", "left")
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        out = F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substring(F.col("__text"), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(mask))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
-
-    clean = F.aggregate("__spans", start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("__text"), (acc["at"] + 1).cast("int"), F.length("__text"))))
-    return rows.withColumn(text_col, F.when(F.col("__spans").isNotNull(), clean).otherwise(F.col(text_col))).select(*docs.columns)
+    ledger = update_ledger(docs, ledger_path or fresh_path(docs.sparkSession, "ledger"), rules, text_col).where(F.size("spans") > 0)
+    blob, spans = free_name(docs, "blob_id"), free_name(docs, "spans")
+    rows = docs.withColumn(blob, blob_id(F.col(text_col))).join(ledger.select(F.col("blob_id").alias(blob), F.col("spans").alias(spans)), blob, "left")
+    clean = F.when(F.col(spans).isNotNull(), masked(F.col(text_col).cast("string"), F.col(spans), mask)).otherwise(F.col(text_col))
+    return rows.withColumn(text_col, clean).select(*docs.columns)
 
 
 def digest(scanned: DataFrame) -> DataFrame:
