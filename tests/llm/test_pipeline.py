@@ -69,3 +69,28 @@ def test_near_keeps_one_of_each_component(spark):
         kept.append({(r.doc_id, r.text) for r in got.collect()})
         assert got.count() == len(want) and all(len(kept[-1] & one) == 1 for one in want)
     assert kept[0] == kept[1]
+
+
+def test_stages_of_an_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        assert out.count() == 0 and (name == "packing" or out.columns == docs.columns)
+
+
+def test_stages_of_odd_rows(spark):
+    """Nulls in every column, empty and repeated rows, a clashing name."""
+    words = " ".join(f"w{i}" for i in range(80))
+    rows = [(1, words, None, None, None, 7), (1, words, None, None, None, 7), (None, words + " x", "en", "s", 1, 8), (2, None, None, "s", None, 9), (3, "", "en", None, 0, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, row int")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept[name] = sorted(str((r.doc_id, None if r.text is None else len(r.text), r.row)) for r in stage(spark, docs, SF).collect())
+    two, more = str((1, len(words), 7)), str((None, len(words) + 2, 8))
+    nothing = [str((2, None, 9)), str((3, 0, 9))]
+    assert kept["quality"] == sorted([two, two, more])
+    assert kept["exact"] == sorted([two, more, nothing[0]])
+    assert kept["near"] == sorted([two, *nothing])
+    assert kept["secrets"] == sorted([two, two, more, *nothing])
+    packed = corpus_pipeline.packed(spark, docs, SF)
+    assert packed.count() == 5
