@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 SPACES = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 WORD = r"\p{L}\p{N}_"
 
+#: The same white space as characters, and what F1 drops of ASCII.
+SPACE_CHARS = "".join(map(chr, (*range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+ASCII_DROPPED = "".join(c for c in map(chr, range(128)) if not (c.isalnum() or c == "_" or c in SPACE_CHARS))
+
 #: Seconds a word by language, and limits.
 SECONDS_PER_WORD = {"en": 0.35, "de": 0.45, "nl": 0.35}
 DEFAULT_SECONDS_PER_WORD = 0.35
@@ -36,10 +40,16 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, f"^[{SPACES}]+|[{SPACES}]+$", "")
 
 
+def normal_words(text: Column) -> Column:
+    """The words of F1's text.  ASCII is cleaned by ``translate``; only a text with other letters meets the regular expression."""
+    low = F.translate(F.lower(text), ASCII_DROPPED, "")
+    bare = F.when(F.octet_length(low) == F.length(low), low).otherwise(F.regexp_replace(low, f"[^{WORD}{SPACES}]", ""))
+    return F.array_remove(F.split(F.translate(bare, SPACE_CHARS, " " * len(SPACE_CHARS)), " "), "")
+
+
 def normalize_text(text: Column) -> Column:
     """lower case, punctuation dropped, white space collapsed."""
-    bare = F.regexp_replace(F.lower(text), f"[^{WORD}{SPACES}]", "")
-    return strip(F.regexp_replace(bare, f"[{SPACES}]+", " "))
+    return F.array_join(normal_words(text), " ")
 
 
 def word_list(text: Column) -> Column:

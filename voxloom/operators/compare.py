@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import DEFAULT_SECONDS_PER_WORD, duration_ratio, max_duration, normalize_text, word_count, word_list, word_seconds
+from ..functions import text as T
+from ..functions.text import DEFAULT_SECONDS_PER_WORD, duration_ratio, max_duration, word_count, word_seconds
 
 #: The limits of each flag.
 MIN_OVERLAP, LONG_RATIO, SHORT_RATIO, DURATION_RATIO, SILENT_SECONDS, MIN_MOS, MIN_SIMILARITY = 0.7, 1.4, 0.5, 2.0, 0.5, 3.5, 0.75
@@ -13,7 +14,7 @@ assert DEFAULT_SECONDS_PER_WORD > 0
 
 
 def normal_words(text: Column) -> Column:
-    return word_list(normalize_text(F.coalesce(text, F.lit(""))))
+    return T.normal_words(F.coalesce(text, F.lit("")))
 
 
 def extra_at_start(expected: Column, actual: Column) -> Column:
@@ -42,25 +43,34 @@ def length_ratio(expected: Column, actual: Column) -> Column:
     return F.size(actual) / F.greatest(F.size(expected), F.lit(1))
 
 
-def text_flags(expected: Column, actual: Column) -> Column:
-    """The names of the flags, in their order, of two word arrays."""
-    ratio, share = length_ratio(expected, actual), overlap_share(expected, actual)
+def measure_flags(extra_start: Column, extra_end: Column, share: Column, ratio: Column) -> Column:
+    """The names of the flags, in their order, of the four measures."""
     return F.array_compact(
         F.array(
-            F.when(extra_at_start(expected, actual) > 1, "HALLUCINATION_START"),
-            F.when(extra_at_end(expected, actual) > 0, "HALLUCINATION_END"),
+            F.when(extra_start > 1, "HALLUCINATION_START"),
+            F.when(extra_end > 0, "HALLUCINATION_END"),
             F.when(share < MIN_OVERLAP, "LOW_OVERLAP"),
             F.when(ratio > LONG_RATIO, "TOO_LONG").when(ratio < SHORT_RATIO, "TOO_SHORT"),
         )
     )
 
 
+def text_flags(expected: Column, actual: Column) -> Column:
+    """C5 of two word arrays."""
+    return measure_flags(extra_at_start(expected, actual), extra_at_end(expected, actual), overlap_share(expected, actual), length_ratio(expected, actual))
+
+
+def compare_words(pairs: DataFrame, expected: str = "expected_words", actual: str = "actual_words") -> DataFrame:
+    """``pairs`` of word arrays (F1's) with the measures of C1 to C4, flags and ok; the arrays go."""
+    e, t = F.col(expected), F.col(actual)
+    kept = [c for c in pairs.columns if c not in (expected, actual)]
+    rows = pairs.select(*kept, extra_at_start(e, t).alias("extra_start"), extra_at_end(e, t).alias("extra_end"), overlap_share(e, t).alias("overlap"), length_ratio(e, t).alias("ratio"))
+    return rows.withColumn("flags", measure_flags(F.col("extra_start"), F.col("extra_end"), F.col("overlap"), F.col("ratio"))).withColumn("ok", F.size("flags") == 0)
+
+
 def compare(pairs: DataFrame, expected: str = "expected", actual: str = "actual") -> DataFrame:
     """``pairs`` with the measures of C1 to C4, flags and ok; null texts are empty."""
-    rows = pairs.withColumn("__e", normal_words(F.col(expected))).withColumn("__t", normal_words(F.col(actual)))
-    e, t = F.col("__e"), F.col("__t")
-    rows = rows.select(*pairs.columns, extra_at_start(e, t).alias("extra_start"), extra_at_end(e, t).alias("extra_end"), overlap_share(e, t).alias("overlap"), length_ratio(e, t).alias("ratio"), text_flags(e, t).alias("flags"))
-    return rows.withColumn("ok", F.size("flags") == 0)
+    return compare_words(pairs.withColumn("__e", normal_words(F.col(expected))).withColumn("__t", normal_words(F.col(actual))), "__e", "__t")
 
 
 def duration_flag(duration: Column, words: Column, seconds_per_word: Column) -> Column:
@@ -86,24 +96,32 @@ def status(exists: Column, early: Column, transcription: Column, flags: Column)
 def validate(rows: DataFrame) -> DataFrame:
     """C9 for rows (exists, duration, language, expected, transcription, seconds_per_word, mos, similarity, language_match).
 
-    Adds status and issues.  The cheap duration flag is a column of its own, so a caller can filter by it before an
-    expensive transcription fills ``transcription``.
+    Adds status and issues.  Rows that a missing file or the cheap duration flag settles have their texts cut to nothing
+    before the comparison, so nothing of them is normalised.  Rows that bring ``expected_words`` and ``actual_words`` (F1's
+    words) and ``words`` (F2) instead of the two texts are not normalised again.
     """
-    words = word_count(F.col("expected"))
-    early = duration_flag(F.col("duration"), words, F.col("seconds_per_word"))
-    # columns of their own: inside array lambdas an expression would be evaluated for every element
-    marked = rows.withColumn("__e", normal_words(F.col("expected"))).withColumn("__t", normal_words(F.col("transcription")))
+    given = "expected_words" in rows.columns
+    words = F.col("words") if given else word_count(F.col("expected"))
+    early = rows.withColumn("__words", words).withColumn("__early", duration_flag(F.col("duration"), F.col("__words"), F.col("seconds_per_word")))
+    e, t = ("expected_words", "actual_words") if given else ("expected", "transcription")
+    heard = F.col(t).isNotNull()
+    asked = F.col("exists") & F.col("__early").isNull() & heard
+    sides = [F.when(asked, F.col(x) if given else normal_words(F.col(x))) for x in (e, t)]
+    # measures in columns of their own: each is computed once
+    marked = early.select("*", asked.alias("__asked"), heard.alias("__heard"), *(x.alias(k) for x, k in zip(sides, ("__e", "__t"), strict=True)))
+    a, b = F.col("__e"), F.col("__t")
+    marked = marked.select("*", extra_at_start(a, b).alias("__start"), extra_at_end(a, b).alias("__end"), overlap_share(a, b).alias("__share"), length_ratio(a, b).alias("__ratio"))
     late = F.concat(
-        text_flags(F.col("__e"), F.col("__t")),
-        F.array_compact(F.array(slow_flag(F.col("duration"), words, F.col("language")))),
+        measure_flags(F.col("__start"), F.col("__end"), F.col("__share"), F.col("__ratio")),
+        F.array_compact(F.array(slow_flag(F.col("duration"), F.col("__words"), F.col("language")))),
         quality_flags(F.col("mos"), F.col("similarity"), F.col("language_match")),
     )
-    marked = marked.withColumn("__early", early).withColumn("__late", late)
-    kind = status(F.col("exists"), F.col("__early"), F.col("transcription"), F.col("__late"))
+    marked = marked.withColumn("__late", late)
+    kind = status(F.col("exists"), F.col("__early"), F.when(F.col("__heard"), F.lit("")), F.col("__late"))
     issues = (
         F.when(~F.col("exists"), F.array(F.lit("FILE_NOT_FOUND")))
         .when(F.col("__early").isNotNull(), F.array("__early"))
-        .when(F.col("transcription").isNull(), F.array(F.lit("TRANSCRIPTION_FAILED")))
+        .when(~F.col("__heard"), F.array(F.lit("TRANSCRIPTION_FAILED")))
         .otherwise(F.col("__late"))
     )
     return marked.select(*rows.columns, kind.alias("status"), issues.alias("issues"))

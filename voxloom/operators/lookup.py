@@ -106,10 +106,11 @@ def revalidation(manifest: DataFrame, previous: DataFrame, key: str = "file") ->
 
 def with_files(entries: DataFrame, listing: DataFrame, key: str) -> DataFrame:
     """``entries`` (key, index, file) with the file found: by name, else the first whose name begins with the index."""
-    exact = listing.select(key, F.col("file").alias("__exact"))
+    # names of their own: entries and listing may come from one table
+    exact = listing.select(F.col(key).alias("__k"), F.col("file").alias("__exact"))
     prefix = listing.select(key, "file", F.regexp_extract("file", r"^(\d{3,})_", 1).alias("__p")).where("__p <> ''").groupBy(key, "__p").agg(F.min("file").alias("__first"))
     rows = entries.withColumn("__p", F.format_string("%03d", F.col("index")))
-    rows = rows.join(exact, (rows[key] == exact[key]) & (rows["file"] == exact["__exact"]), "left").drop(exact[key])
+    rows = rows.join(exact, (F.col(key) == F.col("__k")) & (F.col("file") == F.col("__exact")), "left").drop("__k")
     rows = rows.join(prefix, [key, "__p"], "left")
     found = F.coalesce("__exact", "__first")
     return rows.select(*entries.columns, found.alias("found"), F.when(found.isNull(), "MISSING").otherwise("OK").alias("status"))

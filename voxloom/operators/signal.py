@@ -16,6 +16,12 @@ from pyspark.sql import functions as F
 from ..functions.text import db_to_linear
 
 
+#: Samples redrawn on each side of a jump, the window of the silence search and what stays of it before and after.
+REPAIR, WINDOW_S, LEAD_S, TRAIL_S = 3, 0.01, 0.005, 0.02
+#: Early reflections of a room (milliseconds, gain), and how often its noise falls by a factor of e.
+REFLECTIONS, DECAY = ((5, 0.4), (12, 0.25), (20, 0.15), (35, 0.1)), 6
+
+
 def silences(signal: DataFrame, key: str, rate: int, noise_db: float = -40.0, min_seconds: float = 0.3) -> DataFrame:
     """(key, start, end, duration) in seconds of runs below the threshold."""
     window = Window.partitionBy(key).orderBy("idx")
@@ -124,35 +130,47 @@ def click_places(x: np.ndarray, threshold: float) -> np.ndarray:
 
 
 def click_repair(x: np.ndarray, threshold: float = 0.15) -> np.ndarray:
-    """A straight line over three samples on each side of every jump, jump after jump on the repaired signal."""
-    out = x.copy()
-    for i in click_places(x, threshold):
-        a, b = max(0, i - 3), min(len(out), i + 4)
-        if b - a >= 2:
-            out[a:b] = np.linspace(out[a], out[b - 1], b - a, dtype=np.float32)
-    return out
+    """What lies within three samples of a jump is redrawn as a straight line between the samples that stay.
+
+    Jumps whose surroundings meet share one line; the first and the last sample always stay.
+    """
+    jumps = np.flatnonzero(np.abs(np.diff(x)) > threshold)
+    if not len(jumps):
+        return x.copy()
+    edge = np.zeros(len(x) + 8, np.int64)
+    np.add.at(edge, np.maximum(jumps - REPAIR + 1, 0), 1)
+    np.add.at(edge, jumps + REPAIR, -1)
+    redrawn = np.cumsum(edge)[: len(x)] > 0
+    redrawn[[0, -1]] = False
+    at = np.arange(len(x))
+    return np.interp(at, at[~redrawn], x[~redrawn]).astype(np.float32)
+
+
+def quiet_head(x: np.ndarray, w: int, level: float) -> int | None:
+    """The windows of ``w`` samples before the first that is louder than ``level``; None without one.  The last window's start stays free."""
+    k = -(-(len(x) - w) // w)
+    if k <= 0:
+        return None
+    loud = np.abs(x[: k * w]).reshape(k, w).max(1) > level
+    return int(loud.argmax()) if loud.any() else None
 
 
 def trimmed(x: np.ndarray, rate: int, db: float = -35.0) -> np.ndarray:
-    """W20, W21 on an array."""
-    level, w = 10 ** (db / 20), max(1, int(rate * 0.01))
-    for from_front in (True, False):
-        n = len(x)
-        starts = np.arange(0, n - w, w) if from_front else np.arange(n - w, 0, -w)
-        loud = next((int(i) for i in starts if np.abs(x[i : i + w]).max() > level), None)
-        if loud is not None:
-            x = x[max(0, loud - int(rate * 0.005)) :] if from_front else x[: min(n, loud + w + int(rate * 0.02))]
-    return x
+    """W20, W21 on an array: the bounds of ``trim_bounds``, from the window maxima of the signal and of its mirror image."""
+    w, n, level = max(1, int(rate * WINDOW_S)), len(x), 10 ** (db / 20)
+    head, tail = quiet_head(x, w, level), quiet_head(x[::-1], w, level)
+    first = 0 if head is None else max(0, head * w - int(rate * LEAD_S))
+    end = n if tail is None else min(n, n - tail * w + int(rate * TRAIL_S))
+    return x[first:end]
 
 
 def faded(x: np.ndarray, rate: int, fade_ms: int = 8) -> np.ndarray:
-    """W22 on an array."""
-    f, out = int(rate * fade_ms / 1000), x.copy()
-    if len(out) > 2 * f > 0:
-        ramp = np.linspace(0, 1, f, dtype=np.float32)
-        out[:f] *= ramp
-        out[-f:] *= ramp[::-1]
-    return out
+    """W22 on an array: a gain that grows with the distance to the nearer end."""
+    f, n = int(rate * fade_ms / 1000), len(x)
+    if not n > 2 * f > 0:
+        return x.copy()
+    at = np.arange(n)
+    return (x * np.clip(np.minimum(at, n - 1 - at) / max(1, f - 1), 0, 1)).astype(np.float32)
 
 
 def frames(x: np.ndarray, size: int, hop: int) -> np.ndarray:
@@ -198,24 +216,35 @@ def analyze_voices(signals: DataFrame) -> DataFrame:
     return rows.select("file", F.round(F.size("samples") / F.col("sr"), 1).alias("duration"), F.round("f0", 1).alias("f0"), F.round("centroid", 1).alias("centroid"))
 
 
+def counter_noise(n: int, seed: int) -> np.ndarray:
+    """Normal numbers, the i-th a function of (seed, i) alone: a mixed counter gives two uniform numbers."""
+    with np.errstate(over="ignore"):
+        h = (np.arange(2 * n, dtype=np.uint64) + np.uint64(seed << 40)) * np.uint64(0x9E3779B97F4A7C15)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+    u = ((h ^ (h >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / (1 << 53)
+    return np.sqrt(-2 * np.log1p(-u[:n])) * np.cos(2 * np.pi * u[n:])
+
+
 def room_response(rate: int, decay: float = 0.15, seed: int = 42) -> np.ndarray:
-    """D3: noise that decays, with four early reflections; its peak is 1."""
+    """D3: the early reflections as taps, on noise that decays; its peak is 1."""
     n = int(rate * decay)
-    out = np.random.default_rng(seed).standard_normal(n).astype(np.float32) * np.exp(-np.linspace(0, 6, n)).astype(np.float32)
-    for delay_ms, gain in ((5, 0.4), (12, 0.25), (20, 0.15), (35, 0.1)):
-        if (at := int(rate * delay_ms / 1000)) < n:
-            out[at] += gain
-    top = np.abs(out).max(initial=0)
-    return out / top if top > 0 else out
+    if not n:
+        return np.zeros(0)
+    places = np.array([int(rate * ms / 1000) for ms, _ in REFLECTIONS])
+    gains = np.array([g for _, g in REFLECTIONS])
+    taps = np.bincount(places[places < n], gains[places < n], n)
+    out = taps + counter_noise(n, seed) * np.exp(-DECAY * np.arange(n) / max(1, n - 1))
+    return out / np.abs(out).max()
 
 
 def reverb(x: np.ndarray, response: np.ndarray, mix: float = 0.02) -> np.ndarray:
-    """A share of the signal's convolution with the room."""
-    if not len(x):
+    """One filter in the frequency domain, the direct sound's share plus the room's."""
+    if not len(x) or not len(response):
         return x
     size = 1 << (len(x) + len(response) - 2).bit_length()
-    wet = np.fft.irfft(np.fft.rfft(x, size) * np.fft.rfft(response, size), size)[: len(x)]
-    return (x * (1 - mix) + wet * mix).astype(np.float32)
+    both = (1 - mix) + mix * np.fft.rfft(response, size)
+    return np.fft.irfft(np.fft.rfft(x, size) * both, size)[: len(x)].astype(np.float32)
 
 
 def resampled(x: np.ndarray, rate: int, to: int) -> np.ndarray:
@@ -236,22 +265,28 @@ def prepared_line(x: np.ndarray, rate: int, to: int = 24_000, db: float = 0.0, m
 
 
 def clean(signals: DataFrame, threshold: float = 0.15, fade_ms: int = 8, trim: bool = True, dry_run: bool = False) -> DataFrame:
-    """``signals`` (file, samples, sr) with cleaned, clicks, original_duration, cleaned_duration, trimmed_ms."""
+    """``signals`` (file, samples, sr) with cleaned, clicks, original_duration, cleaned_duration, trimmed_ms.
 
-    def run(x: np.ndarray, rate: int) -> list:
-        repaired = click_repair(x, threshold)
-        cut = trimmed(repaired, rate) if trim else repaired
-        return faded(cut, rate, fade_ms).tolist()
+    A dry run tells what would be cut of the signal as it is, and leaves it.
+    """
 
-    def groups(x: np.ndarray, rate: int) -> int:
+    def one(x: np.ndarray, rate: int) -> tuple:
         at = click_places(x, threshold)
-        return int(len(at) > 0) + int((np.diff(at) >= max(1, int(rate * 0.005))).sum())
+        clicks = int(len(at) > 0) + int((np.diff(at) >= max(1, int(rate * 0.005))).sum())
+        base = x if dry_run else click_repair(x, threshold)
+        cut = trimmed(base, rate) if trim else base
+        return clicks, len(base) - len(cut), None if dry_run else faded(cut, rate, fade_ms).tolist()
+
+    @F.pandas_udf("clicks int, cut long, cleaned array<float>")
+    def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for samples, rates in parts:
+            found = [(None, None, None) if x is None else one(np.asarray(x, np.float32), int(r)) for x, r in zip(samples, rates, strict=True)]
+            yield pd.DataFrame(found, columns=["clicks", "cut", "cleaned"], dtype=object)
 
-    rows = mapped(mapped(signals, groups, "clicks", "int"), run, "cleaned", "array<float>")
-    cut = mapped(rows, lambda x, rate: len(x) - len(trimmed(x if dry_run else click_repair(x, threshold), rate)) if trim else 0, "__cut", "long")
-    out = cut.withColumn("trimmed_ms", F.round(F.col("__cut") * 1000 / F.col("sr"), 1)).drop("__cut")
-    out = out.withColumn("cleaned", F.col("samples") if dry_run else F.col("cleaned"))
-    return out.withColumn("original_duration", F.round(F.size("samples") / F.col("sr"), 3)).withColumn("cleaned_duration", F.round(F.size("cleaned") / F.col("sr"), 3))
+    rows = signals.withColumn("__made", run("samples", "sr"))
+    cleaned = F.col("samples") if dry_run else F.col("__made.cleaned")
+    rows = rows.select(*signals.columns, F.col("__made.clicks").alias("clicks"), cleaned.alias("cleaned"), F.round(F.col("__made.cut") * 1000 / F.col("sr"), 1).alias("trimmed_ms"))
+    return rows.withColumn("original_duration", F.round(F.size("samples") / F.col("sr"), 3)).withColumn("cleaned_duration", F.round(F.size("cleaned") / F.col("sr"), 3))
 
 
 def crossfaded(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -312,25 +347,36 @@ def loudness(x: np.ndarray) -> float:
 
 
 def envelope(x: np.ndarray, rate: int, attack_ms: float, release_ms: float) -> np.ndarray:
-    """A level that follows the signal, fast up and slow down."""
-    up, down = np.exp(-1000 / (rate * attack_ms)), np.exp(-1000 / (rate * release_ms))
-    out, level = np.empty(len(x), np.float64), 0.0
-    for i, v in enumerate(np.abs(x).tolist()):
+    """A level that follows the signal, fast up and slow down.
+
+    It follows the peaks of milliseconds and is a straight line between them, so it may be off by the change in one
+    millisecond; a loop over samples would take as many steps as a millisecond has samples more.
+    """
+    if not len(x):
+        return np.zeros(0)
+    w = max(1, rate // 1000)
+    tops = np.maximum.reduceat(np.abs(x), np.arange(0, len(x), w))
+    up, down = (np.exp(-1000 * w / (rate * ms)) for ms in (attack_ms, release_ms))
+    out, level = [], 0.0
+    for v in tops.tolist():
         level = v + (up if v > level else down) * (level - v)
-        out[i] = level
-    return out
+        out.append(level)
+    return np.interp(np.arange(len(x)), np.arange(len(out)) * w + (w - 1) / 2, out)
 
 
-def biquad(x: np.ndarray, b: tuple[float, float, float], a: tuple[float, float, float]) -> np.ndarray:
-    """A second-order filter."""
-    b0, b1, b2, a1, a2 = (k / a[0] for k in (*b, a[1], a[2]))
-    out = np.empty(len(x), np.float64)
-    s1 = s2 = 0.0
-    for i, v in enumerate(x.tolist()):
-        y = b0 * v + s1
-        s1, s2 = b1 * v - a1 * y + s2, b2 * v - a2 * y
-        out[i] = y
-    return out
+def filtered(x: np.ndarray, rate: int, *sections: tuple[tuple, tuple]) -> np.ndarray:
+    """Second-order sections (b, a) in a row, by their frequency response over the signal and half a second of silence.
+
+    What rings on after that half second, below 1e-9 of a peak for corners of 20 Hz and up, is all that differs from the recursion.
+    """
+    if not len(x):
+        return np.asarray(x, np.float64)
+    size = 1 << (len(x) + rate // 2).bit_length()
+    z = np.exp(-2j * np.pi * np.arange(size // 2 + 1) / size)
+    response = np.ones(len(z), complex)
+    for b, a in sections:
+        response *= np.polyval(b[::-1], z) / np.polyval(a[::-1], z)
+    return np.fft.irfft(np.fft.rfft(x, size) * response, size)[: len(x)]
 
 
 def _shelf(rate: int, hz: float, db: float, high: bool) -> tuple[tuple, tuple]:
@@ -348,10 +394,8 @@ def _highpass(rate: int, hz: float) -> tuple[tuple, tuple]:
 
 def master_chain(x: np.ndarray, rate: int, highpass_hz: float = 80.0, compress: bool = True, gate: bool = True) -> np.ndarray:
     """High pass, low shelf -2 dB at 300, high shelf +1.5 dB at 3000, compressor 3:1 at -18, gate at -40, limiter at -1."""
-    out = biquad(np.asarray(x, np.float64), *_highpass(rate, highpass_hz))
-    out = biquad(out, *_shelf(rate, 300.0, -2.0, False))
-    if rate > 6000:
-        out = biquad(out, *_shelf(rate, 3000.0, 1.5, True))
+    shelves = [_shelf(rate, 300.0, -2.0, False), *([_shelf(rate, 3000.0, 1.5, True)] if rate > 6000 else [])]
+    out = filtered(np.asarray(x, np.float64), rate, *([_highpass(rate, highpass_hz)] if highpass_hz else []), *shelves)
     if compress:
         db = 20 * np.log10(np.maximum(envelope(out, rate, 5.0, 150.0), 1e-10))
         out = out * 10 ** (-np.maximum(db + 18, 0) * (1 - 1 / 3) / 20)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import SPACES, word_count
+from ..functions.text import SPACES, normal_words, word_count
 
 EMOTIONS = ("warm", "curious", "excited", "thoughtful", "calm", "explaining", "surprised", "default", "building", "unlisted")
 BAR = "=" * 20
@@ -83,15 +83,29 @@ PAUSES = """pauses AS (
 totals AS (SELECT user_id, (max(epoch_us(ts)) - min(epoch_us(ts)) + 1000000) / 1e6 AS total FROM events GROUP BY user_id)"""
 
 
-def text_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, kind, expected, actual: a benchmark passage against a document, and documents against changed ones."""
-    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer files than cores, dealt to all of them before costly projections; larger inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if len(df.inputFiles()) < cores else df
+
+
+def word_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, kind, expected_words, actual_words, words (F2 of the expected text): a benchmark passage against a document, and documents against changed ones.
+
+    Every text is normalised once; what is set before or after it has its words set before or after.
+    """
+    docs, items = spread(table(spark, sf_dir, "documents").select("doc_id", "text")), table(spark, sf_dir, "benchmark")
     n = items.count()
-    first = docs.select("doc_id", F.lit("passage").alias("kind"), (F.col("doc_id") % n).alias("item_id"), F.col("text").alias("actual")).join(items.select("item_id", F.col("text").alias("expected")), "item_id")
-    text = F.col("text")
-    kinds = (("same", text), ("led", F.concat(F.lit("welcome back again "), text)), ("cut", F.left(text, (F.length(text) / 2).cast("int"))), ("tail", F.concat(text, F.lit(" and so on and on"))))
-    others = docs.select("doc_id", F.col("text").alias("expected"), F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), t.alias("actual")) for k, t in kinds))).alias("x"))
-    return first.select("doc_id", "kind", "expected", "actual").unionByName(others.select("doc_id", "x.kind", "expected", "x.actual"))
+    text, words = F.col("text"), F.col("w")
+    docs = docs.select("doc_id", normal_words(text).alias("w"), normal_words(F.left(text, (F.length(text) / 2).cast("int"))).alias("half"), word_count(text).alias("words"))
+    passages = items.select(F.col("item_id"), normal_words(F.col("text")).alias("p"), word_count(F.col("text")).alias("passage_words"))
+    both = docs.withColumn("item_id", F.col("doc_id") % n).join(passages, "item_id", "left")
+    said = lambda x: F.array(*map(F.lit, x.split()))
+    kinds = (("same", words), ("led", F.concat(said("welcome back again"), words)), ("cut", F.col("half")), ("tail", F.concat(words, said("and so on and on"))))
+    one = lambda kind, e, t, k: F.struct(F.lit(kind).alias("kind"), e.alias("expected_words"), t.alias("actual_words"), k.alias("words"))
+    each = [one("passage", F.col("p"), words, F.col("passage_words")), *(one(k, words, t, F.col("words")) for k, t in kinds)]
+    rows = both.select("doc_id", F.explode(F.array(*each)).alias("x")).select("doc_id", "x.*")
+    return rows.where((F.col("kind") != "passage") | F.col("expected_words").isNotNull())
 
 
 TEXT_PAIRS = """pairs AS (
@@ -107,8 +121,9 @@ def norm_sql(x: str) -> str:
     return rf"regexp_replace(regexp_replace(regexp_replace(lower({x}), '[^\p{{L}}\p{{N}}_{SPACES}]', '', 'g'), '{S}+', ' ', 'g'), '^{S}+|{S}+$', '', 'g')"
 
 
-WORDS_OF_PAIRS = f"""{TEXT_PAIRS}, w AS (
-  SELECT doc_id, kind, regexp_extract_all({norm_sql("expected")}, '{NS}+') AS e, regexp_extract_all({norm_sql("actual")}, '{NS}+') AS t FROM pairs)"""
+WORDS_OF_PAIRS = f"""{TEXT_PAIRS}, w AS MATERIALIZED (
+  SELECT doc_id, kind, e, t, words, e[len(e)] AS last, len(e) AS ne, len(t) AS nt FROM (
+    SELECT doc_id, kind, regexp_extract_all({norm_sql("expected")}, '{NS}+') AS e, regexp_extract_all({norm_sql("actual")}, '{NS}+') AS t, len(regexp_extract_all(expected, '{NS}+'))::DOUBLE AS words FROM pairs))"""
 
 
 def bits_sql(*parts: str) -> str:

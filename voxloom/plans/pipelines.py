@@ -61,13 +61,13 @@ def realism(silences: DataFrame, totals: DataFrame, lines: DataFrame, key: str,
     return timeline.planned_timeline(plan.realism_plan(turns.join(several, key, "left_semi").join(talk, [key, "turn"], "left"), key, seed), key)
 
 
-def prepare_folder(manifest: DataFrame, signals: DataFrame, volumes: DataFrame, rate: int = 24_000) -> DataFrame:
-    """(file, status, samples): REJECTED paths, MISSING files, prepared lines otherwise.
+def prepare_folder(manifest: DataFrame, signals: DataFrame, volumes: DataFrame, rate: int = 24_000, dry_run: bool = False) -> DataFrame:
+    """(file, status, samples): REJECTED paths, MISSING files, DRY ones of a dry run, prepared lines otherwise.
 
     ``manifest`` (file, speaker), ``signals`` (file, samples, sr), ``volumes`` (speaker, db).
     """
     rows = lookup.speaker_default(manifest, volumes, "db", 0.0).join(signals, "file", "left")
-    status = F.when(path_rejected(F.col("file")), "REJECTED").when(F.col("samples").isNull(), "MISSING").otherwise("OK")
+    status = F.when(path_rejected(F.col("file")), "REJECTED").when(F.col("samples").isNull(), "MISSING").otherwise("DRY" if dry_run else "OK")
     response = signal.mapped(rows.where(status == "OK"), lambda x, sr: signal.prepared_line(x, sr, rate).tolist(), "ready", "array<float>")
     done = response.select("file", F.lit("OK").alias("status"), "ready", "db")
     scaled = done.select("file", "status", F.transform("ready", lambda x: (x * F.pow(F.lit(10.0), F.col("db") / 20)).cast("float")).alias("samples"))

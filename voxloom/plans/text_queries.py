@@ -111,14 +111,6 @@ def html_extract(spark: SparkSession, d: str) -> DataFrame:
     return B.table(spark, d, "pages").select("page_id", T.html_text(F.col("html")).alias("text"))
 
 
-@query("SELECT source, string_agg('--- ' || doc_id || ' ---' || chr(10) || text, chr(10) || chr(10) ORDER BY doc_id) AS text FROM documents GROUP BY source")
-def ingest_concat(spark: SparkSession, d: str) -> DataFrame:
-    """SC4, SC5: the texts of a source, named and in order."""
-    one = F.concat(F.lit("--- "), F.col("doc_id").cast("string"), F.lit(" ---\n"), F.col("text"))
-    rows = B.table(spark, d, "documents").groupBy("source").agg(F.array_sort(F.collect_list(F.struct("doc_id", one.alias("t")))).alias("t"))
-    return rows.select("source", F.concat_ws("\n\n", F.col("t.t")).alias("text"))
-
-
 def _part(rule: str, k: int, x: str = "raw") -> str:
     return f"CASE WHEN regexp_matches({x}, $r${rule}$r$) THEN regexp_extract({x}, $r${rule}$r$, {k}) END"
 
@@ -222,24 +214,23 @@ def silence_log(spark: SparkSession, d: str) -> DataFrame:
     return P.silence_log(logs, "user_id").select("user_id", F.col("nth").cast("long").alias("nth"), T.ms(F.col("start")).alias("start_ms"), T.ms(F.col("end")).alias("end_ms"))
 
 
-LAST = "e[len(e)]"
 MEASURES = f"""{B.WORDS_OF_PAIRS}, m AS (
-  SELECT doc_id, kind, e, t, CASE WHEN len(t) > len(e) THEN coalesce(list_position(t, coalesce(e[1], '')) - 1, len(t)) ELSE 0 END::INT AS extra_start,
-    CASE WHEN len(t) > len(e) + 3 THEN coalesce(len(t) - list_min(list_transform(list_filter(range(1, len(t) + 1), lambda i: t[i] = {LAST}), lambda i: abs(i - len(e)) * 1000000 + i)) % 1000000, 0) ELSE 0 END::INT AS extra_end,
-    CASE WHEN len(e) > 0 THEN len(list_intersect(list_distinct(e), list_distinct(t)))::DOUBLE / len(list_distinct(e)) END AS share, len(t)::DOUBLE / greatest(len(e), 1) AS ratio FROM w),
-f AS (SELECT *, list_filter([CASE WHEN extra_start > 1 THEN 'HALLUCINATION_START' END, CASE WHEN extra_end > 0 THEN 'HALLUCINATION_END' END, CASE WHEN share < 0.7 THEN 'LOW_OVERLAP' END, CASE WHEN ratio > 1.4 THEN 'TOO_LONG' WHEN ratio < 0.5 THEN 'TOO_SHORT' END], lambda x: x IS NOT NULL) AS flags FROM m)"""
+  SELECT doc_id, kind, words, CASE WHEN nt > ne THEN coalesce(list_position(t, coalesce(e[1], '')) - 1, nt) ELSE 0 END::INT AS extra_start,
+    CASE WHEN nt > ne + 3 THEN coalesce(nt - list_min(list_transform(t, lambda x, i: CASE WHEN x = last THEN abs(i - ne) * 1000000 + i END)) % 1000000, 0) ELSE 0 END::INT AS extra_end,
+    CASE WHEN ne > 0 THEN len(list_intersect(list_distinct(e), list_distinct(t)))::DOUBLE / len(list_distinct(e)) END AS share, nt::DOUBLE / greatest(ne, 1) AS ratio FROM w),
+f AS MATERIALIZED (SELECT *, list_filter([CASE WHEN extra_start > 1 THEN 'HALLUCINATION_START' END, CASE WHEN extra_end > 0 THEN 'HALLUCINATION_END' END, CASE WHEN share < 0.7 THEN 'LOW_OVERLAP' END, CASE WHEN ratio > 1.4 THEN 'TOO_LONG' WHEN ratio < 0.5 THEN 'TOO_SHORT' END], lambda x: x IS NOT NULL) AS flags FROM m)"""
 
 
 @query(f"WITH {MEASURES} SELECT doc_id, kind, extra_start, extra_end, floor(share * 1000000 + 0.5)::BIGINT AS overlap_millionths, floor(ratio * 1000000 + 0.5)::BIGINT AS ratio_millionths, array_to_string(flags, ',') AS flags, len(flags) = 0 AS ok FROM f")
 def hallucination_flags(spark: SparkSession, d: str) -> DataFrame:
     """C1 to C5."""
-    rows = C.compare(B.text_pairs(spark, d))
+    rows = C.compare_words(B.word_pairs(spark, d).drop("words"))
     return rows.select("doc_id", "kind", "extra_start", "extra_end", F.floor(F.col("overlap") * 1_000_000 + 0.5).alias("overlap_millionths"), F.floor(F.col("ratio") * 1_000_000 + 0.5).alias("ratio_millionths"), F.concat_ws(",", "flags").alias("flags"), "ok")
 
 
 @query(f"""WITH {MEASURES}, v AS (
-  SELECT f.doc_id, f.kind, f.flags, d.lang, {COUNT('p.expected')}::DOUBLE AS words, d.doc_id % 11 <> 0 AS ok_file, d.doc_id % 13 <> 0 AS ok_asr, (d.n_chars % 600) / 4.0::DOUBLE AS s, l.quality, l.toxic
-  FROM f JOIN pairs p ON f.doc_id = p.doc_id AND f.kind = p.kind JOIN documents d ON d.doc_id = f.doc_id LEFT JOIN labels l ON l.doc_id = d.doc_id),
+  SELECT f.doc_id, f.kind, f.flags, d.lang, f.words, d.doc_id % 11 <> 0 AS ok_file, d.doc_id % 13 <> 0 AS ok_asr, (d.n_chars % 600) / 4.0::DOUBLE AS s, l.quality, l.toxic
+  FROM f JOIN documents d ON d.doc_id = f.doc_id LEFT JOIN labels l ON l.doc_id = d.doc_id),
 x AS (SELECT *, CASE WHEN s < 0.5 THEN 'SILENT' WHEN words > 0 AND s > words * 0.8::DOUBLE THEN 'DURATION_ANOMALY' END AS early,
   flags || list_filter([CASE WHEN s / greatest(words * CASE lang WHEN 'de' THEN 0.45::DOUBLE ELSE 0.35::DOUBLE END, 0.1::DOUBLE) > 2 THEN 'DURATION' END, CASE WHEN 4.0 - 2 * (1 - quality) < 3.5 THEN 'LOW_MOS' END, CASE WHEN 0.9 - 0.5 * toxic < 0.75 THEN 'VOICE_DRIFT' END, CASE WHEN lang <> 'en' THEN 'WRONG_LANGUAGE' END], lambda z: z IS NOT NULL) AS late FROM v)
 SELECT doc_id, kind, CASE WHEN NOT ok_file THEN 'ERROR' WHEN early IS NOT NULL THEN 'FLAGGED' WHEN NOT ok_asr THEN 'ERROR' WHEN len(late) > 0 THEN 'FLAGGED' ELSE 'OK' END AS status,
@@ -247,9 +238,9 @@ SELECT doc_id, kind, CASE WHEN NOT ok_file THEN 'ERROR' WHEN early IS NOT NULL T
 def validate_batch(spark: SparkSession, d: str) -> DataFrame:
     """C6 to C9."""
     docs, labels = B.table(spark, d, "documents").select("doc_id", "lang", "n_chars"), B.table(spark, d, "labels")
-    rows = B.text_pairs(spark, d).join(docs, "doc_id").join(labels, "doc_id", "left")
+    rows = B.word_pairs(spark, d).join(docs.join(labels, "doc_id", "left"), "doc_id")
     rows = rows.select(
-        "doc_id", "kind", F.col("lang").alias("language"), "expected", F.when(F.col("doc_id") % 13 != 0, F.col("actual")).alias("transcription"), (F.col("doc_id") % 11 != 0).alias("exists"), (F.col("n_chars") % 600 / 4).alias("duration"),
+        "doc_id", "kind", F.col("lang").alias("language"), "expected_words", F.when(F.col("doc_id") % 13 != 0, F.col("actual_words")).alias("actual_words"), "words", (F.col("doc_id") % 11 != 0).alias("exists"), (F.col("n_chars") % 600 / 4).alias("duration"),
         F.lit(None).cast("double").alias("seconds_per_word"), (4.0 - 2 * (1 - F.col("quality"))).alias("mos"), (0.9 - 0.5 * F.col("toxic")).alias("similarity"), (F.col("lang") == "en").alias("language_match"),
     )
     return C.validate(rows).select("doc_id", "kind", "status", F.concat_ws(",", "issues").alias("issues"))

@@ -262,12 +262,12 @@ def override_join(spark: SparkSession, d: str) -> DataFrame:
     return L.with_overrides(B.lines(spark, d).select("conv_id", "index", "text"), found, ["conv_id"])
 
 
-@query(f"""WITH {B.SCRIPTS}, {SECTIONS}, files AS (SELECT DISTINCT conv_id, idx AS index FROM lines WHERE idx < 5)
+@query(f"""WITH {B.SCRIPTS}, {SECTIONS}, files AS (SELECT DISTINCT conv_id, idx AS index FROM lines)
 SELECT f.conv_id, f.index, coalesce(s.name, 'Section ' || (f.index + 1)) AS name FROM files f LEFT JOIN sections s ON s.conv_id = f.conv_id AND s.section = f.index""")
 def positional_names(spark: SparkSession, d: str) -> DataFrame:
     """J7, J8."""
     names = P.find_sections(B.scripts(spark, d), "conv_id").select("conv_id", F.col("section").alias("index"), "name")
-    files = B.lines(spark, d).where("index < 5").select("conv_id", "index")
+    files = B.lines(spark, d).select("conv_id", "index")
     titles = files.select("conv_id", F.lit("Title").alias("title")).distinct()
     return L.padded_names(names, files, titles, "conv_id")
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import io
 import wave
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: What a script and a review take of a source.
@@ -28,11 +29,57 @@ def read_folder(spark: SparkSession, path: str) -> DataFrame:
     return rows.where(F.col("name").rlike(r"\.(txt|md)$")).select("name", "content")
 
 
-def joined_sources(files: DataFrame, key: str, order: str = "name") -> DataFrame:
-    """SC4, SC5, SC6: (key, content): each file under its name, in order, cut at the most a script takes."""
+def _joined(parts: DataFrame, key: str, order: str, separator: str, limit: int, salts: int = 32) -> DataFrame:
+    """(key, content): the texts ``t`` of a key in order, cut at ``limit`` characters.
+
+    A part that begins after the limit is in no result.  Parts are left out by what lies before them among those of their salt
+    first, so a key that holds a third of all rows is dealt to ``salts`` tasks, each of which passes on ``limit`` characters
+    or two at most; then by what lies before them in the key.
+    """
+    rows = parts.withColumn("__s", F.pmod(F.xxhash64(order), F.lit(salts))).withColumn("t", F.left("t", F.lit(limit)))
+    for by in ([key, "__s"], [key]):
+        before = F.sum(F.length("t") + len(separator)).over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+        rows = rows.withColumn("__at", F.coalesce(before, F.lit(0))).where(F.col("__at") < limit)
+    found = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("n"), "t"))).alias("t"))
+    return found.select(key, F.left(F.concat_ws(separator, F.col("t.t")), F.lit(limit)).alias("content"))
+
+
+def joined_sources(files: DataFrame, key: str, order: str = "name", limit: int = SOURCE_CHARS) -> DataFrame:
+    """SC4, SC6: (key, content): the files (key, name, content) of a folder, each under its name, in order, cut at the most a script takes."""
     one = F.concat(F.lit("--- "), F.col("name"), F.lit(" ---\n"), F.col("content"))
-    rows = files.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, one.alias("t")))).alias("t"))
-    return rows.select(key, F.left(F.concat_ws("\n\n", F.col("t.t")), F.lit(SOURCE_CHARS)).alias("content"))
+    return _joined(files.select(key, order, one.alias("t")), key, order, "\n\n", limit)
+
+
+def joined_arguments(sources: DataFrame, key: str, order: str, limit: int = SOURCE_CHARS) -> DataFrame:
+    """SC5: (key, content): sources (key, order, content) in the order they were given, with a rule between them."""
+    return _joined(sources.select(key, order, F.col("content").alias("t")), key, order, "\n\n---\n\n", limit)
+
+
+def source_kind(source: Column) -> Column:
+    """SC4: how a source is read: ``url``, ``pdf``, ``text``, or ``folder`` for what has no file's ending.
+
+    Pages and PDF files need a library or a network that the caller brings; ``ingest`` takes their readers.
+    """
+    return F.when(source.rlike("^https?://"), "url").when(F.lower(source).endswith(".pdf"), "pdf").when(source.rlike(r"\.[A-Za-z0-9]+$"), "text").otherwise("folder")
+
+
+def ingest(spark: SparkSession, sources: list[str], readers: dict[str, Callable[[str], DataFrame]] | None = None) -> DataFrame:
+    """SC4, SC5: one row (content) of the sources, in their order; ``readers`` (url, pdf) give a DataFrame (content) each.
+
+    Text files and folders are read by Spark.  A source of a kind without a reader is an error, as is one that is missing.
+    """
+    found = []
+    for nth, (source, kind) in enumerate(spark.createDataFrame([(x,) for x in sources], "s string").select("s", source_kind(F.col("s"))).collect()):
+        if kind == "folder":
+            rows = joined_sources(read_folder(spark, source).withColumn("k", F.lit(0)), "k")
+        elif kind == "text":
+            rows = read_texts(spark, source)
+        elif readers and kind in readers:
+            rows = readers[kind](source)
+        else:
+            raise ValueError(f"no reader for {source}")
+        found.append(rows.select(F.lit(0).alias("k"), F.lit(nth).alias("nth"), "content"))
+    return joined_arguments(reduce(DataFrame.unionAll, found), "k", "nth").select("content")
 
 
 def decode_wav(content: bytes) -> tuple[list[float], int]:
