@@ -455,3 +455,15 @@ def test_repeated_rows_and_null_ids(spark):
     assert secret_scan.scan(df).count() == 5
     pages = df.select(F.col("doc_id").alias("page_id"), F.lit(None).cast("string").alias("url"), F.col("text").alias("html"))
     assert sorted((str(r.page_id), r.record_type) for r in warc.read_records(warc.write_archives(pages)).collect()) == [("1", "response"), ("1", "response"), ("2", "response"), ("None", "response"), ("None", "revisit")]
+
+
+def test_classifier_metadata(spark):
+    """Metadata columns are features like the others; a null is the mean, and the model asks for the columns it knows."""
+    docs = spark.createDataFrame([(i, "same words here", float(i % 2) * 100 if i % 9 else None) for i in range(200)], "doc_id long, text string, size double")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    model = classifier.train(docs, labels, meta_cols=("size",))
+    got = {r.doc_id: r.score for r in classifier.score(docs, model, meta_cols=("size",)).collect()}
+    assert min(got[i] for i in got if i % 2 and i % 9) > max(got[i] for i in got if not i % 2 and i % 9) and all(0 < x < 1 for x in got.values())
+    with pytest.raises(ValueError, match="metadata"):
+        classifier.score(docs, model)
+    assert np.allclose(model.score_all([classifier.features(t, (1.0,)) for t in ("", "a b", "same words here")]), [model.score(t, (1.0,)) for t in ("", "a b", "same words here")])

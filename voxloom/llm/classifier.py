@@ -34,6 +34,8 @@ MAX_FEATURE_BYTES = 256 << 20
 THRESHOLD = 0.7
 SEED = 7
 N_STATS = 16
+#: Word features scored by one set of array operations, unless one text has more.
+SCORED_AT_ONCE = 50_000
 _CACHE, _CACHED_CHARS = 300_000, 40
 _PUNCTUATION = ".,;:!?\"'()-"
 _MARKS = "#*$%&|<>@^~=_+{}[]\\/"
@@ -51,8 +53,8 @@ def _hash(word: bytes) -> int:
     return h
 
 
-def features(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashed word features (places and values) and structure statistics of a whole text."""
+def features(text: str, meta: tuple = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashed word features (places and values) of a whole text, and its structure statistics with the logarithms of ``meta``."""
     raw = text.encode("utf-8", "surrogatepass")
     words = raw.lower().split()
     get = _hashes.get
@@ -81,6 +83,7 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             math.log1p(max(map(len, own), default=0)),
             spaces / n,
             text.count(".") / w,
+            *(math.nan if m is None else math.log1p(max(0.0, m)) for m in meta),
         ]
     )
     return places, values, stats
@@ -94,28 +97,44 @@ class Model:
     mean: np.ndarray
     scale: np.ndarray
 
-    def score(self, text: str) -> float:
-        places, values, stats = features(text)
-        s = np.clip((stats - self.mean) / self.scale, -4, 4) / 4
-        at = np.r_[places, np.arange(N_STATS) + (1 << HASH_BITS)]
-        x = np.r_[values, s]
+    def dense(self, stats: np.ndarray) -> np.ndarray:
+        """Standardised statistics, from -1 to 1; a missing one is the mean."""
+        return np.nan_to_num(np.clip((stats - self.mean) / self.scale, -4, 4) / 4)
+
+    def score_all(self, rows: list[tuple]) -> np.ndarray:
+        """The scores of rows (places, values, statistics), all of them by one set of array operations."""
+        if not rows:
+            return np.zeros(0)
+        tail = np.arange(len(self.mean)) + (1 << HASH_BITS)
+        dense = self.dense(np.array([r[2] for r in rows]))
+        at = np.concatenate([x for r in rows for x in (r[0], tail)])
+        x = np.concatenate([v for r, d in zip(rows, dense, strict=True) for v in (r[1], d)])
+        starts = np.cumsum([0, *(len(r[0]) + len(tail) for r in rows[:-1])])
         vx = self.v[at] * x[:, None]
-        total = vx.sum(0)
-        z = self.bias + float(self.w[at] @ x) + 0.5 * float(total @ total - (vx * vx).sum())
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+        total = np.add.reduceat(vx, starts)
+        z = self.bias + np.add.reduceat(self.w[at] * x, starts) + 0.5 * ((total * total).sum(1) - np.add.reduceat((vx * vx).sum(1), starts))
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+    def score(self, text: str, meta: tuple = ()) -> float:
+        return float(self.score_all([features(text, meta)])[0])
 
 
 def fit(rows: list[tuple], factors: int = FACTORS, epochs: int = EPOCHS, batch: int = 128, rate: float = 0.01, decay: float = 1e-5, seed: int = SEED) -> Model:
     """The model of rows (places, values, stats, label), by Adam on the logistic loss."""
-    size = (1 << HASH_BITS) + N_STATS
+    n = len(rows[0][2]) if rows else N_STATS
+    size = (1 << HASH_BITS) + n
     rng = np.random.default_rng(seed)
     w, v, bias = np.zeros(size), rng.normal(0, 0.02, (size, factors)), 0.0
     if not rows:
-        return Model(0.0, w, v * 0, np.zeros(N_STATS), np.ones(N_STATS))
+        return Model(0.0, w, v * 0, np.zeros(n), np.ones(n))
     stats = np.array([r[2] for r in rows], float)
-    mean, scale = stats.mean(0), stats.std(0) + 1e-6
-    dense = np.clip((stats - mean) / scale, -4, 4) / 4
-    tail = np.arange(N_STATS) + (1 << HASH_BITS)
+    known = ~np.isnan(stats)
+    many = np.maximum(known.sum(0), 1)
+    mean = np.where(known, stats, 0).sum(0) / many
+    scale = np.sqrt((np.where(known, stats - mean, 0) ** 2).sum(0) / many) + 1e-6
+    model = Model(0.0, w, v, mean, scale)
+    dense = model.dense(stats)
+    tail = np.arange(n) + (1 << HASH_BITS)
     at = [np.r_[np.asarray(r[0], np.int64), tail] for r in rows]
     xs = [np.r_[np.asarray(r[1], float), d] for r, d in zip(rows, dense, strict=True)]
     y = np.array([r[3] for r in rows], float)
@@ -151,12 +170,17 @@ def fit(rows: list[tuple], factors: int = FACTORS, epochs: int = EPOCHS, batch:
     return Model(bias, w, v, mean, scale)
 
 
+def _meta(columns: tuple[str, ...]) -> Column:
+    """Numeric metadata columns as an array of doubles."""
+    return F.array(*(F.col(c).cast("double") for c in columns)).cast("array<double>").alias("meta")
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """Whether a row's label is never learnt from."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows: int = MAX_ROWS, max_bytes: int = MAX_FEATURE_BYTES, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows: int = MAX_ROWS, max_bytes: int = MAX_FEATURE_BYTES, id_col: str = "doc_id", text_col: str = "text", meta_cols: tuple[str, ...] = ()) -> Model:
     """Fits the model on at most ``max_rows`` labelled ids that aren't held out, and ``max_bytes`` of their features.
 
     A null id, label or text is not learnt from.  Of repeated labels of an id the larger counts, of repeated documents one;
@@ -165,11 +189,11 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_ro
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
     # at most max_rows rows of two numbers: a proven size for the broadcast
     drawn = F.broadcast(known.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(max_rows))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull()).join(drawn, "doc_id")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), _meta(meta_cols)).where(F.col("text").isNotNull()).join(drawn, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(doc_id, label, *features(t)) for doc_id, label, t in rows_of(iter([batch]), "doc_id", "label", "text")]
+            found = [(doc_id, label, *features(t, tuple(meta))) for doc_id, label, t, meta in rows_of(iter([batch]), "doc_id", "label", "text", "meta")]
             if found:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([str(r[0]) for r in found]), pa.array([r[1] for r in found], pa.int32()), *(pa.array([r[k].astype(f).tobytes() for r in found], pa.binary()) for k, f in ((2, "<i4"), (3, "<f4"), (4, "<f8")))],
@@ -189,19 +213,29 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_ro
     return fit([(p, v, s, 1 if label >= 1 else 0) for _, label, p, v, s in read])
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, score, predicted of every row.
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", meta_cols: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, held_out, score, predicted of every row; ``meta_cols`` are those that the model was trained with.
 
-    Null texts are scored as empty ones; repeated rows are scored each and alike; very long texts are read whole;
+    Null metadata count as average; null texts are scored as empty ones; repeated rows are scored each and alike; very long texts are read whole;
     an empty table gives an empty result; further columns are not read.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    if len(model.mean) != N_STATS + len(meta_cols):
+        raise ValueError("the model was trained with other metadata columns")
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"), _meta(meta_cols))
     held = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [held.value.score(t) for (t,) in rows_of(iter([batch]), "text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
+            scores: list[np.ndarray] = []
+            some, n = [], 0
+            for t, meta in rows_of(iter([batch]), "text", "meta"):
+                some.append(features(t, tuple(meta)))
+                n += len(some[-1][0])
+                if n >= SCORED_AT_ONCE:
+                    scores.append(held.value.score_all(some))
+                    some, n = [], 0
+            scores.append(held.value.score_all(some))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(scores), pa.float64())], names=["doc_id", "score"])
 
     scored = rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

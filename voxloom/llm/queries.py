@@ -42,8 +42,8 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    return classifier.score(docs, classifier.train(docs, read_table(spark, sf_dir, "labels")))
+    docs, meta = read_table(spark, sf_dir, "documents"), ("n_chars",)
+    return classifier.score(docs, classifier.train(docs, read_table(spark, sf_dir, "labels"), meta_cols=meta), meta_cols=meta)
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +63,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
 
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": line_dedup.ORACLE_SQL,
+    "op2_set_join": set_join.ORACLE_SQL,
+    "op4_warc": warc.ORACLE_SQL,
     "op6_exact_dedup": exact_dedup.ORACLE_SQL,
     "op9_secret_scan": secret_scan.ORACLE_SQL,
 }

@@ -661,3 +661,19 @@ def ngram_jaccard_groups(docs: DataFrame, width: int = WIDTH, percent: int = PER
     an empty result; further columns are not read.
     """
     return SetJoin(docs, width, percent, id_col, text_col).groups()
+
+
+#: The same on the shingles' texts, for tables that a single machine joins.
+ORACLE_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, unnest(x) AS a, generate_subscripts(x, 1) AS i, len(x) AS n FROM (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS x FROM documents)),
+f AS (SELECT doc_id, n, i, concat_ws(' ', a, lead(a, 1) OVER o, lead(a, 2) OVER o, lead(a, 3) OVER o, lead(a, 4) OVER o) AS g FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+s AS (SELECT DISTINCT doc_id, g FROM f WHERE i <= greatest(n - 4, 1)),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT l.a, l.b FROM l JOIN c x ON x.doc_id = l.a JOIN c y ON y.doc_id = l.b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+r AS (SELECT doc_id AS a, doc_id AS m FROM c UNION SELECT e.b, r.m FROM r JOIN e ON e.a = r.a)
+SELECT d.doc_id, coalesce(any_value(c.n), 0)::BIGINT AS n_shingles, coalesce(min(r.m), d.doc_id) AS component_id
+FROM documents d LEFT JOIN c USING (doc_id) LEFT JOIN r ON r.a = d.doc_id GROUP BY d.doc_id
+"""

@@ -162,3 +162,13 @@ def read_records(index: DataFrame) -> DataFrame:
 
     stretch = F.expr(f"offset div {READ_BYTES}").alias("stretch")
     return index.select("file", "offset", "length", stretch).repartition(tasks, "file", "stretch").sortWithinPartitions("file", "offset").mapInArrow(get, RECORD_SCHEMA)
+
+
+ORACLE_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+x AS (SELECT page_id, octet_length(encode(h)) AS n, sha1(h) AS hex, max(page_id) OVER (PARTITION BY h) AS stays FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(hex, (k // 4 * 5 + 1)::BIGINT, 5))::BIGINT >> (15 - 5 * (k % 4))) & 31) + 1)::BIGINT, 1)), '') AS payload_digest,
+       CASE WHEN page_id = stays THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> stays THEN stays END AS refers_to
+FROM x
+"""
