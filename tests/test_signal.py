@@ -98,6 +98,45 @@ def test_master(spark):
     assert all(abs(r.output_lufs + 16) < 0.3 for r in rows[:2]) and max(map(abs, rows[1].mastered)) <= 10 ** (-1 / 20) + 1e-6
 
 
+def test_plain_master(spark):
+    loud, soft = G.master(table(spark, [tone(level=0.5), tone(level=0.02)]), **G.PLAIN_CHAIN).collect()
+    assert abs(loud.output_lufs + 16) < 0.3 and abs(soft.output_lufs + 16) < 0.3
+    assert np.allclose(G.master_chain(tone(level=0.02), RATE, **G.PLAIN_CHAIN), tone(level=0.02), atol=1e-6)
+
+
+def test_clean_report(spark):
+    import json
+
+    from voxloom.operators import rollup
+
+    clicked = framed(tone())
+    clicked[2000] = 0.95
+    rows = G.clean(table(spark, [tone(), clicked])).withColumn("folder", F.lit("a"))
+    report = json.loads(rollup.clean_report(rows, "folder").first().report)
+    assert (report["total_files"], report["total_clicks_repaired"]) == (2, 1) and [x["file"] for x in report["results"]] == ["0.wav", "1.wav"]
+    assert report["total_trimmed_ms"] == round(sum(x["trimmed_ms"] for x in report["results"]))
+
+
+def test_injected_calls(spark):
+    from voxloom.streaming import streams
+
+    rows = spark.createDataFrame([(1, "a"), (2, "bb"), (3, "fail")], "k int, x string")
+
+    def load():
+        def call(prompt):
+            if "fail" in prompt:
+                raise RuntimeError("no answer")
+            return '{"n": %d}' % len(prompt)
+
+        return call
+
+    got = {r.k: r for r in streams.answered(rows, F.concat(F.lit("Read: "), "x"), load).select("k", "prompt", "error", F.try_variant_get("parsed.value", "$.n", "int").alias("n")).collect()}
+    assert [got[k].n for k in (1, 2, 3)] == [7, 8, None] and got[1].error is None and "no answer" in got[3].error
+    sized = streams.measured(rows, {"mos": ("double", lambda: lambda x: 1.0 / (4 - len(x))), "language_match": ("boolean", lambda: lambda x: x == "a")}, ["x"])
+    assert [(r.mos, r.language_match) for r in sized.orderBy("k").collect()] == [(1 / 3, True), (0.5, False), (None, False)]
+    assert streams.measured(rows, {}, ["x"]).columns == rows.columns
+
+
 def test_mixing():
     a, b = np.ones(10, np.float32), np.zeros(6, np.float32)
     joined = G.crossfaded(a, b, 4)

@@ -34,6 +34,15 @@ def clean_totals(reports: DataFrame) -> DataFrame:
     return reports.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("clicks"), F.lit(0)).alias("clicks"), F.coalesce(F.sum("trimmed_ms"), F.lit(0.0)).alias("trimmed_ms"))
 
 
+def clean_report(reports: DataFrame, key: str) -> DataFrame:
+    """SK7: (key, report): the JSON of a folder of cleaned files (key, file, clicks, trimmed_ms, original_duration, cleaned_duration)."""
+    entry = F.struct("file", F.col("clicks").alias("clicks_detected"), F.col("clicks").alias("clicks_repaired"), "trimmed_ms", "original_duration", "cleaned_duration")
+    report = F.struct(
+        F.count(F.lit(1)).alias("total_files"), F.sum("clicks").alias("total_clicks_repaired"), F.round(F.sum("trimmed_ms")).cast("long").alias("total_trimmed_ms"), F.array_sort(F.collect_list(entry)).alias("results")
+    )
+    return reports.groupBy(key).agg(F.to_json(report).alias("report"))
+
+
 def speakers(lines: DataFrame, key: str) -> DataFrame:
     """(key, speakers) sorted."""
     return lines.groupBy(key).agg(F.array_sort(F.collect_set("speaker")).alias("speakers"))

@@ -392,10 +392,10 @@ def _highpass(rate: int, hz: float) -> tuple[tuple, tuple]:
     return ((1 + c) / 2, -(1 + c), (1 + c) / 2), (1 + r, -2 * c, 1 - r)
 
 
-def master_chain(x: np.ndarray, rate: int, highpass_hz: float = 80.0, compress: bool = True, gate: bool = True) -> np.ndarray:
-    """High pass, low shelf -2 dB at 300, high shelf +1.5 dB at 3000, compressor 3:1 at -18, gate at -40, limiter at -1."""
+def master_chain(x: np.ndarray, rate: int, highpass_hz: float = 80.0, shelve: bool = True, compress: bool = True, gate: bool = True) -> np.ndarray:
+    """D13 (D15 with ``PLAIN_CHAIN``): high pass, low shelf -2 dB at 300, high shelf +1.5 dB at 3000, compressor 3:1 at -18, gate at -40, limiter at -1."""
     shelves = [_shelf(rate, 300.0, -2.0, False), *([_shelf(rate, 3000.0, 1.5, True)] if rate > 6000 else [])]
-    out = filtered(np.asarray(x, np.float64), rate, *([_highpass(rate, highpass_hz)] if highpass_hz else []), *shelves)
+    out = filtered(np.asarray(x, np.float64), rate, *([_highpass(rate, highpass_hz)] if highpass_hz else []), *(shelves if shelve else []))
     if compress:
         db = 20 * np.log10(np.maximum(envelope(out, rate, 5.0, 150.0), 1e-10))
         out = out * 10 ** (-np.maximum(db + 18, 0) * (1 - 1 / 3) / 20)
@@ -404,8 +404,12 @@ def master_chain(x: np.ndarray, rate: int, highpass_hz: float = 80.0, compress:
     return limited(out)
 
 
+#: What of the chain is off.
+PLAIN_CHAIN = {"highpass_hz": 0.0, "shelve": False, "gate": False}
+
+
 def master(signals: DataFrame, target: float = -16.0, **chain) -> DataFrame:
-    """D14 (D15 without a gate and high pass): ``signals`` (samples, sr, ...) with mastered, input_lufs, output_lufs."""
+    """D14 (D15 with ``**PLAIN_CHAIN``: a compressor and the loudness target alone): ``signals`` (samples, sr, ...) with mastered, input_lufs, output_lufs."""
 
     def run(x: np.ndarray, rate: int) -> list:
         out = master_chain(x, rate, **chain)

@@ -1,4 +1,4 @@
-"""Queries of lookups with fallbacks, small argument rules, joined sources and voice clips, with their SQL."""
+"""Queries of lookups with fallbacks, small argument rules, joined sources, voice clips and injected models, with their SQL."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from ..operators import plan as Q
 from ..operators import signal as G
 from ..operators import timeline as M
 from ..sources import files as S
+from ..streaming import streams as U
 from . import bindings as B
 
 QUERIES: dict = {}
@@ -201,3 +202,53 @@ def segments_joined(spark: SparkSession, d: str) -> DataFrame:
     seg = F.floor(F.col("idx") / 10)
     rows = B.signal(spark, d).select("user_id", seg.alias("seg"), (F.col("idx") % 10).alias("nth"), (seg % 3 * 0.05).alias("pause"), "value")
     return M.concat_segments(rows, "user_id", 100).select("user_id", F.col("idx").cast("long").alias("idx"), F.floor(F.col("value") * 10_000 + 0.5).alias("value_e4"))
+
+
+# -- streams and injected models ------------------------------------------------------------------------------
+
+
+@query("""WITH e AS (SELECT user_id, epoch_us(ts) AS t FROM events),
+s AS (SELECT user_id, t, sum(CASE WHEN t - p < 21600000000 THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n FROM (SELECT user_id, t, lag(t) OVER (PARTITION BY user_id ORDER BY t) AS p FROM e))
+SELECT user_id, min(t) AS start_us, max(t) + 21600000000 AS end_us, count(*) AS events FROM s GROUP BY user_id, n""")
+def talk_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """W2 as session windows, here over a whole table."""
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    rows = B.table(spark, d, "events").select("user_id", F.timestamp_micros(micros).alias("t"))
+    return U.talk_sessions(rows, "user_id", "t").select("user_id", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "events")
+
+
+def _reader():
+    """A model's stand-in: tells how long a text is, and fails where that is a multiple of five."""
+
+    def read(text: str) -> str:
+        if len(text) % 5 == 0:
+            raise ValueError("nothing heard")
+        return f"{len(text)} letters"
+
+    return read
+
+
+@query("SELECT conv_id, turn, CASE WHEN length(text) % 5 <> 0 THEN length(text) || ' letters' END AS transcription, CASE WHEN length(text) % 5 = 0 THEN 'ERROR: nothing heard' END AS error FROM conversations")
+def transcriptions(spark: SparkSession, d: str) -> DataFrame:
+    """An injected model; its failures are rows."""
+    return U.transcribed(B.table(spark, d, "conversations").select("conv_id", "turn", "text"), _reader, "text").drop("text")
+
+
+@query("SELECT conv_id, turn, length(text) % 50 + 1.0::DOUBLE AS mos, CASE WHEN length(text) % 3 <> 0 THEN length(text) % 2 = 0 END AS language_match FROM conversations")
+def injected_measures(spark: SparkSession, d: str) -> DataFrame:
+    """Two measures, of which one fails for some rows."""
+    checks = {"mos": ("double", lambda: lambda text: len(text) % 50 + 1.0), "language_match": ("boolean", lambda: lambda text: 1 / (len(text) % 3) > 0 and len(text) % 2 == 0)}
+    return U.measured(B.table(spark, d, "conversations").select("conv_id", "turn", "text"), checks, ["text"]).drop("text")
+
+
+def _reviewer():
+    """A review's stand-in: a fenced JSON answer with the length of what it was asked."""
+    return lambda prompt: '```json\n{"length": %d}\n```' % len(prompt)
+
+
+@query("SELECT conv_id, turn, length(role) + 2 + length(text) AS length FROM conversations")
+def injected_review(spark: SparkSession, d: str) -> DataFrame:
+    """One pass of a chain around an injected call, its answer read as JSON."""
+    rows = B.table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    found = U.answered(rows, F.concat("role", F.lit(": "), "text"), _reviewer)
+    return found.select("conv_id", "turn", F.try_variant_get("parsed.value", "$.length", "long").alias("length"))

@@ -422,10 +422,16 @@ def _arrays(spark: SparkSession, d: str, step: float = 1.0) -> DataFrame:
     return rows.select("user_id", F.col("s.value").cast("array<float>").alias("samples"), F.lit(1000).alias("sr"), F.col("user_id").cast("string").alias("file"))
 
 
-@query()
+@query(f"""WITH {B.SIGNAL}, v AS (SELECT user_id, idx, value, lead(value) OVER w AS after, count(*) OVER (PARTITION BY user_id) AS n FROM signal WINDOW w AS (PARTITION BY user_id ORDER BY idx)),
+r AS (SELECT DISTINCT user_id, idx + unnest(range(-2, 3)) AS idx FROM v WHERE abs(after - value) > 0.5),
+a AS (SELECT v.user_id, v.idx, CASE WHEN r.idx IS NULL OR v.idx = 0 OR v.idx = n - 1 THEN v.idx END AS px, CASE WHEN r.idx IS NULL OR v.idx = 0 OR v.idx = n - 1 THEN value END AS y FROM v LEFT JOIN r ON r.user_id = v.user_id AND r.idx = v.idx),
+b AS (SELECT user_id, idx, last_value(px IGNORE NULLS) OVER back AS x0, last_value(y IGNORE NULLS) OVER back AS y0, first_value(px IGNORE NULLS) OVER ahead AS x1, first_value(y IGNORE NULLS) OVER ahead AS y1 FROM a
+  WINDOW back AS (PARTITION BY user_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), ahead AS (PARTITION BY user_id ORDER BY idx ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+SELECT user_id, idx::INT AS idx, floor((y0 + CASE WHEN x1 > x0 THEN (y1 - y0) * (idx - x0) / (x1 - x0) ELSE 0 END) * 100 + 0.5)::BIGINT AS value_e2 FROM b""")
 def repair_clicks(spark: SparkSession, d: str) -> DataFrame:
     """W19."""
-    return G.mapped(_arrays(spark, d), lambda x, rate: G.click_repair(x, 0.5).tolist(), "repaired", "array<float>").select("user_id", "repaired")
+    rows = G.mapped(_arrays(spark, d), lambda x, rate: G.click_repair(x, 0.5).tolist(), "repaired", "array<float>")
+    return rows.select("user_id", F.posexplode("repaired").alias("idx", "value")).select("user_id", "idx", F.floor(F.col("value").cast("double") * 100 + 0.5).alias("value_e2"))
 
 
 @query()
@@ -448,7 +454,7 @@ def master_signals(spark: SparkSession, d: str) -> DataFrame:
     return G.master(_arrays(spark, d)).select("user_id", "input_lufs", "output_lufs")
 
 
-@query()
+@query(f"WITH {B.SIGNAL} SELECT user_id, (2 * count(*))::INT AS n FROM signal GROUP BY user_id")
 def prepared_lines(spark: SparkSession, d: str) -> DataFrame:
     """D3 to D6."""
     return G.mapped(_arrays(spark, d), lambda x, rate: G.prepared_line(x, rate, 2000, -3.0).tolist(), "ready", "array<float>").select("user_id", F.size("ready").alias("n"))
@@ -509,7 +515,18 @@ def review_digest(spark: SparkSession, d: str) -> DataFrame:
     return R.review_digest(issues, notes, scores, "conv_id")
 
 
-@query()
+@query("""WITH f AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN '{"x1": "t"}' WHEN 1 THEN '{"001": " "}' WHEN 2 THEN '{"002": [{"text": "a", "pause_after": -1}, {"pause_after": "b"}, 3]}' WHEN 3 THEN '{"003": 5}' ELSE '{"004": "fine"}' END::JSON AS j FROM part),
+e AS (SELECT p_partkey, k AS line_key, json_extract(j, '$."' || k || '"') AS v FROM (SELECT p_partkey, j, unnest(json_keys(j)) AS k FROM f)),
+s AS (SELECT p_partkey, line_key, unnest(range(0, json_array_length(v)::BIGINT)) AS i, v FROM e WHERE json_type(v) = 'ARRAY'),
+o AS (SELECT p_partkey, line_key, i, json_extract(v, '$[' || i || ']') AS o FROM s),
+x AS (
+  SELECT p_partkey, line_key, 'key is not a number' AS issue FROM e WHERE NOT regexp_matches(line_key, '^[0-9]+$')
+  UNION ALL SELECT p_partkey, line_key, 'empty text' FROM e WHERE regexp_matches(line_key, '^[0-9]+$') AND json_type(v) = 'VARCHAR' AND trim(v->>'$') = ''
+  UNION ALL SELECT p_partkey, line_key, 'value is neither text nor list' FROM e WHERE regexp_matches(line_key, '^[0-9]+$') AND json_type(v) NOT IN ('VARCHAR', 'ARRAY')
+  UNION ALL SELECT p_partkey, line_key, 'segment ' || i || ': not an object' FROM o WHERE json_type(o) <> 'OBJECT'
+  UNION ALL SELECT p_partkey, line_key, 'segment ' || i || CASE WHEN o->>'$.text' IS NULL THEN ': missing text' ELSE ': empty text' END FROM o WHERE json_type(o) = 'OBJECT' AND coalesce(trim(o->>'$.text'), '') = ''
+  UNION ALL SELECT p_partkey, line_key, 'segment ' || i || CASE WHEN json_type(o, '$.pause_after') = 'VARCHAR' THEN ': pause is not a number' ELSE ': negative pause' END FROM o WHERE json_type(o, '$.pause_after') = 'VARCHAR' OR TRY_CAST(o->>'$.pause_after' AS DOUBLE) < 0)
+SELECT * FROM x""")
 def override_issues(spark: SparkSession, d: str) -> DataFrame:
     """Override files with a fault each."""
     k = F.col("p_partkey") % 5

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.compare import validate
+from ..operators.parse import parse_response
 
 
 def talk_sessions(events: DataFrame, key: str, time: str, gap: str = "6 hours", late: str = "1 day") -> DataFrame:
@@ -18,22 +20,28 @@ def talk_sessions(events: DataFrame, key: str, time: str, gap: str = "6 hours",
     return rows.select(key, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "events")
 
 
-def revalidate_stream(manifest: DataFrame, results_path: str, checkpoint: str, key: str = "file") -> StreamingQuery:
+def revalidate_stream(manifest: DataFrame, results_path: str, checkpoint: str, key: str = "file", parts: int = 64) -> StreamingQuery:
     """J9, C10 on a stream: rows of each batch whose file has not passed yet are validated and appended to ``results_path``.
 
-    A batch that runs twice finds its own results and adds nothing, so a restart is safe.
+    Results lie in ``parts`` folders by a hash of the file, of which a batch reads those that its files are in.  A batch that
+    runs twice finds its own results and adds nothing that has passed, so a restart is safe.
     """
 
+    part = F.pmod(F.xxhash64(key), F.lit(parts)).alias("part")
+
     def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        todo = batch
+        todo = batch.withColumn("part", part)
         try:
-            passed = spark.read.parquet(results_path).where("status = 'OK'").select(key)
-            todo = batch.join(passed, key, "left_anti")
-        except Exception as error:  # noqa: BLE001  the first batch has no results yet
-            if "PATH_NOT_FOUND" not in str(error):
+            results = spark.read.parquet(results_path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-        validate(todo).withColumn("batch", F.lit(number)).write.mode("append").parquet(results_path)
+        else:
+            asked = [r.part for r in todo.select("part").distinct().collect()]
+            passed = results.where(F.col("part").isin(asked) & (F.col("status") == "OK")).select(key)
+            todo = todo.join(passed, key, "left_anti")
+        validate(todo).withColumn("batch", F.lit(number)).write.mode("append").partitionBy("part").parquet(results_path)
 
     return manifest.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -56,3 +64,37 @@ def transcribed(rows: DataFrame, load: Callable[[], Callable[[str], str]], path:
             yield part.assign(transcription=[t for t, _ in both], error=[e for _, e in both])
 
     return rows.mapInPandas(run, schema)
+
+
+def measured(rows: DataFrame, checks: dict[str, tuple[str, Callable[[], Callable[..., object]]]], inputs: list[str]) -> DataFrame:
+    """``rows`` with a column for each of ``checks`` (name: type and a loader of a model on ``inputs``).
+
+    Only the checks that are given run; a model is loaded once for each task, and what it cannot measure is null, which C8
+    takes as no flag.
+    """
+    own = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        models = {name: load() for name, (_, load) in checks.items()}
+
+        def one(model: Callable[..., object], values: tuple) -> object:
+            try:
+                return model(*values)
+            except Exception:  # noqa: BLE001  a measure that fails is missing
+                return None
+
+        for part in parts:
+            values = list(zip(*(part[c] for c in inputs), strict=True))
+            yield part.assign(**{name: pd.Series([one(m, v) for v in values], index=part.index, dtype=object) for name, m in models.items()})
+
+    return rows.mapInPandas(run, ", ".join([own, *(f"{name} {kind}" for name, (kind, _) in checks.items())])) if checks else rows
+
+
+def answered(rows: DataFrame, prompt: Column, load: Callable[[], Callable[[str], str]]) -> DataFrame:
+    """``rows`` with prompt, answer and error of an injected call, and the answer read as JSON.
+
+    One pass of a chain (extract, draft, review, revise): the next pass builds its prompt from these columns.
+    """
+    asked = rows.withColumn("prompt", prompt)
+    heard = transcribed(asked, load, "prompt").withColumnRenamed("transcription", "answer")
+    return heard.withColumn("parsed", F.when(F.col("answer").isNotNull(), parse_response(F.col("answer"))))
