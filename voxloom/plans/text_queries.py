@@ -33,7 +33,7 @@ COUNT = lambda x: f"len(regexp_extract_all({x}, '{NS}+'))"
 def normalize_text(spark: SparkSession, d: str) -> DataFrame:
     normal = T.normalize_text(F.col("text")).alias("normal")
     talk = B.table(spark, d, "conversations").select(F.lit("c").alias("source"), (F.col("conv_id") * 100 + F.col("turn")).alias("id"), normal)
-    return B.table(spark, d, "documents").select(F.lit("d").alias("source"), F.col("doc_id").alias("id"), normal).unionByName(talk)
+    return B.spread(B.table(spark, d, "documents").select("doc_id", "text")).select(F.lit("d").alias("source"), F.col("doc_id").alias("id"), normal).unionByName(talk)
 
 
 @query(f"SELECT doc_id, {COUNT('text')}::INT AS words, len(regexp_extract_all(text, '[.!?]+'))::INT AS sentences FROM documents")
