@@ -10,8 +10,8 @@ of what is left after it, ``dot`` that with the largest weighted product of the
 Sequences are kept by the tokens left in them, and in each of these levels by what is left of the other two; of
 sequences with the same left in all three, the one that came there last is taken.  Under ``norm`` the levels are searched
 from the tightest up, until the token part of the norm alone is larger than the best norm found; so the choice is exact.
-With the usual weights all three parts weigh: on the given documents they change one choice in thirty, and no count of
-sequences (as many as whole sequences hold the tokens, in groups of pieces that were tried).
+With the usual weights all three parts weigh: on the given documents they change one choice in thirty and leave the number
+of sequences as it is.
 
 The usual documents and attention capacities follow from that of tokens (a piece has a token at least, and a sum of
 squares is at most the square of the sum), so only tokens can close a sequence unless a smaller one is given.

@@ -354,7 +354,6 @@ class SetJoin:
         # min, not first: the same for every order of rows
         least = [F.min(x).alias(x) for x in ("doc_id", "n", "ref", "c", "key1", "key2", "hist")]
         self.classes = self.written(both.where(F.col("n") > 0).groupBy("digest").agg(*least), "set-classes").withColumn("k", F.xxhash64("c"))
-        self.n_classes, self.n_tokens = self.classes.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
 
     def _levels(self, blocks: DataFrame) -> np.ndarray:
         """For each cell, how far its count lies above the noise of a hashed count: 0 for rare tokens, then by logarithm."""
