@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import free_name, fresh_path, text_of
+from .common import free_name, fresh_path, text_of, written
 
 
 @dataclass(frozen=True)
@@ -98,6 +98,12 @@ def update_ledger(versions: DataFrame, path: str, rules: tuple[Rule, ...] = RULE
     return read_ledger(spark, path, version)
 
 
+def findings(ledger: DataFrame) -> DataFrame:
+    """The rows of a ledger that have spans, few of them, written: so the join to all paths that hold a blob is of plain scans, which
+    adaptive execution may broadcast or split where one blob has very many paths."""
+    return written(ledger.where(F.size("spans") > 0), "findings")
+
+
 def scan(docs: DataFrame, ledger_path: str | None = None, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text", also: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, the columns ``also`` (a path and a version, say), blob_id, spans for every row of ``docs``.
 
@@ -107,7 +113,9 @@ def scan(docs: DataFrame, ledger_path: str | None = None, rules: tuple[Rule, ...
     """
     ledger = update_ledger(docs, ledger_path or fresh_path(docs.sparkSession, "ledger"), rules, text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), *also, blob_id(F.col(text_col)).alias("blob_id"))
-    return rows.join(ledger, "blob_id").select("doc_id", *also, "blob_id", "spans")
+    # after the update every blob is in the ledger, so one that isn't among the findings has none
+    none = F.expr("cast(array() as array<struct<start:bigint,rank:int,kind:string,end:bigint>>)")
+    return rows.join(findings(ledger), "blob_id", "left").select("doc_id", *also, "blob_id", F.coalesce("spans", none).alias("spans"))
 
 
 def masked(text: Column, spans: Column, mask: str = MASK) -> Column:
@@ -133,7 +141,7 @@ def redact(docs: DataFrame, ledger_path: str | None = None, rules: tuple[Rule, .
     A text without spans stays as it is, null and empty ones too; repeated rows stay repeated; ids play no part; an
     empty table gives an empty result; no name of a column is taken.
     """
-    ledger = update_ledger(docs, ledger_path or fresh_path(docs.sparkSession, "ledger"), rules, text_col).where(F.size("spans") > 0)
+    ledger = findings(update_ledger(docs, ledger_path or fresh_path(docs.sparkSession, "ledger"), rules, text_col))
     blob, spans = free_name(docs, "blob_id"), free_name(docs, "spans")
     rows = docs.withColumn(blob, blob_id(F.col(text_col))).join(ledger.select(F.col("blob_id").alias(blob), F.col("spans").alias(spans)), blob, "left")
     clean = F.when(F.col(spans).isNotNull(), masked(F.col(text_col).cast("string"), F.col(spans), mask)).otherwise(F.col(text_col))
