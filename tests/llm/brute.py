@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 WS = " \t\n\x0b\x0c\r"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -112,3 +113,59 @@ def quality(text, span_words=8, max_covered=0.30, max_longest=50, longest_share=
 
 def held_out(doc_id):
     return zlib.crc32(str(doc_id).encode()) % 4 == 2
+
+
+def filled(doc_id, text, seed=1):
+    """(n, form, prefix_chars, middle_chars, output)."""
+    text = text or ""
+    digest = hashlib.sha256(f"{seed}:{doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(digest[8 * k : 8 * k + 8], 16) for k in range(4))
+    n = len(text)
+    if not text or any(x in text for x in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+        return n, "plain", None, None, text
+    i, j = sorted((h1 % (n + 1), h2 % (n + 1)))
+    prefix, middle, suffix = text[:i], text[i:j], text[j:]
+    if h4 % 100 < 20:
+        return n, "spm", i, j - i, f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return n, "psm", i, j - i, f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+def planted_words(doc_id, text):
+    w = WORD.findall(text or "")
+    n = len(w)
+    h = zlib.crc32(str(doc_id).encode())
+    g = h // 10
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+    return w
+
+
+def runs(w, least=6, exponent=4):
+    """(start, end, period) of every run, period by period."""
+    n, out = len(w), {}
+    for q in range(1, n // exponent + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and w[j] == w[j + q]:
+                j += 1
+            if j > i and j + q - i >= max(least, exponent * q):
+                out.setdefault((i, j + q), q)
+            i = j + 1
+    return sorted(((s, e, q) for (s, e), q in out.items()), key=lambda r: (r[0], r[2]))
+
+
+def run_digest(doc_id, text):
+    """The columns of the query of periodic runs."""
+    w = planted_words(doc_id, text)
+    found = runs(w)
+    best = (None,) * 4
+    if found:
+        s, e, q = max(found, key=lambda r: (Fraction(r[1] - r[0], r[2]), -r[0], -r[2]))
+        best = (s, e - s, q, 1000 * (e - s) // q)
+    gone = {i for s, e, q in found for i in range(s + q, e)}
+    listed = "".join(f"{s},{e - s},{q}\n" for s, e, q in found)
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    return len(found), *best, sha(listed), sha(" ".join(x for i, x in enumerate(w) if i not in gone))

@@ -128,7 +128,8 @@ class WordIds:
 _WORDS: dict[int, WordIds] = {}
 
 
-def _words(spec: str) -> WordIds:
+def words_of(spec: str) -> WordIds:
+    """The words of a tokenizer, made once in a Python worker."""
     key = hash(spec)
     if key not in _WORDS:
         _WORDS[key] = WordIds(spec)
@@ -154,7 +155,7 @@ def pieces(docs: DataFrame, spec: str, max_tokens: int = MAX_TOKENS, end_id: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found() -> Iterator[tuple]:
-            words = _words(held.value)
+            words = words_of(held.value)
             for doc_id, text in rows_of(batches, "doc_id", "text"):
                 ids = words.encode(text) + end
                 for k, at in enumerate(range(0, len(ids), 4 * max_tokens)):

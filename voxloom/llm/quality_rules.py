@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import WS, rows_of, text_of
+from .suffix import SuffixRanks
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -49,44 +50,12 @@ _ARROW = pa.schema([*((c, pa.int64()) for c in ("n_words", "word_chars", "n_symb
 
 def longest_repeats(ranks: np.ndarray) -> np.ndarray:
     """For each position of the array, the length of the longest substring that begins there and occurs elsewhere too."""
-    n = len(ranks)
-    out = np.zeros(n, np.int64)
-    dense = np.unique(ranks, return_inverse=True)[1]
-    counts = np.bincount(dense)
-    # a rank is the place of its first member in suffix order, so a group splits without moving the others
-    rank = (np.cumsum(counts) - counts)[dense]
-    # a rank fits 32 bits up to two thousand million words; one document of n words that repeats throughout keeps log2(n) rounds of them
-    small = np.int32 if n < 1 << 31 else np.int64
-    rounds = [rank.astype(small)]
-    active = repeated = np.flatnonzero(counts[dense] > 1)
-    k = 1
-    while len(active):
-        # the rank here, then the rank k further on; past the end comes first
-        key = rank[active] * (n + 2) + np.where(active + k < n, rank[np.minimum(active + k, n - 1)] + 1, 0)
-        by = np.argsort(key, kind="stable")
-        key, at = key[by], active[by]
-        group = rank[at]
-        first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-        head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        in_group = np.arange(len(at)) - np.repeat(first, np.diff(np.r_[first, len(at)]))
-        sizes = np.diff(np.r_[head, len(at)])
-        rank = rank.copy()
-        rank[at] = group + np.repeat(in_group[head], sizes)
-        rounds.append(rank.astype(small))
-        active = np.sort(at[np.repeat(sizes, sizes) > 1])
-        k *= 2
-    if not len(repeated):
-        return out
-    order = repeated[np.argsort(rank[repeated], kind="stable")]
-    a, b = order[:-1], order[1:]
-    off = np.zeros(len(a), np.int64)
-    for j in range(len(rounds) - 1, -1, -1):
-        x, y = a + off, b + off
-        ok = (x < n) & (y < n)
-        ok[ok] = rounds[j][x[ok]] == rounds[j][y[ok]]
-        off[ok] += 1 << j
-    np.maximum.at(out, a, off)
-    np.maximum.at(out, b, off)
+    out = np.zeros(len(ranks), np.int64)
+    suffixes = SuffixRanks(ranks)
+    order = suffixes.order()
+    common = suffixes.common_prefix(order[:-1], order[1:])
+    np.maximum.at(out, order[:-1], common)
+    np.maximum.at(out, order[1:], common)
     return out
 
 

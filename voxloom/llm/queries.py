@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, exact_dedup, line_dedup, packing, pieces, quality_rules, secret_scan, set_join, sharding, warc
+from . import classifier, exact_dedup, fill_middle, id_files, line_dedup, packing, periodic_runs, pieces, quality_rules, secret_scan, set_join, sharding, warc
 from .common import read_table
 
 
@@ -59,7 +59,24 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_line_dedup, op2_set_join, op3_pieces, op4_warc, op5_sharding, op6_exact_dedup, op7_classifier, op8_packing, op9_secret_scan, op10_quality_rules)}
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.restored(fill_middle.fill_middle(read_table(spark, sf_dir, "documents")))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op12_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = packing.read_spec(public_tokenizers.path("word_bpe_49k.json"))
+    found = id_files.read_ids(id_files.write_ids(read_table(spark, sf_dir, "documents"), spec))
+    return found.select("doc_id", "start", F.expr("cast(octet_length(ids) div 4 as long)").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.periodic_runs(periodic_runs.planted(read_table(spark, sf_dir, "documents"))))
+
+
+_ALL = (op1_line_dedup, op2_set_join, op3_pieces, op4_warc, op5_sharding, op6_exact_dedup, op7_classifier, op8_packing, op9_secret_scan, op10_quality_rules, op11_fill_middle, op12_id_files, op13_periodic_runs)
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": line_dedup.ORACLE_SQL,
@@ -67,4 +84,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_warc": warc.ORACLE_SQL,
     "op6_exact_dedup": exact_dedup.ORACLE_SQL,
     "op9_secret_scan": secret_scan.ORACLE_SQL,
+    "op11_fill_middle": fill_middle.ORACLE_SQL,
 }
