@@ -12,7 +12,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from voxloom.llm import classifier, components, exact_dedup, line_dedup, packing, pieces, quality_rules, secret_scan, set_join, sharding, warc
+from voxloom.llm import bloom, classifier, components, exact_dedup, line_dedup, packing, pieces, quality_rules, secret_scan, set_join, sharding, warc
 
 MODEL = open(public_tokenizers.path("piece_bpe_32k.model"), "rb").read()
 SPEC = packing.read_spec(public_tokenizers.path("word_bpe_49k.json"))
@@ -61,6 +61,24 @@ def test_line_dedup_shuffles_suspects_only(spark):
     assert by_id(line_dedup.line_dedup(df, range_hashes=50), "n_lines", "n_dropped", "text") == brute.lines(rows)
 
 
+def test_line_dedup_shuffles_no_more_at_any_filter_size(spark):
+    """Many filters of a small size suspect what one large filter suspects: the lines that repeat often enough, and few others."""
+    rows = [(i, "\n".join([f"own line {i} {j}" for j in range(30)] + [f"twice {(i * 7 + j) % 1500}" for j in range(2)] + [f"often {(i + j) % 60}" for j in range(4)])) for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute.lines(rows)
+    for size in (64 << 20, 40):
+        assert by_id(line_dedup.line_dedup(df, max_filter_bytes=size), "n_lines", "n_dropped", "text") == want
+        told = line_dedup.repeated_hashes(df, 1, 4_000_000, 10)
+        n = told.count()
+        assert 60 <= n <= 70
+        parts = max(1, -(-n * 2 // size))
+        assert parts > 1 or size > 1000
+        filters = [bloom.filter_of(told.where(F.pmod("h", F.lit(parts)) == k), n // parts, True, size) for k in range(parts)]
+        keys = [k for _, t in rows for k in set(line_dedup.line_keys(t, 1))]
+        suspects = [x for k in range(parts) for x in line_dedup.suspected(keys, filters[k], k, parts)]
+        assert 6000 <= len(suspects) <= 6300
+
+
 def test_line_dedup_of_repeated_ids(spark):
     """Rows of one id are documents of their own, whichever way lines are dropped."""
     rows = [*((1, f"both\nown {i}") for i in range(3)), *((None, f"both\nnull {i}") for i in range(3)), (None, "null 0\nboth")]
@@ -148,10 +166,11 @@ def test_piece_table_on_odd_texts():
         assert ids == sp.encode(t) and table.decode(ids) == sp.decode(ids), repr(t)
 
 
-def test_warc(spark):
+@pytest.mark.parametrize("most", [64 << 20, 0])
+def test_warc(spark, most):
     rows = [(1, "http://a/1", "x"), (2, "http://a/2", "x"), (3, None, None), (4, "http://a/\r\n4", ""), (5, "u", "é" * 70_000), (6, "u", "long " * 50_000), (7, "u", "é" * 70_000), (8, "u", "one")]
     pages = spark.createDataFrame([(*r, "z", 1) for r in rows], "page_id long, url string, html string, payload string, offset long").repartition(3)
-    index = warc.write_archives(pages)
+    index = warc.write_archives(pages, max_broadcast_bytes=most)
     got = {r.page_id: r for r in warc.read_records(index).collect()}
     by = {}
     for i, _, h in rows:
@@ -332,6 +351,29 @@ def test_secret_scan(table):
         assert got[i] == (*(sum(x[2] == k for x in found) for k in ("assign", "access", "hex")), hashlib.sha256(text.encode()).hexdigest(), text), i
 
 
+def test_secret_scan_with_clashing_names(spark):
+    df = spark.createDataFrame([(1, "token=abcdefgh", "p", 7, "b")], "id long, text string, spans string, doc_id int, blob_id string")
+    row = secret_scan.scan(df, id_col="id", also=("spans", "doc_id", "blob_id")).first()
+    assert (row.doc_id, row.spans_, row.doc_id_, row.blob_id_, len(row.spans)) == (1, "p", 7, "b", 1)
+
+
+def test_secret_scan_is_native(docs):
+    plan = secret_scan.digest(secret_scan.scan(docs))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_pack_with_clashing_names(spark):
+    rows = [(i, 0, 0, 100 + i, "x", 5, 1) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, offset string, sequence_id int, group int")
+    got = packing.pack(df, packing.Capacity(tokens=500)).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length, r.group))
+    assert len(got) == 50
+    for own in by.values():
+        assert sorted(o for o, _, _ in own) == np.cumsum([0, *(n for _, n, _ in sorted(own))]).tolist()[:-1]
+
+
 def test_secret_ledger_scans_only_what_is_new(spark, docs, tmp_path):
     path = str(tmp_path / "ledger")
     first = secret_scan.update_ledger(docs.where("doc_id < 43"), path).count()
@@ -382,10 +424,18 @@ def test_columns_of_any_name(spark):
     assert clean["b"].text == "[SECRET]" and clean["b"].spans == 1 and clean["x"].text is None
 
 
-def test_warc_of_hot_payloads(spark):
+def test_warc_moves_no_payload(spark):
+    rows = spark.createDataFrame([(i, "u", bytes(200), str(i % 3).encode()) for i in range(30)], "page_id long, url string, payload binary, content binary")
+    many = rows.groupBy("content").agg(F.max("page_id").alias("stays"))
+    plan = lambda most: warc._asked(rows, many, most)._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
+    assert "Exchange" not in plan(1000) and "Exchange" in plan(0)
+
+
+@pytest.mark.parametrize("most", [64 << 20, 0])
+def test_warc_of_hot_payloads(spark, most):
     """A payload of most rows, over several tasks; as many reading tasks as the archives' bytes ask for."""
     df = spark.range(3000).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.when(F.col("id") % 3 == 0, F.lit("same")).otherwise(F.concat(F.lit("own "), F.col("id").cast("string"))).alias("html"))
-    records = warc.read_records(warc.write_archives(df.repartition(4)))
+    records = warc.read_records(warc.write_archives(df.repartition(4), max_broadcast_bytes=most))
     got = {r.page_id: (r.record_type, r.refers_to) for r in records.select("page_id", "record_type", "refers_to").collect()}
     assert got == {i: ("revisit", 2997) if i % 3 == 0 and i != 2997 else ("response", None) for i in range(3000)}
     was = warc.TASK_BYTES

@@ -56,7 +56,8 @@ def components(edges: DataFrame, name: str = "stars", scratch: Scratch | None =
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batched(forest(rows_of(batches, "v", "m")), arrow)
 
-    now = written(now.coalesce(max(1, parts)).mapInArrow(join, f"v {kind.simpleString()}, m {kind.simpleString()}"), name)
+    dealt = now.repartition(parts) if parts > 1 else now.coalesce(1)
+    now = written(dealt.mapInArrow(join, f"v {kind.simpleString()}, m {kind.simpleString()}"), name)
     if parts <= 1:
         return now
     before = _signature(now)

@@ -1,11 +1,12 @@
 """Line deduplication behind two Bloom filters.
 
 Pass 1 hashes the distinct line keys of every document.  Hashes, counted per task first, go by range to tasks of their own (eight
-bytes and a count each); every such task keeps two filters of its range, *once* for hashes met and *twice* for hashes met again, and
-tells each hash that enters the second.  A range has at most ``RANGE_HASHES`` hashes or so, whatever the table, so no filter
-grows with the data.  The told hashes, one for each line that may repeat, make the filter of suspected lines; it takes 16 bits
-each up to ``max_filter_bytes``, which bounds what is broadcast; beyond that (33 million different repeated lines by default) a
-fuller filter suspects more lines and the result is the same.
+bytes and a count each); every such task keeps two filters of its range, *once* for hashes met and *twice* for hashes met again.
+Hashes that enter the second are counted from there on, and those that may be in ``min_docs`` documents are told.  A range has at
+most ``RANGE_HASHES`` hashes or so, whatever the table, so neither filters nor counts of a task grow with the data.  The told
+hashes make the filters of suspected lines: 16 bits each, at most ``max_filter_bytes`` for a filter, which bounds what is broadcast at
+once.  Where they need more (33 million different lines that repeat so often, by default), they are cut by hash into so many
+filters as it takes, and the texts are read once for each: no filter is fuller than another, so only suspects move at any size.
 
 Pass 2 sends only suspected repeats to the shuffle, folded per task, where whole keys are counted exactly and the
 first document is chosen.  Pass 3 drops lines: with the confirmed keys broadcast if their bytes, which are summed
@@ -15,10 +16,12 @@ first, are at most ``max_broadcast_bytes``, else by a join of the suspected line
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -41,8 +44,8 @@ def _hashes(keys: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys))
 
 
-def repeated_hashes(rows: DataFrame, min_chars: int, range_hashes: int = RANGE_HASHES) -> DataFrame:
-    """(h) of the hashes that two documents may share; few come twice or by a false positive of a filter."""
+def repeated_hashes(rows: DataFrame, min_chars: int, range_hashes: int = RANGE_HASHES, min_docs: int = 2) -> DataFrame:
+    """(h) of the hashes that ``min_docs`` documents may share, each once; few are there by a false positive of a filter."""
     spark = rows.sparkSession
     lines = rows.select(F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1)).first()[0] or 0
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-lines // range_hashes))
@@ -62,14 +65,28 @@ def repeated_hashes(rows: DataFrame, min_chars: int, range_hashes: int = RANGE_H
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once, twice = np.zeros(words, np.uint64), np.zeros(words, np.uint64)
+        # hashes met again and the documents that have them, in order; new ones wait until they are worth a merge
+        known, docs = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        n_waiting = 0
         for batch in batches:
             h, of = np.unique(batch.column("h").to_numpy(zero_copy_only=False).view(np.uint64), return_inverse=True)
-            again = np.bincount(of, batch.column("n").to_numpy(zero_copy_only=False), len(h)) > 1
-            again = (again | bloom.contains(once, h)) & ~bloom.contains(twice, h)
+            n = np.bincount(of, batch.column("n").to_numpy(zero_copy_only=False), len(h)).astype(np.int64)
+            before, often = bloom.contains(once, h), bloom.contains(twice, h)
+            again = (n > 1) | before
             bloom.add(once, h)
             bloom.add(twice, h[again])
-            if again.any():
-                yield pa.RecordBatch.from_arrays([pa.array(h[again].view(np.int64))], names=["h"])
+            # a hash that enters the second filter was met once before
+            waiting.append((h[again], (n + (before & ~often))[again]))
+            n_waiting += int(again.sum())
+            if n_waiting > max(100_000, len(known)):
+                known, docs = _summed(known, docs, waiting)
+                waiting, n_waiting = [], 0
+        known, docs = _summed(known, docs, waiting)
+        # a false positive of the second filter at the second meeting leaves the first one out
+        told = known[docs >= min_docs - 1]
+        if len(told):
+            yield pa.RecordBatch.from_arrays([pa.array(told.view(np.int64))], names=["h"])
 
     return rows.mapInArrow(send, "h long, n int").repartition(ranges, "h").mapInArrow(meet, "h long")
 
@@ -79,9 +96,21 @@ def _counted(hashes: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int32))], names=["h", "n"])
 
 
-def suspected(keys: list[bytes], words: np.ndarray) -> list[bytes]:
-    """Those of the keys that the filter may hold."""
-    return [keys[i] for i in np.flatnonzero(bloom.contains(words, _hashes(keys)))] if keys else keys
+def _summed(known: np.ndarray, docs: np.ndarray, more: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes in order, and the sums of their counts."""
+    h, of = np.unique(np.concatenate([known, *(x[0] for x in more)]), return_inverse=True)
+    return h, np.bincount(of, np.concatenate([docs, *(x[1] for x in more)]), len(h)).astype(np.int64)
+
+
+def suspected(keys: list[bytes], words: np.ndarray, part: int = 0, parts: int = 1) -> list[bytes]:
+    """Those of the keys that the filter, which is that of one part of the hashes, may hold."""
+    if not keys:
+        return keys
+    h = _hashes(keys)
+    ok = bloom.contains(words, h)
+    if parts > 1:
+        ok &= h.view(np.int64) % parts == part
+    return [keys[i] for i in np.flatnonzero(ok)]
 
 
 def _rebuilt(text: str, drop: dict, doc_id: object, min_chars: int) -> tuple[int, int, str]:
@@ -124,14 +153,17 @@ def line_dedup(
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    told = written(repeated_hashes(rows, min_chars, range_hashes), "repeated-hashes")
-    words = spark.sparkContext.broadcast(bloom.filter_of(told, told.count(), True, max_filter_bytes))
+    id_arrow = to_arrow_type(rows.schema["doc_id"].dataType)
+    told = written(repeated_hashes(rows, min_chars, range_hashes, min_docs), "repeated-hashes")
+    n_told = told.count()
+    parts = max(1, -(-n_told * bloom.BITS // 8 // max_filter_bytes))
+    filters = [spark.sparkContext.broadcast(bloom.filter_of(told.where(F.pmod("h", F.lit(parts)) == k) if parts > 1 else told, -(-n_told // parts), True, max_filter_bytes)) for k in range(parts)]
 
-    def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def suspects(batches: Iterator[pa.RecordBatch], part: int, words: Broadcast) -> Iterator[pa.RecordBatch]:
         def found() -> Iterator[tuple]:
             held: dict[bytes, list] = {}
             for doc_id, text in rows_of(batches, "doc_id", "text"):
-                for key in suspected(list({k for k in line_keys(text, min_chars) if k is not None}), words.value):
+                for key in suspected(list({k for k in line_keys(text, min_chars) if k is not None}), words.value, part, parts):
                     x = held.setdefault(key, [0, None])
                     x[0] += 1
                     if x[1] is None or doc_id is not None and doc_id < x[1]:
@@ -143,8 +175,8 @@ def line_dedup(
 
         yield from batched(found(), pa.schema([("key", pa.binary()), ("n", pa.int64()), ("first", id_arrow)]))
 
-    id_arrow = to_arrow_type(rows.schema["doc_id"].dataType)
-    counted = rows.mapInArrow(suspects, f"key binary, n long, first {id_type}").groupBy("key").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
+    each = [rows.mapInArrow(partial(suspects, part=k, words=words), f"key binary, n long, first {id_type}") for k, words in enumerate(filters)]
+    counted = reduce(DataFrame.union, each).groupBy("key").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
     repeated = written(counted.where(F.col("n") >= min_docs).select("key", F.col("first") if keep_first else F.lit(None).cast(id_type).alias("first")), "repeated-lines")
     held = repeated.agg(F.sum(F.octet_length("key") + 100)).first()[0] or 0
     out = f"doc_id {id_type}, n_lines long, n_dropped long, text string"
@@ -161,11 +193,13 @@ def line_dedup(
     # rows of one id and text have the same hits, so their digest stands for them, whatever the id
     keyed = rows.withColumn("row", F.md5(F.concat(F.md5("text"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
 
-    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = ((row, key) for row, text in rows_of(batches, "row", "text") for key in suspected(list({k for k in line_keys(text, min_chars) if k is not None}), words.value))
+    def lines(batches: Iterator[pa.RecordBatch], part: int, words: Broadcast) -> Iterator[pa.RecordBatch]:
+        keys = ((row, list({k for k in line_keys(text, min_chars) if k is not None})) for row, text in rows_of(batches, "row", "text"))
+        found = ((row, key) for row, some in keys for key in suspected(some, words.value, part, parts))
         yield from batched(found, pa.schema([("row", pa.string()), ("key", pa.binary())]))
 
-    hits = keyed.mapInArrow(lines, "row string, key binary").join(repeated, "key").groupBy("row").agg(F.collect_set(F.struct("key", "first")).alias("hits"))
+    each = [keyed.mapInArrow(partial(lines, part=k, words=words), "row string, key binary") for k, words in enumerate(filters)]
+    hits = reduce(DataFrame.union, each).join(repeated, "key").groupBy("row").agg(F.collect_set(F.struct("key", "first")).alias("hits"))
     with_hits = keyed.join(hits, "row", "left").select("doc_id", "text", "hits")
 
     def rebuild_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

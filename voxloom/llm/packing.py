@@ -8,8 +8,9 @@ lengths); all must hold.  Of the sequences that can take a piece, ``norm`` picks
 of what is left after it, ``dot`` that with the largest weighted product of the piece's demand and what is left.
 
 Sequences are kept by the tokens left in them, and in each of these levels by what is left of the other two; of
-sequences with the same left in all three, the one that came there last is taken.  Under ``norm`` the levels are searched
-from the tightest up, until the token part of the norm alone is larger than the best norm found; so the choice is exact.
+sequences with the same left in all three, the one that came there last is taken.  Each level keeps a bound of what its
+best state can give; levels are looked at in the order of these bounds, which one array operation computes for all, and
+their states in the order of their own part, until no bound is better than the best choice found; so the choice is exact.
 With the usual weights all three parts weigh: on the given documents they change one choice in thirty and leave the number
 of sequences as it is.
 
@@ -19,6 +20,7 @@ squares is at most the square of the sum), so only tokens can close a sequence u
 
 from __future__ import annotations
 
+import bisect
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,7 +34,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import LongType, StructField, StructType
 from tokenizers import Tokenizer
 
-from .common import batched, rows_of, text_of, written
+from .common import batched, free_name, rows_of, text_of, written
 
 MAX_TOKENS = 4096
 END_ID = 1
@@ -145,7 +147,8 @@ def read_spec(path: str) -> str:
 def pieces(docs: DataFrame, spec: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids (little-endian unsigned 32-bit integers) of every piece of every row.
 
-    ``spec`` is the tokenizer's JSON.  A null or empty text is the end id alone.
+    ``spec`` is the tokenizer's JSON.  A null or empty text is the end id alone; a repeated row gives its pieces as often; a very
+    long text is encoded whole, then cut; an empty table gives an empty result; further columns are not read.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType
@@ -170,75 +173,81 @@ def pieces(docs: DataFrame, spec: str, max_tokens: int = MAX_TOKENS, end_id: int
 def best_fit(lengths: np.ndarray, capacity: Capacity) -> tuple[np.ndarray, np.ndarray]:
     """The sequence and the place in it of each length, which fall from first to last."""
     c, (w1, w2, w3) = capacity, capacity.weights
-    # open sequences by the tokens left, then by the documents and attention left
-    levels: list[dict[tuple[int, int], list[int]]] = [{} for _ in range(c.tokens + 1)]
-    filled = np.zeros(c.tokens + 2, bool)
+    norm = c.choose == "norm"
+    # the value of a choice is far (by tokens alone) + own (by the sequence alone) - slope * attention left + a constant of the length
+    steps = np.arange(c.tokens + 1)
+    far = w1 * (steps / c.tokens) ** 2 if norm else -w1 * steps / c.tokens**2
+    own_of = lambda docs, cost: w2 * ((docs - 1) / c.documents) ** 2 + w3 * (cost / c.attention) ** 2 if norm else -w2 * docs / c.documents**2
+    # open sequences by the tokens left, then by the documents and attention left; of each level the states by their own part
+    levels: list[dict[tuple[int, int], list[int]]] = [{} for _ in steps]
+    states: list[list[tuple[float, int, int]]] = [[] for _ in steps]
+    # the least own part and the most attention left in each level: no state there has a value below what these give
+    low, most = np.full(c.tokens + 1, np.inf), np.zeros(c.tokens + 1)
     left: list[tuple[int, int]] = []  # documents and attention left in each sequence
     room: list[int] = []
     sequence, offset = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
     for i, n in enumerate(lengths.tolist()):
-        if n > c.tokens or n * n > c.attention:
+        cost_n = n * n
+        if n > c.tokens or cost_n > c.attention:
             raise ValueError(f"a piece of {n} tokens fits no sequence")
-        best, best_at = None, -1
-        level = n
-        while True:
-            step = int(filled[level:].argmax())
-            if not filled[level + step]:
-                break
-            level += step
-            r = (level - n) / c.tokens
-            if c.choose == "norm" and best is not None and w1 * r * r > best:
-                break
-            for (docs, cost), open_ in levels[level].items():
-                if docs < 1 or cost < n * n:
-                    continue
-                if c.choose == "norm":
-                    value = w1 * r * r + w2 * ((docs - 1) / c.documents) ** 2 + w3 * ((cost - n * n) / c.attention) ** 2
-                else:
-                    value = -(w1 * n / c.tokens * level / c.tokens + w2 / c.documents * docs / c.documents + w3 * n * n / c.attention * cost / c.attention)
-                if best is None or value < best:
-                    best, best_at = value, open_[-1]
-            level += 1
-            if level > c.tokens:
-                break
+        slope = (2 if norm else 1) * w3 * cost_n / c.attention**2
+        by_tokens = far[: c.tokens + 1 - n] if norm else n * far[n:]
+        bound = by_tokens + low[n:] - slope * most[n:]
+        best, best_at = np.inf, -1
+        while bound[k := int(bound.argmin())] < best:
+            for own, docs, cost in states[n + k]:
+                value = by_tokens[k] + own - slope * cost
+                if value < best and cost >= cost_n:
+                    best, best_at = value, levels[n + k][docs, cost][-1]
+                if by_tokens[k] + own - slope * most[n + k] >= best:
+                    break
+            bound[k] = np.inf
         if best_at < 0:
             best_at = len(room)
             room.append(c.tokens)
             left.append((c.documents, c.attention))
         else:
-            alike = levels[room[best_at]][left[best_at]]
+            level, state = room[best_at], left[best_at]
+            alike = levels[level][state]
             alike.pop()
             if not alike:
-                del levels[room[best_at]][left[best_at]]
-            filled[room[best_at]] = bool(levels[room[best_at]])
+                del levels[level][state]
+                states[level].remove((own_of(*state), *state))
+                low[level] = states[level][0][0] if states[level] else np.inf
+                most[level] = most[level] if states[level] else 0
         sequence[i], offset[i] = best_at, c.tokens - room[best_at]
         room[best_at] -= n
         docs, cost = left[best_at]
-        left[best_at] = (docs - 1, cost - n * n)
-        if room[best_at] and docs > 1:
-            levels[room[best_at]].setdefault(left[best_at], []).append(best_at)
-            filled[room[best_at]] = True
+        docs, cost = left[best_at] = (docs - 1, cost - cost_n)
+        level = room[best_at]
+        if level and docs:
+            if (docs, cost) not in levels[level]:
+                bisect.insort(states[level], (own_of(docs, cost), docs, cost))
+                low[level], most[level] = states[level][0][0], max(most[level], cost)
+            levels[level].setdefault((docs, cost), []).append(best_at)
     return sequence, offset
 
 
 def pack(rows: DataFrame, capacity: Capacity = Capacity(), group_rows: int = GROUP_ROWS) -> DataFrame:
-    """``rows`` (doc_id, piece, length and any other columns but ``__group``) with sequence_id and offset.
+    """``rows`` (doc_id, piece, start, length and any other columns) with sequence_id and offset, which replace columns of these names.
 
-    Sequence ids are unique, not gapless; offsets are gapless in each sequence.  Repeated rows are packed each.
-    ``rows`` is read twice, so it should be a written table.
+    Sequence ids are unique, not gapless; offsets are gapless in each sequence.  Repeated rows are packed each.  An empty
+    table gives an empty result.  ``rows`` is read twice, so it should be a written table.
     """
     n = rows.count()
     groups = max(1, -(-n // group_rows))
-    dealt = rows.withColumn("__group", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(groups)))
+    rows = rows.drop("sequence_id", "offset")
+    name = free_name(rows, "group")
+    dealt = rows.withColumn(name, F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(groups)))
     schema = StructType([*rows.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
 
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
         sequence, offset = best_fit(group.column("length").to_numpy(), capacity)
-        first = group.column("__group")[0].as_py() << 32
-        return group.drop_columns(["__group"]).append_column("sequence_id", pa.array(sequence + first)).append_column("offset", pa.array(offset))
+        first = group.column(name)[0].as_py() << 32
+        return group.drop_columns([name]).append_column("sequence_id", pa.array(sequence + first)).append_column("offset", pa.array(offset))
 
-    return dealt.groupBy("__group").applyInArrow(run, schema)
+    return dealt.groupBy(name).applyInArrow(run, schema)
 
 
 def pack_documents(docs: DataFrame, spec: str, capacity: Capacity = Capacity(), end_id: int = END_ID, group_rows: int = GROUP_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

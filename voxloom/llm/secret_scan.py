@@ -109,13 +109,20 @@ def scan(docs: DataFrame, ledger_path: str | None = None, rules: tuple[Rule, ...
 
     Every row is a version of its path.  With ``ledger_path`` only blobs that no run with these rules has seen are scanned;
     without, a new ledger is begun in the shared folder.  Null texts are empty and have no spans; repeated rows each get
-    their row; ids may repeat or be null; an empty table gives an empty result; columns not named are not read.
+    their row; ids may repeat or be null; an empty table gives an empty result; columns not named are not read.  A column of
+    ``also`` that has the name of another one of the result comes with an underscore behind it.
     """
     ledger = update_ledger(docs, ledger_path or fresh_path(docs.sparkSession, "ledger"), rules, text_col)
-    rows = docs.select(F.col(id_col).alias("doc_id"), *also, blob_id(F.col(text_col)).alias("blob_id"))
+    taken, names = {"doc_id", "blob_id", "spans"}, []
+    for name in also:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        names.append(name)
+    rows = docs.select(F.col(id_col).alias("doc_id"), *(F.col(c).alias(n) for c, n in zip(also, names, strict=True)), blob_id(F.col(text_col)).alias("blob_id"))
     # after the update every blob is in the ledger, so one that isn't among the findings has none
     none = F.expr("cast(array() as array<struct<start:bigint,rank:int,kind:string,end:bigint>>)")
-    return rows.join(findings(ledger), "blob_id", "left").select("doc_id", *also, "blob_id", F.coalesce("spans", none).alias("spans"))
+    return rows.join(findings(ledger), "blob_id", "left").select("doc_id", *names, "blob_id", F.coalesce("spans", none).alias("spans"))
 
 
 def masked(text: Column, spans: Column, mask: str = MASK) -> Column:

@@ -17,12 +17,15 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import bloom
 from .common import batched, fresh_path, rows_of, text_of, written
 
 INDEX_SCHEMA = "page_id long, url string, record_type string, payload_digest string, file string, offset long, length long"
@@ -30,8 +33,9 @@ RECORD_SCHEMA = "page_id long, url string, record_type string, payload_bytes lon
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: A new file after so many bytes; neighbouring ranges are read at once over gaps and up to lengths of so many bytes.
 FILE_BYTES, GAP_BYTES, READ_BYTES = 256 << 20, 64 << 10, 8 << 20
-#: Tasks in which the rows of one content meet its answer; bytes of archives that a reading task gets in the mean.
-SALTS, TASK_BYTES = 8, 32 << 20
+#: Tasks in which the rows of one content meet its answer, where answers are too many to broadcast; bytes that one answer takes
+#: in memory; bytes of archives that a reading task gets in the mean.
+SALTS, ANSWER_BYTES, TASK_BYTES = 8, 100, 32 << 20
 
 
 def base32_sha1(payload: bytes) -> str:
@@ -74,24 +78,48 @@ def parse(member: bytes) -> tuple:
     return _from_urn(fields["WARC-Record-ID"]), fields.get("WARC-Target-URI"), kind, size, digest, _from_urn(fields.get("WARC-Refers-To")) if kind == "revisit" else None, payload if kind == "response" else None
 
 
-def write_archives(pages: DataFrame, to: str | None = None, min_payload_bytes: int = 0, date: str = "2000-01-01T00:00:00Z", id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def _asked(rows: DataFrame, many: DataFrame, max_broadcast_bytes: int) -> DataFrame:
+    """``rows`` with what ``many`` says of their content.
+
+    Few answers are broadcast, and every payload stays where it lies.  Else a filter of the contents that repeat, of a bounded
+    size, tells the rows that can stay where they lie; the others meet the answers, each content in SALTS places, so that
+    one of very many rows meets in as many tasks.
+    """
+    n_many = many.count()
+    if n_many * ANSWER_BYTES <= max_broadcast_bytes:
+        return rows.join(F.broadcast(many), "content", "left")
+    held = rows.sparkSession.sparkContext.broadcast(bloom.filter_of(many.select(F.xxhash64("content").alias("h")), n_many, True))
+
+    @F.pandas_udf("boolean")
+    def repeats(hashes: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for h in hashes:
+            yield pd.Series(bloom.contains(held.value, h.to_numpy(np.int64).view(np.uint64)))
+
+    marked = rows.withColumn("repeats", repeats(F.xxhash64("content")))
+    alone = marked.where("not repeats").drop("repeats").withColumn("stays", F.lit(None).cast("long"))
+    answers = many.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    shared = marked.where("repeats").withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+    return alone.unionByName(shared.join(answers, ["content", "salt"], "left").drop("repeats", "salt"))
+
+
+def write_archives(pages: DataFrame, to: str | None = None, min_payload_bytes: int = 0, date: str = "2000-01-01T00:00:00Z", id_col: str = "page_id", url_col: str = "url", html_col: str = "html", max_broadcast_bytes: int = 64 << 20) -> DataFrame:
     """Writes a record per row to archives in ``to`` (a new folder of the shared one if None); returns the index.
 
     Of records with equal payloads of ``min_payload_bytes`` or more, the one with the largest id is the response and
     the others revisit it.  A null page is an empty payload, a null URL has no header; repeated rows get a record
-    each; where the id that stays repeats, each of its records is a response; of records without ids all are.
+    each; where the id that stays repeats, each of its records is a response; of records without ids all are.  Payloads are
+    written by the task that reads them, not shuffled, as long as the contents that repeat take ``max_broadcast_bytes`` at most
+    (by their number); beyond that only payloads of contents that repeat move.
     An empty table gives an empty index; further columns are not read.
     """
     spark = pages.sparkSession
     to = to or fresh_path(spark, "warc")
     html = text_of(html_col)
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.encode(html, "UTF-8").alias("payload"), F.sha2(html, 256).alias("content"))
-    # only contents that repeat are told to the rows, each to SALTS places, so that one content of very many rows meets in as many tasks
-    many = rows.groupBy("content").agg(F.max("page_id").alias("stays"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    many = many.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), html.cast("binary").alias("payload"), F.unhex(F.sha2(html, 256)).alias("content"))
+    # the contents that repeat: digests and ids alone
+    many = written(rows.groupBy("content").agg(F.max("page_id").alias("stays"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "warc-repeats")
     copy = F.col("stays").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("stays")) & (F.octet_length("payload") >= min_payload_bytes)
-    asked = rows.join(many, ["content", "salt"], "left").withColumn("revisit", copy)
+    asked = _asked(rows, many, max_broadcast_bytes).withColumn("revisit", copy)
     run = uuid.uuid4().hex[:8]
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,8 +162,9 @@ def _ranges(rows: Iterator[tuple]) -> Iterator[tuple[str, list[tuple[int, int]]]
 def read_records(index: DataFrame) -> DataFrame:
     """The records that ``index`` (all or selected rows of it) names, as RECORD_SCHEMA.
 
-    The bytes to read, not those of the index, decide the number of tasks.  An index row that repeats gives its record as
-    often; an empty index gives an empty result; further columns are not read.
+    The bytes to read, not those of the index, decide the number of tasks.  A null page is an empty payload and a null id or
+    URL is null again; a revisit has no payload.  An index row that repeats gives its record as often; an empty index gives an
+    empty result; further columns are not read.
     """
     spark = index.sparkSession
     total = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
