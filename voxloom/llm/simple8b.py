@@ -31,26 +31,33 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     size = np.full(blocks, BLOCK)
     if n % BLOCK:
         size[-1] = n % BLOCK
-    # ids up to each place that each width can't hold
-    over = np.zeros((len(COUNTS), blocks, BLOCK + 1), np.int16)
-    for s, least in enumerate(_LEAST):
-        np.cumsum(values >= least, axis=1, out=over[s, :, 1:])
+    # for every place the selector of the cheapest word there
+    best, least_cost = np.zeros((blocks, BLOCK), np.int8), np.full((blocks, BLOCK), np.inf, np.float32)
+    over = np.zeros((blocks, BLOCK + 1), np.int16)
+    for s, (count, least) in enumerate(zip(COUNTS.tolist(), _LEAST, strict=True)):
+        # ids up to each place that this width can't hold
+        np.cumsum(values >= least, axis=1, out=over[:, 1:])
+        escapes = np.empty((blocks, BLOCK), np.int16)
+        np.subtract(over[:, count:BLOCK], over[:, : BLOCK - count], out=escapes[:, : BLOCK - count])
+        np.subtract(over[:, BLOCK:], over[:, BLOCK - count : BLOCK], out=escapes[:, BLOCK - count :])
+        cost = escapes * np.float32(_ESCAPE_BITS if s > 2 else _NEVER)
+        cost += np.float32(64)
+        cost *= (1 / np.minimum(count, BLOCK - np.arange(BLOCK))).astype(np.float32)
+        cheaper = cost < least_cost
+        best[cheaper] = s
+        np.minimum(least_cost, cost, out=least_cost)
     selectors = np.zeros((blocks, BLOCK), np.int8)
     used = np.zeros(blocks, np.int64)
-    at = np.zeros(blocks, np.int64)
-    lanes = np.arange(blocks)
-    every = np.arange(len(COUNTS))[:, None]
-    while len(lanes):
-        here = at[lanes]
-        count = np.minimum(COUNTS[:, None], size[lanes] - here)
-        escapes = over[every, lanes, here + count] - over[every, lanes, here]
-        cost = (64 + _ESCAPE_BITS * escapes.astype(np.float32)) / count
-        cost[:3][escapes[:3] > 0] = _NEVER
-        best = cost.argmin(axis=0)
-        selectors[lanes, used[lanes]] = best
+    lanes, here = np.arange(blocks), np.zeros(blocks, np.int64)
+    for step in range(BLOCK):
+        taken = best[lanes, here]
+        selectors[lanes, step] = taken
         used[lanes] += 1
-        at[lanes] += count[best, np.arange(len(lanes))]
-        lanes = lanes[at[lanes] < size[lanes]]
+        here += COUNTS[taken]
+        inside = here < size[lanes]
+        lanes, here = lanes[inside], here[inside]
+        if not len(lanes):
+            break
     chosen = selectors[np.arange(BLOCK) < used[:, None]]
     begin = _places(chosen, used)
     words = chosen.astype(np.uint64) << np.uint64(60)
