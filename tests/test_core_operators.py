@@ -143,19 +143,8 @@ def test_lookups(spark):
     assert dict(values(L.select_prosody(asked, refs), "emotion", "file")) == {"Fascinated": "x.wav", "odd": "c.wav", "emphatic": "f.wav", "calm": None}
 
 
-def test_signals():
-    rate = 16_000
-    for hz in (100, 200, 300):
-        assert abs(G.pitch(0.5 * np.sin(2 * np.pi * hz * np.arange(rate) / rate).astype(np.float32), rate) - hz) < 15
-    assert G.pitch(np.zeros(rate, np.float32), rate) is None
+def test_wave_files():
     x = (0.1 * np.sin(2 * np.pi * 440 * np.arange(12_000) / 24_000)).astype(np.float32)
-    for k in (1000, 5000, 9000):
-        x[k] = 0.9
-    fixed = G.click_repair(x, 0.3)
-    assert len(G.click_places(x, 0.3)) >= 3 and len(G.click_places(fixed, 0.3)) == 0 and x[1000] == np.float32(0.9)
-    quiet = np.concatenate([np.zeros(4800), 0.5 * np.ones(7200), np.zeros(7200)]).astype(np.float32)
-    assert 7200 <= len(G.trimmed(quiet, 24_000)) <= 7200 + 1200
-    assert G.loudness(np.zeros(10)) == -70.0 and np.isclose(G.loudness(np.ones(10)), -0.691)
     samples, out_rate = S.decode_wav(S.encode_wav(x, 24_000))
     assert out_rate == 24_000 and np.allclose(samples, x, atol=1e-4)
 

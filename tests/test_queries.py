@@ -51,18 +51,39 @@ def test_publish(spark):
 
 
 def test_validate_manifest(spark):
-    columns = "file string, exists boolean, duration double, language string, expected string, seconds_per_word double, mos double, similarity double, language_match boolean"
-    row = lambda f, e=True, d=1.0: (f, e, d, "en", "three plain words", None, None, None, None)
-    manifest = spark.createDataFrame([row("/abs"), row("ok"), row("old"), row("gone", False), row("short", True, 0.1), row("bad")], columns)
+    columns = "nth int, file string, exists boolean, duration double, language string, expected string, mos double, similarity double, language_match boolean, ref_audio string, ref_text string"
+    words = "three plain words"
+    row = lambda n, f, e=True, d=1.0, ref=None, text=None: (n, f, e, d, "en", words, None, None, None, ref, text)
+    slow = "one two three four"
+    rows = [
+        row(0, "/abs"),
+        row(1, "ok"),
+        row(2, "old"),
+        row(3, "gone", False),
+        row(4, "short", True, 0.1),
+        row(5, "bad"),
+        # eight seconds for three words: too long by the default, not by a voice of four seconds a word
+        row(6, "long", True, 8.0),
+        row(7, "slow", True, 8.0, "ref.wav", slow),
+        row(8, "unsafe", True, 8.0, "../ref.wav", slow),
+        row(9, "few", True, 8.0, "ref.wav", "two words"),
+    ]
+    manifest = spark.createDataFrame(rows, columns)
     previous = spark.createDataFrame([("old", "OK", []), ("ok", "FLAGGED", [])], "file string, status string, issues array<string>")
+    references = spark.createDataFrame([("ref.wav", 16.0), ("../ref.wav", 16.0)], "file string, duration double")
     heard = []
 
     def transcribe(rows):
         from pyspark.sql import functions as F
 
         heard.extend(r.file for r in rows.collect())
-        return rows.withColumn("transcription", F.when(F.col("file") == "ok", F.col("expected")).otherwise("nothing like it at all"))
+        return rows.withColumn("transcription", F.when(F.col("file") == "bad", "nothing like it at all").otherwise(F.col("expected")))
 
-    got = {r.file: (r.status, r.issues) for r in pipelines.validate_manifest(manifest, previous, transcribe).collect()}
-    assert sorted(heard) == ["bad", "ok"]
+    found = pipelines.validate_manifest(manifest, previous, transcribe, references).orderBy("nth").collect()
+    assert [r.nth for r in found] == list(range(10))
+    got = {r.file: (r.status, r.issues) for r in found}
+    assert sorted(heard) == ["bad", "ok", "slow"]
     assert got["/abs"] == ("ERROR", ["REJECTED_PATH"]) and got["ok"] == ("OK", []) and got["old"] == ("OK", []) and got["gone"] == ("ERROR", ["FILE_NOT_FOUND"]) and got["short"] == ("FLAGGED", ["SILENT"]) and got["bad"][0] == "FLAGGED"
+    assert got["long"] == got["unsafe"] == got["few"] == ("FLAGGED", ["DURATION_ANOMALY"]) and "DURATION_ANOMALY" not in got["slow"][1]
+    plain = {r.file: r.status for r in pipelines.validate_manifest(manifest, None, transcribe).collect()}
+    assert plain["slow"] == "FLAGGED" and plain["ok"] == "OK"

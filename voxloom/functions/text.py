@@ -52,10 +52,6 @@ def normalize_text(text: Column) -> Column:
     return F.array_join(normal_words(text), " ")
 
 
-def word_list(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(f"[^{SPACES}]+"), F.lit(0))
-
-
 def word_count(text: Column) -> Column:
     """F2; 0 for empty and null texts."""
     return F.coalesce(F.regexp_count(text, F.lit(f"[^{SPACES}]+")), F.lit(0))

@@ -125,8 +125,3 @@ def validate(rows: DataFrame) -> DataFrame:
         .otherwise(F.col("__late"))
     )
     return marked.select(*rows.columns, kind.alias("status"), issues.alias("issues"))
-
-
-def expected_seconds(words: Column, language: Column) -> Column:
-    """words times the language's rate."""
-    return words * word_seconds(language)

@@ -157,11 +157,6 @@ def clip_library(files: DataFrame) -> DataFrame:
     return rows.groupBy("speaker").agg(F.count(F.lit(1)).alias("clips"), F.array_sort(F.collect_list("file")).alias("files"))
 
 
-def next_different(choice: Column, last: Column, n: Column) -> Column:
-    """One of ``n`` clips other than the last used, if there is another."""
-    return F.when(last.isNull() | (n <= 1), choice % F.greatest(n, F.lit(1))).otherwise((last + 1 + choice % F.greatest(n - 1, F.lit(1))) % n)
-
-
 def order_by_name_number(files: DataFrame, exclude: str) -> DataFrame:
     """SC9: section files (file, nth): the number in the name first, work files and the output left out."""
     name = F.col("file")

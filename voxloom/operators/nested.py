@@ -58,9 +58,3 @@ def prosody_refs(files: DataFrame, json: str = "json") -> DataFrame:
     by_voice = F.from_json(F.col(json), "map<string,map<string,struct<file:string,text:string>>>")
     rows = files.select(F.explode(by_voice).alias("voice", "refs")).select(F.lower("voice").alias("voice"), F.posexplode(F.map_entries("refs")).alias("ordinal", "r"))
     return rows.select("voice", "ordinal", F.col("r.key").alias("category"), F.col("r.value.file").alias("file"), F.col("r.value.text").alias("text"))
-
-
-def review_issues(reviews: DataFrame, key: str, json: str = "json") -> DataFrame:
-    """(key, nth, severity, type, explanation) of a review's fidelity part."""
-    kind = "struct<fidelity:struct<issues:array<struct<severity:string,type:string,explanation:string>>>>"
-    return reviews.select(key, F.posexplode(F.from_json(F.col(json), kind)["fidelity"]["issues"]).alias("nth", "i")).select(key, "nth", "i.*")

@@ -1,50 +1,57 @@
-"""Signals.  Long form (key, idx, value) for what SQL expresses; ``array<float>`` with numpy for what needs the past output.
+"""Signals in long form (key, idx, value).
 
-Long-form operators aggregate by (key, bucket), so partial sums fold map-side.  A signal whose clicks or silences
-are searched is windowed by its key.
+Sums fold map-side by (key, bucket); windows see a stretch of a signal, not all of it, and what they find meets over the
+borders.  ``chunked`` has what needs a signal's neighbourhood or past output, ``production`` the jobs made of both.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import db_to_linear
 
 
-#: Samples redrawn on each side of a jump, the window of the silence search and what stays of it before and after.
-REPAIR, WINDOW_S, LEAD_S, TRAIL_S = 3, 0.01, 0.005, 0.02
-#: Early reflections of a room (milliseconds, gain), and how often its noise falls by a factor of e.
-REFLECTIONS, DECAY = ((5, 0.4), (12, 0.25), (20, 0.15), (35, 0.1)), 6
+#: Samples of a stretch that one window sees.
+SIZE = 1 << 16
 
 
-def silences(signal: DataFrame, key: str, rate: int, noise_db: float = -40.0, min_seconds: float = 0.3) -> DataFrame:
-    """(key, start, end, duration) in seconds of runs below the threshold."""
-    window = Window.partitionBy(key).orderBy("idx")
-    quiet = F.abs(F.col("value")) <= float(10 ** (noise_db / 20))
-    rows = signal.select(key, "idx", quiet.alias("q"))
-    rows = rows.withColumn("island", F.sum(F.when(F.col("q") == F.lag("q", 1).over(window), 0).otherwise(1)).over(window))
-    runs = rows.where("q").groupBy(key, "island").agg(F.min("idx").alias("a"), (F.max("idx") + 1).alias("b")).where(F.col("b") - F.col("a") >= int(rate * min_seconds))
-    return runs.select(key, (F.col("a") / rate).alias("start"), (F.col("b") / rate).alias("end"), ((F.col("b") - F.col("a")) / rate).alias("duration"))
+def silences(signal: DataFrame, key: str, rate: int, noise_db: float = -40.0, min_seconds: float = 0.3, size: int = SIZE) -> DataFrame:
+    """(key, start, end, duration) in seconds of runs below the threshold.
 
+    Runs are found in stretches of ``size`` samples; those that are long enough, or touch a border, meet over the borders.
+    """
+    rows = signal.where(F.abs(F.col("value")) <= float(10 ** (noise_db / 20))).select(key, "idx", F.floor(F.col("idx") / size).alias("part"))
+    # samples of one run keep their distance to their number
+    island = F.col("idx") - F.row_number().over(Window.partitionBy(key, "part").orderBy("idx"))
+    runs = rows.withColumn("island", island).groupBy(key, "part", "island").agg(F.min("idx").alias("a"), (F.max("idx") + 1).alias("b"))
+    least = int(rate * min_seconds)
+    runs = runs.where((F.col("b") - F.col("a") >= least) | (F.col("a") % size == 0) | (F.col("b") % size == 0))
+    window = Window.partitionBy(key).orderBy("a")
+    runs = runs.withColumn("run", F.sum(F.when(F.col("a") == F.lag("b").over(window), 0).otherwise(1)).over(window))
+    runs = runs.groupBy(key, "run").agg(F.min("a").alias("a"), F.max("b").alias("b")).where(F.col("b") - F.col("a") >= least)
+    return runs.select(key, (F.col("a") / rate).alias("start"), (F.col("b") / rate).alias("end"), ((F.col("b") - F.col("a")) / rate).alias("duration"))
 
-def time_gaps(events: DataFrame, key: str, micros: str, min_micros: int) -> DataFrame:
-    """W2 on a stream of times: (key, start, end) of pauses of at least ``min_micros``."""
-    rows = events.withColumn("end", F.lead(micros).over(Window.partitionBy(key).orderBy(micros)))
-    return rows.where(F.col("end") - F.col(micros) >= min_micros).select(key, F.col(micros).alias("start"), "end")
 
+def clicks(signal: DataFrame, key: str, rate: int, threshold: float, size: int = SIZE) -> DataFrame:
+    """(key, first, samples, severity) of groups of jumps less than 5 ms apart.
 
-def clicks(signal: DataFrame, key: str, rate: int, threshold: float) -> DataFrame:
-    """(key, first, samples, severity) of groups of jumps less than 5 ms apart."""
-    window = Window.partitionBy(key).orderBy("idx")
+    Jumps and their groups are found in stretches of ``size`` samples, over a border by a join of the samples there; groups of
+    neighbouring stretches meet last, a few rows for each stretch.
+    """
     near = max(1, int(rate * 0.005))
-    hits = signal.select(key, "idx", F.abs(F.lead("value").over(window) - F.col("value")).alias("jump")).where(F.col("jump") > threshold)
-    marked = hits.withColumn("group", F.sum(F.when(F.col("idx") - F.lag("idx").over(window) < near, 0).otherwise(1)).over(window))
-    return marked.groupBy(key, "group").agg(F.min("idx").alias("first"), F.count(F.lit(1)).alias("samples"), F.max("jump").alias("severity")).drop("group")
+    rows = signal.select(key, "idx", "value", F.floor(F.col("idx") / size).alias("part"))
+    inner = rows.withColumn("next", F.lead("value").over(Window.partitionBy(key, "part").orderBy("idx")))
+    heads = rows.where(F.col("idx") % size == 0).select(key, (F.col("part") - 1).alias("part"), F.col("value").alias("next"))
+    edges = rows.where(F.col("idx") % size == size - 1).join(heads, [key, "part"])
+    jumps = inner.where("next is not null").unionByName(edges)
+    hits = jumps.select(key, "part", "idx", F.abs(F.col("next") - F.col("value")).alias("jump")).where(F.col("jump") > threshold)
+    within = Window.partitionBy(key, "part").orderBy("idx")
+    marked = hits.withColumn("group", F.sum(F.when(F.col("idx") - F.lag("idx").over(within) < near, 0).otherwise(1)).over(within))
+    groups = marked.groupBy(key, "part", "group").agg(F.min("idx").alias("first"), F.max("idx").alias("last"), F.count(F.lit(1)).alias("samples"), F.max("jump").alias("severity"))
+    over = Window.partitionBy(key).orderBy("first")
+    groups = groups.withColumn("run", F.sum(F.when(F.col("first") - F.lag("last").over(over) < near, 0).otherwise(1)).over(over))
+    return groups.groupBy(key, "run").agg(F.min("first").alias("first"), F.sum("samples").alias("samples"), F.max("severity").alias("severity")).drop("run")
 
 
 def trim_bounds(signal: DataFrame, key: str, rate: int, threshold: float) -> DataFrame:
@@ -109,313 +116,3 @@ def separation(voices: DataFrame, least: float = 80.0, group: list[str] | None =
 def by_pitch(voices: DataFrame) -> DataFrame:
     """Null as 0."""
     return voices.orderBy(F.coalesce("f0", F.lit(0.0)), "file")
-
-
-# -- arrays -------------------------------------------------------------------------------------------------
-
-
-def mapped(signals: DataFrame, f: Callable[[np.ndarray, int], object], out: str, kind: str) -> DataFrame:
-    """``signals`` (samples, sr, ...) with ``out`` = f(samples, sr), by Arrow batches."""
-
-    @F.pandas_udf(kind)
-    def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for samples, rates in parts:
-            yield pd.Series([None if x is None else f(np.asarray(x, np.float32), int(r)) for x, r in zip(samples, rates, strict=True)], dtype=object)
-
-    return signals.withColumn(out, run("samples", "sr"))
-
-
-def click_places(x: np.ndarray, threshold: float) -> np.ndarray:
-    return np.flatnonzero(np.abs(np.diff(x)) > threshold)
-
-
-def click_repair(x: np.ndarray, threshold: float = 0.15) -> np.ndarray:
-    """What lies within three samples of a jump is redrawn as a straight line between the samples that stay.
-
-    Jumps whose surroundings meet share one line; the first and the last sample always stay.
-    """
-    jumps = np.flatnonzero(np.abs(np.diff(x)) > threshold)
-    if not len(jumps):
-        return x.copy()
-    edge = np.zeros(len(x) + 8, np.int64)
-    np.add.at(edge, np.maximum(jumps - REPAIR + 1, 0), 1)
-    np.add.at(edge, jumps + REPAIR, -1)
-    redrawn = np.cumsum(edge)[: len(x)] > 0
-    redrawn[[0, -1]] = False
-    at = np.arange(len(x))
-    return np.interp(at, at[~redrawn], x[~redrawn]).astype(np.float32)
-
-
-def quiet_head(x: np.ndarray, w: int, level: float) -> int | None:
-    """The windows of ``w`` samples before the first that is louder than ``level``; None without one.  The last window's start stays free."""
-    k = -(-(len(x) - w) // w)
-    if k <= 0:
-        return None
-    loud = np.abs(x[: k * w]).reshape(k, w).max(1) > level
-    return int(loud.argmax()) if loud.any() else None
-
-
-def trimmed(x: np.ndarray, rate: int, db: float = -35.0) -> np.ndarray:
-    """W20, W21 on an array: the bounds of ``trim_bounds``, from the window maxima of the signal and of its mirror image."""
-    w, n, level = max(1, int(rate * WINDOW_S)), len(x), 10 ** (db / 20)
-    head, tail = quiet_head(x, w, level), quiet_head(x[::-1], w, level)
-    first = 0 if head is None else max(0, head * w - int(rate * LEAD_S))
-    end = n if tail is None else min(n, n - tail * w + int(rate * TRAIL_S))
-    return x[first:end]
-
-
-def faded(x: np.ndarray, rate: int, fade_ms: int = 8) -> np.ndarray:
-    """W22 on an array: a gain that grows with the distance to the nearer end."""
-    f, n = int(rate * fade_ms / 1000), len(x)
-    if not n > 2 * f > 0:
-        return x.copy()
-    at = np.arange(n)
-    return (x * np.clip(np.minimum(at, n - 1 - at) / max(1, f - 1), 0, 1)).astype(np.float32)
-
-
-def frames(x: np.ndarray, size: int, hop: int) -> np.ndarray:
-    """Overlapping frames that aren't silent."""
-    starts = np.arange(0, len(x) - size, hop)
-    if not len(starts):
-        return np.zeros((0, size), np.float32)
-    all_ = np.lib.stride_tricks.sliding_window_view(x, size)[starts]
-    return all_[np.abs(all_).max(1) >= 0.01]
-
-
-def pitch(x: np.ndarray, rate: int, low: float = 50, high: float = 500) -> float | None:
-    """The median pitch of voiced frames by their autocorrelation, all frames in one transform."""
-    f = frames(x, int(rate * 0.03), int(rate * 0.01)).astype(np.float64)
-    first, last = int(rate / high), int(rate / low)
-    if not len(f) or last > f.shape[1]:
-        return None
-    f = f - f.mean(1, keepdims=True)
-    size = 1 << (2 * f.shape[1] - 1).bit_length()
-    c = np.fft.irfft(np.abs(np.fft.rfft(f, size)) ** 2, size)[:, : f.shape[1]]
-    c = c / np.where(c[:, :1] > 0, c[:, :1], 1)
-    part = c[:, first:last]
-    at, top = part.argmax(1), part.max(1)
-    lags = (first + at)[top > 0.3]
-    lags = lags[lags > 0]
-    return float(np.median(rate / lags)) if len(lags) else None
-
-
-def centroid(x: np.ndarray, rate: int) -> float | None:
-    """The mean spectral centroid of frames that aren't silent."""
-    f = frames(x, 2048, 512)
-    if not len(f):
-        return None
-    s = np.abs(np.fft.rfft(f * np.hanning(2048)))
-    total = s.sum(1)
-    ok = total > 0
-    return float(((s @ np.fft.rfftfreq(2048, 1 / rate))[ok] / total[ok]).mean()) if ok.any() else None
-
-
-def analyze_voices(signals: DataFrame) -> DataFrame:
-    """(file, duration, f0, centroid); one decimal."""
-    rows = mapped(mapped(signals, pitch, "f0", "double"), centroid, "centroid", "double")
-    return rows.select("file", F.round(F.size("samples") / F.col("sr"), 1).alias("duration"), F.round("f0", 1).alias("f0"), F.round("centroid", 1).alias("centroid"))
-
-
-def counter_noise(n: int, seed: int) -> np.ndarray:
-    """Normal numbers, the i-th a function of (seed, i) alone: a mixed counter gives two uniform numbers."""
-    with np.errstate(over="ignore"):
-        h = (np.arange(2 * n, dtype=np.uint64) + np.uint64(seed << 40)) * np.uint64(0x9E3779B97F4A7C15)
-        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-            h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
-    u = ((h ^ (h >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / (1 << 53)
-    return np.sqrt(-2 * np.log1p(-u[:n])) * np.cos(2 * np.pi * u[n:])
-
-
-def room_response(rate: int, decay: float = 0.15, seed: int = 42) -> np.ndarray:
-    """D3: the early reflections as taps, on noise that decays; its peak is 1."""
-    n = int(rate * decay)
-    if not n:
-        return np.zeros(0)
-    places = np.array([int(rate * ms / 1000) for ms, _ in REFLECTIONS])
-    gains = np.array([g for _, g in REFLECTIONS])
-    taps = np.bincount(places[places < n], gains[places < n], n)
-    out = taps + counter_noise(n, seed) * np.exp(-DECAY * np.arange(n) / max(1, n - 1))
-    return out / np.abs(out).max()
-
-
-def reverb(x: np.ndarray, response: np.ndarray, mix: float = 0.02) -> np.ndarray:
-    """One filter in the frequency domain, the direct sound's share plus the room's."""
-    if not len(x) or not len(response):
-        return x
-    size = 1 << (len(x) + len(response) - 2).bit_length()
-    both = (1 - mix) + mix * np.fft.rfft(response, size)
-    return np.fft.irfft(np.fft.rfft(x, size) * both, size)[: len(x)].astype(np.float32)
-
-
-def resampled(x: np.ndarray, rate: int, to: int) -> np.ndarray:
-    """SC7: linear interpolation."""
-    if rate == to or not len(x):
-        return x
-    n = int(len(x) * to / rate)
-    return np.interp(np.linspace(0, len(x) - 1, n), np.arange(len(x)), x).astype(np.float32)
-
-
-def prepared_line(x: np.ndarray, rate: int, to: int = 24_000, db: float = 0.0, mix: float = 0.02, fade_ms: int = 20) -> np.ndarray:
-    """Resampled, normalised, at the speaker's volume, with reverb and fades."""
-    x = resampled(x, rate, to)
-    rms = float(np.sqrt(np.mean(x.astype(np.float64) ** 2))) if len(x) else 0.0
-    x = x * (0.1 / rms) if rms > 0 else x
-    x = (x * 10 ** (db / 20)).astype(np.float32)
-    return faded(reverb(x, room_response(to), mix) if mix else x, to, fade_ms)
-
-
-def clean(signals: DataFrame, threshold: float = 0.15, fade_ms: int = 8, trim: bool = True, dry_run: bool = False) -> DataFrame:
-    """``signals`` (file, samples, sr) with cleaned, clicks, original_duration, cleaned_duration, trimmed_ms.
-
-    A dry run tells what would be cut of the signal as it is, and leaves it.
-    """
-
-    def one(x: np.ndarray, rate: int) -> tuple:
-        at = click_places(x, threshold)
-        clicks = int(len(at) > 0) + int((np.diff(at) >= max(1, int(rate * 0.005))).sum())
-        base = x if dry_run else click_repair(x, threshold)
-        cut = trimmed(base, rate) if trim else base
-        return clicks, len(base) - len(cut), None if dry_run else faded(cut, rate, fade_ms).tolist()
-
-    @F.pandas_udf("clicks int, cut long, cleaned array<float>")
-    def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for samples, rates in parts:
-            found = [(None, None, None) if x is None else one(np.asarray(x, np.float32), int(r)) for x, r in zip(samples, rates, strict=True)]
-            yield pd.DataFrame(found, columns=["clicks", "cut", "cleaned"], dtype=object)
-
-    rows = signals.withColumn("__made", run("samples", "sr"))
-    cleaned = F.col("samples") if dry_run else F.col("__made.cleaned")
-    rows = rows.select(*signals.columns, F.col("__made.clicks").alias("clicks"), cleaned.alias("cleaned"), F.round(F.col("__made.cut") * 1000 / F.col("sr"), 1).alias("trimmed_ms"))
-    return rows.withColumn("original_duration", F.round(F.size("samples") / F.col("sr"), 3)).withColumn("cleaned_duration", F.round(F.size("cleaned") / F.col("sr"), 3))
-
-
-def crossfaded(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """Two signals joined over ``n`` samples by straight ramps."""
-    n = min(n, len(a), len(b))
-    if n <= 0:
-        return np.concatenate([a, b])
-    ramp = np.linspace(0, 1, n, dtype=np.float32)
-    return np.concatenate([a[:-n], a[-n:] * (1 - ramp) + b[:n] * ramp, b[n:]])
-
-
-def ducked_bed(speech: np.ndarray, music: np.ndarray, rate: int, volume: float = 0.15, fade: float = 2.0, depth: float = 0.6) -> np.ndarray:
-    """Music looped to the speech's length, faded, and lowered where the speech is loud."""
-    if not len(music) or not len(speech):
-        return speech
-    bed = music[np.arange(len(speech)) % len(music)] * volume
-    f = min(int(rate * fade), len(bed) // 2)
-    if f:
-        bed[:f] *= np.linspace(0, 1, f)
-        bed[-f:] *= np.linspace(1, 0, f)
-    level = envelope(speech, rate, 5.0, 200.0)
-    return np.clip(speech + bed * (1 - depth * np.clip(level / 0.1, 0, 1)), -1, 1).astype(np.float32)
-
-
-def sting(x: np.ndarray, sound: np.ndarray, rate: int, overlap: float) -> np.ndarray:
-    """A sound mixed in from ``overlap`` seconds before the end."""
-    at = max(0, len(x) - int(rate * overlap))
-    out = np.zeros(max(len(x), at + len(sound)), np.float32)
-    out[: len(x)] += x
-    out[at : at + len(sound)] += sound
-    return out
-
-
-def bed_with_bleed(speech: np.ndarray, music: np.ndarray, rate: int, post: float, bleed: float, volume: float = 0.15) -> np.ndarray:
-    """The bed plays on after the speech, first at full volume, then fading."""
-    padded = np.concatenate([speech, np.zeros(int(rate * (post + bleed)), np.float32)])
-    if not len(music):
-        return padded
-    bed = music[np.arange(len(padded)) % len(music)].astype(np.float32)
-    gain = np.full(len(padded), volume, np.float32)
-    gain[len(speech) :] = min(3 * volume, 0.4)
-    tail = int(rate * bleed)
-    if tail:
-        gain[-tail:] *= np.linspace(1, 0, tail)
-    return np.clip(padded + bed * gain, -1, 1)
-
-
-def limited(x: np.ndarray, db: float = -1.0) -> np.ndarray:
-    """Clamped at a peak."""
-    top = 10 ** (db / 20)
-    return np.clip(x, -top, top)
-
-
-def loudness(x: np.ndarray) -> float:
-    """A15."""
-    rms = float(np.sqrt(np.mean(np.asarray(x, np.float64) ** 2))) if len(x) else 0.0
-    return -70.0 if rms < 1e-10 else 20 * np.log10(rms) - 0.691
-
-
-def envelope(x: np.ndarray, rate: int, attack_ms: float, release_ms: float) -> np.ndarray:
-    """A level that follows the signal, fast up and slow down.
-
-    It follows the peaks of milliseconds and is a straight line between them, so it may be off by the change in one
-    millisecond; a loop over samples would take as many steps as a millisecond has samples more.
-    """
-    if not len(x):
-        return np.zeros(0)
-    w = max(1, rate // 1000)
-    tops = np.maximum.reduceat(np.abs(x), np.arange(0, len(x), w))
-    up, down = (np.exp(-1000 * w / (rate * ms)) for ms in (attack_ms, release_ms))
-    out, level = [], 0.0
-    for v in tops.tolist():
-        level = v + (up if v > level else down) * (level - v)
-        out.append(level)
-    return np.interp(np.arange(len(x)), np.arange(len(out)) * w + (w - 1) / 2, out)
-
-
-def filtered(x: np.ndarray, rate: int, *sections: tuple[tuple, tuple]) -> np.ndarray:
-    """Second-order sections (b, a) in a row, by their frequency response over the signal and half a second of silence.
-
-    What rings on after that half second, below 1e-9 of a peak for corners of 20 Hz and up, is all that differs from the recursion.
-    """
-    if not len(x):
-        return np.asarray(x, np.float64)
-    size = 1 << (len(x) + rate // 2).bit_length()
-    z = np.exp(-2j * np.pi * np.arange(size // 2 + 1) / size)
-    response = np.ones(len(z), complex)
-    for b, a in sections:
-        response *= np.polyval(b[::-1], z) / np.polyval(a[::-1], z)
-    return np.fft.irfft(np.fft.rfft(x, size) * response, size)[: len(x)]
-
-
-def _shelf(rate: int, hz: float, db: float, high: bool) -> tuple[tuple, tuple]:
-    g, w = 10 ** (db / 40), 2 * np.pi * hz / rate
-    c, r, s = np.cos(w), 2 * np.sqrt(g) * np.sin(w) / np.sqrt(2), -1 if high else 1
-    b = (g * ((g + 1) - s * (g - 1) * c + r), s * 2 * g * ((g - 1) - s * (g + 1) * c), g * ((g + 1) - s * (g - 1) * c - r))
-    return b, ((g + 1) + s * (g - 1) * c + r, -s * 2 * ((g - 1) + s * (g + 1) * c), (g + 1) + s * (g - 1) * c - r)
-
-
-def _highpass(rate: int, hz: float) -> tuple[tuple, tuple]:
-    w = 2 * np.pi * hz / rate
-    c, r = np.cos(w), np.sin(w) / np.sqrt(2)
-    return ((1 + c) / 2, -(1 + c), (1 + c) / 2), (1 + r, -2 * c, 1 - r)
-
-
-def master_chain(x: np.ndarray, rate: int, highpass_hz: float = 80.0, shelve: bool = True, compress: bool = True, gate: bool = True) -> np.ndarray:
-    """D13 (D15 with ``PLAIN_CHAIN``): high pass, low shelf -2 dB at 300, high shelf +1.5 dB at 3000, compressor 3:1 at -18, gate at -40, limiter at -1."""
-    shelves = [_shelf(rate, 300.0, -2.0, False), *([_shelf(rate, 3000.0, 1.5, True)] if rate > 6000 else [])]
-    out = filtered(np.asarray(x, np.float64), rate, *([_highpass(rate, highpass_hz)] if highpass_hz else []), *(shelves if shelve else []))
-    if compress:
-        db = 20 * np.log10(np.maximum(envelope(out, rate, 5.0, 150.0), 1e-10))
-        out = out * 10 ** (-np.maximum(db + 18, 0) * (1 - 1 / 3) / 20)
-    if gate:
-        out = out * (20 * np.log10(np.maximum(envelope(out, rate, 1.0, 100.0), 1e-10)) > -40)
-    return limited(out)
-
-
-#: What of the chain is off.
-PLAIN_CHAIN = {"highpass_hz": 0.0, "shelve": False, "gate": False}
-
-
-def master(signals: DataFrame, target: float = -16.0, **chain) -> DataFrame:
-    """D14 (D15 with ``**PLAIN_CHAIN``: a compressor and the loudness target alone): ``signals`` (samples, sr, ...) with mastered, input_lufs, output_lufs."""
-
-    def run(x: np.ndarray, rate: int) -> list:
-        out = master_chain(x, rate, **chain)
-        out = out * 10 ** ((target - loudness(out)) / 20)
-        return (limited(out) if len(out) and np.abs(out).max() > 10 ** (-1 / 20) else out).astype(np.float32).tolist()
-
-    rows = mapped(signals, run, "mastered", "array<float>")
-    measure = F.pandas_udf(lambda s: s.map(lambda v: round(loudness(np.asarray(v)), 1)), "double")
-    return rows.withColumn("input_lufs", measure("samples")).withColumn("output_lufs", measure("mastered"))

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import path_rejected, title_from_stem
-from ..operators import compare, lookup, parse, plan, signal, timeline
+from ..functions.text import calibrated_rate, path_rejected, title_from_stem
+from ..operators import chunked, compare, lookup, parse, plan, production, timeline
 
 
 def publish(scripts: DataFrame, files: DataFrame, intro_ms: int | None = None) -> dict[str, DataFrame]:
@@ -33,23 +34,32 @@ def publish(scripts: DataFrame, files: DataFrame, intro_ms: int | None = None) -
     return {"chapters": timeline.chapters_json(chapters, key), "transcript": transcript, "srt": timeline.srt(transcript, key, ["section", "index"]), "notes": notes}
 
 
-def validate_manifest(manifest: DataFrame, previous: DataFrame | None, transcribe: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(file, status, issues) of a manifest (file, exists, duration, language, expected, seconds_per_word, mos, similarity, language_match).
+def validate_manifest(manifest: DataFrame, previous: DataFrame | None, transcribe: Callable[[DataFrame], DataFrame], references: DataFrame | None = None) -> DataFrame:
+    """(nth, file, status, issues) of a manifest (nth, file, exists, duration, language, expected, mos, similarity, language_match, ref_audio, ref_text).
 
-    Rejected paths are errors; files that passed before are carried over; what a duration alone shows is never
-    transcribed; ``transcribe`` adds the column ``transcription`` to the rest.
+    Rejected paths are errors; files that passed before are carried over; what a duration alone shows is never transcribed;
+    ``transcribe`` adds the column ``transcription`` to the rest.  ``references`` (file, duration) are the lengths of voice samples: an
+    entry's own ``ref_audio``, unless its path is rejected, and its words calibrate the seconds a word may take (F6).  ``nth`` is the
+    manifest's order, in which the result is to be read; an entry without a sample, or with fewer than three words, has the default.
     """
-    rejected = manifest.where(path_rejected(F.col("file"))).select("file", F.lit("ERROR").alias("status"), F.array(F.lit("REJECTED_PATH")).alias("issues"))
-    rest = manifest.where(~path_rejected(F.col("file")))
+    rated = manifest
+    if references is not None:
+        lengths = references.select(F.col("file").alias("ref_audio"), F.col("duration").alias("ref_duration"))
+        rate = F.when(~path_rejected(F.col("ref_audio")), calibrated_rate(F.col("ref_duration"), compare.word_count(F.col("ref_text"))))
+        rated = manifest.join(lengths, "ref_audio", "left").withColumn("seconds_per_word", rate).drop("ref_duration")
+    elif "seconds_per_word" not in manifest.columns:
+        rated = manifest.withColumn("seconds_per_word", F.lit(None).cast("double"))
+    rejected = rated.where(path_rejected(F.col("file"))).select("nth", "file", F.lit("ERROR").alias("status"), F.array(F.lit("REJECTED_PATH")).alias("issues"))
+    rest = rated.where(~path_rejected(F.col("file")))
     out = rejected
     if previous is not None:
         carried, rest = lookup.revalidation(rest, previous)
-        out = out.unionByName(carried.select("file", "status", "issues"))
+        out = out.unionByName(carried.join(rated.select("nth", "file"), "file").select("nth", "file", "status", "issues"))
     early = compare.duration_flag(F.col("duration"), compare.word_count(F.col("expected")), F.col("seconds_per_word"))
     cheap = (~F.col("exists")) | early.isNotNull()
     silent = rest.where(cheap).withColumn("transcription", F.lit(None).cast("string"))
     heard = transcribe(rest.where(~F.coalesce(cheap, F.lit(False))))
-    return out.unionByName(compare.validate(silent.unionByName(heard, allowMissingColumns=True)).select("file", "status", "issues"))
+    return out.unionByName(compare.validate(silent.unionByName(heard, allowMissingColumns=True)).select("nth", "file", "status", "issues"))
 
 
 def realism(silences: DataFrame, totals: DataFrame, lines: DataFrame, key: str, seed: int = 42) -> DataFrame:
@@ -61,14 +71,23 @@ def realism(silences: DataFrame, totals: DataFrame, lines: DataFrame, key: str,
     return timeline.planned_timeline(plan.realism_plan(turns.join(several, key, "left_semi").join(talk, [key, "turn"], "left"), key, seed), key)
 
 
-def prepare_folder(manifest: DataFrame, signals: DataFrame, volumes: DataFrame, rate: int = 24_000, dry_run: bool = False) -> DataFrame:
-    """(file, status, samples): REJECTED paths, MISSING files, DRY ones of a dry run, prepared lines otherwise.
+def each_rate(signals: DataFrame, f: Callable[[DataFrame, int], DataFrame]) -> DataFrame:
+    """f of the signals of each sampling rate (``sr``; a handful in any collection), together."""
+    rates = sorted(r.sr for r in signals.select("sr").distinct().collect())
+    parts = [f(signals.where(F.col("sr") == rate), rate) for rate in rates] or [f(signals, 1)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def prepare_folder(manifest: DataFrame, signals: DataFrame, volumes: DataFrame, rate: int = 24_000, dry_run: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(file, status): REJECTED paths, MISSING files, DRY ones of a dry run, OK; and the prepared lines (file, idx, value).
 
     ``manifest`` (file, speaker), ``signals`` (file, samples, sr), ``volumes`` (speaker, db).
     """
-    rows = lookup.speaker_default(manifest, volumes, "db", 0.0).join(signals, "file", "left")
-    status = F.when(path_rejected(F.col("file")), "REJECTED").when(F.col("samples").isNull(), "MISSING").otherwise("DRY" if dry_run else "OK")
-    response = signal.mapped(rows.where(status == "OK"), lambda x, sr: signal.prepared_line(x, sr, rate).tolist(), "ready", "array<float>")
-    done = response.select("file", F.lit("OK").alias("status"), "ready", "db")
-    scaled = done.select("file", "status", F.transform("ready", lambda x: (x * F.pow(F.lit(10.0), F.col("db") / 20)).cast("float")).alias("samples"))
-    return scaled.unionByName(rows.where(status != "OK").select("file", status.alias("status"), F.lit(None).cast("array<float>").alias("samples")))
+    rows = lookup.speaker_default(manifest, volumes, "db", 0.0).join(signals.select("file", F.lit(True).alias("there")), "file", "left")
+    status = F.when(path_rejected(F.col("file")), "REJECTED").when(F.col("there").isNull(), "MISSING").otherwise("DRY" if dry_run else "OK")
+    rows = rows.select("file", "db", status.alias("status"))
+    chosen = signals.join(rows.where("status = 'OK'").select("file", "db"), "file")
+    ready = each_rate(chosen, lambda some, sr: production.prepared(chunked.long_of(production.split(some, "file"), "file"), "file", sr, rate))
+    # a gain commutes with reverb and fades
+    scaled = ready.join(rows.select("file", "db"), "file").select("file", "idx", (F.col("value") * F.pow(F.lit(10.0), F.col("db") / 20)).alias("value"))
+    return rows.select("file", "status"), scaled

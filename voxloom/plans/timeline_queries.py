@@ -417,58 +417,6 @@ def voice_separation(spark: SparkSession, d: str) -> DataFrame:
     return G.separation(voices, 800.0, ["s_nationkey"]).select("s_nationkey", "file", "next_file", F.floor(F.col("gap") * 100 + 0.5).alias("gap_e2"))
 
 
-def _arrays(spark: SparkSession, d: str, step: float = 1.0) -> DataFrame:
-    rows = B.signal(spark, d).groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("idx", "value"))).alias("s"))
-    return rows.select("user_id", F.col("s.value").cast("array<float>").alias("samples"), F.lit(1000).alias("sr"), F.col("user_id").cast("string").alias("file"))
-
-
-REPAIRED = f"""{B.SIGNAL}, v AS (SELECT user_id, idx, value, lead(value) OVER w AS after, count(*) OVER (PARTITION BY user_id) AS n FROM signal WINDOW w AS (PARTITION BY user_id ORDER BY idx)),
-r AS (SELECT DISTINCT user_id, idx + unnest(range(-2, 3)) AS idx FROM v WHERE abs(after - value) > 0.5),
-a AS (SELECT v.user_id, v.idx, CASE WHEN r.idx IS NULL OR v.idx = 0 OR v.idx = n - 1 THEN v.idx END AS px, CASE WHEN r.idx IS NULL OR v.idx = 0 OR v.idx = n - 1 THEN value END AS y FROM v LEFT JOIN r ON r.user_id = v.user_id AND r.idx = v.idx),
-b AS (SELECT user_id, idx, last_value(px IGNORE NULLS) OVER back AS x0, last_value(y IGNORE NULLS) OVER back AS y0, first_value(px IGNORE NULLS) OVER ahead AS x1, first_value(y IGNORE NULLS) OVER ahead AS y1 FROM a
-  WINDOW back AS (PARTITION BY user_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), ahead AS (PARTITION BY user_id ORDER BY idx ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
-repaired AS (SELECT user_id, idx, y0 + CASE WHEN x1 > x0 THEN (y1 - y0) * (idx - x0) / (x1 - x0) ELSE 0 END AS value FROM b)"""
-
-
-@query(f"WITH {REPAIRED} SELECT user_id, idx::INT AS idx, floor(value * 100 + 0.31003)::BIGINT AS value_e2 FROM repaired")
-def repair_clicks(spark: SparkSession, d: str) -> DataFrame:
-    """W19, in hundredths; the odd summand keeps straight lines between given values away from a rounding's edge."""
-    rows = G.mapped(_arrays(spark, d), lambda x, rate: G.click_repair(x, 0.5).tolist(), "repaired", "array<float>")
-    return rows.select("user_id", F.posexplode("repaired").alias("idx", "value")).select("user_id", "idx", F.floor(F.col("value").cast("double") * 100 + 0.31003).alias("value_e2"))
-
-
-@query(f"""WITH {REPAIRED}, n AS (SELECT user_id, max(idx) + 1 AS n FROM signal GROUP BY 1),
-h AS (SELECT user_id, idx, CASE WHEN idx - lag(idx) OVER (PARTITION BY user_id ORDER BY idx) < 5 THEN 0 ELSE 1 END AS first FROM v WHERE abs(after - value) > 0.5),
-k AS (SELECT user_id, sum(first) AS clicks FROM h GROUP BY 1),
-m AS (SELECT user_id, min(f) FILTER (f < n - 10) AS f, max(z) FILTER (z > 0) AS z FROM (
-  SELECT user_id, n, (idx // 10) * 10 AS f, n - 10 - ((n - 1 - idx) // 10) * 10 AS z FROM repaired JOIN n USING (user_id) WHERE abs(value) > pow(10.0, -1.75)) GROUP BY user_id),
-c AS (SELECT user_id, n, coalesce(least(n, z + 30), n) - coalesce(greatest(0, f - 5), 0) AS kept FROM n LEFT JOIN m USING (user_id))
-SELECT user_id, coalesce(clicks, 0)::INT AS clicks, n / 1000.0::DOUBLE AS original_duration, kept / 1000.0::DOUBLE AS cleaned_duration, (n - kept)::DOUBLE AS trimmed_ms FROM c LEFT JOIN k USING (user_id)""")
-def clean_signals(spark: SparkSession, d: str) -> DataFrame:
-    """W23, A5."""
-    return G.clean(_arrays(spark, d), 0.5).select("user_id", "clicks", "original_duration", "cleaned_duration", "trimmed_ms")
-
-
-@query()
-def voice_analysis(spark: SparkSession, d: str) -> DataFrame:
-    """Tones of a pitch that follows the user id."""
-    tone = F.transform(F.sequence(F.lit(0), F.lit(7999)), lambda i: (0.5 * F.sin(i * (100 + F.col("user_id") % 200) * 6.283185307179586 / 8000)).cast("float"))
-    users = B.table(spark, d, "events").select("user_id").distinct()
-    return G.analyze_voices(users.select(F.col("user_id").cast("string").alias("file"), tone.alias("samples"), F.lit(8000).alias("sr")))
-
-
-@query()
-def master_signals(spark: SparkSession, d: str) -> DataFrame:
-    """D13, D14."""
-    return G.master(_arrays(spark, d)).select("user_id", "input_lufs", "output_lufs")
-
-
-@query(f"WITH {B.SIGNAL} SELECT user_id, (2 * count(*))::INT AS n FROM signal GROUP BY user_id")
-def prepared_lines(spark: SparkSession, d: str) -> DataFrame:
-    """D3 to D6."""
-    return G.mapped(_arrays(spark, d), lambda x, rate: G.prepared_line(x, rate, 2000, -3.0).tolist(), "ready", "array<float>").select("user_id", F.size("ready").alias("n"))
-
-
 # -- nested JSON --------------------------------------------------------------------------------------------
 
 
