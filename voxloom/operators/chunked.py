@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Samples of a chunk, where nothing asks for more.
@@ -21,17 +21,20 @@ SIZE = 1 << 14
 NEGLIGIBLE = 1e-17
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` by a reliable checkpoint in ``spark.checkpoint.dir``: computed once for all that reads it, safe from lost executors.
-
-    Where that folder is not set and all runs in one process (tests), it is a temporary one.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, ``spark.checkpoint.dir``; where it is not set and all runs in one process (tests), a temporary one."""
+    context = spark.sparkContext
     if not context.getCheckpointDir():
-        at = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        at = spark.conf.get("spark.checkpoint.dir", None)
         if not at and not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(at or tempfile.mkdtemp(prefix="voxloom-"))
+    return context.getCheckpointDir()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` by a reliable checkpoint in the shared folder: computed once for all that reads it, safe from lost executors."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -55,11 +55,6 @@ def measure_flags(extra_start: Column, extra_end: Column, share: Column, ratio:
     )
 
 
-def text_flags(expected: Column, actual: Column) -> Column:
-    """C5 of two word arrays."""
-    return measure_flags(extra_at_start(expected, actual), extra_at_end(expected, actual), overlap_share(expected, actual), length_ratio(expected, actual))
-
-
 def compare_words(pairs: DataFrame, expected: str = "expected_words", actual: str = "actual_words") -> DataFrame:
     """``pairs`` of word arrays (F1's) with the measures of C1 to C4, flags and ok; the arrays go."""
     e, t = F.col(expected), F.col(actual)

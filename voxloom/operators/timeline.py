@@ -118,19 +118,20 @@ def placement_timeline(lines: DataFrame, key: str, rate: int = 24_000, pause: fl
     return lines.withColumn("pos", before(step, [key], ["index"]))
 
 
-def planned_timeline(turns: DataFrame, key: str) -> DataFrame:
-    """Turns (key, turn, duration_ms, gap_ms, action, overlap_ms, jitter_ms) with start_ms after the plan.
-
-    Overlap shortens a gap and jitter moves it, to 50 ms at least; gaps up to 10 ms close; the last has none.
-    """
-    gap = (
-        F.when(F.lead("turn").over(Window.partitionBy(key).orderBy("turn")).isNull(), 0)
-        .when(F.col("action") == "overlap", F.greatest(F.lit(50), F.col("gap_ms") - F.col("overlap_ms")))
+def gap_after() -> Column:
+    """W16's gap in ms after a turn that isn't the last: overlap shortens it and jitter moves it, to 50 at least; gaps up to 10 close."""
+    return (
+        F.when(F.col("action") == "overlap", F.greatest(F.lit(50), F.col("gap_ms") - F.col("overlap_ms")))
         .when(F.col("jitter_ms") != 0, F.greatest(F.lit(50), F.col("gap_ms") + F.col("jitter_ms")))
         .when(F.col("gap_ms") > 10, F.col("gap_ms"))
         .otherwise(0)
     )
-    rows = turns.withColumn("__step", F.col("duration_ms") + gap)
+
+
+def planned_timeline(turns: DataFrame, key: str) -> DataFrame:
+    """Turns (key, turn, duration_ms, gap_ms, action, overlap_ms, jitter_ms) with start_ms after the plan; the last has no gap."""
+    last = F.lead("turn").over(Window.partitionBy(key).orderBy("turn")).isNull()
+    rows = turns.withColumn("__step", F.col("duration_ms") + F.when(last, 0).otherwise(gap_after()))
     return rows.select(*turns.columns, before("__step", [key], ["turn"]).alias("start_ms"))
 
 

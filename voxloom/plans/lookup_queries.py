@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,9 @@ from ..operators import parse as P
 from ..operators import plan as Q
 from ..operators import signal as G
 from ..operators import timeline as M
+from ..operators.chunked import shared_folder
 from ..sources import files as S
+from ..streaming import chain as K
 from ..streaming import streams as U
 from . import bindings as B
 
@@ -252,3 +256,54 @@ def injected_review(spark: SparkSession, d: str) -> DataFrame:
     rows = B.table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
     found = U.answered(rows, F.concat("role", F.lit(": "), "text"), _reviewer)
     return found.select("conv_id", "turn", F.try_variant_get("parsed.value", "$.length", "long").alias("length"))
+
+
+# -- the chain of passes ------------------------------------------------------------------------------------
+
+
+def _writer():
+    """A model's stand-in, told by what its prompt begins with: every answer follows from the prompt alone."""
+    import json
+
+    def answer(prompt: str) -> str:
+        task, rest = prompt.split("\n\n", 1)
+        name = next(k for k, v in K.INSTRUCTIONS.items() if task.split()[0] == v.split()[0])
+        script = rest.rpartition("SCRIPT:\n")[2]
+        if name == "extract":
+            return "```json\n" + json.dumps({"chars": len(prompt)}) + "\n```"
+        if name == "draft":
+            n = json.loads(rest.rpartition("BRIEF:\n")[2])["chars"]
+            return "EMMA: [warm] " + " ".join(["word"] * (36 if n % 2 else 5)) + f"\nLUCAS: [calm] brief of {n}"
+        if name == "fidelity":
+            return json.dumps({"issues": [{"severity": "HIGH" if len(prompt) % 3 == 0 else "LOW", "type": "t", "explanation": "e"}]})
+        if name == "listener":
+            return json.dumps({"notes": [{"type": "t", "note": "n"}]})
+        if name == "narrative":
+            return json.dumps({"scores": [{"item": "i", "score": "PASS", "evidence": "e"}]})
+        if name == "segment":
+            words = rest.rpartition("LINE:\n")[2].split()
+            return json.dumps([{"text": " ".join(words[:18]), "pause_after": 0.25}, {"text": " ".join(words[18:]), "pause_after": 0.0}])
+        return script + ("\nEMMA: [warm] and revised" if name == "revise" else "")
+
+    return answer
+
+
+_EXTRACT = len(K.INSTRUCTIONS["extract"]) + 2 + len("SOURCES:\n\n")
+_FIDELITY = len(K.INSTRUCTIONS["fidelity"].replace("{{", "{").replace("}}", "}")) + 2 + len("SOURCES:\n\n") + len("\n\nSCRIPT:\n")
+
+
+@query(f"""WITH s AS (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS source FROM conversations GROUP BY conv_id),
+d AS (SELECT conv_id, length(source) + {_EXTRACT} AS n, length(source) AS m FROM s),
+t AS (SELECT conv_id, n, m, 'EMMA: [warm] ' || array_to_string(list_transform(range(CASE WHEN n % 2 = 1 THEN 36 ELSE 5 END), lambda x: 'word'), ' ') || chr(10) || 'LUCAS: [calm] brief of ' || n AS script FROM d),
+r AS (SELECT *, (least(m, 50000) + length(script) + {_FIDELITY}) % 3 = 0 AS revise FROM t)
+SELECT conv_id, script || CASE WHEN revise THEN chr(10) || 'EMMA: [warm] and revised' ELSE '' END AS script, revise, CASE WHEN n % 2 = 1 THEN 2 ELSE 0 END AS segments, CASE WHEN n % 2 = 1 THEN 18 * 5 - 1 END AS first_length FROM r""")
+def script_chain(spark: SparkSession, d: str) -> DataFrame:
+    """Every conversation through all passes around a stand-in; revised only where its review asks for it."""
+    talk = B.table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("t"))
+    lit = F.lit
+    episodes = talk.select("conv_id", F.concat_ws("\n", F.col("t.text")).alias("source"), lit(None).cast("string").alias("topic"), F.array(lit("EMMA"), lit("LUCAS")).alias("cast"), lit("en").alias("language"), lit(10).alias("minutes"))
+    chain = K.Chain(spark, f"{shared_folder(spark)}/chain-{uuid.uuid4().hex}", _writer)
+    out = K.write_scripts(episodes, chain, "conv_id")
+    cut = K.segments_of(out["overrides"], "conv_id").groupBy("conv_id").agg(F.count(lit(1)).alias("segments"), F.max(F.when(F.col("seg") == 0, F.length("text"))).alias("first_length"))
+    rows = out["scripts"].join(cut, "conv_id", "left")
+    return rows.select("conv_id", "script", "revise", F.coalesce("segments", lit(0)).alias("segments"), "first_length")

@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import chunked as C
+from ..operators import graph as H
+from ..operators import plan as Q
 from ..operators import production as A
-from ..operators import signal as G
+from ..operators import rollup as R
 from ..operators import timeline as M
 from . import bindings as B
+from .timeline_queries import REALISM, _draw
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -209,6 +212,14 @@ def prepared_lines(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("user_id", F.col("idx").cast("long").alias("idx"), F.floor(F.col("value") * 100_000 + 0.31003).alias("value_e5"))
 
 
+@query(f"""WITH {B.SIGNAL}, j AS (SELECT user_id, idx, abs(lead(value) OVER (PARTITION BY user_id ORDER BY idx) - value) AS jump FROM signal),
+h AS (SELECT user_id, CASE WHEN idx - lag(idx) OVER (PARTITION BY user_id ORDER BY idx) < 5 THEN 0 ELSE 1 END AS first FROM j WHERE jump > 0.3)
+SELECT count(DISTINCT user_id) AS files, (SELECT sum(first) FROM h)::BIGINT AS clicks, 0.0::DOUBLE AS trimmed_ms FROM signal""")
+def clean_totals(spark: SparkSession, d: str) -> DataFrame:
+    """A5: the totals of a run that repairs and cuts nothing."""
+    return R.clean_totals(A.clean(B.signal(spark, d), "user_id", 1000, 0.3, trim=False, size=16)[1])
+
+
 # -- mixing -------------------------------------------------------------------------------------------------
 
 
@@ -302,3 +313,42 @@ def stems(spark: SparkSession, d: str) -> DataFrame:
     rows = A.stems(timeline, audio, "conv_id", 256)
     weighted = F.aggregate(F.transform("samples", lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, x: a + x)
     return rows.select("conv_id", "speaker", "chunk", F.size("samples").alias("n"), weighted.cast("long").alias("weighted"))
+
+
+# -- the graph of an episode --------------------------------------------------------------------------------
+
+
+def _ms6(x: str) -> str:
+    return f"printf('%.6f', ({x}) / 1000)"
+
+
+def _breath_sql() -> str:
+    def one(low: int, high: int, short: int, long: int, soft: int, loud: int) -> str:
+        part = lambda tenths: f"printf('%.3f', ((({short} + {ms} % {long - short + 1}) * {tenths} + 5) // 10) / 1000)"
+        noise = f"'anoisesrc=color=pink:sample_rate=24000:amplitude=' || printf('%.6f', ({soft} + {level} % {loud - soft + 1}) / 1000000) || ':duration=' || {part(10)} || '[bnoise_breath' || turn || '];"
+        band = f"[bnoise_breath' || turn || ']bandpass=frequency={(low + high) // 2}:width_type=h:width={high - low}"
+        return f"{noise}{band},afade=t=in:d=' || {part(3)} || ',afade=t=out:st=' || {part(6)} || ':d=' || {part(4)} || '[breath' || turn || ']'"
+
+    ms, level = (B.bits_sql("'42'", "conv_id::VARCHAR", "turn::VARCHAR", f"'{what}'") for what in ("breath_ms", "breath_level"))
+    return "CASE breath " + " ".join(f"WHEN '{kind}' THEN {one(*x)}" for kind, x in H.BREATHS.items()) + " END"
+
+
+@query(f"""WITH {REALISM}, src AS (SELECT *, coalesce(sum(duration_ms + gap_ms) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS from_ms, lead(start_ms) OVER (PARTITION BY conv_id ORDER BY turn) AS following,
+  CASE WHEN nxt IS NULL THEN 0 WHEN action = 'overlap' THEN greatest(50, gap_ms - overlap_ms) WHEN jitter_ms <> 0 THEN greatest(50, gap_ms + jitter_ms) WHEN gap_ms > 10 THEN gap_ms ELSE 0 END AS pad,
+  CASE reaction WHEN 'agreement' THEN list_extract(['mmhm', 'right', 'yeah'], w::INT + 1) WHEN 'surprise' THEN list_extract(['oh', 'huh', 'wow'], w::INT + 1) WHEN 'tracking' THEN list_extract(['right', 'mmhm', 'okay'], w::INT + 1) END || '.wav' AS filler FROM placed),
+body AS (SELECT conv_id, string_agg('[inmono]atrim=' || {_ms6('from_ms')} || ':' || {_ms6('from_ms + duration_ms')} || ',asetpts=N/SR/TB[s' || turn || ']' || CASE WHEN pad > 0 THEN ';anullsrc=r=24000:cl=mono[null_pad' || turn || '];[null_pad' || turn || ']atrim=duration=' || {_ms6('pad')} || '[pad' || turn || ']' ELSE '' END, ';' ORDER BY turn) AS nodes,
+  string_agg('[s' || turn || ']' || CASE WHEN pad > 0 THEN '[pad' || turn || ']' ELSE '' END, '' ORDER BY turn) AS labels, sum(CASE WHEN pad > 0 THEN 2 ELSE 1 END) AS n, string_agg({_breath_sql()}, ';' ORDER BY turn) AS breaths, sum(duration_ms + pad) AS total FROM src GROUP BY conv_id),
+fx AS (SELECT conv_id, 0 AS kind, turn, start_ms + (duration_ms * (300 + {_draw("filler_at")} % 401)) // 1000 AS at_ms, filler FROM src WHERE reaction IS NOT NULL AND filler IS NOT NULL
+  UNION ALL SELECT conv_id, 1, turn, greatest(0, coalesce(following - 500, start_ms + duration_ms)), NULL FROM src WHERE breath IS NOT NULL),
+fy AS (SELECT *, row_number() OVER o AS k, CASE kind WHEN 0 THEN 'fmix' ELSE 'bmix' END || turn AS mix, coalesce(lag(CASE kind WHEN 0 THEN 'fmix' ELSE 'bmix' END || turn) OVER o, 'joined') AS src FROM fx WINDOW o AS (PARTITION BY conv_id ORDER BY kind, turn)),
+fz AS (SELECT conv_id, string_agg(CASE kind WHEN 0 THEN '[' || k || ':a]aformat=channel_layouts=mono,volume=0.3,adelay=' || at_ms || '|' || at_ms || '[filler' || turn || '];[' || src || '][filler' || turn || ']' ELSE '[breath' || turn || ']adelay=' || at_ms || '|' || at_ms || '[bd' || turn || '];[' || src || '][bd' || turn || ']' END || 'amix=inputs=2:duration=first[' || mix || ']', ';' ORDER BY k) AS effects,
+  arg_max(mix, k) AS mix, count(filler) AS n_inputs FROM fy GROUP BY conv_id)
+SELECT conv_id, concat_ws(';', '[0:a]aformat=channel_layouts=mono[inmono]', nodes, labels || 'concat=n=' || n || ':v=0:a=1[joined]', breaths, effects, 'anoisesrc=color=pink:sample_rate=24000:amplitude=0.002:duration=' || {_ms6('total')} || '[roomnoise];[' || coalesce(mix, 'joined') || '][roomnoise]amix=inputs=2:weights=1|0.12:duration=first[roomed]') AS graph,
+  'roomed' AS out_label, coalesce(n_inputs, 0)::INT AS n_inputs FROM body LEFT JOIN fz USING (conv_id)""")
+def realism_graph(spark: SparkSession, d: str) -> DataFrame:
+    """The filter graph of every conversation."""
+    planned = M.planned_timeline(Q.realism_plan(B.turns(spark, d), "conv_id"), "conv_id")
+    source = M.before(F.col("duration_ms") + F.col("gap_ms"), ["conv_id"], ["turn"])
+    planned = planned.withColumn("from_ms", source).withColumn("filler", F.concat("word", F.lit(".wav")))
+    rows = H.filter_graph(planned, Q.effect_places(planned, "conv_id"), "conv_id", 24_000)
+    return rows.select("conv_id", "graph", "out_label", F.size("inputs").alias("n_inputs"))

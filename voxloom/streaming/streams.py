@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import multiprocessing
 from collections.abc import Callable, Iterator
+from multiprocessing.connection import Connection
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -46,22 +48,86 @@ def revalidate_stream(manifest: DataFrame, results_path: str, checkpoint: str, k
     return manifest.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def transcribed(rows: DataFrame, load: Callable[[], Callable[[str], str]], path: str = "file") -> DataFrame:
-    """``rows`` with transcription and error; the model is loaded once for each task, a failure is a null and its text."""
+#: Fixed value: seconds after which a transcription is given up.
+TIME_LIMIT_S = 120.0
+
+
+def _serve(load: Callable[[], Callable[[str], str]], calls: Connection, asker: Connection) -> None:
+    """What a worker process does: answers one call after the other, until the asking side is closed."""
+    asker.close()
+    model = load()
+    while True:
+        try:
+            x = calls.recv()
+        except EOFError:
+            return
+        try:
+            calls.send((model(x), None))
+        except Exception as error:  # noqa: BLE001  whatever a model raises is that row's error
+            calls.send((None, f"ERROR: {error}"))
+
+
+class Watched:
+    """A model in a process of its own, which is ended and begun anew when a call takes too long or the process dies."""
+
+    def __init__(self, load: Callable[[], Callable[[str], str]], seconds: float):
+        self.load, self.seconds, self.process = load, seconds, None
+
+    def begin(self) -> None:
+        forks = multiprocessing.get_context("fork")
+        self.calls, other = forks.Pipe()
+        self.process = forks.Process(target=_serve, args=(self.load, other, self.calls), daemon=True)
+        self.process.start()
+        other.close()
+
+    def end(self) -> None:
+        if self.process is not None:
+            self.process.kill()
+            self.process.join()
+            self.calls.close()
+            self.process = None
+
+    def __call__(self, x: str) -> tuple[str | None, str | None]:
+        if self.process is None:
+            self.begin()
+        try:
+            self.calls.send(x)
+            if self.calls.poll(self.seconds):
+                return self.calls.recv()
+            reason = f"ERROR: no answer in {self.seconds:g} s"
+        except (EOFError, OSError):
+            reason = "ERROR: the model's process ended"
+        self.end()
+        return None, reason
+
+
+def transcribed(rows: DataFrame, load: Callable[[], Callable[[str], str]], path: str = "file", seconds: float | None = TIME_LIMIT_S) -> DataFrame:
+    """``rows`` with transcription and error; the model is loaded once for each task, a failure is a null and its text.
+
+    A call that takes more than ``seconds`` is given up: the model runs in a process of its own that the task watches, ends and
+    begins anew, so a hanging row costs its time limit and no more.  With None the model runs in the task itself.
+    """
     schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in rows.schema.fields)}, transcription string, error string"
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = load()
+        watched = None if seconds is None else Watched(load, seconds)
+        model = load() if seconds is None else None
 
         def one(x: str) -> tuple[str | None, str | None]:
+            if watched is not None:
+                return watched(x)
             try:
                 return model(x), None
             except Exception as error:  # noqa: BLE001  whatever a model raises is that row's error
                 return None, f"ERROR: {error}"
 
-        for part in parts:
-            both = [one(x) for x in part[path]]
-            yield part.assign(transcription=[t for t, _ in both], error=[e for _, e in both])
+        try:
+            for part in parts:
+                both = [one(x) for x in part[path]]
+                yield part.assign(transcription=[t for t, _ in both], error=[e for _, e in both])
+        finally:
+            if watched is not None:
+                watched.end()
 
     return rows.mapInPandas(run, schema)
 
