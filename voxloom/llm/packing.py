@@ -66,6 +66,22 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b if b in plain else next(free)) for b in range(256)}
 
 
+class _Made(dict):
+    """What ``make`` gives for each key, kept for the short ones until there are too many."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.make(word)
+        if len(word) <= CACHED_CHARS:
+            if len(self) >= CACHE:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class WordIds:
     """Ids of a tokenizer whose words never cross white space, word by word with a bounded cache.
 
@@ -96,7 +112,8 @@ class WordIds:
         self.model = self.whole.model
         self.words = regex.compile(WORD_PATTERN)
         self.letters = _byte_letters()
-        self.cache: dict[str, bytes] = {}
+        self.packed = [k.to_bytes(4, "little") for k in range(self.whole.get_vocab_size(with_added_tokens=True))]
+        self.cache = _Made(self._miss)
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -112,19 +129,15 @@ class WordIds:
                     parts = [x.translate(self.letters) for x in parts]
             else:
                 parts = [x.encode().decode("latin-1").translate(self.letters) for x in self.words.findall(low)]
-            ids = np.array([t.id for x in parts for t in self.model.tokenize(x)], "<u4").tobytes()
-        if len(word) <= CACHED_CHARS:
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            self.cache[word] = ids
+            packed = self.packed
+            ids = b"".join([packed[t.id] for x in parts for t in self.model.tokenize(x)])
         return ids
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text, little-endian unsigned 32-bit integers."""
         if not self.by_word or any(x in text for x in self.uncut):
             return self._ids(text)
-        get, miss = self.cache.get, self._miss
-        return b"".join([x if (x := get(w)) is not None else miss(w) for w in text.split()])
+        return b"".join(map(self.cache.__getitem__, text.split()))
 
 
 _WORDS: dict[int, WordIds] = {}
