@@ -111,6 +111,38 @@ def test_set_join(table):
     assert got == brute.components(pairs(table))
 
 
+@pytest.mark.parametrize("percent,width", [(50, 2), (75, 2), (90, 1), (100, 1), (30, 1)])
+def test_set_join_of_long_lists(spark, percent, width):
+    """Lists far beyond a part, of sets of all sizes: every pair that can link still meets."""
+    rng = np.random.default_rng(percent + width)
+    rows = []
+    for i in range(240):
+        base = rng.integers(0, 40, int(rng.integers(2, 60)))
+        rows.append((i, " ".join(f"t{x}" for x in base)))
+        if i % 3 == 0:
+            near = [*base, *rng.integers(0, 40, int(rng.integers(0, 4)))][int(rng.integers(0, 3)) :]
+            rows.append((1000 + i, " ".join(f"t{x}" for x in near)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = by_id(set_join.SetJoin(df, width, percent, list_entries=4).groups(), "n_shingles", "component_id")
+    assert got == brute.components(rows, width, percent)
+
+
+def test_parts_of_lists_meet_by_size(spark):
+    """A token of 20,000 clusters of sizes from 1 to 10,000: each entry goes to the parts whose sizes can link with its own, not to all."""
+    n, size = 20_000, 50
+    entries = spark.range(n).select(F.lit(7).cast("long").alias("token"), F.col("id").alias("leader"), F.col("id").alias("label"), (1 + F.col("id") % 10_000).alias("least"), (1 + F.col("id") % 10_000).alias("most"), F.lit(5).cast("long").alias("rest"))
+    join = set_join.SetJoin(spark.createDataFrame([(1, "a")], "doc_id long, text string"), list_entries=size)
+    dealt = join.dealt(entries)
+    pairs = dealt.groupBy("home", "low", "high").agg(F.count(F.lit(1)).alias("k"), F.min("least").alias("a"), F.max("most").alias("b"))
+    most = pairs.agg(F.max("k"), F.max(F.col("b") / F.col("a"))).first()
+    # parts by hash are even to a few sigma; sizes of a meeting are those of two neighbouring classes
+    assert most[0] <= 3 * size and most[1] < 2 * (4 / 3) ** 2
+    # by hash alone it would be n * n / size = 8,000,000
+    assert dealt.count() < n * n / size / 2.5
+    few = join.dealt(entries.where("leader < 40"))
+    assert few.count() == 40 and few.select("home", "low", "high").distinct().count() == 1
+
+
 @pytest.mark.parametrize("percent,width", [(50, 2), (75, 3), (90, 1), (30, 1)])
 def test_set_join_of_many_near_sets(spark, percent, width):
     """Small vocabularies give chains and rings of near sets around leaders, so members' answers must be derived."""

@@ -11,7 +11,8 @@ the first step on.  The join is exact on the hashes:
    there.  The others fold, those of one cluster into one entry of the token's list, map-side first: however large a
    group of near copies is, it is one entry.  Lists are ordered by size in blocks that keep the largest size and the most
    tokens after a position; blocks and entries that can't reach the needed overlap are skipped by position.  A list of
-   very many entries is dealt in parts, each pair of which meets in one task.
+   very many entries is cut by size into classes, of which only neighbours can link, and a class of very many into parts; only
+   parts whose sizes can link meet, each pair of them in one task.
 3. *Answers.*  For each pair of clusters from the lists, the leaders' overlap is computed (for two
    single sets only if their token histograms, which bound it, leave room).  If they link, the clusters
    do.  If not, the answers of the members derive from it, in rounds: a pair of clusters that links or edges have
@@ -45,9 +46,11 @@ from .common import Scratch, batched, rows_of, small_batches, text_of
 from .components import components
 
 WIDTH, PERCENT = 5, 75
-#: Cells of the count sketch and of its blocks; leaders kept for each key, and sets of a key in one task.
-CELLS, CELL_BLOCK, LEADERS, KEY_SETS = 1 << 21, 1 << 16, 8, 300
-#: Entries of a list that are in one task (twice as many at most, as two parts meet) and of a block; tokens of the sets that a task keeps.
+#: Cells of the count sketch, at least and at most (64 MB in a task), the characters of text for each, and cells of its blocks.
+CELLS, MOST_CELLS, CELL_CHARS, CELL_BLOCK = 1 << 21, 1 << 24, 384, 1 << 16
+#: Leaders kept for each key, and sets of a key in one task.
+LEADERS, KEY_SETS = 8, 300
+#: Entries of a part of a list (two parts meet in a task) and of a block; tokens of the sets that a task keeps.
 LIST_ENTRIES, LIST_BLOCK, CACHE_TOKENS = 1024, 64, 2_000_000
 #: Buckets of the histogram that bounds overlaps from above.
 BUCKETS = 256
@@ -261,14 +264,14 @@ def _postings(t: np.ndarray, r: np.ndarray, p: np.ndarray) -> pa.RecordBatch:
 def _lists(rows: Iterator[tuple]) -> Iterator[tuple[bool, list[tuple]]]:
     """Whether a list holds two parts of its token, and its entries (leader, label, least, most, rest, part), which come ordered by size."""
     now, entries = None, []
-    for token, low, high, *entry in rows:
-        if (token, low, high) != now:
+    for token, home, low, high, *entry in rows:
+        if (token, home, low, high) != now:
             if len(entries) > 1:
-                yield now[1] != now[2], entries
-            now, entries = (token, low, high), []
+                yield now[2] != now[3], entries
+            now, entries = (token, home, low, high), []
         entries.append(tuple(entry))
     if len(entries) > 1:
-        yield now[1] != now[2], entries
+        yield now[2] != now[3], entries
 
 
 def _met(lists: Iterator[tuple[bool, list[tuple]]], percent: int) -> Iterator[tuple[int, int]]:
@@ -303,17 +306,23 @@ def _met(lists: Iterator[tuple[bool, list[tuple]]], percent: int) -> Iterator[tu
 class SetJoin:
     """The steps of the join over ``docs``; every step is a method, so that tests can take them one by one."""
 
-    def __init__(self, docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", cells: int = CELLS, max_filter_bytes: int = bloom.MAX_BYTES):
+    def __init__(self, docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", cells: int | None = None, max_filter_bytes: int = bloom.MAX_BYTES, list_entries: int = LIST_ENTRIES):
         if not 1 <= percent <= 100:
             raise ValueError("percent must be 1 to 100")
         text = text_of(text_col)
         row = F.unhex(F.md5(F.concat(F.md5(text), F.coalesce(F.col(id_col).cast("string"), F.lit("")))))
         self.rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), row.alias("c"))
         self.texts = self.rows.select("text")
-        self.spark, self.width, self.percent, self.cells, self.max_filter_bytes = docs.sparkSession, width, percent, cells, max_filter_bytes
+        self.spark, self.width, self.percent, self.max_filter_bytes, self.list_entries = docs.sparkSession, width, percent, max_filter_bytes, list_entries
+        self.cells = cells or self._cells()
         self.scratch = Scratch(self.spark)
         self.written = self.scratch.written
 
+    def _cells(self) -> int:
+        """Cells of the sketch by the characters of all texts, a power of two: about as many tokens to a cell at any size, up to the bound."""
+        chars = self.texts.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+        return min(MOST_CELLS, max(CELLS, 1 << (chars // CELL_CHARS).bit_length()))
+
     def _broadcast(self, x: object):
         return self.spark.sparkContext.broadcast(x)
 
@@ -503,19 +512,48 @@ class SetJoin:
         known = known.select("ref", "n", F.xxhash64(leader).alias("leader"), F.xxhash64(F.coalesce("label", leader)).alias("label"))
         entries = self.postings.join(known, "ref").groupBy("token", "leader", "label").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("rest"))
         entries = self.written(entries, "entries")
-        many = entries.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / LIST_ENTRIES).cast("int").alias("parts"), F.count_distinct("label").alias("k")).where("k > 1").drop("k")
+        dealt = self.dealt(entries)
 
         def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            rows = rows_of(batches, "token", "low", "high", "leader", "label", "least", "most", "rest", "part")
+            rows = rows_of(batches, "token", "home", "low", "high", "leader", "label", "least", "most", "rest", "part")
             yield from batched(_met(_lists(rows), percent), pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
-        part = F.pmod("leader", F.col("parts")).cast("int")
-        dealt = entries.join(many, "token").withColumn("part", part).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        dealt = dealt.withColumn("low", F.least("part", "with")).withColumn("high", F.greatest("part", "with")).drop("with", "parts")
-        met = dealt.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high", "least").mapInArrow(meet, "a long, b long").distinct()
+        keys = ("token", "home", "low", "high")
+        met = dealt.repartition(*keys).sortWithinPartitions(*keys, "least").mapInArrow(meet, "a long, b long").distinct()
         side = lambda x: self.classes.select(F.col("k").alias(x), F.col("c").alias(f"c{x}"))
         return self.written(met.join(side("a"), "a").join(side("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")), "candidates")
 
+    def dealt(self, entries: DataFrame) -> DataFrame:
+        """The entries of lists of several components, each to the meetings (token, home, low, high) where it is a ``part``.
+
+        A list of up to ``list_entries`` is one meeting.  In a longer one, sizes a <= b of linked sets lie in one class or in
+        neighbours, as a class spans the factor that the threshold allows.  An entry is at home in the class of its least size and
+        visits those up to the one after its largest size.  At a class, parts of those at home meet each other, and parts of
+        visitors meet parts of those at home; so every pair that can link meets once, where the larger is at home.
+        """
+        size = self.list_entries
+        many = entries.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("label").alias("k")).where("k > 1").drop("k")
+        if self.percent == 100:
+            low = high = lambda n: n  # equal sizes only
+            last = F.col("most")
+        else:
+            step = float(np.log(100 / self.percent))
+            low, high = (lambda n: F.floor(F.log(n) / step - 1e-6)), (lambda n: F.floor(F.log(n) / step + 1e-6))
+            last = high(F.col("most")) + 1
+        long = F.col("n") > size
+        rows = entries.join(many, "token").withColumn("lo", F.when(long, low(F.col("least"))).otherwise(0).cast("int")).withColumn("hi", F.when(long, last).otherwise(0).cast("int"))
+        rows = rows.withColumn("home", F.explode(F.sequence("lo", F.greatest("lo", "hi")))).withColumn("at_home", F.col("home") == F.col("lo"))
+        parts = rows.groupBy("token", "home").agg(F.ceil(F.count_if("at_home") / size).cast("int").alias("own"), F.ceil(F.count_if(~F.col("at_home")) / size).cast("int").alias("others")).where("own > 0")
+        rows = rows.join(parts, ["token", "home"]).withColumn("p", F.pmod("leader", F.greatest(F.when(F.col("at_home"), F.col("own")).otherwise(F.col("others")), F.lit(1))).cast("int"))
+        meeting = lambda low, high, part: F.struct(low.cast("int").alias("low"), high.cast("int").alias("high"), part.cast("int").alias("part"))
+        each = lambda n, f: F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), f)).otherwise(F.expr("cast(array() as array<struct<low:int,high:int,part:int>>)"))
+        p = F.col("p")
+        among = each(F.col("own"), lambda q: meeting(F.least(p, q), F.greatest(p, q), p))
+        with_visitors = each(F.col("others"), lambda q: meeting(-1 - p, q, F.lit(0)))
+        as_visitor = each(F.col("own"), lambda q: meeting(-1 - q, p, F.lit(1)))
+        rows = rows.withColumn("m", F.explode(F.when(F.col("at_home"), F.concat(among, with_visitors)).otherwise(as_visitor)))
+        return rows.select("token", "home", "m.low", "m.high", "leader", "label", "least", "most", "rest", "m.part")
+
     def bounded(self, pairs: DataFrame, clusters: bool) -> DataFrame:
         """Those of the pairs (a, b) whose histograms leave room for a link: of the sets, or of sets of their ``clusters``.
 
