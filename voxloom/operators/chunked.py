@@ -24,12 +24,14 @@ NEGLIGIBLE = 1e-17
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, ``spark.checkpoint.dir``; where it is not set and all runs in one process (tests), a temporary one."""
     context = spark.sparkContext
-    if not context.getCheckpointDir():
-        at = spark.conf.get("spark.checkpoint.dir", None)
-        if not at and not context.master.startswith("local"):
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at and not context.getCheckpointDir():
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        context.setCheckpointDir(at or tempfile.mkdtemp(prefix="voxloom-"))
-    return context.getCheckpointDir()
+        at = tempfile.mkdtemp(prefix="voxloom-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(at)
+    return (at or context.getCheckpointDir()).rstrip("/")
 
 
 def settled(df: DataFrame) -> DataFrame:

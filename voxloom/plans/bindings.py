@@ -84,9 +84,9 @@ totals AS (SELECT user_id, (max(epoch_us(ts)) - min(epoch_us(ts)) + 1000000) / 1
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A scan of fewer files than cores, dealt to all of them before costly projections; larger inputs stay as they are."""
+    """A scan of fewer splits than cores, dealt to all of them before costly projections; larger inputs stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def word_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import lookup_queries, signal_queries, text_queries, timeline_queries
+from . import file_queries, lookup_queries, signal_queries, text_queries, timeline_queries
 
-_PARTS = (text_queries, timeline_queries, lookup_queries, signal_queries)
+_PARTS = (text_queries, timeline_queries, lookup_queries, signal_queries, file_queries)
 QUERIES = {name: f for part in _PARTS for name, f in part.QUERIES.items()}
 SQL = {name: sql for part in _PARTS for name, sql in part.SQL.items()}

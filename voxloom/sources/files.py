@@ -9,6 +9,8 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -107,6 +109,27 @@ def encode_wav(samples: np.ndarray, rate: int) -> bytes:
     return out.getvalue()
 
 
+def save_signals(signals: DataFrame, folder: str) -> DataFrame:
+    """SK5: writes (file, samples, sr) as WAV files to ``folder``, which all executors reach; returns (file, bytes).
+
+    Each task writes its rows' files by itself; a retried task writes the same bytes again.  A null signal has no file.
+    """
+
+    def put(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, at = pa.fs.FileSystem.from_uri(folder)
+        fs.create_dir(at, recursive=True)
+        for part in parts:
+            sizes = []
+            for name, samples, rate in zip(part["file"], part["samples"], part["sr"], strict=True):
+                data = encode_wav(samples, int(rate))
+                with fs.open_output_stream(f"{at}/{name}", compression=None) as out:
+                    out.write(data)
+                sizes.append(len(data))
+            yield pd.DataFrame({"file": part["file"], "bytes": sizes})
+
+    return signals.where("samples is not null").select("file", "samples", "sr").mapInPandas(put, "file string, bytes long")
+
+
 def read_signals(spark: SparkSession, path: str) -> DataFrame:
     """SC7: (file, samples, sr) of WAV files; a file that can't be read has null samples."""
 
