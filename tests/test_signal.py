@@ -52,13 +52,50 @@ def test_realism_job(spark):
     assert all(b.start_ms >= a.start_ms + a.duration_ms for a, b in zip(rows[:-1], rows[1:])) and rows[2].text is None
 
 
+def test_pages_are_downloaded(spark):
+    """A server of this test: a page, one in another encoding, one that is missing, one that never answers in time."""
+    import http.server
+    import threading
+    import time
+
+    class Pages(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            if self.path == "/slow":
+                time.sleep(3)
+            if self.path == "/gone":
+                return self.send_error(404)
+            kind, data = ("text/html; charset=latin-1", "<p>caf\u00e9</p>".encode("latin-1")) if self.path == "/latin" else ("text/html", b"<html><script>no</script><p>Some &amp; words</p></html>")
+            self.send_response(200)
+            self.send_header("Content-Type", kind)
+            self.end_headers()
+            self.wfile.write(data)
+
+        def log_message(self, *args):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Pages)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    at = f"http://127.0.0.1:{server.server_port}"
+    try:
+        urls = spark.createDataFrame([(1, f"{at}/a"), (2, f"{at}/latin"), (3, f"{at}/gone"), (4, f"{at}/slow"), (5, None), (6, "nonsense"), (7, f"{at}/a")], "id int, url string")
+        got = {r.id: r for r in S.fetch_pages(urls, seconds=1.0).collect()}
+        assert got[1].html == got[7].html and "words" in got[1].html and got[1].error is None and got[2].html == "<p>caf\u00e9</p>"
+        assert "404" in got[3].error and "timed out" in got[4].error and got[6].error and (got[5].html, got[5].error) == (None, None)
+        assert "ERROR: more than 5 bytes" == S.fetch_pages(urls.where("id = 1"), most_bytes=5).first().error
+        assert S.ingest(spark, [f"{at}/a", f"{at}/latin"]).first().content == "Some & words\n\n---\n\ncaf\u00e9"
+        with pytest.raises(ValueError, match="404"):
+            S.ingest(spark, [f"{at}/gone"])
+    finally:
+        server.shutdown()
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for name, text in (("b.md", "second"), ("a.txt", "first"), ("c.pdf", "no")):
         (tmp_path / "in" / name).write_text(text)
     assert S.ingest(spark, [f"{tmp_path}/in", f"{tmp_path}/in/b.md"]).first().content == "--- a.txt ---\nfirst\n\n--- b.md ---\nsecond\n\n---\n\nsecond"
     with pytest.raises(ValueError, match="no reader"):
-        S.ingest(spark, ["https://example.org/x"])
+        S.ingest(spark, [f"{tmp_path}/in/c.pdf"])
     page = spark.createDataFrame([("page",)], "content string")
     assert S.ingest(spark, ["https://example.org/x", f"{tmp_path}/in/a.txt"], {"url": lambda u: page}).first().content == "page\n\n---\n\nfirst"
     long = spark.createDataFrame([("k", f"{i:03d}", "x" * 50) for i in range(200)], "key string, name string, content string")

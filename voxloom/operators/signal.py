@@ -106,11 +106,16 @@ def level_gain(measured: DataFrame, target: float = -16.0) -> DataFrame:
 def separation(voices: DataFrame, least: float = 80.0, group: list[str] | None = None) -> DataFrame:
     """(file, f0, next_file, next_f0, gap) of neighbours in pitch that are too close; null pitches are skipped.
 
-    The table holds a voice per row; ``group`` splits larger ones.
+    Voices meet in bands ``least`` wide, and the last of a band meets the first of the next, so no window sees the whole table.
     """
-    window = Window.partitionBy(*(group or [])).orderBy("f0", "file")
-    rows = voices.where(F.col("f0").isNotNull()).withColumn("next_file", F.lead("file").over(window)).withColumn("next_f0", F.lead("f0").over(window))
-    return rows.withColumn("gap", F.col("next_f0") - F.col("f0")).where(F.col("gap") < least)
+    keys = [*(group or []), "band"]
+    window = Window.partitionBy(*keys).orderBy("f0", "file")
+    rows = voices.where(F.col("f0").isNotNull()).withColumn("band", F.floor(F.col("f0") / least))
+    inner = rows.withColumn("next", F.lead(F.struct("f0", "file")).over(window))
+    heads = rows.groupBy(*keys).agg(F.min(F.struct("f0", "file")).alias("head")).withColumn("band", F.col("band") - 1)
+    pairs = inner.join(heads, keys, "left").withColumn("next", F.coalesce("next", "head"))
+    found = pairs.withColumn("next_file", F.col("next.file")).withColumn("next_f0", F.col("next.f0")).withColumn("gap", F.col("next_f0") - F.col("f0"))
+    return found.where(F.col("gap") < least).drop("band", "next", "head")
 
 
 def by_pitch(voices: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from ..sources import files as S
 from . import bindings as B
 from . import pipelines
 from .signal_queries import TAPS
+from .text_queries import _dialogue_sql
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -99,3 +100,18 @@ def prepared_folder(spark: SparkSession, d: str) -> DataFrame:
     status, ready = pipelines.prepare_folder(manifest, signals.where(k > 2).select("file", "samples", "sr"), volumes, 2000)
     sums = ready.groupBy("file").agg(F.floor(F.sum(F.col("value") * (F.col("idx") + 1)) * 1000 + 0.31003).alias("weighted_e3"))
     return status.join(sums, "file", "left")
+
+
+@query(f"""WITH {B.SCRIPTS}, {_dialogue_sql()}, heads AS (SELECT conv_id, line, regexp_extract(raw, '^SECTION ([0-9]+)$', 1)::INT AS section FROM raws WHERE regexp_matches(raw, '^SECTION [0-9]+$')),
+d AS (SELECT d.*, h.section, len(regexp_extract_all(d.text, '{B.NS}+')) AS words FROM dialogue d ASOF JOIN heads h ON d.conv_id = h.conv_id AND d.line >= h.line),
+f AS (SELECT conv_id, idx // 2 AS section, sum(duration_ms) AS ms FROM lines GROUP BY ALL),
+s AS (SELECT *, coalesce(sum(ms) OVER (PARTITION BY conv_id ORDER BY section ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at_ms FROM f),
+t AS (SELECT d.conv_id, d.section, row_number() OVER p - 1 AS index, speaker, text, ms, at_ms, words, coalesce(sum(words) OVER (PARTITION BY d.conv_id, d.section ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b, sum(words) OVER (PARTITION BY d.conv_id, d.section) AS n
+  FROM d JOIN s ON s.conv_id = d.conv_id AND s.section = d.section WHERE ms > 0 WINDOW p AS (PARTITION BY d.conv_id, d.section ORDER BY line))
+SELECT conv_id::VARCHAR AS episode_id, section, index::INT AS index, speaker, text, (at_ms + (b * ms * 2 + n) // (2 * n))::BIGINT AS start_ms, (at_ms + ((b + words) * ms * 2 + n) // (2 * n))::BIGINT AS end_ms FROM t WHERE n > 0""")
+def published_transcript(spark: SparkSession, d: str) -> DataFrame:
+    """Scripts cut into sections, their dialogue timed by words within each section's file, over a running start."""
+    scripts = B.scripts(spark, d).select(F.col("conv_id").cast("string").alias("episode_id"), "content")
+    files = B.lines(spark, d).groupBy(F.col("conv_id").cast("string").alias("episode_id"), F.floor(F.col("index") / 2).cast("int").alias("index")).agg(F.sum("duration_ms").cast("long").alias("duration_ms"))
+    rows = pipelines.publish(scripts, files)["transcript"]
+    return rows.select("episode_id", F.col("section").cast("int").alias("section"), F.col("index").cast("int").alias("index"), "speaker", "text", "start_ms", "end_ms")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import http.client
 import io
+import urllib.request
 import wave
 from collections.abc import Callable, Iterator
 from functools import reduce
@@ -15,6 +17,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import html_text
+
 #: What a script and a review take of a source.
 SOURCE_CHARS, REVIEW_CHARS = 100_000, 50_000
 
@@ -57,18 +61,54 @@ def joined_arguments(sources: DataFrame, key: str, order: str, limit: int = SOUR
     return _joined(sources.select(key, order, F.col("content").alias("t")), key, order, "\n\n---\n\n", limit)
 
 
+def fetch_pages(urls: DataFrame, url: str = "url", seconds: float = 30.0, most_bytes: int = 32 << 20) -> DataFrame:
+    """SC3: ``urls`` with html and error: every page is downloaded once by the task that holds its row.
+
+    The text is read in the encoding that the server names, else UTF-8; what cannot be downloaded in ``seconds``, or is larger than
+    ``most_bytes``, is null with its reason.  A null address is null without one.
+    """
+    schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in urls.schema.fields)}, html string, error string"
+
+    def one(address: str | None) -> tuple[str | None, str | None]:
+        if address is None:
+            return None, None
+        try:
+            with urllib.request.urlopen(urllib.request.Request(address, headers={"User-Agent": "voxloom"}), timeout=seconds) as answer:
+                data = answer.read(most_bytes + 1)
+                if len(data) > most_bytes:
+                    return None, f"ERROR: more than {most_bytes} bytes"
+                return data.decode(answer.headers.get_content_charset() or "utf-8", "replace"), None
+        except (OSError, ValueError, LookupError, http.client.HTTPException) as error:
+            return None, f"ERROR: {error}"
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            found = [one(x) for x in part[url]]
+            yield part.assign(html=[h for h, _ in found], error=[e for _, e in found])
+
+    return urls.mapInPandas(run, schema)
+
+
+def read_url(spark: SparkSession, address: str, seconds: float = 30.0) -> DataFrame:
+    """SC3: one row (content), the text of a page; a page that can't be downloaded, or has no text, is an error."""
+    row = fetch_pages(spark.createDataFrame([(address,)], "url string"), seconds=seconds).select(html_text(F.col("html")).alias("content"), "error").first()
+    if not row.content:
+        raise ValueError(f"no text from {address}: {row.error or 'the page has none'}")
+    return spark.createDataFrame([(row.content,)], "content string")
+
+
 def source_kind(source: Column) -> Column:
     """SC4: how a source is read: ``url``, ``pdf``, ``text``, or ``folder`` for what has no file's ending.
 
-    Pages and PDF files need a library or a network that the caller brings; ``ingest`` takes their readers.
+    PDF files need a library that the caller brings; ``ingest`` takes its reader, and another one for pages if asked.
     """
     return F.when(source.rlike("^https?://"), "url").when(F.lower(source).endswith(".pdf"), "pdf").when(source.rlike(r"\.[A-Za-z0-9]+$"), "text").otherwise("folder")
 
 
 def ingest(spark: SparkSession, sources: list[str], readers: dict[str, Callable[[str], DataFrame]] | None = None) -> DataFrame:
-    """SC4, SC5: one row (content) of the sources, in their order; ``readers`` (url, pdf) give a DataFrame (content) each.
+    """SC3, SC4, SC5: one row (content) of the sources, in their order; ``readers`` (url, pdf) give a DataFrame (content) each.
 
-    Text files and folders are read by Spark.  A source of a kind without a reader is an error, as is one that is missing.
+    Text files and folders are read by Spark, pages are downloaded.  A source of a kind without a reader is an error, as is one that is missing.
     """
     found = []
     for nth, (source, kind) in enumerate(spark.createDataFrame([(x,) for x in sources], "s string").select("s", source_kind(F.col("s"))).collect()):
@@ -78,6 +118,8 @@ def ingest(spark: SparkSession, sources: list[str], readers: dict[str, Callable[
             rows = read_texts(spark, source)
         elif readers and kind in readers:
             rows = readers[kind](source)
+        elif kind == "url":
+            rows = read_url(spark, source)
         else:
             raise ValueError(f"no reader for {source}")
         found.append(rows.select(F.lit(0).alias("k"), F.lit(nth).alias("nth"), "content"))
