@@ -46,8 +46,8 @@ from .common import Scratch, batched, rows_of, small_batches, text_of
 from .components import components
 
 WIDTH, PERCENT = 5, 75
-#: Cells of the count sketch, at least and at most (64 MB in a task), the characters of text for each, and cells of its blocks.
-CELLS, MOST_CELLS, CELL_CHARS, CELL_BLOCK = 1 << 21, 1 << 24, 384, 1 << 16
+#: Cells of the count sketch and of its blocks.
+CELLS, CELL_BLOCK = 1 << 21, 1 << 16
 #: Leaders kept for each key, and sets of a key in one task.
 LEADERS, KEY_SETS = 8, 300
 #: Entries of a part of a list (two parts meet in a task) and of a block; tokens of the sets that a task keeps.
@@ -306,7 +306,7 @@ def _met(lists: Iterator[tuple[bool, list[tuple]]], percent: int) -> Iterator[tu
 class SetJoin:
     """The steps of the join over ``docs``; every step is a method, so that tests can take them one by one."""
 
-    def __init__(self, docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", cells: int | None = None, max_filter_bytes: int = bloom.MAX_BYTES, list_entries: int = LIST_ENTRIES):
+    def __init__(self, docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", cells: int = CELLS, max_filter_bytes: int = bloom.MAX_BYTES, list_entries: int = LIST_ENTRIES):
         if not 1 <= percent <= 100:
             raise ValueError("percent must be 1 to 100")
         text = text_of(text_col)
@@ -314,15 +314,10 @@ class SetJoin:
         self.rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), row.alias("c"))
         self.texts = self.rows.select("text")
         self.spark, self.width, self.percent, self.max_filter_bytes, self.list_entries = docs.sparkSession, width, percent, max_filter_bytes, list_entries
-        self.cells = cells or self._cells()
+        self.cells = cells
         self.scratch = Scratch(self.spark)
         self.written = self.scratch.written
 
-    def _cells(self) -> int:
-        """Cells of the sketch by the characters of all texts, a power of two: about as many tokens to a cell at any size, up to the bound."""
-        chars = self.texts.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-        return min(MOST_CELLS, max(CELLS, 1 << (chars // CELL_CHARS).bit_length()))
-
     def _broadcast(self, x: object):
         return self.spark.sparkContext.broadcast(x)
 
