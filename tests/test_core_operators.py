@@ -11,7 +11,6 @@ from voxloom.operators import nested as N
 from voxloom.operators import parse as P
 from voxloom.operators import plan as Q
 from voxloom.operators import rollup as R
-from voxloom.operators import signal as G
 from voxloom.operators import timeline as M
 from voxloom.sources import files as S
 from voxloom.streaming import streams

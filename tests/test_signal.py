@@ -4,7 +4,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from voxloom.operators import signal as G
 from voxloom.plans import pipelines
 from voxloom.sources import files as S
 

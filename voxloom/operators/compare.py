@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.text import DEFAULT_SECONDS_PER_WORD, duration_ratio, max_duration, word_count, word_seconds
+from ..functions.text import DEFAULT_SECONDS_PER_WORD, duration_ratio, max_duration, word_count
 
 #: The limits of each flag.
 MIN_OVERLAP, LONG_RATIO, SHORT_RATIO, DURATION_RATIO, SILENT_SECONDS, MIN_MOS, MIN_SIMILARITY = 0.7, 1.4, 0.5, 2.0, 0.5, 3.5, 0.75
