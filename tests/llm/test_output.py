@@ -9,7 +9,6 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from voxloom.llm import fill_middle, id_files, packing, periodic_runs, queries, simple8b, suffix

@@ -227,7 +227,11 @@ def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
 
 
 def decode(encoded: DataFrame, model: bytes, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """doc_id, ids, text of every row; null ids are none and give an empty text."""
+    """doc_id, ids, text of every row; null ids are none and give an empty text.
+
+    Repeated rows are decoded each; very long lists are decoded whole; an empty table gives an empty result; further columns are
+    not read.
+    """
     rows = encoded.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(ids_col), F.expr("cast(array() as array<int>)")).alias("ids"))
     id_type = rows.schema["doc_id"].dataType
     held = rows.sparkSession.sparkContext.broadcast(model)
