@@ -193,14 +193,20 @@ def planted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     h = F.crc32(F.col(id_col).cast("string").cast("binary"))
     g = F.floor(h / 10).cast("long")
-    words = F.array_remove(F.split(text_of(text_col), f"{WS_CLASS}+"), "")
-    n = F.size(words)
-    a = F.when(n > 0, g % n).otherwise(0).cast("int")
-    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
-    root = F.slice(words, a + 1, p)
-    times = F.floor((n - a) / p).cast("int")
-    periodic = F.concat(F.slice(words, F.lit(1), a), F.flatten(F.array_repeat(root, times)), F.slice(root, F.lit(1), (n - a) % p))
-    text = F.when((h % 10 == 0) & (n > 0), F.array_join(periodic, " ")).otherwise(text_of(text_col))
+    whole = text_of(text_col)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        a = F.when(n > 0, g % n).otherwise(0).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        root = F.slice(words, a + 1, p)
+        times = F.floor((n - a) / p).cast("int")
+        periodic = F.concat(F.slice(words, F.lit(1), a), F.flatten(F.array_repeat(root, times)), F.slice(root, F.lit(1), (n - a) % p))
+        return F.when(n > 0, F.array_join(periodic, " "))
+
+    # the words are the variable of a function, so a text is cut once, however often they are named
+    words = F.array(F.array_remove(F.split(whole, f"{WS_CLASS}+"), ""))
+    text = F.when(h % 10 == 0, F.coalesce(F.get(F.transform(words, repeated), F.lit(0)), whole)).otherwise(whole)
     return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
 
 
