@@ -44,3 +44,9 @@ def test_wave_files_beyond_full_scale(same):
     values[40], values[81], values[120], values[161] = 560.21, 499.99, -777.7, 100_000.0
     rows = same("wave_files", "events", _events(values, 4))
     assert [r[1] for r in rows] == [50] * 4
+
+
+def test_voice_analysis_rounds_once(same):
+    # a pulse every 37 samples is a pitch of 86.486, which a first decimal would make 86.5
+    rows = same("voice_analysis", "events", _events([0 if k % 37 else 200 for k in range(2200)]))
+    assert rows[0][2] == 86

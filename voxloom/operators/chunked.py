@@ -466,11 +466,15 @@ def centroids(chunks: DataFrame, key: str, rate: int, size: int = SIZE) -> DataF
     return framed(chunks, key, SPECTRUM, SPECTRUM_STEP, f, size)
 
 
-def voices(chunks: DataFrame, key: str, rate: int, size: int = SIZE) -> DataFrame:
-    """(key, duration, f0, centroid), one decimal: the median pitch of voiced frames and the mean centroid, null without any."""
-    f0 = pitches(chunks, key, rate, size).groupBy(key).agg(F.bround(F.median("value"), 1).alias("f0"))
-    mean = centroids(chunks, key, rate, size).groupBy(key).agg(F.bround(F.avg("value"), 1).alias("centroid"))
-    duration = lengths(chunks, key).select(key, F.bround(F.col("n") / rate, 1).alias("duration"))
+def voices(chunks: DataFrame, key: str, rate: int, size: int = SIZE, decimals: int | None = 1) -> DataFrame:
+    """(key, duration, f0, centroid): the median pitch of voiced frames and the mean centroid, null without any.
+
+    With ``decimals`` None nothing is rounded, for callers that round in their own way: rounding twice is not rounding once.
+    """
+    told = lambda x: x if decimals is None else F.bround(x, decimals)
+    f0 = pitches(chunks, key, rate, size).groupBy(key).agg(told(F.median("value")).alias("f0"))
+    mean = centroids(chunks, key, rate, size).groupBy(key).agg(told(F.avg("value")).alias("centroid"))
+    duration = lengths(chunks, key).select(key, told(F.col("n") / rate).alias("duration"))
     return duration.join(f0, key, "left").join(mean, key, "left")
 
 

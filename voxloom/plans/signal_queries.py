@@ -153,8 +153,8 @@ ce AS (SELECT track, avg(c) AS c FROM (SELECT track, s, sum(m * k * {RATE} / 204
 SELECT track, floor(round_even(n / {RATE}, 1) * 10 + 0.5)::BIGINT AS duration_e1, floor(f0 + 0.5)::BIGINT AS f0, floor(c + 0.5)::BIGINT AS centroid FROM size LEFT JOIN f0 USING (track) LEFT JOIN ce USING (track)""")
 def voice_analysis(spark: SparkSession, d: str) -> DataFrame:
     """Frames of the tracks as rows, a frame over a chunk's border too."""
-    rows = C.voices(_track_chunks(spark, d), "track", RATE, SIZE)
-    return rows.select("track", _e(F.col("duration"), 1).alias("duration_e1"), _e(F.col("f0"), 0).alias("f0"), _e(F.col("centroid"), 0).alias("centroid"))
+    rows = C.voices(_track_chunks(spark, d), "track", RATE, SIZE, decimals=None)
+    return rows.select("track", _e(F.bround("duration", 1), 1).alias("duration_e1"), _e(F.col("f0"), 0).alias("f0"), _e(F.col("centroid"), 0).alias("centroid"))
 
 
 # -- cleaning and preparing ---------------------------------------------------------------------------------
