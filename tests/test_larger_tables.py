@@ -50,3 +50,15 @@ def test_voice_analysis_rounds_once(same):
     # a pulse every 37 samples is a pitch of 86.486, which a first decimal would make 86.5
     rows = same("voice_analysis", "events", _events([0 if k % 37 else 200 for k in range(2200)]))
     assert rows[0][2] == 86
+
+
+def test_stems_broadcasts_no_samples(spark):
+    plan = catalog.QUERIES["stems"](spark, "/root/testdata/sf0.1")._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = lambda line: next(i for i, c in enumerate(line) if c.isalpha() or c == "*")
+    plan = [x for x in plan if any(c.isalpha() for c in x)]
+    for at, line in enumerate(plan):
+        if "BroadcastExchange" in line:
+            below = plan[at + 1 :]
+            end = next((i for i, x in enumerate(below) if depth(x) <= depth(line)), len(below))
+            assert not any("posexplode" in x for x in below[:end])
+    assert any("posexplode" in x for x in plan)

@@ -203,15 +203,16 @@ def stems(timeline: DataFrame, audio: DataFrame, key: str, size: int = C.SIZE) -
     """(key, speaker, chunk, samples) of every speaker, all as long as the episode and silent where others talk.
 
     ``timeline`` (key, index, speaker, pos, n) as W10 gives it, ``audio`` (key, index, idx, value).  The chunks of a stem come from the
-    episode's length, so silence is there too; the samples of a chunk meet in one row.
+    episode's length, so silence is there too; the samples of a chunk meet in one row.  Samples are many where files are small (a
+    line's are made of its text, say), so their size can't be told before: no join is left to broadcast them.
     """
     total = timeline.groupBy(key).agg(F.max(F.col("pos") + F.col("n")).cast("long").alias("total"))
     grid = timeline.select(key, "speaker").distinct().join(total.where("total > 0"), key)
     grid = grid.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("total") - 1) / size))))
     at = F.col("pos") + F.col("idx")
-    parts = audio.join(timeline.select(key, "index", "speaker", "pos"), [key, "index"]).select(key, "speaker", F.floor(at / size).alias("chunk"), (at % size).cast("int").alias("nth"), "value")
+    parts = audio.join(timeline.select(key, "index", "speaker", "pos").hint("shuffle_hash"), [key, "index"]).select(key, "speaker", F.floor(at / size).alias("chunk"), (at % size).cast("int").alias("nth"), "value")
     parts = parts.groupBy(key, "speaker", "chunk").agg(F.collect_list(F.struct("nth", "value")).alias("p"))
-    rows = grid.join(parts, [key, "speaker", "chunk"], "left").select(key, "speaker", "chunk", F.least(F.lit(size), F.col("total") - F.col("chunk") * size).alias("n"), F.col("p.nth").alias("nth"), F.col("p.value").alias("value"))
+    rows = grid.join(parts.hint("merge"), [key, "speaker", "chunk"], "left").select(key, "speaker", "chunk", F.least(F.lit(size), F.col("total") - F.col("chunk") * size).alias("n"), F.col("p.nth").alias("nth"), F.col("p.value").alias("value"))
 
     def fill(n: int, nth: np.ndarray | None, value: np.ndarray | None) -> np.ndarray:
         out = np.zeros(n)
