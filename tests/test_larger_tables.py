@@ -62,3 +62,13 @@ def test_stems_broadcasts_no_samples(spark):
             end = next((i for i, x in enumerate(below) if depth(x) <= depth(line)), len(below))
             assert not any("posexplode" in x for x in below[:end])
     assert any("posexplode" in x for x in plan)
+
+
+def test_validate_batch_shuffles_texts_not_pairs(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        plan = catalog.QUERIES["validate_batch"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the pairs are made of what was shuffled: no exchange of the documents' side stands above the explode
+    assert "Generate explode" in plan and not [x for x in plan[: plan.index("Generate explode")].split("\n") if "Exchange hashpartitioning" in x]

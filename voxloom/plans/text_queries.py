@@ -237,8 +237,7 @@ SELECT doc_id, kind, CASE WHEN NOT ok_file THEN 'ERROR' WHEN early IS NOT NULL T
   CASE WHEN NOT ok_file THEN 'FILE_NOT_FOUND' WHEN early IS NOT NULL THEN early WHEN NOT ok_asr THEN 'TRANSCRIPTION_FAILED' ELSE array_to_string(late, ',') END AS issues FROM x""")
 def validate_batch(spark: SparkSession, d: str) -> DataFrame:
     """C6 to C9."""
-    docs, labels = B.table(spark, d, "documents").select("doc_id", "lang", "n_chars"), B.table(spark, d, "labels")
-    rows = B.word_pairs(spark, d).join(docs.join(labels, "doc_id", "left"), "doc_id")
+    rows = B.word_pairs(spark, d, B.table(spark, d, "labels").select("doc_id", "quality", "toxic"), "lang", "n_chars")
     rows = rows.select(
         "doc_id", "kind", F.col("lang").alias("language"), "expected_words", F.when(F.col("doc_id") % 13 != 0, F.col("actual_words")).alias("actual_words"), "words", (F.col("doc_id") % 11 != 0).alias("exists"), (F.col("n_chars") % 600 / 4).alias("duration"),
         F.lit(None).cast("double").alias("seconds_per_word"), (4.0 - 2 * (1 - F.col("quality"))).alias("mos"), (0.9 - 0.5 * F.col("toxic")).alias("similarity"), (F.col("lang") == "en").alias("language_match"),
