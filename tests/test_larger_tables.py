@@ -72,3 +72,22 @@ def test_validate_batch_shuffles_texts_not_pairs(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # the pairs are made of what was shuffled: no exchange of the documents' side stands above the explode
     assert "Generate explode" in plan and not [x for x in plan[: plan.index("Generate explode")].split("\n") if "Exchange hashpartitioning" in x]
+
+
+def test_a_model_is_begun_before_a_batch_is_read(spark):
+    from voxloom.streaming import streams
+
+    begun = []
+    watched, streams.Watched.begin = streams.Watched.begin, lambda self: begun.append(True)
+    try:
+        kept = []
+        rows = type("Rows", (), {"schema": spark.range(1).selectExpr("'a' as file").schema, "mapInPandas": lambda self, run, schema: kept.append(run)})()
+        streams.transcribed(rows, lambda: str)
+
+        def parts():
+            assert begun
+            yield from ()
+
+        assert list(kept[0](parts())) == [] and begun
+    finally:
+        streams.Watched.begin = watched

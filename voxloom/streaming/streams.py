@@ -111,6 +111,9 @@ def transcribed(rows: DataFrame, load: Callable[[], Callable[[str], str]], path:
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         watched = None if seconds is None else Watched(load, seconds)
+        if watched is not None:
+            # before the first batch is read: a process that is forked later keeps a copy of it
+            watched.begin()
         model = load() if seconds is None else None
 
         def one(x: str) -> tuple[str | None, str | None]:
