@@ -91,3 +91,13 @@ def test_a_model_is_begun_before_a_batch_is_read(spark):
         assert list(kept[0](parts())) == [] and begun
     finally:
         streams.Watched.begin = watched
+
+
+def test_results_leave_python_in_pieces(spark):
+    from voxloom.operators import chunked as C
+
+    n = 3 * C.PIECE + 5
+    rows = spark.range(n).selectExpr("id", "array(cast(id as double), 1D) as a").coalesce(1)
+    one = C.mapped(rows, lambda a: float(a[0]) + 1, "b", "double", "a")
+    two = C.mapped(one, lambda a, b: a * b, "c", "array<double>", "a", "b")
+    assert [(r.b, r.c) for r in two.orderBy("id").collect()] == [(k + 1.0, [k * (k + 1.0), k + 1.0]) for k in range(n)]

@@ -78,6 +78,10 @@ def with_halo(chunks: DataFrame, key: str, left: int, right: int, size: int = SI
     return rows.select(key, "chunk", own(lambda f: f == 0).alias("samples"), own(lambda f: f < 0).alias("before"), own(lambda f: f > 0).alias("after"))
 
 
+#: Rows whose results a task holds in Python at a time; a batch that comes may have 10,000.
+PIECE = 256
+
+
 def mapped(rows: DataFrame, f: Callable, out: str, kind: str, *columns: str) -> DataFrame:
     """``rows`` with ``out`` = f of the columns, row by row in Arrow batches; arrays are numpy arrays there."""
 
@@ -85,7 +89,9 @@ def mapped(rows: DataFrame, f: Callable, out: str, kind: str, *columns: str) ->
     def run(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for part in parts:
             # a single column comes by itself
-            yield pd.Series([f(*x) for x in zip(*part, strict=True)] if len(columns) > 1 else [f(x) for x in part], dtype=object)
+            series = part if len(columns) > 1 else (part,)
+            for at in range(0, len(series[0]), PIECE):
+                yield pd.Series([f(*x) for x in zip(*(s.iloc[at : at + PIECE] for s in series), strict=True)], dtype=object)
 
     return rows.withColumn(out, run(*columns))
 
