@@ -101,3 +101,25 @@ def test_results_leave_python_in_pieces(spark):
     one = C.mapped(rows, lambda a: float(a[0]) + 1, "b", "double", "a")
     two = C.mapped(one, lambda a, b: a * b, "c", "array<double>", "a", "b")
     assert [(r.b, r.c) for r in two.orderBy("id").collect()] == [(k + 1.0, [k * (k + 1.0), k + 1.0]) for k in range(n)]
+
+
+def test_repairs_send_each_chunk_to_one_neighbour(spark, monkeypatch):
+    from voxloom.operators import chunked as C
+
+    asked, halo = [], C.with_halo
+    monkeypatch.setattr(C, "with_halo", lambda chunks, key, left, right, size=C.SIZE: asked.append((left, right, size)) or halo(chunks, key, left, right, size))
+    C.repaired(spark.createDataFrame([], "k int, chunk long, samples array<double>"), "k", 0.3, 16)
+    assert [(left <= size, right <= size, size % 16) for left, right, size in asked] == [(True, True, 0)]
+
+
+def test_clean_signals_of_many_chunks(same):
+    # jumps without a pause, so what a line's left end was is carried over the borders of chunks and of their groups
+    noise = [480 * math.sin(k * k % 977) for k in range(2600)]
+    quiet = [0.0] * 70
+    rows = same("clean_signals", "events", _events(quiet + noise + quiet))
+    assert rows[0][1:4] == (1, 2.74, 2.635)
+
+
+def test_clean_repairs_once(spark):
+    plan = catalog.QUERIES["clean_signals"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan

@@ -43,14 +43,14 @@ def settled(df: DataFrame) -> DataFrame:
 def chunks_of(signal: DataFrame, key: str, size: int = SIZE) -> DataFrame:
     """(key, chunk, samples) of a signal in long form (key, idx, value), whose places are 0, 1, 2, ..."""
     at = F.floor(F.col("idx") / size).cast("long").alias("chunk")
-    pairs = F.array_sort(F.collect_list(F.struct(F.col("idx").cast("long").alias("idx"), F.col("value").cast("double").alias("value"))))
+    pairs = F.sort_array(F.collect_list(F.struct(F.col("idx").cast("long").alias("idx"), F.col("value").cast("double").alias("value"))))
     return signal.groupBy(key, at).agg(pairs.alias("s")).select(key, "chunk", F.col("s.value").alias("samples"))
 
 
-def long_of(chunks: DataFrame, key: str, size: int = SIZE) -> DataFrame:
-    """(key, idx, value)."""
-    rows = chunks.select(key, "chunk", F.posexplode("samples").alias("nth", "value"))
-    return rows.select(key, (F.col("chunk") * size + F.col("nth")).alias("idx"), "value")
+def long_of(chunks: DataFrame, key: str, size: int = SIZE, *own: str) -> DataFrame:
+    """(key, idx, value), and the chunks' columns ``own``."""
+    rows = chunks.select(key, "chunk", *own, F.posexplode("samples").alias("nth", "value"))
+    return rows.select(key, (F.col("chunk") * size + F.col("nth")).alias("idx"), "value", *own)
 
 
 def lengths(chunks: DataFrame, key: str) -> DataFrame:
@@ -109,8 +109,9 @@ def ungrouped(chunks: DataFrame, key: str, k: int, size: int) -> DataFrame:
     if k == 1:
         return chunks
     first = F.sequence(F.lit(0), F.greatest(F.ceil(F.size("samples") / size).cast("int") - 1, F.lit(0)))
-    parts = chunks.select(key, "chunk", "samples", F.explode(first).alias("nth"))
-    return parts.select(key, (F.col("chunk") * k + F.col("nth")).alias("chunk"), F.slice("samples", F.col("nth") * size + 1, F.lit(size)).alias("samples"))
+    # cut before they are dealt out: a row of its own has its part, not a copy of the whole
+    cut = F.transform(first, lambda i: F.struct((F.col("chunk") * k + i).alias("chunk"), F.slice("samples", i * size + 1, F.lit(size)).alias("samples")))
+    return chunks.select(key, F.explode(cut).alias("x")).select(key, "x.*")
 
 
 def convolved(chunks: DataFrame, key: str, response: np.ndarray, size: int = SIZE) -> DataFrame:
@@ -528,7 +529,12 @@ def repair(x: np.ndarray, threshold: float) -> np.ndarray:
 
 
 def repaired(chunks: DataFrame, key: str, threshold: float = 0.15, size: int = SIZE) -> DataFrame:
-    """W19 in chunks: each takes as much from the chunk before as a run of jumps can still be felt over."""
+    """W19 in chunks: each takes as much from the chunk before as a run of jumps can still be felt over.
+
+    Chunks are grouped until they are as long as that halo, so each is sent to one neighbour on each side, however short it is.
+    """
+    halo = (2 * REPAIR - 1) * FADED
+    k = -(-halo // size)
     one = lambda x, b, a: repair(np.concatenate([b, x, a]), threshold)[len(b) : len(b) + len(x)]
-    rows = with_halo(chunks, key, (2 * REPAIR - 1) * FADED, 2 * REPAIR + 2, size)
-    return mapped(rows, one, "samples", "array<double>", "samples", "before", "after").select(key, "chunk", "samples")
+    rows = with_halo(grouped(chunks, key, k), key, halo, 2 * REPAIR + 2, k * size)
+    return ungrouped(mapped(rows, one, "samples", "array<double>", "samples", "before", "after").select(key, "chunk", "samples"), key, k, size)

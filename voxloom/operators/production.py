@@ -35,10 +35,15 @@ def clean(signal: DataFrame, key: str, rate: int, threshold: float = 0.15, fade_
 
     Clicks are repaired, silent ends cut, ends faded.  A dry run tells what would be cut of the signal as it is, and leaves it.
     """
-    base = signal if dry_run else C.long_of(C.repaired(C.chunks_of(signal, key, size), key, threshold, size), key, size)
-    n = _lengths(signal, key)
-    bounds = G.trim_bounds(base, key, rate, float(10 ** (-35 / 20))) if trim else n.select(key, "n", F.lit(0).cast("long").alias("lead"), F.col("n").alias("trail"))
-    cut = base.join(bounds, key).where((F.col("idx") >= F.col("lead")) & (F.col("idx") < F.col("trail"))).select(key, (F.col("idx") - F.col("lead")).alias("idx"), "value")
+    chunks = None if dry_run else C.repaired(C.chunks_of(signal, key, size), key, threshold, size)
+    if trim and not dry_run:
+        # the bounds are made of the same chunks that they cut
+        chunks = C.settled(chunks)
+    if trim:
+        bounds = G.trim_bounds(signal if dry_run else C.long_of(chunks, key, size), key, rate, float(10 ** (-35 / 20)))
+    else:
+        n = _lengths(signal, key)
+        bounds = n.select(key, "n", F.lit(0).cast("long").alias("lead"), F.col("n").alias("trail"))
     count = G.clicks(signal, key, rate, threshold).groupBy(key).agg(F.count(F.lit(1)).cast("int").alias("clicks"))
     kept = F.col("n") if dry_run else F.col("trail") - F.col("lead")
     report = bounds.join(count, key, "left").select(
@@ -48,7 +53,11 @@ def clean(signal: DataFrame, key: str, rate: int, threshold: float = 0.15, fade_
         F.round(kept / rate, 3).alias("cleaned_duration"),
         F.round((F.col("n") - F.col("trail") + F.col("lead")) * 1000 / rate, 1).alias("trimmed_ms"),
     )
-    return (signal if dry_run else G.fades(cut, key, rate, fade_ms)), report
+    if dry_run:
+        return signal, report
+    rows = C.long_of(chunks.join(bounds.drop("n"), key), key, size, "lead", "trail").where((F.col("idx") >= F.col("lead")) & (F.col("idx") < F.col("trail")))
+    cut = rows.select(key, (F.col("idx") - F.col("lead")).alias("idx"), "value", (F.col("trail") - F.col("lead")).alias("n"))
+    return G.fades(cut, key, rate, fade_ms), report
 
 
 # -- preparing ----------------------------------------------------------------------------------------------

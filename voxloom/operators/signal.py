@@ -36,16 +36,15 @@ def silences(signal: DataFrame, key: str, rate: int, noise_db: float = -40.0, mi
 def clicks(signal: DataFrame, key: str, rate: int, threshold: float, size: int = SIZE) -> DataFrame:
     """(key, first, samples, severity) of groups of jumps less than 5 ms apart.
 
-    Jumps and their groups are found in stretches of ``size`` samples, over a border by a join of the samples there; groups of
-    neighbouring stretches meet last, a few rows for each stretch.
+    Jumps and their groups are found in stretches of ``size`` samples, each with the first of the next; groups of neighbouring
+    stretches meet last, a few rows for each stretch.
     """
     near = max(1, int(rate * 0.005))
-    rows = signal.select(key, "idx", "value", F.floor(F.col("idx") / size).alias("part"))
+    at = F.floor(F.col("idx") / size)
+    # a stretch's first sample is the last of the one before too
+    rows = signal.select(key, "idx", "value", F.explode(F.when(F.col("idx") % size == 0, F.array(at - 1, at)).otherwise(F.array(at))).alias("part"))
     inner = rows.withColumn("next", F.lead("value").over(Window.partitionBy(key, "part").orderBy("idx")))
-    heads = rows.where(F.col("idx") % size == 0).select(key, (F.col("part") - 1).alias("part"), F.col("value").alias("next"))
-    edges = rows.where(F.col("idx") % size == size - 1).join(heads, [key, "part"])
-    jumps = inner.where("next is not null").unionByName(edges)
-    hits = jumps.select(key, "part", "idx", F.abs(F.col("next") - F.col("value")).alias("jump")).where(F.col("jump") > threshold)
+    hits = inner.select(key, "part", "idx", F.abs(F.col("next") - F.col("value")).alias("jump")).where(F.col("jump") > threshold)
     within = Window.partitionBy(key, "part").orderBy("idx")
     marked = hits.withColumn("group", F.sum(F.when(F.col("idx") - F.lag("idx").over(within) < near, 0).otherwise(1)).over(within))
     groups = marked.groupBy(key, "part", "group").agg(F.min("idx").alias("first"), F.max("idx").alias("last"), F.count(F.lit(1)).alias("samples"), F.max("jump").alias("severity"))
@@ -61,19 +60,19 @@ def trim_bounds(signal: DataFrame, key: str, rate: int, threshold: float) -> Dat
     the last.  Without a loud window all stays.
     """
     w, keep, tail = max(1, int(rate * 0.01)), int(rate * 0.005), int(rate * 0.02)
-    n = signal.groupBy(key).agg((F.max("idx") + 1).alias("n"))
-    loud = signal.where(F.abs(F.col("value")) > threshold).join(n, key)
-    front = F.floor(F.col("idx") / w) * w
-    back = F.col("n") - w - F.floor((F.col("n") - 1 - F.col("idx")) / w) * w
-    found = loud.groupBy(key).agg(F.min(F.when(front < F.col("n") - w, front)).alias("f"), F.max(F.when(back > 0, back)).alias("b"))
-    rows = n.join(found, key, "left")
+    loud = F.when(F.abs(F.col("value")) > threshold, F.col("idx"))
+    rows = signal.groupBy(key).agg((F.max("idx") + 1).alias("n"), F.min(loud).alias("first"), F.max(loud).alias("last"))
+    # the first and the last loud sample lie in the first and the last loud window
+    front = F.floor(F.col("first") / w) * w
+    back = F.col("n") - w - F.floor((F.col("n") - 1 - F.col("last")) / w) * w
+    rows = rows.select(key, "n", F.when(front < F.col("n") - w, front).alias("f"), F.when(back > 0, back).alias("b"))
     return rows.select(key, "n", F.coalesce(F.greatest(F.lit(0), F.col("f") - keep), F.lit(0)).cast("long").alias("lead"), F.coalesce(F.least(F.col("n"), F.col("b") + w + tail), F.col("n")).cast("long").alias("trail"))
 
 
 def fades(signal: DataFrame, key: str, rate: int, fade_ms: int) -> DataFrame:
-    """Linear fades at both ends, if the signal is longer than two of them."""
+    """Linear fades at both ends, if the signal is longer than two of them.  Rows that bring ``n``, their signal's length, are not counted."""
     f = int(rate * fade_ms / 1000)
-    rows = signal.join(signal.groupBy(key).agg((F.max("idx") + 1).alias("n")), key)
+    rows = signal if "n" in signal.columns else signal.join(signal.groupBy(key).agg((F.max("idx") + 1).alias("n")), key)
     ramp = F.when(F.col("idx") < f, F.col("idx") / max(1, f - 1)).when(F.col("idx") >= F.col("n") - f, (F.col("n") - 1 - F.col("idx")) / max(1, f - 1)).otherwise(1.0)
     return rows.select(key, "idx", F.when(F.col("n") > 2 * f, F.col("value") * ramp).otherwise(F.col("value")).alias("value"))
 
