@@ -123,3 +123,42 @@ def test_clean_signals_of_many_chunks(same):
 def test_clean_repairs_once(spark):
     plan = catalog.QUERIES["clean_signals"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" not in plan
+
+
+def test_hallucination_flags_counts_no_words_and_searches_once(spark):
+    plan = catalog.QUERIES["hallucination_flags"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "passage_words" not in plan and "regexp_count" not in plan
+    # the line of the measures: the searches of C2 are made once, and equal texts are known without a set
+    line = next(x for x in plan.split("\n") if "AS extra_end" in x)
+    assert line[: line.index("AS extra_end")].count("reverse(") == 1
+
+
+def test_words_and_measures_of_odd_texts(spark):
+    import random
+    import re
+
+    from voxloom.functions import text as T
+    from voxloom.operators import compare
+
+    draw = random.Random(5)
+    texts = ["", " ", "\x1c　", "...", "a", "É é!", " x y z\u0085", "ΟΔΟΣ ΟΔΟΣ.", "a_b c-d “q”", "\x07a\x00b", None]
+    for _ in range(120):
+        texts.append("".join(draw.choice(["a", "b", "B", "c", "ü", " ", " ", "\t", " ", "!", "—"]) for _ in range(draw.randrange(40))))
+    words = lambda s: [w for w in re.sub("[^\\w\\s]", "", (s or "").lower()).split()]
+
+    def measures(e, t):
+        start = 0 if len(t) <= len(e) else next((k for k, w in enumerate(t) if w == (e or [""])[0]), len(t))
+        end = 0
+        if len(t) > len(e) + 3 and e:
+            places = sorted((abs(k - len(e)), k) for k, w in enumerate(t, 1) if w == e[-1])
+            end = len(t) - places[0][1] if places else 0
+        return start, end, len(set(e) & set(t)) / len(set(e)) if e else None, len(t) / max(len(e), 1)
+
+    pairs = [(k, a, b) for k, (a, b) in enumerate((a, draw.choice([b, (b or "") + " " + (a or ""), (a or "") + " " + (b or "")])) for a in texts for b in draw.sample(texts, 6))]
+    df = spark.createDataFrame(pairs, "k long, expected string, actual string")
+    rows = compare.compare(df.withColumn("n", T.word_count(df.expected)).withColumn("w", T.normal_words(df.expected)), "expected", "actual").collect()
+    assert len(rows) == len(pairs)
+    for r in rows:
+        a, b = r.expected, r.actual
+        assert r.n == len((a or "").split()) and (r.w is None if a is None else r.w == words(a))
+        assert (r.extra_start, r.extra_end, r.overlap, r.ratio) == measures(words(a), words(b)), (a, b)

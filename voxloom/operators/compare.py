@@ -29,13 +29,23 @@ def extra_at_end(expected: Column, actual: Column) -> Column:
     last, at = F.get(expected, F.size(expected) - 1), F.greatest(F.size(expected), F.lit(1))  # from 1
     ahead = F.array_position(F.slice(actual, at, F.size(actual)), last) - 1
     back = F.array_position(F.reverse(F.slice(actual, F.lit(1), at)), last) - 1
-    place = F.when((back >= 0) & ((ahead < 0) | (back <= ahead)), at - back).when(ahead >= 0, at + ahead)
+    nearest = lambda x: F.when((x["back"] >= 0) & ((x["ahead"] < 0) | (x["back"] <= x["ahead"])), at - x["back"]).when(x["ahead"] >= 0, at + x["ahead"])
+    # the two searches are an element, so each is made once
+    found = F.transform(F.array(F.struct(back.alias("back"), ahead.alias("ahead"))), nearest)
+    place = F.when(F.get(actual, at - 1) == last, at).otherwise(F.get(found, F.lit(0)))
     return F.when(F.size(actual) > F.size(expected) + 3, F.coalesce(F.size(actual) - place, F.lit(0))).otherwise(0).cast("int")
 
 
 def overlap_share(expected: Column, actual: Column) -> Column:
-    """Share of the distinct expected words that occur; null without any."""
-    return F.try_divide(F.size(F.array_intersect(expected, actual)), F.size(F.array_distinct(expected)))
+    """Share of the distinct expected words that occur; null without any.
+
+    Where the expected words stand in the actual text as they are, all of them occur, and nothing is hashed; else the set is
+    made of the shorter of the two.
+    """
+    n = F.size(expected)
+    whole = (n > 0) & (F.slice(actual, extra_at_start(expected, actual) + 1, n) == expected)
+    both = F.when(F.size(actual) < n, F.array_intersect(expected, actual)).otherwise(F.array_intersect(actual, expected))
+    return F.when(whole, 1.0).otherwise(F.try_divide(F.size(both), F.size(F.array_distinct(expected))))
 
 
 def length_ratio(expected: Column, actual: Column) -> Column:

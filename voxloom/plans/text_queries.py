@@ -224,7 +224,7 @@ f AS MATERIALIZED (SELECT *, list_filter([CASE WHEN extra_start > 1 THEN 'HALLUC
 @query(f"WITH {MEASURES} SELECT doc_id, kind, extra_start, extra_end, floor(share * 1000000 + 0.5)::BIGINT AS overlap_millionths, floor(ratio * 1000000 + 0.5)::BIGINT AS ratio_millionths, array_to_string(flags, ',') AS flags, len(flags) = 0 AS ok FROM f")
 def hallucination_flags(spark: SparkSession, d: str) -> DataFrame:
     """C1 to C5."""
-    rows = C.compare_words(B.word_pairs(spark, d).drop("words"))
+    rows = C.compare_words(B.word_pairs(spark, d, counted=False))
     return rows.select("doc_id", "kind", "extra_start", "extra_end", F.floor(F.col("overlap") * 1_000_000 + 0.5).alias("overlap_millionths"), F.floor(F.col("ratio") * 1_000_000 + 0.5).alias("ratio_millionths"), F.concat_ws(",", "flags").alias("flags"), "ok")
 
 
